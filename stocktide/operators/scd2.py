@@ -43,42 +43,43 @@ def _state() -> Column:
 def build(feed: DataFrame, slice_unit: str = "day") -> DataFrame:
     """Full history from a change feed: one row per run of equal attributes, [start, end).
 
-    Change detection works inside (key, time slice) groups; only one summary row
-    per slice takes part in the per-key step. A supplier with a very large share
-    of the feed is thereby spread over its slices instead of one task.
+    Change detection works inside (key, time slice) groups. Only the first and
+    last row kept of a slice also take part in the per-key step, which links the
+    slices; the rows between are already complete. A supplier with a very large
+    share of the feed is thereby spread over its slices instead of one task.
     """
-    rows = first_per_key(_prepared(feed), ["business_key", "effective_start_ts"],
-                         [F.col("load_ts").desc_nulls_last()])
-    rows = rows.withColumn("_slice", F.date_trunc(slice_unit, "effective_start_ts"))
-    inside = Window.partitionBy("business_key", "_slice").orderBy("effective_start_ts")
-    across = Window.partitionBy("business_key").orderBy("_slice")
-
-    # 1. drop repeats inside a slice; the last row kept carries the state the slice ends with
-    marked = rows.withColumn("_before", F.lag(_state()).over(inside))
-    kept = marked.filter(F.col("_before").isNull() | ~F.col("_before").eqNullSafe(_state()))
-
-    # 2. the state each slice starts from is the last state of the slice before
-    carried = (
-        kept.groupBy("business_key", "_slice")
-        .agg(F.max_by(_state(), "effective_start_ts").alias("_last"))
-        .select("business_key", "_slice", F.lag("_last").over(across).alias("_carried"))
+    rows = (
+        _prepared(feed)
+        .withColumn("_slice", F.date_trunc(slice_unit, "effective_start_ts"))
+        .repartition("business_key", "_slice")
     )
-    versions = (
-        kept.join(carried, ["business_key", "_slice"])
-        .filter(F.col("_before").isNotNull() | ~F.coalesce(F.col("_carried").eqNullSafe(_state()), F.lit(False)))
-        .drop("_before", "_carried")
+    rows = first_per_key(rows, ["business_key", "_slice", "effective_start_ts"], [F.col("load_ts").desc_nulls_last()])
+    start = F.col("effective_start_ts")
+    inside = Window.partitionBy("business_key", "_slice").orderBy(start)
+
+    # 1. drop repeats inside a slice
+    kept = (
+        rows.withColumn("_before", F.lag(_state()).over(inside))
+        .filter(F.col("_before").isNull() | ~F.col("_before").eqNullSafe(_state()))
+        .withColumns({"_first": F.col("_before").isNull(), "_next": F.lead(start).over(inside)})
     )
 
-    # 3. a version ends where the next begins, in the same slice or the next slice that has one
-    opening = (
-        versions.groupBy("business_key", "_slice")
-        .agg(F.min("effective_start_ts").alias("_opens"))
-        .select("business_key", "_slice", F.lead("_opens").over(across).alias("_next_slice_opens"))
-    )
-    ends = F.coalesce(F.lead("effective_start_ts").over(inside), F.col("_next_slice_opens"))
+    # 2. link the slices through their outermost rows: the first row of a slice is dropped when it
+    #    repeats the state the slice before ended with
+    between = ~F.col("_first") & F.col("_next").isNotNull()
+    linked = kept.withColumn("_link", F.when(between, F.col("_slice")))
+    forward = Window.partitionBy("business_key", "_link").orderBy(start)
+    carried = F.lag(_state()).over(forward)
+    backward = Window.partitionBy("business_key", "_link").orderBy(start.desc()).rowsBetween(
+        Window.unboundedPreceding, -1)
+    opens = F.when(F.col("_first"), F.when(F.col("_opens_version"), start).otherwise(F.col("_next")))
     return (
-        versions.join(opening, ["business_key", "_slice"])
-        .withColumn("effective_end_ts", ends)
+        linked.withColumn("_carried", carried)
+        .withColumn("_opens_version", ~F.col("_first") | F.col("_carried").isNull()
+                    | ~F.col("_carried").eqNullSafe(_state()))
+        .withColumn("_next_slice", F.last(opens, ignorenulls=True).over(backward))
+        .filter("_opens_version")
+        .withColumn("effective_end_ts", F.coalesce("_next", "_next_slice"))
         .withColumn("is_current", F.col("effective_end_ts").isNull())
         .select("natural_key", "business_key", *TRACKED, "effective_start_ts", "effective_end_ts", "is_current",
                 "source_system", "load_ts")

@@ -339,7 +339,7 @@ def _(t):
     """History up to 1999 plus the feed since then, rows in the past included: equals the full rebuild."""
     feed = t.supplier_feed()
     later = F.col("load_ts") >= F.lit("1999-01-01").cast("timestamp_ntz")
-    dim = scd2.build(feed.filter(~later))
+    dim = t.stored(scd2.build(feed.filter(~later)), "history")
     late = feed.filter(later).withColumn("effective_start_ts", F.col("load_ts"))
     return scd2.correct(dim, late)
 
@@ -360,7 +360,7 @@ def _(t):
     """One batch with several rows per key on top of the history before 2001: the latest row per key counts."""
     feed = t.supplier_feed()
     later = F.col("load_ts") >= F.lit("2001-01-01").cast("timestamp_ntz")
-    return scd2.merge(scd2.build(feed.filter(~later)), feed.filter(later))
+    return scd2.merge(t.stored(scd2.build(feed.filter(~later)), "history"), feed.filter(later))
 
 
 @query("scd2_current", using="dim_supplier", check="SELECT * FROM dim_supplier WHERE is_current")

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stocktide.functions.timeexpr import ts
+from stocktide.session import scratch_dir
 
 
 def _key(prefix: str, c: Column, width: int) -> Column:
@@ -39,6 +40,12 @@ class Tables:
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def stored(self, df: DataFrame, purpose: str) -> DataFrame:
+        """The frame written to the scratch folder and read back, as a job finds the table a run before left."""
+        path = scratch_dir(self.spark, purpose)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
     def supplier_feed(self) -> DataFrame:
         """Change feed: one row per supplier and quarter."""
         line = self.raw("lineitem")
