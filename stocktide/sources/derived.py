@@ -110,9 +110,9 @@ class Tables:
             )
         )
 
-    def inventory_feed(self) -> DataFrame:
+    def inventory_feed(self, line: DataFrame | None = None) -> DataFrame:
         """Inventory snapshots as delivered: negatives, nulls and repeated snapshots."""
-        line = self.raw("lineitem")
+        line = self.raw("lineitem") if line is None else line
         part = self.raw("part").select("p_partkey", "p_size")
         return line.join(part, F.col("l_partkey") == F.col("p_partkey")).select(
             item_key(F.col("l_partkey")).alias("item_id"),

@@ -48,25 +48,32 @@ def _format_of(path: str) -> str:
     raise ValueError(f"Unsupported file format: {path}")
 
 
+def _fitted(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Columns of the schema in order (NULL where absent), then the columns it does not know."""
+    known = [F.col(f.name) if f.name in df.columns else F.lit(None).cast("string").alias(f.name) for f in schema.fields]
+    extra = [c for c in df.columns if c not in schema.fieldNames()]
+    return df.select(*known, *extra)
+
+
 def read_raw(spark: SparkSession, path: str, schema: T.StructType, fmt: str | None = None) -> DataFrame:
     """Raw text columns of the schema from CSV (header row) or JSON lines; parquet as stored.
 
-    Malformed JSON lines survive with all columns NULL and the line in ``_corrupt_record``.
+    CSV columns are taken by header name, and every file must carry the same
+    header. Malformed JSON lines survive with all columns NULL and the line in
+    ``_corrupt_record``. No types are inferred.
     """
     fmt = fmt or _format_of(path)
-    text = text_schema(schema)
     if fmt == "csv":
-        return spark.read.schema(text).option("header", True).option("enforceSchema", False).csv(path)
+        header = spark.read.option("header", True).csv(path).columns
+        text = T.StructType([T.StructField(c, T.StringType(), True) for c in header])
+        return _fitted(
+            spark.read.schema(text).option("header", True).option("enforceSchema", False).csv(path), schema)
     if fmt == "json":
-        with_corrupt = T.StructType(text.fields + [T.StructField(CORRUPT, T.StringType(), True)])
-        return (spark.read.schema(with_corrupt).option("mode", "PERMISSIVE")
+        text = T.StructType(text_schema(schema).fields + [T.StructField(CORRUPT, T.StringType(), True)])
+        return (spark.read.schema(text).option("mode", "PERMISSIVE")
                 .option("columnNameOfCorruptRecord", CORRUPT).json(path))
     if fmt == "parquet":
-        stored = spark.read.parquet(path)
-        return stored.select(*[
-            F.col(f.name) if f.name in stored.columns else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in schema.fields
-        ])
+        return _fitted(spark.read.parquet(path), schema)
     raise ValueError(f"Unsupported file format: {fmt}")
 
 

@@ -58,14 +58,23 @@ class Store:
             return 0
         return found or 0
 
-    def replace(self, df: DataFrame, table: str, partition_by: Sequence[str] | None = None) -> int:
-        """Write a new version and switch to it. The frame may read the version in force."""
+    def stage(self, df: DataFrame, table: str, partition_by: Sequence[str] | None = None) -> int:
+        """Write a new version without switching to it, so it can be checked first."""
         number = self.version(table) + 1
         parts = self._partitions(table, partition_by)
         self._balanced(df, parts).write.mode("overwrite").partitionBy(*parts).parquet(
             f"{self.path(table)}/data/v={number}")
+        return number
+
+    def publish(self, table: str, number: int) -> None:
+        """Put a staged version in force."""
         self.spark.range(1).select(F.lit(number).alias("version")).coalesce(1).write.mode("append").parquet(
             f"{self.path(table)}/pointer")
+
+    def replace(self, df: DataFrame, table: str, partition_by: Sequence[str] | None = None) -> int:
+        """Write a new version and switch to it. The frame may read the version in force."""
+        number = self.stage(df, table, partition_by)
+        self.publish(table, number)
         return number
 
     def read(self, table: str, version: int | None = None) -> DataFrame:

@@ -36,6 +36,15 @@ def run_to_files(stream: DataFrame, out: str, checkpoint: str, partition_by: Seq
     writer.start(out).awaitTermination()
 
 
+def _event_time(events: DataFrame, time: str) -> DataFrame:
+    """Watermarks need TIMESTAMP; zone-less readings are cast under the session zone, pinned to UTC."""
+    return events.withColumn(time, F.col(time).cast("timestamp"))
+
+
+def _zoneless(name: str) -> Column:
+    return F.col(name).cast("timestamp_ntz")
+
+
 def tumbling_counts(events: DataFrame, time: str, keys: Sequence[str], width: str = "1 hour",
                     lateness: str = "10 minutes", slide: str | None = None, value: str | None = None) -> DataFrame:
     """Count (and sum of ``value``) per event-time window and key; ``slide`` makes the window hop."""
@@ -44,10 +53,10 @@ def tumbling_counts(events: DataFrame, time: str, keys: Sequence[str], width: st
         measures.append(F.sum(value).alias(f"sum_{value}"))
     window = F.window(time, width, slide) if slide else F.window(time, width)
     return (
-        events.withWatermark(time, lateness)
+        _event_time(events, time).withWatermark(time, lateness)
         .groupBy(window.alias("w"), *keys)
         .agg(*measures)
-        .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *keys,
+        .select(_zoneless("w.start").alias("window_start"), _zoneless("w.end").alias("window_end"), *keys,
                 *[F.col(n) for n in ["events"] + ([f"sum_{value}"] if value else [])])
     )
 
@@ -56,16 +65,17 @@ def session_counts(events: DataFrame, time: str, keys: Sequence[str], gap: str =
                    lateness: str = "10 minutes") -> DataFrame:
     """Events per session of each key; a session ends after ``gap`` without an event."""
     return (
-        events.withWatermark(time, lateness)
+        _event_time(events, time).withWatermark(time, lateness)
         .groupBy(F.session_window(time, gap).alias("w"), *keys)
         .agg(F.count("*").alias("events"))
-        .select(F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), *keys, "events")
+        .select(_zoneless("w.start").alias("session_start"), _zoneless("w.end").alias("session_end"), *keys, "events")
     )
 
 
 def without_repeats(events: DataFrame, time: str, keys: Sequence[str], within: str = "1 hour") -> DataFrame:
     """Drop events whose keys were already seen within the watermark delay."""
-    return events.withWatermark(time, within).dropDuplicatesWithinWatermark(list(keys))
+    kept = _event_time(events, time).withWatermark(time, within).dropDuplicatesWithinWatermark(list(keys))
+    return kept.withColumn(time, _zoneless(time))
 
 
 class UpsertSink:
