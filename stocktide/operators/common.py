@@ -26,11 +26,13 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
 
     The ``row_number = 1`` form lets Spark limit every group to one row before
     the shuffle (window group limit), so a key holding much of the table does
-    not travel to one task.
+    not travel to one task. The key's hash leads the partition columns: it
+    changes no group, and sorts by a number instead of by long equal key prefixes.
     """
-    rest = [F.col(c).asc_nulls_last() for c in sorted(df.columns) if c not in keys]
-    w = Window.partitionBy(*keys).orderBy(*order, *rest)
-    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+    rest = [F.asc_nulls_last(c) for c in sorted(df.columns) if c not in keys]
+    hashed = df.withColumn("_kh", F.xxhash64(*keys))
+    w = Window.partitionBy("_kh", *keys).orderBy(*order, *rest)
+    return hashed.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn", "_kh")
 
 
 def merge_latest(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stocktide.functions import labels
@@ -82,19 +82,41 @@ def attach_shipments(base: DataFrame, shipments: DataFrame) -> DataFrame:
     )
     matched = spread.join(moves, near).drop("_week")
 
-    # Days on which a carrier has a shipment within reach, from its distinct departures.
-    departure = F.col("planned_departure_ts")
-    first_day = F.date_sub(F.to_date(plus_days(departure, 1) - F.expr("INTERVAL '0.000001' SECOND")), WINDOW_DAYS)
-    last_day = F.date_add(F.to_date(departure), WINDOW_DAYS)
-    reach = (
-        moves.select("carrier_id", first_day.alias("a"), last_day.alias("b")).distinct()
-        .select(F.col("carrier_id").alias("supplier_id"), F.explode(F.sequence("a", "b")).alias("inventory_date"))
-        .distinct()
+    covered = covered_days(moves)
+    within = (
+        (base["supplier_id"] == covered["carrier_id"])
+        & (base["inventory_date"] >= covered["from_day"])
+        & (base["inventory_date"] <= covered["to_day"])
     )
-    unmatched = base.join(reach, ["supplier_id", "inventory_date"], "left_anti")
+    unmatched = base.join(covered, within, "left_anti")
     return matched.unionByName(unmatched, allowMissingColumns=True)
 
 
+def covered_days(shipments: DataFrame) -> DataFrame:
+    """Per carrier, the closed day ranges in which a snapshot has a shipment within seven days.
+
+    Works on the distinct departure days of a carrier, a number the calendar
+    bounds; overlapping and adjoining ranges are joined, so a busy carrier has few.
+    """
+    departure = F.col("planned_departure_ts")
+    # a departure after midnight does not reach the day seven days before it
+    first = F.date_sub(F.to_date(departure), WINDOW_DAYS)
+    starts = F.when(departure > F.date_trunc("day", departure).cast("timestamp_ntz"), F.date_add(first, 1)).otherwise(first)
+    reach = shipments.select(
+        "carrier_id", starts.alias("a"), F.date_add(F.to_date(departure), WINDOW_DAYS).alias("b")
+    ).filter("a IS NOT NULL").distinct()
+    by_start = Window.partitionBy("carrier_id").orderBy("a", "b")
+    reached = F.max("b").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
+    gap = F.when(reached >= F.date_sub("a", 1), 0).otherwise(1)
+    return (
+        reach.withColumn("gap", gap)
+        .withColumn("run", F.sum("gap").over(by_start))
+        .groupBy("carrier_id", "run")
+        .agg(F.min("a").alias("from_day"), F.max("b").alias("to_day"))
+        .drop("run")
+    )
+
+
 def finish(joined: DataFrame, as_of: str) -> DataFrame:
     """Derived columns and final column order."""
     long_ago = ts("1900-01-01")

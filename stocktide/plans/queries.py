@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from stocktide.functions import labels
 from stocktide.operators import crosswalk as xw
+from stocktide.operators.common import first_per_key
 from stocktide.operators import gold, identity, inventory as inv, scd2, shipments as shp, unified as uni
 from stocktide.plans.ctes import AS_OF
 from stocktide.plans.registry import query
@@ -19,9 +20,12 @@ def silver_shipments(t: Tables) -> DataFrame:
     return shp.latest_version(shp.clean(t.shipment_feed(), AS_OF))
 
 
-def silver_inventory(t: Tables) -> DataFrame:
-    from stocktide.operators.common import first_per_key
+def clean_inventory(t: Tables) -> DataFrame:
+    """Enough for anything that keeps one row per position: the latest row is the same with repeats left in."""
+    return inv.clean(t.inventory_feed(), AS_OF)
 
+
+def silver_inventory(t: Tables) -> DataFrame:
     return first_per_key(inv.clean(t.inventory_feed(), AS_OF), inv.SNAPSHOT, [F.col("load_ts").desc_nulls_last()])
 
 
@@ -30,12 +34,12 @@ def supplier_dim(t: Tables) -> DataFrame:
 
 
 def unified_whole(t: Tables, recent_days: int | None = None) -> DataFrame:
-    return uni.build(silver_inventory(t), supplier_dim(t), t.crosswalk(), silver_shipments(t), t.supply_link(),
+    return uni.build(clean_inventory(t), supplier_dim(t), t.crosswalk(), silver_shipments(t), t.supply_link(),
                      AS_OF, recent_days)
 
 
 def positions(t: Tables) -> DataFrame:
-    return uni.positions(silver_inventory(t), supplier_dim(t), t.crosswalk(), t.supply_link())
+    return uni.positions(clean_inventory(t), supplier_dim(t), t.crosswalk(), t.supply_link())
 
 
 def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
@@ -145,7 +149,7 @@ def _(t):
 
 @query("inventory_latest_rownum", using="latest_inventory", check="SELECT * FROM latest_inventory")
 def _(t):
-    return inv.latest(silver_inventory(t))
+    return inv.latest(clean_inventory(t))
 
 
 @query("inventory_latest_max", using="clean_inventory", check="""
@@ -173,7 +177,7 @@ SELECT *, CASE WHEN quantity_on_hand = 0 THEN 'immediate' WHEN quantity_on_hand
                ELSE 'low' END AS stockout_risk
 FROM latest_inventory WHERE quantity_on_hand <= safety_stock OR quantity_on_hand = 0""")
 def _(t):
-    return inv.stockout_risk(silver_inventory(t))
+    return inv.stockout_risk(clean_inventory(t))
 
 
 _LOCATION_METRICS = """
@@ -189,7 +193,7 @@ GROUP BY location_id"""
 
 @query("inventory_location_metrics", using="latest_inventory", check=_LOCATION_METRICS)
 def location_metrics(t):
-    return rounded(inv.location_metrics(silver_inventory(t)), "total_on_hand", "total_safety_stock", "total_in_transit")
+    return rounded(inv.location_metrics(clean_inventory(t)), "total_on_hand", "total_safety_stock", "total_in_transit")
 
 
 @query("coverage_ratio", using="latest_inventory", check=f"""
@@ -217,7 +221,7 @@ SELECT i.item_id, i.location_id, i.snapshot_date, i.quantity_on_hand, i.safety_s
        quantity_on_hand + in_transit_qty - safety_stock - coalesce(d.demand_qty, 0.0) < 0 AS shortfall
 FROM latest_inventory i LEFT JOIN fx_demand d ON d.item_id = i.item_id AND d.location_id = i.location_id""")
 def _(t):
-    return rounded(inv.sufficiency(silver_inventory(t), t.demand(DEMAND_FROM, DEMAND_TO)), "projected_qty")
+    return rounded(inv.sufficiency(clean_inventory(t), t.demand(DEMAND_FROM, DEMAND_TO)), "projected_qty")
 
 
 @query("cost_overlay", using="silver_inventory fx_cost_reference", check="""

@@ -17,6 +17,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "static",
+    # no call-site capture per expression: it doubles the driver's cost of building wide plans
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

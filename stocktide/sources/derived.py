@@ -6,28 +6,20 @@ given tables, so an operator's filters and column choice reach the parquet scan.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from stocktide.functions.timeexpr import ts
 from stocktide.session import scratch_dir
 
 
-def _key(prefix: str, c: Column, width: int) -> Column:
-    """``prefix`` + zero-padded number."""
-    return F.concat(F.lit(prefix), F.lpad(c.cast("string"), width, "0"))
+_SUPPLIER = "concat('SUP_', lpad(l_suppkey, 6, '0'))"
+_ITEM = "concat('ITEM_', lpad(l_partkey, 6, '0'))"
+_LOCATION = "concat('WH', lpad(l_suppkey % 5 + 1, 3, '0'))"
+_ROUTE = "concat('ROUTE_', lpad(l_partkey % 20, 4, '0'))"
 
-
-def supplier_key(c: Column) -> Column:
-    return _key("SUP_", c, 6)
-
-
-def item_key(c: Column) -> Column:
-    return _key("ITEM_", c, 6)
-
-
-def location_key(suppkey: Column) -> Column:
-    return _key("WH", suppkey % 5 + 1, 3)
+_LAYOUT: dict[str, tuple[StructType, int]] = {}  # path -> (schema, scan tasks), read once per process
 
 
 class Tables:
@@ -38,7 +30,20 @@ class Tables:
         self.sf_dir = sf_dir.rstrip("/")
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        path = f"{self.sf_dir}/{name}.parquet"
+        if path not in _LAYOUT:
+            df = self.spark.read.parquet(path)
+            _LAYOUT[path] = (df.schema, df.rdd.getNumPartitions())
+        return self.spark.read.schema(_LAYOUT[path][0]).parquet(path)
+
+    def lines(self) -> DataFrame:
+        """Line items. A file too small to give every core a scan task is spread over them first;
+        with enough files or row groups the scan is used as it is."""
+        df = self.raw("lineitem")
+        scan_tasks = _LAYOUT[f"{self.sf_dir}/lineitem.parquet"][1]
+        if scan_tasks < self.spark.sparkContext.defaultParallelism:
+            return df.repartition("l_orderkey")
+        return df
 
     def stored(self, df: DataFrame, purpose: str) -> DataFrame:
         """The frame written to the scratch folder and read back, as a job finds the table a run before left."""
@@ -48,204 +53,162 @@ class Tables:
 
     def supplier_feed(self) -> DataFrame:
         """Change feed: one row per supplier and quarter."""
-        line = self.raw("lineitem")
-        per_quarter = line.groupBy(
-            "l_suppkey", F.date_trunc("quarter", "l_shipdate").cast("date").alias("load_ts")
+        per_quarter = self.lines().groupBy(
+            "l_suppkey", F.expr("CAST(date_trunc('quarter', l_shipdate) AS DATE) AS load_ts")
         ).agg(F.count("*").alias("n"))
-        supplier = self.raw("supplier").select("s_suppkey", "s_name", "s_nationkey")
-        nation = self.raw("nation").select("n_nationkey", "n_regionkey")
-        region = self.raw("region").select("r_regionkey", "r_name")
-        n10 = F.col("n") % 10
         return (
-            per_quarter.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
-            .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-            .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-            .select(
-                supplier_key(F.col("l_suppkey")).alias("natural_key"),
-                supplier_key(F.col("l_suppkey")).alias("business_key"),
-                F.col("s_name").alias("name"),
-                F.when(n10 < 6, "active").when(n10 < 8, "inactive").when(n10 == 8, "pending")
-                .otherwise("suspended").alias("status"),
-                F.when(F.col("n") % 7 == 0, F.lit(None)).otherwise(F.col("r_name")).alias("region"),
-                F.concat(F.lit('{"tier": '), (F.col("l_suppkey") % 3 + 1).cast("string"), F.lit("}"))
-                .alias("attributes_json"),
-                F.lit("erp_system").alias("source_system"),
-                ts(F.col("load_ts")).alias("load_ts"),
+            per_quarter.join(self.raw("supplier"), F.expr("l_suppkey = s_suppkey"))
+            .join(self.raw("nation"), F.expr("s_nationkey = n_nationkey"))
+            .join(self.raw("region"), F.expr("n_regionkey = r_regionkey"))
+            .selectExpr(
+                f"{_SUPPLIER} AS natural_key",
+                f"{_SUPPLIER} AS business_key",
+                "s_name AS name",
+                "CASE WHEN n % 10 < 6 THEN 'active' WHEN n % 10 < 8 THEN 'inactive' "
+                "WHEN n % 10 = 8 THEN 'pending' ELSE 'suspended' END AS status",
+                "CASE WHEN n % 7 <> 0 THEN r_name END AS region",
+                """concat('{"tier": ', l_suppkey % 3 + 1, '}') AS attributes_json""",
+                "'erp_system' AS source_system",
+                "CAST(load_ts AS TIMESTAMP_NTZ) AS load_ts",
             )
         )
 
     def shipment_feed(self) -> DataFrame:
         """Shipment events as delivered: repeated ids, unknown statuses, impossible time orders."""
-        line = self.raw("lineitem")
-        orders = self.raw("orders").select("o_orderkey", "o_custkey", "o_orderdate")
-        customer = self.raw("customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-        nation = self.raw("nation").select("n_nationkey", "n_name")
-        quantity = F.col("l_quantity").cast("int")
-        planned_arrival = F.col("l_shipdate") + F.make_dt_interval(days=F.col("l_linenumber") - 1)
-        returned, open_line = F.col("l_returnflag"), F.col("l_linestatus")
+        planned_arrival = "l_shipdate + make_dt_interval(l_linenumber - 1)"
         return (
-            line.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-            .join(customer, F.col("o_custkey") == F.col("c_custkey"))
-            .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-            .select(
-                F.concat(F.lit("SHIP_"), F.col("l_orderkey").cast("string"), F.lit("_"),
-                         F.col("l_linenumber").cast("string")).alias("shipment_id"),
-                _key("ROUTE_", F.col("l_partkey") % 20, 4).alias("route_id"),
-                supplier_key(F.col("l_suppkey")).alias("carrier_id"),
-                F.col("n_name").alias("origin"),
-                F.col("c_mktsegment").alias("destination"),
-                F.col("l_shipdate").alias("planned_departure_ts"),
-                F.when(open_line == "F", F.col("l_shipdate") + F.make_dt_interval(hours=quantity))
-                .alias("actual_departure_ts"),
-                planned_arrival.alias("planned_arrival_ts"),
-                F.when(returned == "A", planned_arrival + F.make_dt_interval(hours=quantity - 25))
-                .alias("actual_arrival_ts"),
-                F.when(returned == "A", "delivered")
-                .when((returned == "R") & (open_line == "F"), "in_transit")
-                .when(returned == "R", "cancelled")
-                .when(open_line == "F", "planned")
-                .otherwise("UNKNOWN").alias("status"),
-                F.col("o_orderdate").alias("load_ts"),
-                F.lit("wms_system").alias("source_system"),
+            self.lines().join(self.raw("orders"), F.expr("l_orderkey = o_orderkey"))
+            .join(self.raw("customer"), F.expr("o_custkey = c_custkey"))
+            .join(self.raw("nation"), F.expr("c_nationkey = n_nationkey"))
+            .selectExpr(
+                "concat('SHIP_', l_orderkey, '_', l_linenumber) AS shipment_id",
+                f"{_ROUTE} AS route_id",
+                f"{_SUPPLIER} AS carrier_id",
+                "n_name AS origin",
+                "c_mktsegment AS destination",
+                "l_shipdate AS planned_departure_ts",
+                "CASE WHEN l_linestatus = 'F' THEN l_shipdate + make_dt_interval(0, int(l_quantity)) END "
+                "AS actual_departure_ts",
+                f"{planned_arrival} AS planned_arrival_ts",
+                f"CASE WHEN l_returnflag = 'A' THEN {planned_arrival} + make_dt_interval(0, int(l_quantity) - 25) END "
+                "AS actual_arrival_ts",
+                "CASE WHEN l_returnflag = 'A' THEN 'delivered' "
+                "WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN 'in_transit' "
+                "WHEN l_returnflag = 'R' THEN 'cancelled' WHEN l_linestatus = 'F' THEN 'planned' "
+                "ELSE 'UNKNOWN' END AS status",
+                "o_orderdate AS load_ts",
+                "'wms_system' AS source_system",
             )
         )
 
     def inventory_feed(self, line: DataFrame | None = None) -> DataFrame:
         """Inventory snapshots as delivered: negatives, nulls and repeated snapshots."""
-        line = self.raw("lineitem") if line is None else line
-        part = self.raw("part").select("p_partkey", "p_size")
-        return line.join(part, F.col("l_partkey") == F.col("p_partkey")).select(
-            item_key(F.col("l_partkey")).alias("item_id"),
-            location_key(F.col("l_suppkey")).alias("location_id"),
-            F.col("l_shipdate").cast("date").alias("snapshot_date"),
-            (F.col("l_quantity") - 5.0).alias("quantity_on_hand"),
-            F.when(F.col("l_returnflag") == "N", F.lit(None))
-            .otherwise(F.col("p_size").cast("double") / 2).alias("safety_stock"),
-            (F.col("l_tax") * 100 - 2.0).alias("in_transit_qty"),
-            F.col("l_shipdate").alias("load_ts"),
-            F.lit("wms_system").alias("source_system"),
+        line = self.lines() if line is None else line
+        return line.join(self.raw("part"), F.expr("l_partkey = p_partkey")).selectExpr(
+            f"{_ITEM} AS item_id",
+            f"{_LOCATION} AS location_id",
+            "CAST(l_shipdate AS DATE) AS snapshot_date",
+            "l_quantity - 5.0D AS quantity_on_hand",
+            "CASE WHEN l_returnflag <> 'N' THEN double(p_size) / 2 END AS safety_stock",
+            "l_tax * 100 - 2.0D AS in_transit_qty",
+            "l_shipdate AS load_ts",
+            "'wms_system' AS source_system",
         )
 
     def crosswalk(self) -> DataFrame:
         """Supplier and product mappings, with duplicates and inactive rows."""
-        supplier = self.raw("supplier").select("s_suppkey")
-        part = self.raw("part").select("p_partkey")
-        s, p = F.col("s_suppkey"), F.col("p_partkey")
-
-        def rows(df, system, key, entity, business, confidence, created, active):
-            return df.select(
-                F.lit(system).alias("source_system"), key.alias("source_key"), F.lit(entity).alias("entity_type"),
-                business.alias("business_key"), F.lit(confidence).alias("confidence"),
-                ts(created).alias("created_ts"), active.alias("is_active"),
-            )
-
-        vendor = F.concat(F.lit("VENDOR_"), s.cast("string"))
-        return (
-            rows(supplier, "erp_system", supplier_key(s), "supplier", supplier_key(s), 1.0, "2001-01-01", s % 20 != 19)
-            .unionByName(rows(supplier, "wms_system", vendor, "supplier", supplier_key(s - s % 2), 0.9, "2001-02-01",
-                              F.lit(True)))
-            .unionByName(rows(supplier.filter(s % 25 == 1), "wms_system", vendor, "supplier", supplier_key(s), 0.5,
-                              "2001-03-01", F.lit(True)))
-            .unionByName(rows(part.filter(p % 4 != 3), "erp_system", item_key(p), "product",
-                              F.concat(F.lit("PROD_"), p.cast("string")), 1.0, "2001-01-01", F.lit(True)))
+        key = "concat('SUP_', lpad(s_suppkey, 6, '0'))"
+        vendor = "concat('VENDOR_', s_suppkey)"
+        supplier = self.raw("supplier").selectExpr("inline(array(" + ", ".join([
+            f"named_struct('source_system', 'erp_system', 'source_key', {key}, 'business_key', {key}, "
+            "'confidence', 1.0D, 'created', '2001-01-01', 'is_active', s_suppkey % 20 <> 19)",
+            f"named_struct('source_system', 'wms_system', 'source_key', {vendor}, 'business_key', "
+            "concat('SUP_', lpad(s_suppkey - s_suppkey % 2, 6, '0')), 'confidence', 0.9D, 'created', '2001-02-01', "
+            "'is_active', true)",
+            # every 25th vendor has a second, less certain mapping
+            f"named_struct('source_system', IF(s_suppkey % 25 = 1, 'wms_system', NULL), 'source_key', {vendor}, "
+            f"'business_key', {key}, 'confidence', 0.5D, 'created', '2001-03-01', 'is_active', true)",
+        ]) + "))").filter("source_system IS NOT NULL").withColumn("entity_type", F.lit("supplier"))
+        # a quarter of the parts has no mapping
+        product = self.raw("part").filter("p_partkey % 4 <> 3").selectExpr(
+            "'erp_system' AS source_system", "concat('ITEM_', lpad(p_partkey, 6, '0')) AS source_key",
+            "concat('PROD_', p_partkey) AS business_key", "1.0D AS confidence", "'2001-01-01' AS created",
+            "true AS is_active", "'product' AS entity_type",
+        )
+        return supplier.unionByName(product).selectExpr(
+            "source_system", "source_key", "entity_type", "business_key", "confidence",
+            "CAST(created AS TIMESTAMP_NTZ) AS created_ts", "is_active",
         )
 
     def source_records(self) -> DataFrame:
-        """Supplier records of three systems, grouped by ``record_group``."""
-        s = F.col("s_suppkey")
-        supplier = self.raw("supplier").select("s_suppkey", "s_name")
-
-        def rows(df, system, key, name, started):
-            return df.select(
-                s.cast("string").alias("record_group"), F.lit("supplier").alias("entity_type"),
-                F.lit(system).alias("source_system"), key.alias("source_key"), name.alias("name"),
-                started.alias("effective_start_ts"),
-            )
-
-        return (
-            rows(supplier.filter(s % 10 != 7), "erp_system", supplier_key(s), F.col("s_name"), ts("2000-01-01"))
-            .unionByName(rows(supplier.filter(s % 10 != 7), "wms_system", F.concat(F.lit("VENDOR_"), s.cast("string")),
-                              F.concat(F.lit("wms "), F.col("s_name")),
-                              F.when(s % 5 != 0, ts("2000-06-01"))))
-            .unionByName(rows(supplier.filter((s % 10).isin(0, 7)), "external_api",
-                              F.concat(F.lit("X"), s.cast("string")), F.concat(F.lit("api "), F.col("s_name")),
-                              ts("2000-09-01")))
+        """Supplier records of three systems, grouped by ``record_group``; every tenth group is external only."""
+        return self.raw("supplier").selectExpr("CAST(s_suppkey AS STRING) AS record_group", "inline(array(" + ", ".join([
+            "named_struct('source_system', IF(s_suppkey % 10 <> 7, 'erp_system', NULL), "
+            "'source_key', concat('SUP_', lpad(s_suppkey, 6, '0')), 'name', s_name, 'started', '2000-01-01')",
+            "named_struct('source_system', IF(s_suppkey % 10 <> 7, 'wms_system', NULL), "
+            "'source_key', concat('VENDOR_', s_suppkey), 'name', concat('wms ', s_name), "
+            "'started', IF(s_suppkey % 5 <> 0, '2000-06-01', NULL))",
+            "named_struct('source_system', IF(s_suppkey % 10 IN (0, 7), 'external_api', NULL), "
+            "'source_key', concat('X', s_suppkey), 'name', concat('api ', s_name), 'started', '2000-09-01')",
+        ]) + "))").filter("source_system IS NOT NULL").selectExpr(
+            "record_group", "'supplier' AS entity_type", "source_system", "source_key", "name",
+            "CAST(started AS TIMESTAMP_NTZ) AS effective_start_ts",
         )
 
     def cost_reference(self) -> DataFrame:
         """Two validity ranges per item."""
-        part = self.raw("part").select("p_partkey", "p_retailprice")
-        ranges = F.explode(F.array(
-            F.struct(ts("1995-01-01").alias("start"), ts("1998-01-01").alias("stop"), F.lit(1).alias("factor")),
-            F.struct(ts("1998-01-01").alias("start"), F.lit(None).cast("timestamp_ntz").alias("stop"),
-                     F.lit(2).alias("factor")),
-        ))
-        return part.select(item_key(F.col("p_partkey")).alias("item_id"), "p_retailprice", ranges.alias("v")).select(
-            "item_id",
-            F.col("v.start").alias("effective_start_ts"),
-            F.lit("USD").alias("cost_currency"),
-            (F.col("p_retailprice") * F.col("v.factor")).alias("unit_cost"),
-            F.col("v.stop").alias("effective_end_ts"),
-            F.col("v.stop").isNull().alias("is_current"),
+        return self.raw("part").selectExpr(
+            "concat('ITEM_', lpad(p_partkey, 6, '0')) AS item_id", "p_retailprice",
+            "inline(array(named_struct('start', '1995-01-01', 'stop', '1998-01-01', 'factor', 1), "
+            "named_struct('start', '1998-01-01', 'stop', CAST(NULL AS STRING), 'factor', 2)))",
+        ).selectExpr(
+            "item_id", "CAST(start AS TIMESTAMP_NTZ) AS effective_start_ts", "'USD' AS cost_currency",
+            "p_retailprice * factor AS unit_cost", "CAST(stop AS TIMESTAMP_NTZ) AS effective_end_ts",
+            "stop IS NULL AS is_current",
         )
 
     def supply_link(self) -> DataFrame:
         """The one supplier of each (item, location): the smallest key that supplied it."""
-        return (
-            self.raw("lineitem")
-            .groupBy("l_partkey", (F.col("l_suppkey") % 5).alias("loc"))
-            .agg(F.min("l_suppkey").alias("l_suppkey"))
-            .select(
-                item_key(F.col("l_partkey")).alias("item_id"),
-                location_key(F.col("loc")).alias("location_id"),
-                supplier_key(F.col("l_suppkey")).alias("supplier_id"),
-            )
-        )
+        smallest = self.lines().groupBy("l_partkey", F.expr("l_suppkey % 5 AS loc")).agg(
+            F.min("l_suppkey").alias("l_suppkey"))
+        return smallest.selectExpr(f"{_ITEM} AS item_id", f"{_LOCATION} AS location_id", f"{_SUPPLIER} AS supplier_id")
 
     def demand(self, start: str, end: str) -> DataFrame:
         """Demand per (item, location): quantity ordered in [start, end)."""
-        line = self.raw("lineitem").filter((F.col("l_shipdate") >= ts(start)) & (F.col("l_shipdate") < ts(end)))
+        wanted = self.lines().filter((F.col("l_shipdate") >= ts(start)) & (F.col("l_shipdate") < ts(end)))
         return (
-            line.groupBy("l_partkey", (F.col("l_suppkey") % 5).alias("loc"))
+            wanted.groupBy("l_partkey", F.expr("l_suppkey % 5 AS l_suppkey"))
             .agg(F.sum("l_quantity").alias("demand_qty"))
-            .select(item_key(F.col("l_partkey")).alias("item_id"), location_key(F.col("loc")).alias("location_id"),
-                    "demand_qty")
+            .selectExpr(f"{_ITEM} AS item_id", f"{_LOCATION} AS location_id", "demand_qty")
         )
 
     def capacity(self) -> DataFrame:
         """Weekly volume each carrier can ship."""
-        return self.raw("supplier").select(
-            supplier_key(F.col("s_suppkey")).alias("carrier_id"),
-            (F.lit(100) + F.col("s_suppkey") % 5 * 20).cast("double").alias("weekly_capacity"),
+        return self.raw("supplier").selectExpr(
+            "concat('SUP_', lpad(s_suppkey, 6, '0')) AS carrier_id",
+            "double(100 + s_suppkey % 5 * 20) AS weekly_capacity",
         )
 
     def shipped_volume(self) -> DataFrame:
         """Shipped volume per departure; the volume is the line quantity."""
-        return self.raw("lineitem").select(
-            supplier_key(F.col("l_suppkey")).alias("carrier_id"),
-            F.col("l_shipdate").alias("planned_departure_ts"),
-            F.col("l_quantity").alias("volume"),
-        )
+        return self.lines().selectExpr(
+            f"{_SUPPLIER} AS carrier_id", "l_shipdate AS planned_departure_ts", "l_quantity AS volume")
 
     def shipment_text(self) -> DataFrame:
         """Shipment rows as raw text, with every kind of contract error."""
-        line = self.raw("lineitem")
-        text = F.date_format(F.col("l_shipdate"), "yyyy-MM-dd HH:mm:ss")
-        qty = F.col("l_quantity").cast("int")
-        return line.select(
-            F.when((F.col("l_partkey") % 97) == 0, F.repeat(F.lit("SHIP_"), 11))
-            .otherwise(F.concat(F.lit("SHIP_"), F.col("l_orderkey").cast("string"), F.lit("_"),
-                                F.col("l_linenumber").cast("string"))).alias("shipment_id"),
-            _key("ROUTE_", F.col("l_partkey") % 20, 4).alias("route_id"),
-            F.when(F.col("l_suppkey") % 50 != 13, supplier_key(F.col("l_suppkey"))).alias("carrier_id"),
-            F.col("l_returnflag").alias("origin"),
-            F.when(qty != 7, F.col("l_linestatus")).alias("destination"),
-            F.when(qty == 11, F.lit("not a time")).otherwise(text).alias("planned_departure"),
-            F.lit(None).cast("string").alias("actual_departure"),
-            text.alias("planned_arrival"),
-            F.lit(None).cast("string").alias("actual_arrival"),
-            F.when(F.col("l_returnflag") == "A", "delivered").when(F.col("l_linestatus") == "F", "in_transit")
-            .otherwise("lost").alias("status"),
-            F.when(qty == 13, F.lit("heavy")).otherwise((qty - 2).cast("string")).alias("weight"),
-            qty.cast("string").alias("volume"),
+        departure = "date_format(l_shipdate, 'yyyy-MM-dd HH:mm:ss')"
+        return self.lines().selectExpr(
+            "IF(l_partkey % 97 = 0, repeat('SHIP_', 11), concat('SHIP_', l_orderkey, '_', l_linenumber)) AS shipment_id",
+            f"{_ROUTE} AS route_id",
+            f"IF(l_suppkey % 50 <> 13, {_SUPPLIER}, NULL) AS carrier_id",
+            "l_returnflag AS origin",
+            "IF(int(l_quantity) <> 7, l_linestatus, NULL) AS destination",
+            f"IF(int(l_quantity) = 11, 'not a time', {departure}) AS planned_departure",
+            "CAST(NULL AS STRING) AS actual_departure",
+            f"{departure} AS planned_arrival",
+            "CAST(NULL AS STRING) AS actual_arrival",
+            "CASE WHEN l_returnflag = 'A' THEN 'delivered' WHEN l_linestatus = 'F' THEN 'in_transit' ELSE 'lost' END "
+            "AS status",
+            "IF(int(l_quantity) = 13, 'heavy', string(int(l_quantity) - 2)) AS weight",
+            "string(int(l_quantity)) AS volume",
         )
