@@ -18,6 +18,18 @@ SHIPMENT_COLUMNS = [
 ]
 
 
+# Days of inventory a departure reaches: a departure after midnight misses the day seven days before it.
+FIRST_DAY = ("date_add(to_date(planned_departure_ts), IF(planned_departure_ts > date_trunc('day', planned_departure_ts), "
+             f"1, 0) - {WINDOW_DAYS})")
+LAST_DAY = f"date_add(to_date(planned_departure_ts), {WINDOW_DAYS})"
+
+
+def all_mappings(crosswalk: DataFrame, entity_type: str, natural: str, business: str) -> DataFrame:
+    """Every mapping of an entity, active or not, as natural key and business key."""
+    rows = crosswalk.filter(F.col("entity_type") == entity_type)
+    return rows.select(F.col("source_key").alias(natural), F.col("business_key").alias(business))
+
+
 def _entity_mappings(crosswalk: DataFrame, entity_type: str, natural: str, business: str) -> DataFrame:
     """One business key per natural key of an entity, over all source systems."""
     best = xw.best_mappings(crosswalk.filter(F.col("entity_type") == entity_type), ["source_key", "entity_type"])
@@ -92,31 +104,45 @@ def attach_shipments(base: DataFrame, shipments: DataFrame) -> DataFrame:
     return matched.unionByName(unmatched, allowMissingColumns=True)
 
 
-def covered_days(shipments: DataFrame) -> DataFrame:
-    """Per carrier, the closed day ranges in which a snapshot has a shipment within seven days.
+def merged_ranges(ranges: DataFrame, keys: list[str], start: str, end: str, slack: int = 0) -> DataFrame:
+    """Distinct ranges per key with overlapping ones joined; ``slack`` days between ranges still join them.
 
-    Works on the distinct departure days of a carrier, a number the calendar
-    bounds; overlapping and adjoining ranges are joined, so a busy carrier has few.
+    Meant for ranges that begin on days: their distinct number per key is
+    bounded by the calendar, whatever number of rows they come from.
     """
-    departure = F.col("planned_departure_ts")
-    # a departure after midnight does not reach the day seven days before it
-    first = F.date_sub(F.to_date(departure), WINDOW_DAYS)
-    starts = F.when(departure > F.date_trunc("day", departure).cast("timestamp_ntz"), F.date_add(first, 1)).otherwise(first)
-    reach = shipments.select(
-        "carrier_id", starts.alias("a"), F.date_add(F.to_date(departure), WINDOW_DAYS).alias("b")
-    ).filter("a IS NOT NULL").distinct()
-    by_start = Window.partitionBy("carrier_id").orderBy("a", "b")
-    reached = F.max("b").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
-    gap = F.when(reached >= F.date_sub("a", 1), 0).otherwise(1)
+    by_start = Window.partitionBy(*keys).orderBy(start, end)
+    reached = F.max(end).over(by_start.rowsBetween(Window.unboundedPreceding, -1))
     return (
-        reach.withColumn("gap", gap)
-        .withColumn("run", F.sum("gap").over(by_start))
-        .groupBy("carrier_id", "run")
-        .agg(F.min("a").alias("from_day"), F.max("b").alias("to_day"))
-        .drop("run")
+        ranges.select(*keys, start, end).distinct()
+        .withColumn("_gap", F.when(F.col(start) <= F.date_add(reached, slack), 0).otherwise(1))
+        .withColumn("_run", F.sum("_gap").over(by_start))
+        .groupBy(*keys, "_run")
+        .agg(F.min(start).alias(start), F.max(end).alias(end))
+        .drop("_run")
     )
 
 
+def covered_days(shipments: DataFrame) -> DataFrame:
+    """Per carrier, the closed day ranges in which a snapshot has a shipment within seven days."""
+    reach = shipments.filter("planned_departure_ts IS NOT NULL").selectExpr(
+        "carrier_id", f"{FIRST_DAY} AS from_day", f"{LAST_DAY} AS to_day")
+    return merged_ranges(reach, ["carrier_id"], "from_day", "to_day", slack=1)
+
+
+def shipments_in_reach(base: DataFrame, shipments: DataFrame, keys: list[str]) -> DataFrame:
+    """Shipments that the unified table joins to at least one position, once per combination of ``keys``.
+
+    Equal to the distinct (keys, shipment) of the joined rows, without joining
+    row by row: the positions of a supplier collapse into few time ranges.
+    """
+    reach = base.filter("supplier_id IS NOT NULL").selectExpr(
+        *keys, f"date_sub(inventory_date, {WINDOW_DAYS}) AS from_day", f"date_add(inventory_date, {WINDOW_DAYS}) AS to_day")
+    ranges = merged_ranges(reach, keys, "from_day", "to_day")
+    near = F.expr("carrier_id = supplier_id AND planned_departure_ts >= CAST(from_day AS TIMESTAMP_NTZ) "
+                  "AND planned_departure_ts <= CAST(to_day AS TIMESTAMP_NTZ)")
+    return shipments.join(ranges, near).drop("from_day", "to_day")
+
+
 def finish(joined: DataFrame, as_of: str) -> DataFrame:
     """Derived columns and final column order."""
     long_ago = ts("1900-01-01")

@@ -473,7 +473,7 @@ def _(t):
 # --- gold tables -------------------------------------------------------------------------------------------
 
 
-@query("supplier_performance", using="unified", check=f"""
+_SUPPLIER_PERFORMANCE = f"""
 WITH moves AS (SELECT supplier_id, supplier_name, supplier_region, shipment_id, max(is_delivered) AS delivered,
                       max(delivery_delay_days) AS delay
                FROM unified WHERE supplier_id IS NOT NULL AND shipment_id IS NOT NULL GROUP BY 1, 2, 3, 4),
@@ -493,8 +493,19 @@ SELECT p.supplier_id, p.supplier_name, p.supplier_region, coalesce(total_shipmen
                  WHEN delivered_rate >= 0.6 THEN 2.0 ELSE 1.0 END AS DOUBLE) AS performance_score,
        TIMESTAMP '{AS_OF}' AS last_updated
 FROM products p LEFT JOIN metrics m ON m.supplier_id = p.supplier_id
- AND m.supplier_name IS NOT DISTINCT FROM p.supplier_name AND m.supplier_region IS NOT DISTINCT FROM p.supplier_region""")
+ AND m.supplier_name IS NOT DISTINCT FROM p.supplier_name AND m.supplier_region IS NOT DISTINCT FROM p.supplier_region"""
+
+
+@query("supplier_performance", using="unified", check=_SUPPLIER_PERFORMANCE)
+def _(t):
+    moves = shp.recent_active(silver_shipments(t), AS_OF, None)
+    return rounded(gold.supplier_performance_direct(positions(t), moves, AS_OF), "delivered_rate", "on_time_rate",
+                   "avg_delay_days")
+
+
+@query("supplier_performance_unified", using="unified", check=_SUPPLIER_PERFORMANCE)
 def _(t):
+    """The same metrics read off the unified table."""
     return rounded(gold.supplier_performance(unified_whole(t), AS_OF), "delivered_rate", "on_time_rate", "avg_delay_days")
 
 
@@ -576,3 +587,37 @@ FROM unified WHERE carrier_id IS NOT NULL GROUP BY carrier_id, route_id""")
 def _(t):
     return rounded(gold.shipment_performance_literal(unified_whole(t), AS_OF), "on_time_rate", "avg_delay_hours",
                    "avg_transit_days")
+
+
+@query("supplier_performance_crossed", using="clean_inventory dim_supplier fx_crosswalk silver_shipment", check=f"""
+WITH current_inventory AS (
+  SELECT * FROM clean_inventory i WHERE snapshot_date = (
+    SELECT max(snapshot_date) FROM clean_inventory j WHERE j.item_id = i.item_id AND j.location_id = i.location_id)),
+active AS (SELECT * FROM silver_shipment WHERE status IN ('in_transit', 'delivered')
+           AND planned_departure_ts >= CAST(TIMESTAMP '{AS_OF}' AS DATE) - INTERVAL 365 DAY),
+crossed AS (
+  SELECT coalesce(pc.business_key, ci.item_id) AS product_id, coalesce(sc.business_key, cs.business_key) AS supplier_id,
+         cs.name AS supplier_name, cs.region AS supplier_region, s.shipment_id,
+         date_diff('day', s.planned_arrival_ts, s.actual_arrival_ts) AS delay,
+         coalesce(s.status = 'delivered' AND s.actual_arrival_ts IS NOT NULL, false) AS is_delivered
+  FROM current_inventory ci
+  LEFT JOIN fx_crosswalk pc ON pc.entity_type = 'product' AND pc.source_key = ci.item_id
+  LEFT JOIN (SELECT * FROM dim_supplier WHERE is_current) cs ON 1 = 1
+  LEFT JOIN fx_crosswalk sc ON sc.entity_type = 'supplier' AND sc.source_key = cs.business_key
+  LEFT JOIN active s ON s.carrier_id = sc.business_key AND s.planned_departure_ts >= ci.snapshot_date - INTERVAL 7 DAY
+   AND s.planned_departure_ts <= ci.snapshot_date + INTERVAL 7 DAY)
+SELECT supplier_id, supplier_name, supplier_region, count(DISTINCT shipment_id) AS total_shipments,
+       count(*) FILTER (WHERE is_delivered) AS on_time_deliveries,
+       round(count(*) FILTER (WHERE is_delivered) / count(*)::DOUBLE, 6) AS on_time_rate,
+       round(avg(delay), 6) AS avg_delay_days, count(DISTINCT product_id) AS total_products, count(*) AS joined_rows,
+       CAST(0.0 AS DOUBLE) AS avg_inventory_turnover,
+       CAST(CASE WHEN avg(is_delivered::INT) >= 0.9 THEN 5 WHEN avg(is_delivered::INT) >= 0.8 THEN 4
+                 WHEN avg(is_delivered::INT) >= 0.7 THEN 3 WHEN avg(is_delivered::INT) >= 0.6 THEN 2 ELSE 1 END AS DOUBLE)
+         AS performance_score,
+       TIMESTAMP '{AS_OF}' AS last_updated
+FROM crossed GROUP BY supplier_id, supplier_name, supplier_region""")
+def _(t):
+    """Every position against every supplier, over the last year of shipments."""
+    out = gold.supplier_performance_crossed(clean_inventory(t), supplier_dim(t), t.crosswalk(), silver_shipments(t),
+                                            AS_OF, 365)
+    return rounded(out, "on_time_rate", "avg_delay_days")
