@@ -6,7 +6,7 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stocktide.functions import labels
@@ -52,18 +52,28 @@ def latest_loads(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _of_domain(slas: Mapping[str, Sla], field: str) -> Column:
+    """The domain's threshold as an expression; NULL for a domain without service level."""
+    chosen = F.lit(None).cast("int")
+    for domain, sla in slas.items():
+        chosen = F.when(F.col("domain") == domain, F.lit(getattr(sla, field))).otherwise(chosen)
+    return chosen
+
+
 def status(latest: DataFrame, as_of: str, slas: Mapping[str, Sla] = SLAS) -> DataFrame:
-    """Age and ok / warning / breach per domain; a domain without data has status ``missing``.
-
-    The service-level table has one row per configured domain, so broadcasting it is safe.
-    """
-    age = whole_minutes_between(F.col("last_updated"), ts(as_of))
-    known = latest.join(F.broadcast(sla_table(latest.sparkSession, slas)), "domain")
-    return known.withColumn("age_minutes", age).select(
-        "domain", "last_updated", "target_sla_minutes", "warning_threshold_minutes", "breach_threshold_minutes",
-        F.when(F.col("last_updated").isNull(), F.lit("missing"))
-        .otherwise(labels.freshness_label(F.col("age_minutes"), F.col("warning_threshold_minutes"),
-                                          F.col("breach_threshold_minutes"))).alias("status"),
+    """Age and ok / warning / breach per domain with a service level; without data the status is ``missing``."""
+    measured = latest.filter(F.col("domain").isin(list(slas))).select(
+        "domain", "last_updated",
+        _of_domain(slas, "target_minutes").alias("target_sla_minutes"),
+        _of_domain(slas, "warning_minutes").alias("warning_threshold_minutes"),
+        _of_domain(slas, "breach_minutes").alias("breach_threshold_minutes"),
+        whole_minutes_between(F.col("last_updated"), ts(as_of)).alias("age_minutes"),
+    )
+    label = labels.freshness_label(F.col("age_minutes"), F.col("warning_threshold_minutes"),
+                                   F.col("breach_threshold_minutes"))
+    return measured.select(
+        *measured.columns[:5],
+        F.when(F.col("last_updated").isNull(), F.lit("missing")).otherwise(label).alias("status"),
         "age_minutes", ts(as_of).alias("created_ts"), ts(as_of).alias("updated_ts"),
     )
 

@@ -246,3 +246,22 @@ def alert_rows(results: DataFrame, as_of: str, within_minutes: int = 10) -> Data
         "severity", "message", ts(as_of).alias("detected_ts"),
         (ts(as_of) + F.make_dt_interval(mins=F.lit(within_minutes))).alias("due_ts"),
     )
+
+
+def table_status(results: DataFrame, score: DataFrame, table: str, as_of: str) -> DataFrame:
+    """The data-quality status row of a table: verdict of its checks next to its quality score.
+
+    Check rows and the one-row score meet in one aggregate.
+    """
+    checks = results.selectExpr(
+        "NOT passed AND severity = 'critical' AS critical", "NOT passed AS failed", "check_id", "CAST(NULL AS DOUBLE) AS score")
+    scores = score.selectExpr("false AS critical", "false AS failed", "CAST(NULL AS STRING) AS check_id",
+                              "quality_score AS score")
+    at = ts(as_of)
+    return checks.unionByName(scores).agg(
+        (F.count_if("critical") == 0).alias("critical_checks_passed"),
+        F.count_if("failed").cast("int").alias("failed_checks_count"),
+        F.max("score").alias("quality_score"),
+        F.array_join(F.sort_array(F.collect_list(F.when(F.col("failed"), F.col("check_id")))), ",").alias("details"),
+    ).select(F.lit(table).alias("table_name"), at.alias("check_timestamp"), "critical_checks_passed",
+             "failed_checks_count", "quality_score", "details", at.alias("created_ts"))

@@ -386,6 +386,28 @@ def _(t):
     )
 
 
+@query("dq_table_status", using="fx_shipment dim_supplier", check=f"""
+SELECT 'silver.shipment' AS table_name, TIMESTAMP '{AS_OF}' AS check_timestamp,
+       count(*) FILTER (WHERE NOT passed AND severity = 'critical') = 0 AS critical_checks_passed,
+       CAST(count(*) FILTER (WHERE NOT passed) AS INT) AS failed_checks_count,
+       (SELECT quality_score FROM ({_score_sql("fx_shipment", SHIPMENT_COLUMNS, _SHIPMENT_RULES)})) AS quality_score,
+       coalesce(string_agg(check_id, ',' ORDER BY check_id) FILTER (WHERE NOT passed), '') AS details,
+       TIMESTAMP '{AS_OF}' AS created_ts
+FROM ({_GATE_SHIPMENT})""")
+def _(t):
+    results = gate.run_checks(t.spark, "silver", "shipment", gate_tables(t), AS_OF)
+    row = gate.table_status(results, dq.quality_score(t.shipment_feed(), "shipment"), "silver.shipment", AS_OF)
+    return rounded(row, "quality_score")
+
+
+@query("gate_alerts", using="fx_shipment dim_supplier", check=f"""
+SELECT 'data_quality' AS alert_type, 'silver.shipment' AS subject, severity, message, TIMESTAMP '{AS_OF}' AS detected_ts,
+       TIMESTAMP '{AS_OF}' + INTERVAL 10 MINUTE AS due_ts FROM ({_GATE_SHIPMENT})
+WHERE NOT passed AND severity = 'critical'""")
+def _(t):
+    return gate.alert_rows(gate.run_checks(t.spark, "silver", "shipment", gate_tables(t), AS_OF), AS_OF)
+
+
 @query("referential_orphans", using="fx_shipment", check="""
 SELECT carrier_id AS value, count(*) AS rows FROM fx_shipment
 WHERE carrier_id NOT IN (SELECT 'SUP_' || lpad(CAST(s_suppkey AS VARCHAR), 6, '0') FROM supplier WHERE s_acctbal >= 0)

@@ -6,6 +6,7 @@ Every table is written, checked in its written form and only then put in force
 
 from __future__ import annotations
 
+import time
 from collections.abc import Mapping
 from dataclasses import dataclass
 
@@ -97,12 +98,23 @@ class Job:
             raise Refused(f"{SILVER[domain]}: {bad}")
 
     def _put(self, df: DataFrame, table: str, audit=None) -> int:
-        number = self.store.stage(df.withColumn("created_at", ts(self.as_of)), table)
+        started, seen = time.monotonic(), Observation()
+        number = self.store.stage(
+            df.withColumn("created_at", ts(self.as_of)).observe(seen, F.count(F.lit(1)).alias("rows")), table)
         if audit:
             audit(self.store.read(table, number))
         self.store.publish(table, number)
+        self._measure(table, seen.get["rows"], time.monotonic() - started)
         return number
 
+    def _measure(self, table: str, rows: int, seconds: float) -> None:
+        """Append latency and throughput of a written table; the row count was observed during the write."""
+        stage, _, name = table.partition(".")
+        row = self.spark.createDataFrame(
+            [(f"{stage}-{self.as_of}", stage, name, rows, seconds, rows / seconds)],
+            "run_id string, stage string, domain string, rows_out bigint, seconds double, rows_per_second double")
+        self.store.append(row, "ops.pipeline_metrics")
+
     def conform(self, domain: str) -> int:
         """Bring one silver table up to date; returns its new version number."""
         return self._put(self._silver_frame(domain), SILVER[domain], lambda written: self._audit(domain, written))
@@ -142,6 +154,8 @@ class Job:
             results = gate.run_checks(self.spark, "silver", name, tables, self.as_of).persist()
             verdict = gate.evaluate(results, "silver", name, self.as_of)
             self.store.append(gate.dq_status_rows(results, self.as_of), "ops.dq_status")
+            score = quality.quality_score(tables[name], name)
+            self.store.append(gate.table_status(results, score, f"silver.{name}", self.as_of), "ops.data_quality_status")
             self.store.append(verdict, "ops.publish_gate_log")
             self.store.append(gate.alert_rows(results, self.as_of), "ops.alerts")
             blocked += [r.message for r in verdict.filter("NOT can_publish").select("message").collect()]

@@ -124,7 +124,7 @@ TABLES: dict[str, T.StructType] = {
     ),
     "ops.lineage": _schema("run_id target source_table rows_written:l recorded_ts:ts"),
     "ops.alerts": _schema("alert_type subject severity message detected_ts:ts due_ts:ts"),
-    "ops.pipeline_metrics": _schema("run_id stage domain rows_in:l rows_out:l seconds:d rows_per_second:d"),
+    "ops.pipeline_metrics": _schema("run_id stage domain rows_out:l seconds:d rows_per_second:d"),
 }
 
 # Partition columns used by the writers.

@@ -136,6 +136,9 @@ def test_whole_run(spark, tmp_path):
     assert store.read_appended("ops.publish_gate_log").filter("can_publish").count() == 3
     assert store.read_appended("ops.schema_validation_log").count() == 3
     assert store.read_appended("ops.lineage").count() == 6
+    assert store.read_appended("ops.data_quality_status").filter("critical_checks_passed").count() == 3
+    measured = {r.domain: r.rows_out for r in store.read_appended("ops.pipeline_metrics").collect()}
+    assert measured["shipment"] == 40 and measured["unified_supply_chain"] == unified.count()
     assert store.read_appended("ops.freshness_status").count() == 3
 
     # a second run over the same bronze data changes no silver row
