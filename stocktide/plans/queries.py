@@ -49,6 +49,14 @@ def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
 # --- shipments -------------------------------------------------------------------------------------------
 
 
+@query("shipment_conform", using="fx_shipment", check="SELECT * FROM fx_shipment")
+def _(t):
+    """The feed in its bronze layout, brought to the silver layout."""
+    raw = t.shipment_feed().withColumnsRenamed({
+        **{f"{c}_ts": c for c in shp.TIME_COLUMNS}, "source_system": "_source_system", "load_ts": "_ingestion_ts"})
+    return shp.conform(raw)
+
+
 @query("shipment_clean", using="clean_shipment", check="SELECT * FROM clean_shipment")
 def _(t):
     return shp.clean(t.shipment_feed(), AS_OF)
@@ -133,6 +141,13 @@ def _(t):
 # --- inventory -------------------------------------------------------------------------------------------
 
 
+@query("inventory_conform", using="fx_inventory", check="""
+SELECT * REPLACE (coalesce(safety_stock, 0.0) AS safety_stock, coalesce(in_transit_qty, 0.0) AS in_transit_qty)
+FROM fx_inventory""")
+def _(t):
+    return inv.conform(t.inventory_feed().withColumnsRenamed({"source_system": "_source_system", "load_ts": "_ingestion_ts"}))
+
+
 @query("inventory_clean", using="clean_inventory", check="SELECT * FROM clean_inventory")
 def _(t):
     return inv.clean(t.inventory_feed(), AS_OF)
@@ -384,6 +399,15 @@ def _(t):
     return scd2.history(supplier_dim(t), "SUP_000007")
 
 
+@query("scd2_lookup", using="dim_supplier fx_source_record", check="""
+SELECT * FROM dim_supplier WHERE is_current AND (natural_key, source_system) IN (
+  SELECT (source_key, source_system) FROM fx_source_record WHERE effective_start_ts IS NOT NULL)""")
+def _(t):
+    """Current rows of the source keys that carry an effective date."""
+    keys = t.source_records().filter("effective_start_ts IS NOT NULL").selectExpr("source_key AS natural_key", "source_system")
+    return scd2.lookup_natural_keys(supplier_dim(t), keys)
+
+
 @query("scd2_at_event_time", using="dim_supplier silver_shipment", check="""
 SELECT s.shipment_id, s.carrier_id, s.planned_departure_ts, d.effective_start_ts AS version_start_ts,
        d.status AS supplier_status, d.region AS supplier_region

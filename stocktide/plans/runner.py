@@ -72,21 +72,34 @@ class Job:
     def crosswalk(self) -> DataFrame:
         return self.store.read("silver.crosswalk")
 
-    def supplier_changes(self) -> DataFrame:
+    def _arrived(self, domain: str, held: DataFrame) -> DataFrame:
+        """Bronze rows not yet reflected in silver: ingested since the last load the silver table holds.
+
+        Ingestion times only grow, and merging a row twice changes nothing, so the
+        boundary instant is read again. The bound is a plain filter on the scan.
+        """
+        bronze = self._bronze(domain)
+        since = held.agg(F.max("load_ts")).first()[0]
+        return bronze if since is None else bronze.filter(F.col("_ingestion_ts") >= ts(since))
+
+    def supplier_changes(self, bronze: DataFrame) -> DataFrame:
         """The supplier feed with business keys from the crosswalk, natural keys where unmapped."""
-        feed = scd2.conform(self._bronze("supplier"))
+        feed = scd2.conform(bronze)
         keyed = feed.withColumns({"source_key": F.col("natural_key"), "entity_type": F.lit("supplier")})
         resolved = xw.resolve_keys(keyed, self.crosswalk())
-        return resolved.withColumn("business_key", F.coalesce("business_key", "natural_key")).select(*feed.columns)
+        return resolved.withColumns({
+            "business_key": F.coalesce("business_key", "natural_key"), "effective_start_ts": F.col("load_ts"),
+        }).select(*feed.columns, "effective_start_ts")
 
     def _silver_frame(self, domain: str) -> DataFrame:
         held = self.store.read(SILVER[domain]).drop("created_at")
+        arrived = self._arrived(domain, held)
         if domain == "supplier":
-            return scd2.correct(held, self.supplier_changes().withColumn("effective_start_ts", F.col("load_ts")))
+            return scd2.correct(held, self.supplier_changes(arrived))
         if domain == "shipment":
-            return shp.upsert(held, shp.conform(self._bronze("shipment")), self.as_of)
+            return shp.upsert(held, shp.conform(arrived), self.as_of)
         if domain == "inventory":
-            return inv.upsert(held, inv.conform(self._bronze("inventory")), self.as_of)
+            return inv.upsert(held, inv.conform(arrived), self.as_of)
         raise ValueError(f"Unknown domain: {domain}")
 
     def _audit(self, domain: str, written: DataFrame) -> None:
@@ -129,8 +142,7 @@ class Job:
         if domain == "supplier":
             keys = late.touched_keys(bronze.withColumnRenamed("supplier_id", "natural_key"), ["natural_key"],
                                      self.as_of, cutoff_hours)
-            changes = self.supplier_changes().join(keys, "natural_key", "left_semi")
-            merged = scd2.correct(held, changes.withColumn("effective_start_ts", F.col("load_ts")))
+            merged = scd2.correct(held, self.supplier_changes(bronze).join(keys, "natural_key", "left_semi"))
         elif domain == "shipment":
             feed = shp.clean(shp.conform(bronze), self.as_of)
             merged = late.merge_late(held, feed, ["shipment_id"], newest, self.as_of, cutoff_hours)
