@@ -15,6 +15,10 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # decided by adaptive execution from the sizes it has measured: broadcast a side up to 64 MB,
+    # hash instead of sort-merge where every partition of the build side stays under 64 MB
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "static",
     # no call-site capture per expression: it doubles the driver's cost of building wide plans

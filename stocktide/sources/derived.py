@@ -56,12 +56,10 @@ class Tables:
         per_quarter = self.lines().groupBy(
             "l_suppkey", F.expr("CAST(date_trunc('quarter', l_shipdate) AS DATE) AS load_ts")
         ).agg(F.count("*").alias("n"))
-        suppliers = (
-            self.raw("supplier").join(self.raw("nation"), F.expr("s_nationkey = n_nationkey"))
-            .join(self.raw("region"), F.expr("n_regionkey = r_regionkey"))
-        )
         return (
-            per_quarter.join(suppliers, F.expr("l_suppkey = s_suppkey"))
+            per_quarter.join(self.raw("supplier"), F.expr("l_suppkey = s_suppkey"))
+            .join(self.raw("nation"), F.expr("s_nationkey = n_nationkey"))
+            .join(self.raw("region"), F.expr("n_regionkey = r_regionkey"))
             .selectExpr(
                 f"{_SUPPLIER} AS natural_key",
                 f"{_SUPPLIER} AS business_key",
@@ -78,11 +76,14 @@ class Tables:
     def shipment_feed(self) -> DataFrame:
         """Shipment events as delivered: repeated ids, unknown statuses, impossible time orders."""
         planned_arrival = "l_shipdate + make_dt_interval(l_linenumber - 1)"
-        # small tables first: the lines are shuffled once, by order, and never by customer or nation
-        customers = self.raw("customer").join(self.raw("nation"), F.expr("c_nationkey = n_nationkey"))
-        orders = self.raw("orders").join(customers, F.expr("o_custkey = c_custkey"))
+        # customers meet the orders first: the lines are shuffled once, by order, and not by customer;
+        # both sides grow with the data, so the join is a sort-merge join at every scale
+        orders = (
+            self.raw("orders").join(self.raw("customer"), F.expr("o_custkey = c_custkey"))
+            .join(self.raw("nation"), F.expr("c_nationkey = n_nationkey"))
+        )
         return (
-            self.lines().join(orders, F.expr("l_orderkey = o_orderkey"))
+            self.lines().join(orders.hint("merge"), F.expr("l_orderkey = o_orderkey"))
             .selectExpr(
                 "concat('SHIP_', l_orderkey, '_', l_linenumber) AS shipment_id",
                 f"{_ROUTE} AS route_id",
