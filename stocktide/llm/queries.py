@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stocktide.llm.store import workers_see_package
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
 
@@ -21,6 +23,7 @@ def query(name: str, check: str | None = None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    workers_see_package(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -42,3 +45,27 @@ def packing(spark, sf_dir):
     from stocktide.llm.packing import pack
 
     return pack(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+
+
+@query("op1_language_id")
+def language_id(spark, sf_dir):
+    from stocktide.llm import langid
+
+    docs = table(spark, sf_dir, "documents")
+    return langid.predict(docs, langid.train(docs))
+
+
+@query("op7_toxicity")
+def toxic_text(spark, sf_dir):
+    from stocktide.llm import toxicity
+
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.predict(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+@query("op8_quality")
+def quality_votes(spark, sf_dir):
+    from stocktide.llm import quality
+
+    docs = table(spark, sf_dir, "documents")
+    return quality.predict(docs, quality.train(docs, table(spark, sf_dir, "labels")))

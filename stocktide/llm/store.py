@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import gc
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,3 +35,12 @@ def release(spark: SparkSession) -> None:
     """Lets Spark drop the shuffle files of plans that nothing refers to any more."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+
+
+def workers_see_package(spark: SparkSession) -> None:
+    """Puts this package's folder on the path of the Python workers; on a cluster it must be installed or shipped there."""
+    root = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
