@@ -69,3 +69,51 @@ def quality_votes(spark, sf_dir):
 
     docs = table(spark, sf_dir, "documents")
     return quality.predict(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
+@query("op2_bit_sliced_top_k", """
+WITH v AS (
+    SELECT vec_id, [floor(1024 * CAST(x AS DOUBLE)) FOR x IN embedding] AS q
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0
+      AND len([x FOR x IN embedding IF x IS NOT NULL AND isfinite(CAST(x AS DOUBLE))]) = len(embedding)
+), scored AS (
+    SELECT a.vec_id AS query_id, b.vec_id AS vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+    FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q)
+), ranked AS (
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+    FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10""")
+def bit_sliced_top_k(spark, sf_dir):
+    from stocktide.llm.topk import top_k
+
+    vectors = table(spark, sf_dir, "embeddings")
+    return top_k(vectors, vectors.where("vec_id % 100 = 0"))
+
+
+@query("op6_nn_descent", """
+WITH RECURSIVE v AS (
+    SELECT vec_id, [CAST(x AS DOUBLE) FOR x IN embedding] AS q FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0
+      AND len([x FOR x IN embedding IF x IS NOT NULL AND isfinite(CAST(x AS DOUBLE))]) = len(embedding)
+      AND len([x FOR x IN embedding IF x <> 0]) > 0
+), links AS (
+    SELECT a.vec_id AS u, b.vec_id AS w FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q)
+    WHERE list_cosine_similarity(a.q, b.q) >= 0.9
+), reach(u, w) AS (
+    SELECT u, w FROM links
+    UNION
+    SELECT reach.u, links.w FROM reach JOIN links ON reach.w = links.u
+), least AS (
+    SELECT u, min(w) AS w FROM reach GROUP BY u
+), counted AS (
+    SELECT u, count(*) AS n FROM links GROUP BY u
+)
+SELECT e.vec_id, coalesce(n, 0) AS n_links, least(e.vec_id, coalesce(w, e.vec_id)) AS component_id,
+       e.vec_id <= coalesce(w, e.vec_id) AS kept
+FROM embeddings e LEFT JOIN counted ON e.vec_id = counted.u LEFT JOIN least ON e.vec_id = least.u""")
+def nn_descent(spark, sf_dir):
+    from stocktide.llm.neighbours import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
