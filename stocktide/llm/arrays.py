@@ -95,7 +95,7 @@ def shingles(words: np.ndarray, bounds: np.ndarray, n: int) -> tuple[np.ndarray,
     """Hashes of the n-word shingles of each text and where those of each text begin; a text of fewer words is one shingle."""
     counts = np.diff(bounds)
     total = len(words)
-    steps = np.multiply.accumulate(np.full(n, STEPS[0]))
+    steps = np.multiply.accumulate(np.full(n, STEPS[0]))  # wraps around
     if total >= n:
         h = words[: total - n + 1] * steps[0]
         for k in range(1, n):
@@ -115,7 +115,7 @@ def shingles(words: np.ndarray, bounds: np.ndarray, n: int) -> tuple[np.ndarray,
     out[whole] = h[at[whole]]
     for i in short:
         k = counts[i]
-        out[ends[i]] = (words[bounds[i] : bounds[i + 1]] * steps[:k]).sum(dtype=U) + U(int(k)) * STEPS[1]
+        out[ends[i]] = (words[bounds[i] : bounds[i + 1]] * steps[:k]).sum(dtype=U) ^ U(int(k) * int(STEPS[1]) % 2**64)
     return mixed(out), ends
 
 
@@ -128,8 +128,7 @@ def _classes() -> np.ndarray:
     everything = "".join(map(chr, (*range(0xD800), *range(0xE000, 0x110000))))
     for k, pattern in ((1, r"\p{L}+"), (2, r"\p{N}+"), (3, r"\p{White_Space}+")):
         for m in regex.finditer(pattern, everything):
-            for run in (m[0],):
-                out[np.frombuffer(run.encode("utf-32-le"), np.uint32)] = k
+            out[np.frombuffer(m[0].encode("utf-32-le"), np.uint32)] = k
     return out
 
 

@@ -117,3 +117,35 @@ def nn_descent(spark, sf_dir):
     from stocktide.llm.neighbours import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query("op3_ngram_jaccard", """
+WITH RECURSIVE d AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\\x20\\x09-\\x0D]+') AS w
+    FROM documents
+), s AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN []
+                        WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+                        ELSE list_distinct([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3] FOR i IN range(1, len(w) - 2)]) END AS g
+    FROM d
+), grams AS (
+    SELECT doc_id, len(g) AS n, unnest(g) AS gram FROM s
+), links AS (
+    SELECT a.doc_id AS u, b.doc_id AS v
+    FROM grams a JOIN grams b ON a.gram = b.gram AND a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n
+    HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), reach(u, v) AS (
+    SELECT u, v FROM links
+    UNION
+    SELECT reach.u, links.v FROM reach JOIN links ON reach.v = links.u
+), least AS (
+    SELECT u, min(v) AS v FROM reach GROUP BY u
+)
+SELECT s.doc_id, CAST(len(g) AS BIGINT) AS n_shingles, least(s.doc_id, coalesce(v, s.doc_id)) AS component_id
+FROM s LEFT JOIN least ON s.doc_id = least.u""")
+def ngram_jaccard(spark, sf_dir):
+    from stocktide.llm.jaccard import similarity_groups
+
+    return similarity_groups(table(spark, sf_dir, "documents"))
