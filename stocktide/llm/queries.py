@@ -149,3 +149,11 @@ def ngram_jaccard(spark, sf_dir):
     from stocktide.llm.jaccard import similarity_groups
 
     return similarity_groups(table(spark, sf_dir, "documents"))
+
+
+@query("op10_main_text")
+def page_text(spark, sf_dir):
+    from stocktide.llm import html
+
+    pages = table(spark, sf_dir, "pages")
+    return html.extract(pages, html.train(pages))
