@@ -6,7 +6,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stocktide.llm.arrays import U, mixed, shingles, text_chunks, words
@@ -21,8 +21,9 @@ class Classes:
     """Size classes of sets, and the fragments each class cuts the n-gram order into.
 
     Sets of sizes a <= b whose Jaccard index is t differ in at most (a + b)(1 - t)/(1 + t) n-grams. Cut into more fragments
-    than that, some fragments hold the same n-grams of both; their number beyond the first is the ``slack``. Sets in
-    neighbouring classes may link, so a set close to the next class is signed there, too.
+    than that, ``slack`` + 1 fragments at least hold the same n-grams of both. The larger the slack, the more agreement can
+    be asked of a candidate pair. Sets in neighbouring classes may link, so a set close to the next class is signed there,
+    too; a pair counts in the class of its larger set.
     """
 
     def __init__(self, percent: int, ratio: float = 1.5):
@@ -33,7 +34,7 @@ class Classes:
         self.starts = np.array(self.starts)
         top = self.starts[1:] - 1
         self.differ = 2 * top * (100 - percent) // (100 + percent)
-        self.slack = np.maximum(2, self.differ // 20)
+        self.slack = np.maximum(2, self.differ // 4)
         self.fragments = self.differ + 1 + self.slack
 
     def signed(self, sizes: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -70,15 +71,15 @@ def digests(h: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return a.view(np.int64), b.view(np.int64)
 
 
-def signatures(h: np.ndarray, bounds: np.ndarray, rows: np.ndarray, kind: np.ndarray, classes: Classes) -> tuple[np.ndarray, np.ndarray]:
-    """(row, signature) of each fragment's n-grams in the sets ``rows``.
+def signatures(h: np.ndarray, bounds: np.ndarray, rows: np.ndarray, kind: np.ndarray, classes: Classes) -> tuple[np.ndarray, ...]:
+    """(row, signature, class and empty fragments of the set) of each fragment's n-grams in the sets ``rows``.
 
     Fragments without an n-gram are signed only in sets that have so many of them that a link could rest on those alone.
     """
     sizes = np.diff(bounds)[rows]
     at = np.arange(sizes.sum()) + np.repeat(bounds[rows] - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes) if len(rows) else np.zeros(0, np.int64)
     if not len(at):
-        return np.zeros(0, np.int64), np.zeros(0, U)
+        return np.zeros(0, np.int64), np.zeros(0, U), np.zeros(0, np.int64)
     grams, row, many = h[at], np.repeat(np.arange(len(rows)), sizes), np.repeat(classes.fragments[kind], sizes).astype(U)
     fragment = ((grams >> U(32)) * many) >> U(32)
     fresh = np.ones(len(at), bool)
@@ -96,7 +97,7 @@ def signatures(h: np.ndarray, bounds: np.ndarray, rows: np.ndarray, kind: np.nda
         signs.append(mixed(mixed((U(int(kind[i])) << U(48)) | missing)))
         owners.append(np.full(len(missing), i))
     owner, sign = np.concatenate(owners), np.concatenate(signs)
-    return rows[owner], sign
+    return rows[owner], sign, kind[owner].astype(np.int64) << 33 | empty[owner] << 1
 
 
 @lru_cache(maxsize=4)
@@ -131,13 +132,20 @@ def _signed(docs: DataFrame, n: int, percent: int) -> DataFrame:
                 first[1:] = (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])
                 signs = np.zeros(j - i, bool)
                 signs[order[first]] = True
-                for rows, kind in classes.signed(np.diff(bounds)):
+                for up, (rows, kind) in enumerate(classes.signed(np.diff(bounds))):
                     keep = signs[rows]
-                    row, sign = signatures(h, bounds, rows[keep], kind[keep], classes)
+                    row, sign, shape = signatures(h, bounds, rows[keep], kind[keep], classes)
                     if len(row):
-                        yield pa.RecordBatch.from_arrays([pa.array(sign.view(np.int64)), pa.array(own[row])], ["sign", "doc_id"])
+                        yield pa.RecordBatch.from_arrays([pa.array(sign.view(np.int64)), pa.array(own[row]), pa.array(shape | up)],
+                                                         ["sign", "doc_id", "shape"])
 
-    return docs.where("doc_id is not null").mapInArrow(run, "sign bigint, doc_id bigint")
+    return docs.where("doc_id is not null").mapInArrow(run, "sign bigint, doc_id bigint, shape bigint")
+
+
+def _needed(shape: str, empty: str, percent: int) -> Column:
+    """How many signatures of a class a linked pair shares at least, given the fragments that may be empty in both."""
+    slack = F.array(*(F.lit(int(x)) for x in _classes(percent).slack))
+    return F.greatest(F.lit(1), F.element_at(slack, F.expr(f"cast(shiftright({shape}, 33) + 1 as int)")) + 1 - F.expr(empty))
 
 
 def _bit(column: str):
@@ -181,10 +189,10 @@ def _segments(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
 def _linked(docs: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
     """Those pairs (x, y) whose sets are similar enough: overlaps counted fragment by fragment, then summed per pair."""
     wanted = kept(pairs.select(F.col("x").alias("doc_id")).union(pairs.select("y")).distinct(), "wanted")
-    segments = kept(_segments(docs, wanted, n).distinct(), "segments")
+    segments = kept(_segments(docs, wanted, n), "segments")
     left = pairs.join(segments.select(F.col("doc_id").alias("x"), F.col("a").alias("ax"), F.col("n").alias("nx"), "part", F.col("grams").alias("gx")), "x")
     right = segments.select(F.col("doc_id").alias("y"), F.col("a").alias("ay"), F.col("n").alias("ny"), "part", F.col("grams").alias("gy"))
-    met = left.join(right, ["y", "part"]).select("x", "y", "ax", "ay", "nx", "ny", "gx", "gy")
+    met = left.join(right, ["y", "part"]).select("x", "y", "ax", "ay", "nx", "ny", "part", "gx", "gy")
 
     def overlap(batches):
         for batch in batches:
@@ -193,10 +201,11 @@ def _linked(docs: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFram
                 both = np.concatenate([np.frombuffer(x.as_buffer(), U), np.frombuffer(y.as_buffer(), U)])
                 both.sort()
                 counts.append(int(np.count_nonzero(both[1:] == both[:-1])))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("x", "y", "ax", "ay", "nx", "ny")), pa.array(counts, pa.int64())],
-                                             ["x", "y", "ax", "ay", "nx", "ny", "shared"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("x", "y", "ax", "ay", "nx", "ny", "part")), pa.array(counts, pa.int64())],
+                                             ["x", "y", "ax", "ay", "nx", "ny", "part", "shared"])
 
-    partial = met.mapInArrow(overlap, "x bigint, y bigint, ax bigint, ay bigint, nx bigint, ny bigint, shared bigint")
+    partial = met.mapInArrow(overlap, "x bigint, y bigint, ax bigint, ay bigint, nx bigint, ny bigint, part int, shared bigint")
+    partial = partial.groupBy("x", "y", "ax", "ay", "nx", "ny", "part").agg(F.max("shared").alias("shared"))  # a repeated row counts once
     sums = partial.groupBy("x", "y", "ax", "ay").agg(F.sum("shared").alias("shared"), F.max("nx").alias("nx"), F.max("ny").alias("ny"))
     return sums.where(f"100 * shared >= {percent} * (nx + ny - shared)").select("x", "y").distinct()
 
@@ -208,8 +217,8 @@ def similarity_groups(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFra
     shingle), as 64-bit hashes. Equal sets are joined by a 128-bit digest and count once. The hash order is cut into
     fragments by size class (see ``Classes``), so that linked sets agree in some fragment: those are the candidates.
     Candidate pairs are counted fragment by fragment and summed. First every document of a bucket meets the bucket's
-    smallest id only; where a bucket still spans several components, its pairs across components follow. Pairs within a
-    component can't change the result and are never made.
+    smallest id only; where a bucket still spans several components, its pairs across components follow, if they share as
+    many fragments as a linked pair must. Pairs within a component can't change the result and are never made.
 
     One row per row of ``docs``: doc_id, n_shingles, component_id (smallest doc_id reachable). Without words (null or empty
     text): 0 shingles, linked with nothing. A null id has no links and no component. Rows of one id are one document: it
@@ -222,13 +231,16 @@ def similarity_groups(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFra
     equal = kept(named.join(firsts, ["a", "b"]).select("doc_id", "first", "n").distinct(), "equal")
     over = Window.partitionBy("sign")
     buckets = _signed(docs, n, percent).withColumn("first", F.min("doc_id").over(over)).withColumn("last", F.max("doc_id").over(over))
-    buckets = kept(buckets.where("first < last").select("sign", "doc_id", F.col("first").alias("centre")), "buckets")
+    buckets = kept(buckets.where("first < last").select("sign", "doc_id", "shape", F.col("first").alias("centre")), "buckets")
     release(docs.sparkSession)
 
     def canonical(frame: DataFrame, column: str) -> DataFrame:
         return frame.join(equal.select(F.col("doc_id").alias(column), F.col("first").alias(f"_{column}")), column).drop(column).withColumnRenamed(f"_{column}", column)
 
-    stars = buckets.where("doc_id <> centre").select(F.col("doc_id").alias("x"), F.col("centre").alias("y")).distinct()
+    # half of what a linked pair shares is asked here, as a bucket shows a document to its centre only; no pair is lost by it
+    stars = buckets.where("doc_id <> centre").groupBy(F.col("doc_id").alias("x"), F.col("centre").alias("y")).agg(
+        F.count("*").alias("shared"), F.max(_needed("shape", "(shape >> 1) & 4294967295", percent)).alias("needed"))
+    stars = stars.where("2 * shared >= needed").select("x", "y")
     stars = canonical(canonical(stars, "x"), "y").where("x <> y").distinct().select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).distinct()
     stars = kept(stars, "stars")
     same = equal.where("doc_id <> first").select(F.col("doc_id").alias("x"), F.col("first").alias("y"))
@@ -238,14 +250,16 @@ def similarity_groups(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFra
 
     labelled = equal.select("doc_id", "first", "n").join(groups.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn(
         "component", F.coalesce("component", "doc_id"))
-    rows = buckets.select("sign", "doc_id").join(labelled, "doc_id").select("sign", "first", "n", "component").distinct()
+    rows = buckets.select("sign", "doc_id", "shape").join(labelled, "doc_id").select("sign", "first", "n", "component", "shape").distinct()
     rows = kept(rows, "open")
     open_ = rows.groupBy("sign").agg(F.min("component").alias("c"), F.max("component").alias("d")).where("c < d").select("sign")
-    rows = rows.join(open_, "sign")
-    left, right = (rows.select("sign", *(F.col(c).alias(c + s) for c in ("first", "n", "component"))) for s in "xy")
+    rows = kept(rows.join(open_, "sign"), "open")
+    left, right = (rows.select("sign", *(F.col(c).alias(c + s) for c in ("first", "n", "component", "shape"))) for s in "xy")
     pairs = left.join(right, "sign").where("componentx < componenty").where(
-        f"100 * least(nx, ny) >= {percent} * greatest(nx, ny)").select(
-        F.greatest("firstx", "firsty").alias("x"), F.least("firstx", "firsty").alias("y")).distinct()
+        f"100 * least(nx, ny) >= {percent} * greatest(nx, ny) and (shapex & shapey & 1) = 0").select(
+        F.greatest("firstx", "firsty").alias("x"), F.least("firstx", "firsty").alias("y"),
+        _needed("shapex", "least((shapex >> 1) & 4294967295, (shapey >> 1) & 4294967295)", percent).alias("needed"))
+    pairs = pairs.groupBy("x", "y").agg(F.count("*").alias("shared"), F.min("needed").alias("needed")).where("shared >= needed").select("x", "y")
     pairs = kept(pairs.join(stars, ["x", "y"], "left_anti"), "pairs")
     if not pairs.isEmpty():
         more = kept(_linked(docs, pairs, n, percent), "links")
@@ -254,3 +268,16 @@ def similarity_groups(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFra
     release(docs.sparkSession)
     return digest.select("doc_id", F.col("n").alias("n_shingles")).join(groups.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+
+
+def one_of_each_group(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one document of each group of ``similarity_groups``, that of the smallest id; columns stay as they are.
+
+    Rows of one id are one document, of which one row stays. Documents without an id or without words all stay.
+    """
+    groups = kept(similarity_groups(docs, n, percent).where("doc_id is not null"), "groups")
+    others = groups.where("doc_id <> component_id").select("doc_id").distinct()
+    repeated = groups.groupBy("doc_id").count().where("count > 1").select("doc_id")
+    once = docs.join(others.union(repeated).distinct(), "doc_id", "left_anti")
+    several = docs.join(repeated, "doc_id", "left_semi").join(others, "doc_id", "left_anti").dropDuplicates(["doc_id"])
+    return once.unionByName(several).select(*docs.columns)

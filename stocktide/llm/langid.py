@@ -162,3 +162,18 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
         F.col("doc_id").cast("bigint").alias("doc_id"), "text",
         F.coalesce(fold("doc_id", 4) == 2, F.lit(False)).alias("held_out"),
         F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letters")).mapInArrow(label, SCHEMA)
+
+
+def accepted(docs: DataFrame, model: Model | None) -> DataFrame:
+    """``docs`` less those that ``predict`` would reject; columns and other rows stay as they are."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def keep(batches):
+        model = shared.value
+        for batch in batches:
+            scores = np.zeros(batch.num_rows)
+            for i, j, data, offsets in text_chunks(batch.column("text")) if model else ():
+                scores[i:j] = model.probabilities(data, offsets).max(axis=1)
+            yield batch.filter(pa.array(scores >= (model.threshold if model else 1.0)))
+
+    return docs.where(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))).mapInArrow(keep, docs.schema)

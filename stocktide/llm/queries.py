@@ -157,3 +157,10 @@ def page_text(spark, sf_dir):
 
     pages = table(spark, sf_dir, "pages")
     return html.extract(pages, html.train(pages))
+
+
+@query("op5_suffix_dedup")
+def suffix_dedup(spark, sf_dir):
+    from stocktide.llm.substrings import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents"))

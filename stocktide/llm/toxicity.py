@@ -179,3 +179,18 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
 
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text",
                        F.coalesce(fold("doc_id", 5) == 0, F.lit(False)).alias("held_out")).mapInArrow(score, SCHEMA)
+
+
+def without_toxic(docs: DataFrame, model: Model | None) -> DataFrame:
+    """``docs`` less those of score 0.5 or more; columns and other rows stay as they are. Without a model all stay."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def keep(batches):
+        model = shared.value
+        for batch in batches:
+            scores = np.zeros(batch.num_rows)
+            for i, j, data, offsets in text_chunks(batch.column("text")) if model else ():
+                scores[i:j] = model.scores(data, offsets)
+            yield batch.filter(pa.array(scores < 0.5))
+
+    return docs.mapInArrow(keep, docs.schema)

@@ -96,7 +96,7 @@ def test_linked_sets_share_a_signature():
             h, bounds = np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)])
             signs = {0: set(), 1: set()}
             for rows, kind in classes.signed(np.diff(bounds)):
-                row, sign = jaccard.signatures(h, bounds, rows, kind, classes)
+                row, sign, _ = jaccard.signatures(h, bounds, rows, kind, classes)
                 for r, s in zip(row.tolist(), sign.tolist()):
                     signs[r].add(s)
             assert signs[0] & signs[1]
