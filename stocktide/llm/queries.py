@@ -159,7 +159,31 @@ def page_text(spark, sf_dir):
     return html.extract(pages, html.train(pages))
 
 
-@query("op5_suffix_dedup")
+@query("op5_suffix_dedup", """
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(hex(encode(coalesce(text, ''))), '..') AS x FROM documents
+), bytes AS (
+    SELECT doc_id, unnest(range(0, len(x))) AS i, unnest(x) AS h FROM d
+), windows AS (
+    SELECT doc_id, i AS s, string_agg(h, '') OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 49 FOLLOWING) AS g
+    FROM bytes QUALIFY length(g) = 100
+), least AS (
+    SELECT g, min(doc_id) AS first FROM windows GROUP BY g
+), repeated AS (
+    SELECT doc_id, s FROM windows JOIN least USING (g) WHERE doc_id > first
+), marked AS (
+    SELECT b.doc_id, i, h, max(s) OVER (PARTITION BY b.doc_id ORDER BY i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) IS NOT NULL AS gone
+    FROM bytes b LEFT JOIN repeated r ON b.doc_id = r.doc_id AND b.i = r.s
+), begun AS (
+    SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), false) AS begins FROM marked
+), summed AS (
+    SELECT doc_id, count(*) FILTER (gone) AS n_removed, count(*) FILTER (begins) AS n_spans,
+           string_agg(h, '' ORDER BY i) FILTER (NOT gone) AS kept
+    FROM begun GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(x) AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM d LEFT JOIN summed ON d.doc_id = summed.doc_id""")
 def suffix_dedup(spark, sf_dir):
     from stocktide.llm.substrings import remove_repeats
 
