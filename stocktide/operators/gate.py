@@ -204,7 +204,7 @@ def history(log: DataFrame, limit: int = 100, **equals: str) -> DataFrame:
     time = "evaluation_time" if "evaluation_time" in log.columns else "validation_time"
     for column, value in equals.items():
         log = log.filter(F.col(column) == value)
-    return log.orderBy(F.col(time).desc()).limit(limit)
+    return log.orderBy(F.col(time).desc(), *sorted(c for c in log.columns if c != time)).limit(limit)
 
 
 def definitions(spark: SparkSession, checks: Sequence[Check] = DEFAULT_CHECKS) -> DataFrame:

@@ -16,8 +16,8 @@ RETENTION_DAYS = {"bronze": 90, "silver": 365, "gold": 365, "ops": 90}
 
 
 def within_retention(df: DataFrame, layer: str, as_of: str, time: str = "load_ts") -> DataFrame:
-    """Rows to keep; a plain range filter, so time-partitioned tables only read what stays."""
-    return df.filter(F.col(time) >= plus_days(ts(as_of), -RETENTION_DAYS[layer]))
+    """Rows to keep: a range filter on the time; a row without a time isn't expired and stays."""
+    return df.filter(F.col(time).isNull() | (F.col(time) >= plus_days(ts(as_of), -RETENTION_DAYS[layer])))
 
 
 def expired(df: DataFrame, layer: str, as_of: str, time: str = "load_ts") -> DataFrame:

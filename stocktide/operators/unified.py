@@ -41,8 +41,8 @@ def positions(
 ) -> DataFrame:
     """Latest inventory positions with product key and current supplier; one row per position.
 
-    ``link`` names the supplier of each (item, location). Positions without a
-    link or supplier are kept with NULL supplier columns.
+    ``link`` names the supplier of each (item, location); of several rows for one the smallest supplier counts. Positions
+    without a link or supplier are kept with NULL supplier columns.
     """
     newest = inv.latest_with_ties(inventory) if keep_ties else inv.latest(inventory)
     newest = newest.dropna(subset=["quantity_on_hand", "item_id", "location_id"]).select(
@@ -55,7 +55,7 @@ def positions(
     )
     products = _entity_mappings(crosswalk, "product", "item_id", "mapped_product")
     return (
-        newest.join(link.select(*inv.POSITION, "supplier_id"), inv.POSITION, "left")
+        newest.join(link.groupBy(*inv.POSITION).agg(F.min("supplier_id").alias("supplier_id")), inv.POSITION, "left")
         .join(products, "item_id", "left")
         .join(supplier, "supplier_id", "left")
         .withColumns({
@@ -201,16 +201,14 @@ def latest_updates(unified: DataFrame, n: int = 10) -> DataFrame:
     ).limit(n)
 
 
-def records(unified: DataFrame, start: str, end: str, page_digits: int = 1) -> DataFrame:
-    """Unified records with nested shipments for inventory dated in [start, end).
+def records(unified: DataFrame, start: str, end: str, page_rows: int | None = None) -> DataFrame:
+    """Unified records with nested shipments for inventory dated in [start, end): one per key.
 
-    One record per product, location, supplier, date and page. The page is the
-    leading hex digits of the shipment id's MD5, so a record's array stays small
-    even where one supplier has a very large number of shipments; a reader
-    concatenates the pages of a key.
+    With ``page_rows`` a record comes in pages of about so many shipments (a ``page`` column numbers them), so that no array
+    grows with the busiest supplier; shipments are dealt to pages by a hash of their id. A reader concatenates the pages.
     """
     window = (ts(F.col("inventory_date")) >= ts(start)) & (ts(F.col("inventory_date")) < ts(end))
-    key = ["product_id", "location_id", "supplier_id", "item_id", "inventory_date"]
+    key = ["product_id", "location_id", "supplier_id", "item_id", "inventory_date", *inv.QUANTITIES]
     shipment = F.struct(
         "shipment_id", "route_id", "carrier_id",
         F.col("planned_departure_ts").alias("planned_departure"),
@@ -219,15 +217,17 @@ def records(unified: DataFrame, start: str, end: str, page_digits: int = 1) -> D
         F.col("actual_arrival_ts").alias("actual_arrival"),
         F.col("shipment_status").alias("status"),
     )
-    page = F.coalesce(F.substring(F.md5("shipment_id"), 1, page_digits), F.lit("0"))
-    grouped = (
-        unified.filter(window)
-        .groupBy(*key, page.alias("page"), *inv.QUANTITIES)
-        .agg(F.sort_array(F.collect_list(F.when(F.col("shipment_id").isNotNull(), shipment))).alias("shipments"))
-    )
+    rows, page = unified.filter(window), []
+    if page_rows:
+        null_safe = [F.col(f"_{c}").eqNullSafe(F.col(c)) for c in key]
+        sizes = rows.groupBy(*(F.col(c).alias(f"_{c}") for c in key)).agg(F.ceil(F.count("shipment_id") / page_rows).alias("_pages"))
+        rows = rows.join(sizes, null_safe).withColumn(
+            "page", F.coalesce(F.pmod(F.xxhash64("shipment_id"), F.greatest("_pages", F.lit(1))), F.lit(0)))
+        page = ["page"]
+    grouped = rows.groupBy(*key, *page).agg(
+        F.sort_array(F.collect_list(F.when(F.col("shipment_id").isNotNull(), shipment))).alias("shipments"))
     inventory = F.struct("item_id", "location_id", F.col("inventory_date").alias("snapshot_date"), *inv.QUANTITIES)
-    return grouped.select("product_id", "location_id", "supplier_id", "page", "shipments",
-                          inventory.alias("inventory"))
+    return grouped.select("product_id", "location_id", "supplier_id", *page, "shipments", inventory.alias("inventory"))
 
 
 def register_view(unified: DataFrame, name: str = "unified_supply_chain") -> None:

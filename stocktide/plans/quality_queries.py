@@ -570,7 +570,7 @@ def _(t):
 
 
 @query("retention_keep", using="silver_inventory", check=f"""
-SELECT * FROM silver_inventory WHERE load_ts >= TIMESTAMP '{AS_OF}' - INTERVAL 365 DAY""")
+SELECT * FROM silver_inventory WHERE load_ts IS NULL OR load_ts >= TIMESTAMP '{AS_OF}' - INTERVAL 365 DAY""")
 def _(t):
     return gov.within_retention(silver_inventory(t), "silver", AS_OF)
 

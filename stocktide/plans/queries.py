@@ -464,17 +464,16 @@ def _(t):
 
 
 @query("unified_records", using="unified", check="""
-SELECT product_id, location_id, supplier_id, coalesce(substr(md5(shipment_id), 1, 1), '0') AS page,
-       item_id, inventory_date AS snapshot_date, quantity_on_hand,
+SELECT product_id, location_id, supplier_id, item_id, inventory_date AS snapshot_date, quantity_on_hand,
        CAST(count(shipment_id) AS INTEGER) AS shipment_count,
        coalesce(string_agg(shipment_id || ':' || shipment_status, ',' ORDER BY shipment_id), '') AS shipments
 FROM unified WHERE inventory_date >= DATE '2000-01-01' AND inventory_date < DATE '2001-01-01'
-GROUP BY 1, 2, 3, 4, 5, 6, 7""")
+GROUP BY 1, 2, 3, 4, 5, 6""")
 def _(t):
     nested = uni.records(unified_whole(t), "2000-01-01", "2001-01-01")
     listed = F.transform("shipments", lambda s: F.concat(s["shipment_id"], F.lit(":"), s["status"]))
     return nested.select(
-        "product_id", "location_id", "supplier_id", "page", F.col("inventory.item_id").alias("item_id"),
+        "product_id", "location_id", "supplier_id", F.col("inventory.item_id").alias("item_id"),
         F.col("inventory.snapshot_date").alias("snapshot_date"),
         F.col("inventory.quantity_on_hand").alias("quantity_on_hand"),
         F.size("shipments").alias("shipment_count"), F.array_join(listed, ",").alias("shipments"),

@@ -6,6 +6,7 @@ Every table is written, checked in its written form and only then put in force
 
 from __future__ import annotations
 
+import hashlib
 import time
 from collections.abc import Mapping
 from dataclasses import dataclass
@@ -14,15 +15,24 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stocktide.functions.timeexpr import ts
-from stocktide.operators import contracts, crosswalk as xw, freshness, gate, gold, governance as gov, inventory as inv
+from stocktide.operators import contracts, crosswalk as xw, freshness, gate, gold, identity, inventory as inv
 from stocktide.operators import late, quality, scd2, shipments as shp, unified as uni
-from stocktide.sources.readers import DOMAINS, load, typed
-from stocktide.sources.store import Store
+from stocktide.operators.common import first_per_key
+from stocktide.sources.readers import CORRUPT, DOMAINS, load, typed
+from stocktide.sources.store import BATCH, Store
 
 STAGES = ("bronze", "silver", "gold", "all")
 SILVER = {"supplier": "silver.supplier_scd2", "shipment": "silver.shipment", "inventory": "silver.inventory_position"}
-GOLD = ("unified_supply_chain", "supplier_performance", "inventory_metrics", "shipment_performance")
 LINK = "silver.supply_link"
+_POSITIONS = ["silver.inventory_position", "silver.supplier_scd2", "silver.crosswalk", LINK]
+#: What each gold table is made from.
+GOLD_INPUTS = {
+    "unified_supply_chain": [*_POSITIONS, "silver.shipment"], "supplier_performance": [*_POSITIONS, "silver.shipment"],
+    "inventory_metrics": _POSITIONS, "shipment_performance": ["silver.shipment"],
+}
+GOLD = ("unified_supply_chain", "supplier_performance", "inventory_metrics", "shipment_performance")
+#: Keys that silver tables are bucketed by.
+KEYS = {"supplier": ["business_key"], "shipment": ["shipment_id"], "inventory": inv.SNAPSHOT}
 
 
 class Refused(RuntimeError):
@@ -42,25 +52,34 @@ class Job:
 
     # --- bronze ---
 
-    def ingest(self, domain: str, path: str, fmt: str | None = None, source_system: str | None = None) -> int:
-        """Validate a file against its contract; append valid rows to bronze and the rest to quarantine.
+    def ingest(self, domain: str, path: str, fmt: str | None = None, source_system: str | None = None,
+               batch: str | None = None) -> int:
+        """Validate a file against its contract; valid rows go to bronze and the rest to quarantine, as one batch.
 
-        Returns the number of rows appended to bronze, observed during the write.
+        The same ingest again (domain, path, system and instant, unless ``batch`` names it) takes the place of its rows, so
+        a failure half way is mended by repeating the call. The file is read, validated and written once; bronze,
+        quarantine and log are made from that. Returns the number of rows put in bronze.
         """
         if domain not in DOMAINS:
             raise ValueError(f"Unknown domain: {domain}")
         spec = DOMAINS[domain]
         contract = contracts.CONTRACTS[f"{domain}_raw"]
+        system = source_system or spec.source_system
+        day = "".join(c for c in self.as_of[:10] if c.isdigit())
+        batch = batch or f"{day}-{hashlib.md5('|'.join((domain, path, system, self.as_of)).encode()).hexdigest()[:12]}"
         raw = load(self.spark, domain, path, self.as_of, fmt, source_system)
         # statuses are compared in lower case, as typed() stores them
         raw = raw.withColumn("status", F.trim(F.lower("status"))) if "status" in raw.columns else raw
-        valid, quarantined = contracts.split(raw, contract)
+        landed = f"{spec.table}_landed"
+        self.store.put_batch(contracts.validate(raw, contract), landed, batch)
+        flagged = self.store.spark.read.parquet(f"{self.store.path(landed)}/{BATCH}={batch}")
+        valid = flagged.filter(F.size("_errors") == 0).drop("_errors", CORRUPT)
+        quarantined = flagged.filter(F.size("_errors") > 0).withColumn("_errors", F.to_json("_errors"))
         seen = Observation()
-        self.store.append(typed(valid, domain).observe(seen, F.count(F.lit(1)).alias("rows")), spec.table)
-        self.store.append(
-            quarantined.withColumn("_errors", F.to_json("_errors")), f"{spec.table}_quarantine", ["_source_system"])
-        self.store.append(contracts.log_row(raw, contract, source_system or spec.source_system, self.as_of),
-                          "ops.schema_validation_log")
+        self.store.put_batch(quarantined, f"{spec.table}_quarantine", batch)
+        self.store.put_batch(contracts.log_row(flagged.drop("_errors"), contract, system, self.as_of),
+                             "ops.schema_validation_log", f"{domain}-{batch}")
+        self.store.put_batch(typed(valid, domain).observe(seen, F.count(F.lit(1)).alias("rows")), spec.table, batch)
         return seen.get["rows"]
 
     # --- silver ---
@@ -72,36 +91,39 @@ class Job:
     def crosswalk(self) -> DataFrame:
         return self.store.read("silver.crosswalk")
 
-    def _arrived(self, domain: str, held: DataFrame) -> DataFrame:
-        """Bronze rows not yet reflected in silver: ingested since the last load the silver table holds.
+    def supplier_changes(self, bronze: DataFrame) -> DataFrame:
+        """The supplier feed with business keys from the crosswalk, natural keys where unmapped.
 
-        Ingestion times only grow, and merging a row twice changes nothing, so the
-        boundary instant is read again. The bound is a plain filter on the scan.
+        Where several systems give one business key a state at one instant, the system first in the trust order survives.
         """
-        bronze = self._bronze(domain)
-        since = held.agg(F.max("load_ts")).first()[0]
-        return bronze if since is None else bronze.filter(F.col("_ingestion_ts") >= ts(since))
-
-    def supplier_changes(self, bronze: DataFrame) -> DataFrame:
-        """The supplier feed with business keys from the crosswalk, natural keys where unmapped."""
         feed = scd2.conform(bronze)
         keyed = feed.withColumns({"source_key": F.col("natural_key"), "entity_type": F.lit("supplier")})
         resolved = xw.resolve_keys(keyed, self.crosswalk())
-        return resolved.withColumns({
+        changes = resolved.withColumns({
             "business_key": F.coalesce("business_key", "natural_key"), "effective_start_ts": F.col("load_ts"),
         }).select(*feed.columns, "effective_start_ts")
+        trust = identity.trust_rank(F.col("source_system"), identity.RULES["supplier"])
+        return first_per_key(changes, ["business_key", "effective_start_ts"], [trust.asc(), F.col("load_ts").desc_nulls_last()])
 
-    def _silver_frame(self, domain: str) -> DataFrame:
-        held = self.store.read(SILVER[domain]).drop("created_at")
-        arrived = self._arrived(domain, held)
+    def _changes(self, domain: str, bronze: DataFrame) -> DataFrame:
         if domain == "supplier":
-            return scd2.correct(held, self.supplier_changes(arrived))
+            return self.supplier_changes(bronze)
         if domain == "shipment":
-            return shp.upsert(held, shp.conform(arrived), self.as_of)
+            return shp.conform(bronze)
         if domain == "inventory":
-            return inv.upsert(held, inv.conform(arrived), self.as_of)
+            return inv.conform(bronze)
         raise ValueError(f"Unknown domain: {domain}")
 
+    def _merged(self, domain: str, held: DataFrame, changes: DataFrame) -> DataFrame:
+        if domain == "supplier":
+            return scd2.correct(held, changes)
+        return (shp if domain == "shipment" else inv).upsert(held, changes, self.as_of)
+
+    def _touched(self, table: str, keys: list[str], changes: DataFrame) -> list[int]:
+        """Buckets with a key that changes; there are never more of them than buckets."""
+        bucket = self.store.bucket_of(keys, self.store.bucket_count(table))
+        return sorted(r[0] for r in changes.select(bucket.alias("b")).distinct().collect())
+
     def _audit(self, domain: str, written: DataFrame) -> None:
         measure = {"supplier": quality.supplier_checks, "shipment": quality.shipment_checks,
                    "inventory": quality.inventory_checks}[domain]
@@ -110,15 +132,17 @@ class Job:
         if bad:
             raise Refused(f"{SILVER[domain]}: {bad}")
 
-    def _put(self, df: DataFrame, table: str, audit=None) -> int:
+    def _put(self, df: DataFrame, table: str, audit=None) -> tuple[int, int]:
+        """Write, check and put in force; returns version and rows."""
         started, seen = time.monotonic(), Observation()
-        number = self.store.stage(
+        staged = self.store.stage(
             df.withColumn("created_at", ts(self.as_of)).observe(seen, F.count(F.lit(1)).alias("rows")), table)
         if audit:
-            audit(self.store.read(table, number))
-        self.store.publish(table, number)
-        self._measure(table, seen.get["rows"], time.monotonic() - started)
-        return number
+            audit(self.store.read(table, staged))
+        self.store.publish(table, staged)
+        rows = seen.get["rows"]
+        self._measure(table, rows, time.monotonic() - started)
+        return int(staged), rows
 
     def _measure(self, table: str, rows: int, seconds: float) -> None:
         """Append latency and throughput of a written table; the row count was observed during the write."""
@@ -128,28 +152,46 @@ class Job:
             "run_id string, stage string, domain string, rows_out bigint, seconds double, rows_per_second double")
         self.store.append(row, "ops.pipeline_metrics")
 
+    def _put_buckets(self, domain: str, df: DataFrame, touched: list[int], inputs: list[str]) -> int:
+        table, started, seen = SILVER[domain], time.monotonic(), Observation()
+        staged = self.store.stage_buckets(
+            df.withColumn("created_at", ts(self.as_of)).observe(seen, F.count(F.lit(1)).alias("rows")), table, KEYS[domain], touched)
+        self._audit(domain, self.store.read(table, staged, touched))
+        self.store.publish(table, staged, inputs)
+        self._measure(table, seen.get["rows"], time.monotonic() - started)
+        return int(staged)
+
     def conform(self, domain: str) -> int:
-        """Bring one silver table up to date; returns its new version number."""
-        return self._put(self._silver_frame(domain), SILVER[domain], lambda written: self._audit(domain, written))
+        """Bring one silver table up to date with the batches it was not made from yet; returns the version in force.
+
+        What was consumed is recorded with the version as batch ids, not as a time, so a batch of an earlier instant is
+        merged like any other. Only the buckets that hold a changed key are read, written and checked.
+        """
+        table, consumed = SILVER[domain], self.store.inputs(SILVER[domain])
+        bronze = self._bronze(domain)
+        if BATCH not in bronze.columns:
+            raise ValueError(f"{DOMAINS[domain].table} holds no batch")
+        arrived = bronze.filter(~F.col(BATCH).isin(consumed)) if consumed else bronze
+        batches = sorted(r[0] for r in arrived.select(BATCH).distinct().collect())
+        if not batches:
+            return self.store.version(table)
+        changes = self._changes(domain, arrived)
+        touched = self._touched(table, KEYS[domain], changes)
+        held = self.store.read(table, buckets=touched).drop("created_at")
+        return self._put_buckets(domain, self._merged(domain, held, changes), touched, [*consumed, *batches])
 
     def apply_late(self, domain: str, cutoff_hours: int = 24) -> bool:
-        """Merge only the keys with rows that arrived within the cutoff; False when there are none."""
+        """Bring the keys with rows that arrived within the cutoff up to date from all of bronze; False when there are none."""
         bronze = self._bronze(domain)
         if late.late_rows(bronze, self.as_of, cutoff_hours).isEmpty():
             return False
-        held = self.store.read(SILVER[domain]).drop("created_at")
-        newest = [F.col("load_ts").desc_nulls_last()]
-        if domain == "supplier":
-            keys = late.touched_keys(bronze.withColumnRenamed("supplier_id", "natural_key"), ["natural_key"],
-                                     self.as_of, cutoff_hours)
-            merged = scd2.correct(held, self.supplier_changes(bronze).join(keys, "natural_key", "left_semi"))
-        elif domain == "shipment":
-            feed = shp.clean(shp.conform(bronze), self.as_of)
-            merged = late.merge_late(held, feed, ["shipment_id"], newest, self.as_of, cutoff_hours)
-        else:
-            feed = inv.clean(inv.conform(bronze), self.as_of)
-            merged = late.merge_late(held, feed, inv.SNAPSHOT, newest, self.as_of, cutoff_hours)
-        self._put(merged, SILVER[domain], lambda written: self._audit(domain, written))
+        table = SILVER[domain]
+        changes = self._changes(domain, bronze)
+        keys = self._changes(domain, late.late_rows(bronze, self.as_of, cutoff_hours)).select(*KEYS[domain]).distinct()
+        touched = self._touched(table, KEYS[domain], keys)
+        held = self.store.read(table, buckets=touched).drop("created_at")
+        merged = self._merged(domain, held, changes.join(keys, KEYS[domain], "left_semi"))
+        self._put_buckets(domain, merged, touched, self.store.inputs(table))
         return True
 
     # --- gold ---
@@ -175,15 +217,21 @@ class Job:
         if blocked:
             raise Refused("; ".join(blocked))
 
+    def _positions(self) -> DataFrame:
+        tables = self.silver_tables()
+        return uni.positions(tables["inventory_position"], tables["supplier"], self.crosswalk(), self.store.read(LINK))
+
     def _gold_frame(self, table: str, recent_days: int | None) -> DataFrame:
         if table == "unified_supply_chain":
             tables = self.silver_tables()
             return uni.build(tables["inventory_position"], tables["supplier"], self.crosswalk(), tables["shipment"],
                              self.store.read(LINK), self.as_of, recent_days)
         if table == "supplier_performance":
-            return gold.supplier_performance(self.store.read("gold.unified_supply_chain"), self.as_of)
+            # from positions and shipments: the sums need no row per pair
+            recent = shp.recent_active(self.store.read(SILVER["shipment"]), self.as_of, recent_days)
+            return gold.supplier_performance_direct(self._positions(), recent, self.as_of)
         if table == "inventory_metrics":
-            return gold.inventory_metrics(self.store.read("gold.unified_supply_chain"), self.as_of)
+            return gold.inventory_metrics(self._positions(), self.as_of)
         if table == "shipment_performance":
             return gold.shipment_performance(self.store.read(SILVER["shipment"]), self.as_of)
         raise ValueError(f"Unknown table: {table}")
@@ -196,11 +244,10 @@ class Job:
         self.open_gate()
         for name in names:
             audit = self._audit_unified if name == "unified_supply_chain" else None
-            self._put(self._gold_frame(name, recent_days), f"gold.{name}", audit)
-            written = self.store.read(f"gold.{name}")
-            inputs = list(SILVER.values()) if name == "unified_supply_chain" else ["gold.unified_supply_chain"]
-            self.store.append(
-                gov.lineage_from_counts(written, f"gold-{self.as_of}", f"gold.{name}", inputs, self.as_of),
+            _, rows = self._put(self._gold_frame(name, recent_days), f"gold.{name}", audit)
+            self.store.append(self.spark.createDataFrame(
+                [(f"gold-{self.as_of}", f"gold.{name}", source, rows) for source in GOLD_INPUTS[name]],
+                "run_id string, target string, source_table string, rows_written bigint").withColumn("recorded_ts", ts(self.as_of)),
                 "ops.lineage")
 
     def _audit_unified(self, written: DataFrame) -> None:
@@ -221,13 +268,17 @@ def run(spark: SparkSession, root: str, stage: str, as_of: str, domain: str = "a
         sources: Mapping[str, str] | None = None, recent_days: int | None = 30) -> None:
     """Run a stage for one domain or all; ``all`` runs every stage and stops at the first failure.
 
-    ``sources`` maps domains to the file or directory to ingest.
+    ``sources`` maps domains to the file or directory to ingest; ``crosswalk`` and ``link`` in it name parquet of the
+    crosswalk and of the supplier of each item and location, which take the place of the tables held.
     """
     if stage not in STAGES:
         raise ValueError(f"Unknown stage: {stage}")
     job = Job(Store(spark, root), as_of)
     domains = list(DOMAINS) if domain == "all" else [domain]
     if stage in ("bronze", "all"):
+        for name, table in (("crosswalk", "silver.crosswalk"), ("link", LINK)):
+            if sources and name in sources:
+                job.store.replace(spark.read.parquet(sources[name]), table, [])
         for name in domains:
             if sources and name in sources:
                 job.ingest(name, sources[name])

@@ -71,6 +71,7 @@ TABLES: dict[str, T.StructType] = {
         "source_system source_key entity_type business_key confidence:d created_ts:ts is_active:b updated_ts:ts",
         required="source_system source_key entity_type business_key confidence created_ts is_active",
     ),
+    "silver.supply_link": _schema("item_id location_id supplier_id", required="item_id location_id supplier_id"),
     "silver.cost_reference": _schema(
         "item_id effective_start_ts:ts effective_end_ts:ts cost_currency unit_cost:d is_current:b load_ts:ts "
         "source_system",

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from stocktide.functions.timeexpr import ts
 from stocktide.session import scratch_dir
@@ -19,8 +18,6 @@ _ITEM = "concat('ITEM_', lpad(l_partkey, 6, '0'))"
 _LOCATION = "concat('WH', lpad(l_suppkey % 5 + 1, 3, '0'))"
 _ROUTE = "concat('ROUTE_', lpad(l_partkey % 20, 4, '0'))"
 
-_LAYOUT: dict[str, tuple[StructType, int]] = {}  # path -> (schema, scan tasks), read once per process
-
 
 class Tables:
     """The given tables under one directory, and the domain tables derived from them."""
@@ -30,20 +27,10 @@ class Tables:
         self.sf_dir = sf_dir.rstrip("/")
 
     def raw(self, name: str) -> DataFrame:
-        path = f"{self.sf_dir}/{name}.parquet"
-        if path not in _LAYOUT:
-            df = self.spark.read.parquet(path)
-            _LAYOUT[path] = (df.schema, df.rdd.getNumPartitions())
-        return self.spark.read.schema(_LAYOUT[path][0]).parquet(path)
+        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     def lines(self) -> DataFrame:
-        """Line items. A file too small to give every core a scan task is spread over them first;
-        with enough files or row groups the scan is used as it is."""
-        df = self.raw("lineitem")
-        scan_tasks = _LAYOUT[f"{self.sf_dir}/lineitem.parquet"][1]
-        if scan_tasks < self.spark.sparkContext.defaultParallelism:
-            return df.repartition("l_orderkey")
-        return df
+        return self.raw("lineitem")
 
     def stored(self, df: DataFrame, purpose: str) -> DataFrame:
         """The frame written to the scratch folder and read back, as a job finds the table a run before left."""

@@ -1,25 +1,47 @@
 """Tables as parquet directories.
 
-Append tables are one directory. Replaced tables are directories of versions:
-a writer writes ``v=<n>`` in full and then appends the number to a pointer
-dataset, so readers never see a half-written or vanishing table and a lost
-executor or driver leaves the previous version in force.
+Append tables are one directory; a load that may be repeated is a batch in a directory of its own, overwritten when it comes
+again. Replaced tables are versions: a writer writes a folder of unique name in full and then appends a row to a pointer
+dataset that names it, so readers never see a half-written or vanishing table, two writers never write the same folder, and
+a lost executor or driver leaves the previous version in force. A bucketed table is a set of folders, one per bucket of the
+key's hash; a new version writes the buckets it changes and takes the others from the version before.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import time
+import uuid
+from collections.abc import Iterable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from stocktide import schemas
 
 
+BATCH, BUCKET = "_batch", "_bucket"
+POINTER = "version int, parts map<int, string>, buckets int, inputs array<string>, published bigint"
+
+
+class Staged(int):
+    """Number of a written version, with the folders that hold it."""
+
+    parts: dict[int, str]
+    buckets: int | None
+
+    def __new__(cls, number: int, parts: dict[int, str], buckets: int | None = None):
+        self = super().__new__(cls, number)
+        self.parts, self.buckets = parts, buckets
+        return self
+
+
 class Store:
-    def __init__(self, spark: SparkSession, root: str):
+    """``buckets``: of tables that this store writes first; about the table's size by the memory of a task."""
+
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 64):
         self.spark = spark
+        self.buckets = buckets
         self.root = root.rstrip("/")
 
     def path(self, table: str) -> str:
@@ -35,51 +57,126 @@ class Store:
         """Few files per partition value; values holding much of the data are split over several tasks."""
         return df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df.hint("rebalance")
 
+    @staticmethod
+    def _is_missing(error: AnalysisException) -> bool:
+        return error.getCondition() == "PATH_NOT_FOUND"
+
     # --- append tables ---
 
     def append(self, df: DataFrame, table: str, partition_by: Sequence[str] | None = None) -> None:
         parts = self._partitions(table, partition_by)
         self._balanced(df, parts).write.mode("append").partitionBy(*parts).parquet(self.path(table))
 
+    def put_batch(self, df: DataFrame, table: str, batch: str) -> None:
+        """Write one load; the same load again takes the place of its rows."""
+        self._balanced(df, []).write.mode("overwrite").parquet(f"{self.path(table)}/{BATCH}={batch}")
+
     def read_appended(self, table: str) -> DataFrame:
-        """All appended rows; the schema is the union over all files. An absent table is empty."""
+        """All appended rows; the schema is the union over all files. A table never written is empty."""
         try:
             return self.spark.read.option("mergeSchema", True).parquet(self.path(table))
-        except AnalysisException:
-            return self.empty(table)
+        except AnalysisException as error:
+            # only empty appends so far leave a folder without files; anything else is damage
+            if self._is_missing(error) or error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+                return self.empty(table)
+            raise
 
     # --- versioned tables ---
 
+    def _pointer(self, table: str, number: int | None = None) -> Row | None:
+        """The pointer row in force, or that of an earlier version; None when the table was never written."""
+        try:
+            found = self.spark.read.schema(POINTER).parquet(f"{self.path(table)}/pointer")
+        except AnalysisException as error:
+            if self._is_missing(error):
+                return None
+            raise
+        rows = found if number is None else found.where(F.col("version") == int(number))
+        row = rows.orderBy(F.desc("version"), F.desc("published")).first()
+        if row is None and number is None:
+            raise ValueError(f"{table}: the pointer names no version")
+        return row
+
     def version(self, table: str) -> int:
         """Number of the version in force, 0 when the table was never written."""
-        try:
-            found = self.spark.read.parquet(f"{self.path(table)}/pointer").agg(F.max("version")).first()[0]
-        except AnalysisException:
-            return 0
-        return found or 0
-
-    def stage(self, df: DataFrame, table: str, partition_by: Sequence[str] | None = None) -> int:
-        """Write a new version without switching to it, so it can be checked first."""
-        number = self.version(table) + 1
-        parts = self._partitions(table, partition_by)
-        self._balanced(df, parts).write.mode("overwrite").partitionBy(*parts).parquet(
-            f"{self.path(table)}/data/v={number}")
-        return number
+        row = self._pointer(table)
+        return row["version"] if row else 0
 
-    def publish(self, table: str, number: int) -> None:
-        """Put a staged version in force."""
-        self.spark.range(1).select(F.lit(number).alias("version")).coalesce(1).write.mode("append").parquet(
-            f"{self.path(table)}/pointer")
+    def inputs(self, table: str) -> list[str]:
+        """Batches that the version in force was made from."""
+        row = self._pointer(table)
+        return list(row["inputs"] or []) if row else []
 
-    def replace(self, df: DataFrame, table: str, partition_by: Sequence[str] | None = None) -> int:
+    def stage(self, df: DataFrame, table: str, partition_by: Sequence[str] | None = None, keep_layout: bool = False) -> Staged:
+        """Write a new version without switching to it, so it can be checked first. ``keep_layout`` leaves the rows in the
+        order and files that the frame gives them."""
+        parts = self._partitions(table, partition_by)
+        folder = f"v={uuid.uuid4().hex}"
+        (df if keep_layout else self._balanced(df, parts)).write.partitionBy(*parts).parquet(f"{self.path(table)}/data/{folder}")
+        return Staged(self.version(table) + 1, {-1: folder})
+
+    def bucket_of(self, keys: Sequence[str], buckets: int | None = None) -> Column:
+        return F.pmod(F.xxhash64(*keys), F.lit(buckets or self.buckets)).cast("int")
+
+    def bucket_count(self, table: str) -> int:
+        """Buckets of a table; fixed by its first version."""
+        row = self._pointer(table)
+        return row["buckets"] if row and row["buckets"] else self.buckets
+
+    def stage_buckets(self, df: DataFrame, table: str, keys: Sequence[str], touched: Iterable[int]) -> Staged:
+        """Write the rows of the ``touched`` buckets; the others stay as they are in the version in force."""
+        row, count = self._pointer(table), self.bucket_count(table)
+        folder, touched = f"v={uuid.uuid4().hex}", set(touched)
+        placed = df.withColumn(BUCKET, self.bucket_of(keys, count))
+        self._balanced(placed, [BUCKET]).write.partitionBy(BUCKET).parquet(f"{self.path(table)}/data/{folder}")
+        written = [r[0] for r in self._buckets(f"{self.path(table)}/data/{folder}")] if touched else []
+        parts = {b: f for b, f in (row["parts"] if row else {}).items() if b not in touched}
+        parts.update({b: f"{folder}/{BUCKET}={b}" for b in written})
+        return Staged(self.version(table) + 1, parts, count)
+
+    def _buckets(self, path: str) -> list[Row]:
+        try:
+            return self.spark.read.parquet(path).select(BUCKET).distinct().collect()
+        except AnalysisException as error:
+            if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":  # every touched bucket became empty
+                return []
+            raise
+
+    def publish(self, table: str, staged: Staged, inputs: Sequence[str] | None = None) -> None:
+        """Put a staged version in force. ``inputs``: the batches it was made from; by default those of the version before."""
+        made_from = self.inputs(table) if inputs is None else list(inputs)
+        row = [(int(staged), staged.parts, staged.buckets, made_from, time.time_ns())]
+        self.spark.createDataFrame(row, POINTER).coalesce(1).write.mode("append").parquet(f"{self.path(table)}/pointer")
+
+    def replace(self, df: DataFrame, table: str, partition_by: Sequence[str] | None = None, keep_layout: bool = False) -> int:
         """Write a new version and switch to it. The frame may read the version in force."""
-        number = self.stage(df, table, partition_by)
-        self.publish(table, number)
-        return number
-
-    def read(self, table: str, version: int | None = None) -> DataFrame:
-        """The version in force, or a given earlier one. An absent table is empty."""
-        number = self.version(table) if version is None else version
-        if number == 0:
+        staged = self.stage(df, table, partition_by, keep_layout)
+        self.publish(table, staged)
+        return int(staged)
+
+    def read(self, table: str, version: int | None = None, buckets: Iterable[int] | None = None) -> DataFrame:
+        """The version in force, an earlier or a staged one, or some of its buckets. A table never written is empty."""
+        if isinstance(version, Staged):
+            parts = version.parts
+        else:
+            row = self._pointer(table, version)
+            parts = row["parts"] if row else {}
+        chosen = [f for b, f in parts.items() if buckets is None or b in set(buckets)]
+        if not chosen:
             return self.empty(table)
-        return self.spark.read.parquet(f"{self.path(table)}/data/v={number}")
+        base = f"{self.path(table)}/data"
+        if set(parts) == {-1}:
+            return self.spark.read.parquet(f"{base}/{chosen[0]}")
+        return self.spark.read.parquet(*(f"{base}/{f}" for f in chosen))
+
+    def vacuum(self, table: str, keep: int = 2) -> int:
+        """Delete the folders that none of the newest ``keep`` versions names; returns how many. Staged ones stay."""
+        rows = self.spark.read.schema(POINTER).parquet(f"{self.path(table)}/pointer").orderBy(F.desc("version"), F.desc("published")).collect()
+        live = {f for r in rows[:keep] for f in r["parts"].values()}
+        gone = {f for r in rows[keep:] for f in r["parts"].values()} - live
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        removed = 0
+        for folder in sorted(gone):
+            path = jvm.org.apache.hadoop.fs.Path(f"{self.path(table)}/data/{folder}")
+            removed += bool(path.getFileSystem(conf).delete(path, True))
+        return removed

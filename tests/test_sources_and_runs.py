@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stocktide import schemas
-from stocktide.operators import inventory as inv, shipments as shp, unified as uni
+from stocktide.operators import governance as gov, inventory as inv, shipments as shp, unified as uni
 from stocktide.plans.runner import LINK, Job, Refused, run
 from stocktide.sources import generate
 from stocktide.sources.readers import DOMAINS, load, typed
@@ -77,6 +77,99 @@ def test_store_versions(spark, tmp_path):
     assert store.version(table) == 2 and store.read(table, number).count() == 2
 
 
+def test_two_writers_do_not_meet(spark, tmp_path):
+    store, table = Store(spark, str(tmp_path)), "silver.inventory_position"
+    a = store.stage(spark.createDataFrame([stock("a")], INVENTORY), table)
+    b = store.stage(spark.createDataFrame([stock("b"), stock("c")], INVENTORY), table)
+    store.publish(table, a)
+    assert store.read(table).count() == 1 and store.read(table, b).count() == 2
+    store.publish(table, b)
+    assert store.read(table).count() == 2
+
+
+def test_damage_is_not_taken_for_an_absent_table(spark, tmp_path):
+    import shutil
+
+    store, table = Store(spark, str(tmp_path)), "silver.inventory_position"
+    store.replace(spark.createDataFrame([stock("a")], INVENTORY), table)
+    for f in (tmp_path / "silver" / "inventory_position" / "pointer").glob("*.parquet"):
+        f.unlink()
+    with pytest.raises(Exception, match="(?i)names no version|infer"):
+        store.read(table)
+    store.replace(spark.createDataFrame([stock("a")], INVENTORY), "silver.other")
+    shutil.rmtree(tmp_path / "silver" / "other" / "data")
+    with pytest.raises(Exception, match="(?i)exist"):
+        store.read("silver.other")
+
+
+def test_buckets_that_do_not_change_are_not_written(spark, tmp_path, rows):
+    store, table = Store(spark, str(tmp_path), buckets=8), "silver.inventory_position"
+    everything = spark.createDataFrame([stock(f"i{k}") for k in range(40)], INVENTORY)
+    store.publish(table, store.stage_buckets(everything, table, ["item_id"], range(8)))
+    before = store._pointer(table)["parts"]
+    assert rows(store.read(table)) == rows(everything) and len(before) > 4
+    mine = everything.filter("item_id = 'i7'").select(store.bucket_of(["item_id"]).alias("b")).first().b
+    held = store.read(table, buckets=[mine])
+    n = held.count()
+    assert 1 < n < 40
+    store.publish(table, store.stage_buckets(held.filter("item_id <> 'i7'"), table, ["item_id"], [mine]), ["batch"])
+    after = store._pointer(table)["parts"]
+    assert {b for b in before if before[b] != after.get(b)} == {mine}
+    assert store.read(table).count() == 39 and store.read(table, 1).count() == 40 and store.inputs(table) == ["batch"]
+    store.publish(table, store.stage_buckets(store.read(table, buckets=[mine]).limit(0), table, ["item_id"], [mine]))
+    assert mine not in store._pointer(table)["parts"]
+    assert store.vacuum(table, keep=1) == 2 and store.read(table).count() == 40 - n
+
+
+def test_clustered_layout_through_the_store(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    store, table = Store(spark, str(tmp_path)), "silver.snapshots"
+    many = spark.range(20_000).select((F.col("id") * 7919 % 20_000).alias("k"))
+    store.replace(gov.clustered(many, ["k"], 4), table, [], keep_layout=True)
+    files = sorted(p for p in (tmp_path / "silver" / "snapshots" / "data").rglob("*.parquet"))
+    spans = sorted((lambda c: (c[0].as_py(), c[-1].as_py(), c.to_pylist() == sorted(c.to_pylist())))(pq.read_table(f)["k"]) for f in files)
+    assert len(spans) == 4 and all(s[2] for s in spans)
+    assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+
+
+def _ship(spark, path, ids, status):
+    spark.createDataFrame([(i, "R", "C", "o", "d", status) for i in ids],
+                          "shipment_id string, route_id string, carrier_id string, origin string, destination string, status string").write.json(path)
+
+
+def test_backfill_and_repeated_ingest(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "lake"), buckets=4)
+    one, two = str(tmp_path / "one.json"), str(tmp_path / "two.json")
+    _ship(spark, one, ["a", "b"], "delivered")
+    _ship(spark, two, ["b", "c"], "planned")
+    late, early = Job(store, "2024-03-05 00:00:00"), Job(store, "2024-03-03 00:00:00")
+    assert late.ingest("shipment", one) == 2 and late.ingest("shipment", one) == 2
+    assert store.read_appended("bronze.shipment_raw").count() == 2
+    assert late.conform("shipment") == 1 and late.conform("shipment") == 1
+    assert early.ingest("shipment", two) == 2  # arrives later, of an earlier instant
+    early.conform("shipment")
+    assert {r.shipment_id: r.status for r in store.read("silver.shipment").collect()} == {"a": "delivered", "b": "delivered", "c": "planned"}
+    assert store.read_appended("ops.schema_validation_log").count() == 2
+    assert len(store.inputs("silver.shipment")) == 2
+
+
+def test_trusted_system_survives_at_one_instant(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "lake"), buckets=2)
+    mapping = [("erp_system", "e1", "supplier", "BK", 1.0, True), ("wms_system", "w1", "supplier", "BK", 1.0, True)]
+    crosswalk = spark.createDataFrame(mapping, "source_system string, source_key string, entity_type string, business_key string, "
+                                               "confidence double, is_active boolean").withColumns({
+        "created_ts": F.lit("2024-01-01").cast("timestamp_ntz"), "updated_ts": F.lit("2024-01-01").cast("timestamp_ntz")})
+    store.replace(crosswalk, "silver.crosswalk", [])
+    job = Job(store, AS_OF)
+    for system, key, name in (("wms_system", "w1", "Alpha"), ("erp_system", "e1", "Zeta")):
+        path = str(tmp_path / f"{key}.json")
+        spark.createDataFrame([(key, name, "active", "Europe")], "supplier_id string, supplier_name string, status string, region string").write.json(path)
+        job.ingest("supplier", path, source_system=system)
+    job.conform("supplier")
+    assert [(r.business_key, r.name) for r in store.read("silver.supplier_scd2").collect()] == [("BK", "ZETA")]
+
+
 def brute_unified(positions, moves):
     out = []
     for item, supplier, day in positions:
@@ -108,24 +201,23 @@ def test_unified_plan_has_no_cross_join(spark):
 
 
 def _write_sources(spark, root):
-    short = F.when(F.col("region") == "North America", "NA").when(F.col("region") == "Asia Pacific", "APAC").when(
-        F.col("region") == "Latin America", "LATAM").otherwise(F.col("region"))
-    generate.suppliers(spark, 12, AS_OF).withColumn("region", short).write.option("header", True).csv(f"{root}/suppliers.csv")
+    generate.suppliers(spark, 12, AS_OF).write.option("header", True).csv(f"{root}/suppliers.csv")
     moves = generate.shipments(spark, 40, "2024-02-20 08:00:00").withColumn(
         "carrier_id", F.concat(F.lit("SUP_"), F.lpad((F.crc32("shipment_id") % 12 + 1).cast("string"), 6, "0")))
     moves.write.json(f"{root}/shipments.json")
     generate.inventory(spark, 30, AS_OF).write.parquet(f"{root}/inventory.parquet")
-    return {"supplier": f"{root}/suppliers.csv", "shipment": f"{root}/shipments.json", "inventory": f"{root}/inventory.parquet"}
+    generate.inventory(spark, 30, AS_OF).select(
+        "item_id", "location_id",
+        F.concat(F.lit("SUP_"), F.lpad((F.crc32("item_id") % 12 + 1).cast("string"), 6, "0")).alias("supplier_id"),
+    ).write.parquet(f"{root}/link.parquet")
+    return {"supplier": f"{root}/suppliers.csv", "shipment": f"{root}/shipments.json", "inventory": f"{root}/inventory.parquet",
+            "link": f"{root}/link.parquet"}
 
 
 def test_whole_run(spark, tmp_path):
     sources = _write_sources(spark, tmp_path / "in")
     root = str(tmp_path / "lake")
     store = Store(spark, root)
-    link = generate.inventory(spark, 30, AS_OF).select(
-        "item_id", "location_id",
-        F.concat(F.lit("SUP_"), F.lpad((F.crc32("item_id") % 12 + 1).cast("string"), 6, "0")).alias("supplier_id"))
-    store.replace(link, LINK, [])
     run(spark, root, "all", AS_OF, sources=sources)
     assert store.read("silver.supplier_scd2").filter("is_current").count() == 12
     assert store.read("silver.shipment").count() == 40
@@ -135,7 +227,9 @@ def test_whole_run(spark, tmp_path):
     assert store.read("gold.shipment_performance").agg(F.sum("total_shipments")).first()[0] == 40
     assert store.read_appended("ops.publish_gate_log").filter("can_publish").count() == 3
     assert store.read_appended("ops.schema_validation_log").count() == 3
-    assert store.read_appended("ops.lineage").count() == 6
+    lineage = {(r.target, r.source_table) for r in store.read_appended("ops.lineage").collect()}
+    assert ("gold.shipment_performance", "silver.shipment") in lineage and ("gold.unified_supply_chain", LINK) in lineage
+    assert len([x for x in lineage if x[0] == "gold.shipment_performance"]) == 1
     assert store.read_appended("ops.data_quality_status").filter("critical_checks_passed").count() == 3
     measured = {r.domain: r.rows_out for r in store.read_appended("ops.pipeline_metrics").collect()}
     assert measured["shipment"] == 40 and measured["unified_supply_chain"] == unified.count()
