@@ -92,11 +92,15 @@ def alerts(current_status: DataFrame, level: str = "breach") -> DataFrame:
     return current_status.filter(F.col("status") == level)
 
 
-def summary(current_status: DataFrame) -> DataFrame:
-    """One row of counts per status."""
+DETAIL = ("status", "age_minutes", "target_sla_minutes", "last_updated")
+
+
+def summary(current_status: DataFrame, slas: Mapping[str, Sla] = SLAS) -> DataFrame:
+    """One row: domains per status, then status, age, target and last update of every domain with a service level."""
     return current_status.agg(
         F.count("*").alias("total_domains"),
-        *[F.count_if(F.col("status") == s).alias(f"{s}_domains") for s in ("ok", "warning", "breach")],
+        *[F.count_if(F.col("status") == s).alias(f"{s}_domains") for s in ("ok", "warning", "breach", "missing")],
+        *[F.max(F.when(F.col("domain") == d, F.col(c))).alias(f"{d}_{c}") for d in slas for c in DETAIL],
     )
 
 

@@ -238,7 +238,7 @@ def _(t):
     return dq.may_publish(dq.run_rules(t.inventory_feed(), _row_rules(), inv.SNAPSHOT))
 
 
-@query("dq_rates", using="unified fx_inventory", check=f"""
+@query("dq_rates", using="unified fx_inventory dim_supplier", check=f"""
 SELECT 'completeness_rate' AS rate,
        round(avg((product_id IS NOT NULL AND location_id IS NOT NULL)::INT), 6) AS value FROM unified
 UNION ALL SELECT 'orphan_rate', round(avg((supplier_id IS NULL)::INT), 6) FROM unified
@@ -246,11 +246,11 @@ UNION ALL SELECT 'uniqueness_rate', round((SELECT count(*) FROM (SELECT DISTINCT
                                                             FROM fx_inventory)) / count(*)::DOUBLE, 6) FROM fx_inventory
 UNION ALL SELECT 'sla_compliance_rate', round(avg(CASE WHEN age <= breach THEN 1.0::DOUBLE ELSE 0 END), 6) FROM (
   SELECT date_diff('second', max(load_ts), TIMESTAMP '{AS_OF}') // 60 AS age, 8 AS breach FROM fx_inventory
+  UNION ALL SELECT date_diff('second', max(load_ts), TIMESTAMP '{AS_OF}') // 60, 1500 FROM dim_supplier
   UNION ALL SELECT date_diff('second', max(o_orderdate), TIMESTAMP '{AS_OF}') // 60, 75
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)""")
 def _(t):
-    states = freshness.refresh({"inventory": t.inventory_feed(), "logistics": t.shipment_feed()}, AS_OF)
-    return rounded(dq.rates(unified_whole(t), t.inventory_feed(), states), "value")
+    return rounded(dq.rates(unified_whole(t), t.inventory_feed(), _freshness(t)), "value")
 
 
 # --- publish gate -------------------------------------------------------------------------------------------
@@ -375,11 +375,11 @@ def _(t):
 SELECT dataset || '.' || table_name AS dataset,
        count(*) FILTER (WHERE NOT passed AND severity = 'critical') = 0 AS critical_checks_passed,
        coalesce(string_agg(check_id, ',' ORDER BY check_id) FILTER (WHERE NOT passed), '') AS failed_checks
-FROM (SELECT * FROM ({_GATE_SHIPMENT}) UNION ALL SELECT * FROM ({_GATE_INVENTORY})) GROUP BY 1""")
+FROM (SELECT * FROM ({_GATE_SHIPMENT}) UNION ALL SELECT * FROM ({_GATE_INVENTORY})
+      UNION ALL SELECT * FROM ({_GATE_SUPPLIER})) GROUP BY 1""")
 def _(t):
     tables = gate_tables(t)
-    results = gate.run_checks(t.spark, "silver", "shipment", tables, AS_OF).unionByName(
-        gate.run_checks(t.spark, "silver", "inventory_position", tables, AS_OF))
+    results = reduce(DataFrame.unionByName, [gate.run_checks(t.spark, "silver", name, tables, AS_OF) for name in tables])
     return gate.dq_response(results).select(
         "dataset", F.col("criticalChecksPassed").alias("critical_checks_passed"),
         F.array_join(F.col("failedChecks.checkId"), ",").alias("failed_checks"),
@@ -445,7 +445,9 @@ def _(t):
 @query("freshness_summary", using=_FRESH_TABLES, check=f"""
 SELECT count(*) AS total_domains, count(*) FILTER (WHERE status = 'ok') AS ok_domains,
        count(*) FILTER (WHERE status = 'warning') AS warning_domains,
-       count(*) FILTER (WHERE status = 'breach') AS breach_domains FROM ({_FRESHNESS})""")
+       count(*) FILTER (WHERE status = 'breach') AS breach_domains, count(*) FILTER (WHERE status = 'missing') AS missing_domains,
+       {", ".join(f"max({c}) FILTER (WHERE domain = '{d}') AS {d}_{c}" for d in freshness.SLAS for c in freshness.DETAIL)}
+FROM ({_FRESHNESS})""")
 def _(t):
     return freshness.summary(_freshness(t))
 
@@ -467,7 +469,8 @@ def _(t):
 @query("freshness_current", using=_FRESH_TABLES, check=f"SELECT * FROM ({_FRESHNESS})")
 def _(t):
     """Two evaluations in the status history; the later one is current."""
-    earlier = freshness.refresh({"inventory": t.inventory_feed(), "logistics": t.shipment_feed()}, "2001-11-01 00:00:00")
+    earlier = freshness.refresh(
+        {"supplier": supplier_dim(t), "logistics": t.shipment_feed(), "inventory": t.inventory_feed()}, "2001-11-01 00:00:00")
     return freshness.current(earlier.unionByName(_freshness(t)))
 
 
@@ -484,7 +487,15 @@ def _(t):
 # --- contracts ----------------------------------------------------------------------------------------------
 
 _CONTRACT_ERRORS = """
-SELECT shipment_id, planned_arrival, field_path, error_type, actual_value FROM (
+SELECT shipment_id, planned_arrival, field_path, error_type, 'error' AS severity,
+       CASE error_type WHEN 'missing_required_field' THEN 'Required field ''' || field_path || ''' is missing or null'
+            WHEN 'max_length_violation' THEN 'String length ' || length(actual_value) || ' exceeds maximum 50'
+            WHEN 'type_mismatch' THEN 'Expected type ''' || CASE field_path WHEN 'weight' THEN 'double' ELSE 'timestamp' END || ''''
+            WHEN 'invalid_value' THEN 'Value ''' || actual_value
+              || ''' is not in allowed values [''planned'', ''in_transit'', ''delivered'', ''cancelled'']'
+            ELSE 'Value ' || actual_value || ' is less than minimum 0.0' END AS message,
+       CASE WHEN error_type = 'type_mismatch' THEN CASE field_path WHEN 'weight' THEN 'double' ELSE 'timestamp' END END AS expected_type,
+       actual_value FROM (
 SELECT *, 'carrier_id' AS field_path, 'missing_required_field' AS error_type, NULL AS actual_value FROM fx_shipment_text
 WHERE carrier_id IS NULL
 UNION ALL SELECT *, 'destination', 'missing_required_field', NULL FROM fx_shipment_text WHERE destination IS NULL
@@ -502,8 +513,32 @@ SHIPMENT_CONTRACT = contracts.CONTRACTS["shipment_raw"]
 
 @query("contract_errors", using="fx_shipment_text", check=_CONTRACT_ERRORS)
 def _(t):
-    found = contracts.errors(t.shipment_text(), SHIPMENT_CONTRACT, ["shipment_id", "planned_arrival"])
-    return found.select("shipment_id", "planned_arrival", "field_path", "error_type", "actual_value")
+    return contracts.errors(t.shipment_text(), SHIPMENT_CONTRACT, ["shipment_id", "planned_arrival"])
+
+
+@query("contract_errors_supplier", using="fx_supplier_feed", check="""
+SELECT natural_key, load_ts, 'region' AS field_path, 'missing_required_field' AS error_type, 'error' AS severity,
+       'Required field ''region'' is missing or null' AS message, CAST(NULL AS VARCHAR) AS expected_type,
+       CAST(NULL AS VARCHAR) AS actual_value FROM fx_supplier_feed WHERE region IS NULL""")
+def _(t):
+    raw = t.supplier_feed().withColumns({"supplier_id": F.col("natural_key"), "supplier_name": F.col("name")})
+    return contracts.errors(raw, contracts.CONTRACTS["supplier_raw"], ["natural_key", "load_ts"])
+
+
+@query("contract_errors_inventory", using="fx_inventory", check="""
+SELECT item_id, location_id, snapshot_date, field_path, error_type, 'error' AS severity,
+       CASE error_type WHEN 'type_mismatch' THEN 'Expected type ''double''' ELSE 'Value ' || actual_value || ' is less than minimum 0.0' END
+         AS message,
+       CASE error_type WHEN 'type_mismatch' THEN 'double' END AS expected_type, actual_value FROM (
+SELECT *, 'quantity_on_hand' AS field_path, 'min_value_violation' AS error_type, CAST(quantity_on_hand AS VARCHAR) AS actual_value
+FROM fx_inventory WHERE quantity_on_hand < 0
+UNION ALL SELECT *, 'safety_stock', 'min_value_violation', CAST(safety_stock AS VARCHAR) FROM fx_inventory WHERE safety_stock < 0
+UNION ALL SELECT *, 'in_transit_qty', 'type_mismatch', CAST(in_transit_qty > 0 AS VARCHAR) FROM fx_inventory
+WHERE in_transit_qty IS NOT NULL)""")
+def _(t):
+    """Typed columns are judged, too: quantities in transit come as true or false here, which no number is."""
+    feed = t.inventory_feed().withColumn("in_transit_qty", F.col("in_transit_qty") > 0)
+    return contracts.errors(feed, contracts.CONTRACTS["inventory_raw"], ["item_id", "location_id", "snapshot_date"])
 
 
 @query("contract_counts", using="fx_shipment_text", check=f"""

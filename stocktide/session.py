@@ -21,6 +21,10 @@ SETTINGS = {
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "static",
+    # streams: sessions of one key are merged in each task before the shuffle; state lies on disk, not on the heap
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # no call-site capture per expression: it doubles the driver's cost of building wide plans
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
