@@ -28,7 +28,16 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._kept_at = path
+    return table
+
+
+def discard(table: DataFrame) -> None:
+    """Deletes a table of ``kept`` that no later step reads."""
+    spark = table.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(table._kept_at)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def release(spark: SparkSession) -> None:

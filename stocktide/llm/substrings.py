@@ -8,15 +8,16 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stocktide.llm.arrays import U, mixed, text_bytes
-from stocktide.llm.store import kept, release
+from stocktide.llm.store import discard, kept, release
 
 SCHEMA = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
 ANCHOR = 16  # bytes of an anchor
-PIECE = 1 << 23  # bytes looked at together; a longer document is cut with an overlap
+PIECE = 1 << 21  # bytes looked at together; a longer document is cut with an overlap
 POSITION = 24  # bits of a position in a piece
 NULL_ID = (1 << 63) - 1  # a document without an id comes after all others
 
@@ -216,7 +217,7 @@ def sorted_runs(found: DataFrame, width: int, buckets: int) -> DataFrame:
     longest = 2 * width - ANCHOR  # width after the anchor's start and width - ANCHOR before it
 
     def run(batches):
-        blocks = _block_ids()
+        blocks, pack = _block_ids(), zstandard.ZstdCompressor(level=1).compress
         for batch in batches:
             block = next(blocks)
             data, offsets = text_bytes(batch.column("text"))
@@ -230,8 +231,8 @@ def sorted_runs(found: DataFrame, width: int, buckets: int) -> DataFrame:
             total = after + off
             columns = np.arange(longest)
             strings = np.zeros((len(doc), longest), np.uint8)
-            for i in range(0, len(doc), 1 << 16):
-                j = min(i + (1 << 16), len(doc))
+            for i in range(0, len(doc), 1 << 14):
+                j = min(i + (1 << 14), len(doc))
                 x, y = at[i:j, None], after[i:j, None]
                 place = np.where(columns < y, x + columns, x - 1 - (columns - y))
                 live = columns < total[i:j, None]
@@ -272,8 +273,8 @@ def sorted_runs(found: DataFrame, width: int, buckets: int) -> DataFrame:
                                  batch.column("th").to_numpy().astype("<i8").tobytes() if k == home else b"")
                 refs = np.stack([np.repeat(np.arange(y - x), counts[x:y]).astype("<u4"), row[r], begin[r]], axis=1).astype("<u4") if y > x else np.zeros((0, 3), "<u4")
                 out.append(pa.table({"bucket": pa.array([k], pa.int32()), **{n: pa.array([v], pa.binary()) for n, v in (
-                    ("lcps", l.astype(np.uint8).tobytes()), ("sizes", t[h].astype(np.uint8).tobytes()), ("rests", s[h][keep].tobytes()),
-                    ("offs", o[h].astype(np.uint8).tobytes()), ("least", least[x:y].astype("<i8").tobytes()), ("refs", refs.tobytes()))}}
+                    ("lcps", l.astype(np.uint8).tobytes()), ("sizes", t[h].astype(np.uint8).tobytes()), ("rests", pack(s[h][keep].tobytes())),
+                    ("offs", o[h].astype(np.uint8).tobytes()), ("least", pack(least[x:y].astype("<i8").tobytes())), ("refs", pack(refs.T.tobytes())))}}
                     | {c: answer[c] for c in answer.column_names}))
             yield from pa.concat_tables(out).combine_chunks().to_batches()
 
@@ -394,10 +395,11 @@ def merged(runs: DataFrame, width: int) -> DataFrame:
     def merge(table: pa.Table) -> pa.Table:
         rows = table.num_rows
         offs = [x.as_py() for x in table["offs"]]
-        least = [np.frombuffer(x.as_py(), "<i8") for x in table["least"]]
-        refs = [np.frombuffer(x.as_py(), "<u4").reshape(-1, 3) for x in table["refs"]]
+        unpack = zstandard.ZstdDecompressor().decompress
+        least = [np.frombuffer(unpack(x.as_py()), "<i8") for x in table["least"]]
+        refs = [np.frombuffer(unpack(x.as_py()), "<u4").reshape(3, -1).T for x in table["refs"]]
         ref_cuts = [np.searchsorted(r[:, 0], np.arange(len(o) + 1)) for r, o in zip(refs, offs)]
-        tree = LoserTree([_decoded(*(table[c][k].as_py() for c in ("lcps", "sizes", "rests"))) for k in range(rows)])
+        tree = LoserTree([_decoded(table["lcps"][k].as_py(), table["sizes"][k].as_py(), unpack(table["rests"][k].as_py())) for k in range(rows)])
         told: list[list[np.ndarray]] = [[] for _ in range(rows)]
         strings, shapes, groups, members = [], [], [], []  # distinct strings since the last flush; (run, place, string) of each
         group = -1
@@ -461,15 +463,15 @@ def repeated_spans(docs: DataFrame, width: int = 50) -> DataFrame:
     """(did, th, a, b): first and end bytes of what is repeated in documents of smaller ids, for documents that have any.
 
     ``docs``: (did, th, text). Blocks and buckets follow the number of input partitions, so tasks keep their size as data
-    grow. Each stage is written to the shared folder before the next begins.
+    grow. Anchors and spans are written to the shared folder; what lies before them is let go.
     """
     buckets = max(8, 3 * docs.rdd.getNumPartitions())
     shared = kept(shared_anchors(docs, width, buckets), "anchors")
     release(docs.sparkSession)
     found = docs.join(shared, ["did", "th"]).select("did", "th", "text", "a", "b")
-    runs = kept(sorted_runs(found, width, buckets), "runs")
-    release(docs.sparkSession)
-    spans = kept(by_document(merged(runs, width)), "spans")
+    spans = kept(by_document(merged(sorted_runs(found, width, buckets), width)), "spans")
+    del found
+    discard(shared)
     release(docs.sparkSession)
     return spans
 
