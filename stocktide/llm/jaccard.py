@@ -210,6 +210,68 @@ def _linked(docs: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFram
     return sums.where(f"100 * shared >= {percent} * (nx + ny - shared)").select("x", "y").distinct()
 
 
+BLOCK = 256  # documents of a dense cluster of candidates compared at once
+
+
+def _linked_in_blocks(docs: DataFrame, clusters: DataFrame, n: int, percent: int) -> DataFrame:
+    """Links (x, y) that join everything which linked pairs inside ``clusters`` (doc_id, cluster) join.
+
+    A cluster's documents are dealt to blocks, and each pair of blocks is compared in a task of its own: overlaps of all its documents fragment by fragment, as products of incidence matrices,
+    summed. Of the links found only those leave the task that connect something new there, one per document at most, so a
+    large group of similar documents never becomes a list of its pairs.
+    """
+    sizes = clusters.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    placed = clusters.join(sizes, "cluster").withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    segments = kept(_segments(docs, clusters.select("doc_id"), n), "segments").dropDuplicates(["doc_id", "a", "part"])
+    rows = segments.join(placed, "doc_id").withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select(
+        "cluster", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "doc_id", "a", "n", "part", "grams")
+
+    def compare(table: pa.Table) -> pa.Table:
+        ids, a, part, own, many = (table.column(c).to_numpy() for c in ("doc_id", "a", "part", "own", "n"))
+        nodes, node = np.unique(np.stack([ids, a], axis=1), axis=0, return_inverse=True)
+        node = node.ravel()
+        size, block = np.zeros(len(nodes), np.int64), np.zeros(len(nodes), np.int64)
+        size[node], block[node] = many, own
+        shared = np.zeros((len(nodes), len(nodes)), np.int64)
+        grams = table.column("grams").combine_chunks()
+        for k in range(PARTS):
+            at = np.flatnonzero(part == k)
+            lengths = [len(grams[int(i)].as_buffer()) // 8 for i in at]
+            tokens = np.frombuffer(b"".join(grams[int(i)].as_py() for i in at), U)
+            owner = np.repeat(node[at], lengths)
+            _, code, counts = np.unique(tokens, return_inverse=True, return_counts=True)
+            keep = counts[code] > 1
+            owner, code = owner[keep], (np.cumsum(counts > 1) - 1)[code[keep]]
+            order = np.argsort(code, kind="stable")
+            owner, code = owner[order], code[order]
+            for start in range(0, int(code[-1]) + 1 if len(code) else 0, 8192):
+                x, y = np.searchsorted(code, [start, start + 8192])
+                there = np.zeros((len(nodes), 8192), np.float32)
+                there[owner[x:y], code[x:y] - start] = 1
+                shared += (there @ there.T).astype(np.int64)
+        near = 100 * shared >= percent * (size[:, None] + size[None] - shared)
+        near &= (block[:, None] != block[None]) if table.column("p")[0].as_py() != table.column("q")[0].as_py() else True
+        root = list(range(len(nodes)))
+
+        def top(i: int) -> int:
+            while root[i] != i:
+                root[i] = root[root[i]]
+                i = root[i]
+            return i
+
+        found = []
+        for i, j in zip(*(c.tolist() for c in np.nonzero(np.triu(near, 1)))):
+            x, y = top(i), top(j)
+            if x != y:
+                root[max(x, y)] = min(x, y)
+                if nodes[i, 0] != nodes[j, 0]:
+                    found.append((max(nodes[i, 0], nodes[j, 0]), min(nodes[i, 0], nodes[j, 0])))
+        found = np.array(found, np.int64).reshape(-1, 2)
+        return pa.table({"x": found[:, 0], "y": found[:, 1]})
+
+    return rows.groupBy("cluster", "p", "q").applyInArrow(compare, "x bigint, y bigint").distinct()
+
+
 def similarity_groups(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     """Groups of documents that links of Jaccard index ``percent``/100 or more connect.
 
@@ -254,15 +316,32 @@ def similarity_groups(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFra
     rows = kept(rows, "open")
     open_ = rows.groupBy("sign").agg(F.min("component").alias("c"), F.max("component").alias("d")).where("c < d").select("sign")
     rows = kept(rows.join(open_, "sign"), "open")
-    left, right = (rows.select("sign", *(F.col(c).alias(c + s) for c in ("first", "n", "component", "shape"))) for s in "xy")
+    # a linked pair shares ``needed`` signatures; leaving out the commonest ones of each document, fewer than that, loses none
+    common = rows.join(rows.groupBy("sign").agg(F.count("*").alias("many")), "sign")
+    spare = F.expr("cast(needed - 1 as int) * 3 div 4")
+    commonest = Window.partitionBy("first", F.expr("shiftright(shape, 33)")).orderBy(F.desc("many"), "sign")
+    common = common.withColumn("needed", _needed("shape", "(shape >> 1) & 4294967295", percent)).withColumn(
+        "place", F.row_number().over(commonest)).where(F.col("place") > spare)
+    left, right = (common.select("sign", *(F.col(c).alias(c + s) for c in ("first", "n", "component", "shape"))) for s in "xy")
     pairs = left.join(right, "sign").where("componentx < componenty").where(
         f"100 * least(nx, ny) >= {percent} * greatest(nx, ny) and (shapex & shapey & 1) = 0").select(
         F.greatest("firstx", "firsty").alias("x"), F.least("firstx", "firsty").alias("y"),
         _needed("shapex", "least((shapex >> 1) & 4294967295, (shapey >> 1) & 4294967295)", percent).alias("needed"))
-    pairs = pairs.groupBy("x", "y").agg(F.count("*").alias("shared"), F.min("needed").alias("needed")).where("shared >= needed").select("x", "y")
+    pairs = pairs.groupBy("x", "y").agg(F.count("*").alias("shared"), F.min("needed").alias("needed"))
+    pairs = pairs.where(F.col("shared") >= F.col("needed") - spare).select("x", "y")
     pairs = kept(pairs.join(stars, ["x", "y"], "left_anti"), "pairs")
     if not pairs.isEmpty():
-        more = kept(_linked(docs, pairs, n, percent), "links")
+        # candidates that hang together: where most of their pairs are candidates they are compared in blocks, else pair by pair
+        clusters = kept(components(pairs, "x", "y").withColumnsRenamed({"id": "doc_id", "component": "cluster"}), "clusters")
+        placed = pairs.join(clusters.withColumnRenamed("doc_id", "x"), "x")
+        dense = placed.groupBy("cluster").agg(F.count("*").alias("pairs")).join(
+            clusters.groupBy("cluster").agg(F.count("*").alias("size")), "cluster").where("size > 32 and 16 * pairs > size * size")
+        dense = kept(dense.select("cluster"), "dense")
+        few = kept(placed.join(dense, "cluster", "left_anti").select("x", "y"), "pairs")
+        more = _linked(docs, few, n, percent)
+        if not dense.isEmpty():
+            more = more.union(_linked_in_blocks(docs, clusters.join(dense, "cluster", "left_semi"), n, percent))
+        more = kept(more, "links")
         if not more.isEmpty():
             groups = kept(components(links.union(more), "x", "y"), "groups")
     release(docs.sparkSession)

@@ -106,3 +106,16 @@ def test_sets_are_distinct_shingles():
     texts = ["a b c d a b c d", "", "x", "a a a a a a", "A b\tC  d e"]
     h, bounds = jaccard.sets_of(*text_bytes(pa.array(texts)), 4)
     assert np.diff(bounds).tolist() == [len(shingle_set(t, 4)) for t in texts]
+
+
+def test_similar_documents_below_the_threshold(spark, monkeypatch):
+    """A large group in which nearly all pairs are candidates and few link."""
+    monkeypatch.setattr(jaccard, "BLOCK", 20)
+    rng = random.Random(8)
+    base = rng.choices([f"w{i}" for i in range(5000)], k=160)
+    texts = [changed(rng, base, 0.014) for _ in range(70)]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    wanted = brute(rows)
+    assert 5 < len({c for _, _, c in wanted}) < 65
+    assert sorted(map(tuple, jaccard.similarity_groups(docs).collect()), key=repr) == wanted
