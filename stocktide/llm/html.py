@@ -387,8 +387,10 @@ def main_text(source: str | None, model: Boosted) -> str:
 
 def train(pages: DataFrame, most: int = 400) -> Boosted:
     """Trees from at most ``most`` pages, those of smallest hash; from the built-in shapes alone if there are none."""
-    chosen = pages.where("html is not null").select(F.xxhash64("page_id", "url").alias("h"), "html").orderBy("h", "html").limit(most)
-    return fit([r["html"] for r in chosen.collect()])
+    hashed = pages.where("html is not null").withColumn("h", F.xxhash64("page_id", "url"))
+    bound = [r["h"] for r in hashed.select("h").orderBy("h").limit(most).collect()]
+    chosen = hashed.where(F.col("h") <= bound[-1]).select("h", "html").limit(2 * most).collect() if bound else []
+    return fit([r["html"] for r in sorted(chosen)][:most])
 
 
 def extract(pages: DataFrame, model: Boosted) -> DataFrame:
