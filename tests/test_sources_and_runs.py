@@ -316,3 +316,19 @@ def test_inventory_upsert_is_idempotent(spark, rows):
     once = inv.upsert(spark.createDataFrame([], INVENTORY), new)
     assert rows(once, "quantity_on_hand") == [(3.0,)]
     assert rows(inv.upsert(once, new)) == rows(once)
+
+
+def test_windows_left_open_are_written_by_a_later_run(spark, tmp_path):
+    schema = "id string, ts timestamp_ntz"
+    source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
+    day = dt.datetime(2024, 1, 1)
+
+    def run_with(*hours):
+        spark.createDataFrame([(str(h), day + dt.timedelta(hours=h)) for h in hours], schema).coalesce(1).write.mode("append").parquet(source)
+        stream = streams.file_stream(spark, source, spark.createDataFrame([], schema).schema)
+        streams.run_to_files(streams.tumbling_counts(stream, "ts", [], "1 hour", "10 minutes"), out, checkpoint)
+        return {r.window_start.hour: r.events for r in spark.read.parquet(out).collect()}
+
+    first = run_with(0.1, 0.2, 3.5)
+    assert first == {0: 2}  # the window of 3.5 is open when the input ends
+    assert run_with(9.0) == {0: 2, 3: 1}
