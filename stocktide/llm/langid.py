@@ -81,7 +81,7 @@ def features(texts: list[str], bits: int) -> list[tuple[np.ndarray, np.ndarray]]
     for _, _, data, offsets in text_chunks(pa.array(texts, pa.string()), 1):
         found = [b for _, b in subwords(data, offsets, bits)]
         buckets, counts = np.unique(np.concatenate(found) if found else np.zeros(0, np.int64), return_counts=True)
-        out.append((buckets, (counts / max(1, counts.sum())).astype(np.float32)))
+        out.append((buckets.astype(np.int32), (counts / max(1, counts.sum())).astype(np.float32)))
     return out
 
 
@@ -127,7 +127,7 @@ def fit(texts: list[str], labels: list[str], bits: int = 16, width: int = 16, ep
     return model
 
 
-def train(docs: DataFrame, most: int = 6000) -> Model | None:
+def train(docs: DataFrame, most: int = 4000) -> Model | None:
     """A model from at most ``most`` texts with a language, of the training folds; None if there are none."""
     rows = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (fold("doc_id", 4) != 2))
     found = sample(docs, rows.groupBy("doc_id").agg(F.min("lang").alias("lang")), most)

@@ -45,7 +45,7 @@ def sentences(data: np.ndarray, offsets: np.ndarray, bits: int) -> tuple[np.ndar
     starts = np.flatnonzero(first)
     n = len(starts)
     if not n:
-        return np.zeros((0, 1 + len(PREFIXES)), np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
+        return np.zeros((0, 1 + len(PREFIXES)), np.int32), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
     hashes = [run_hashes(signs, starts, live)]
     lengths = np.diff(np.append(starts, len(signs)))
     at = np.arange(starts[0], len(signs)) - np.repeat(starts, lengths)
@@ -53,7 +53,7 @@ def sentences(data: np.ndarray, offsets: np.ndarray, bits: int) -> tuple[np.ndar
         part = live.copy()
         part[starts[0] :] &= at < k
         hashes.append(run_hashes(signs, starts, part) ^ U(k))
-    buckets = np.stack([(h * U(0x9E3779B97F4A7C15)) >> U(64 - bits) for h in hashes], axis=1).astype(np.int64)
+    buckets = np.stack([(h * U(0x9E3779B97F4A7C15)) >> U(64 - bits) for h in hashes], axis=1).astype(np.int32)
     stops = np.cumsum(ENDS[data])[starts]
     texts = np.searchsorted(offsets, starts, "right")
     fresh = np.ones(n, bool)
@@ -104,17 +104,20 @@ def fit(texts: list[str], labels: list[int], bits: int = 21, epochs: int = 8, ra
     place = {int(row[0]): (k, i) for k, line in enumerate(lines) for i, row in enumerate(line)}
     y = np.asarray(labels, float)
     x = [sentences(data, offsets, bits) for _, _, data, offsets in text_chunks(pa.array(texts, pa.string()), 1)]
-    seen = np.zeros((2, 1 << bits))
+    seen = np.zeros((2, 1 << bits), np.int32)
     for (buckets, _, _), label in zip(x, labels):
         seen[int(label), np.unique(buckets)] += 1
     n = np.array([(y == 0).sum(), (y == 1).sum()]) + 1.0
-    df, share = seen.sum(axis=0), n[1] / n.sum()
-    observed = seen[1] / np.maximum(df, 1)
-    evidence = 2 * df * (observed * np.log(np.maximum(observed, 1e-9) / share)
-                         + (1 - observed) * np.log(np.maximum(1 - observed, 1e-9) / (1 - share)))
-    odds = np.log((seen[1] + 0.5) / n[1]) - np.log((seen[0] + 0.5) / n[0])
-    usual = df >= RARE
-    w = np.where(usual & (odds > 1) & (evidence > EVIDENCE), np.minimum(odds, 3), 0.0)
+    usual = seen.sum(axis=0) >= RARE
+    at = np.flatnonzero(usual)
+    good, bad, share = seen[0, at], seen[1, at], n[1] / n.sum()
+    observed = bad / (good + bad)
+    evidence = 2 * (good + bad) * (observed * np.log(np.maximum(observed, 1e-9) / share)
+                                   + (1 - observed) * np.log(np.maximum(1 - observed, 1e-9) / (1 - share)))
+    odds = np.log((bad + 0.5) / n[1]) - np.log((good + 0.5) / n[0])
+    w = np.zeros(1 << bits)
+    w[at] = np.where((odds > 1) & (evidence > EVIDENCE), np.minimum(odds, 3), 0.0)
+    del seen
     bias = -2.0
     done, steps = 0, epochs * len(x)
     for _ in range(epochs):
@@ -146,7 +149,7 @@ def fit(texts: list[str], labels: list[int], bits: int = 21, epochs: int = 8, ra
     return Model(w.astype(np.float32), float(bias), bits)
 
 
-def train(docs: DataFrame, labels: DataFrame, most: tuple[int, int] = (6000, 3000)) -> Model | None:
+def train(docs: DataFrame, labels: DataFrame, most: tuple[int, int] = (4000, 2000)) -> Model | None:
     """A model from at most ``most`` clean and toxic texts of the training folds; None if there are none.
 
     Several labels of one document: the highest counts.
@@ -154,8 +157,9 @@ def train(docs: DataFrame, labels: DataFrame, most: tuple[int, int] = (6000, 300
     rows = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (fold("doc_id", 5) != 0))
     rows = rows.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     found = [sample(docs, rows.where(F.col("toxic") == k), most[k]) for k in (0, 1)]
-    texts = [t for f in found for t in f["text"]]
-    return fit(texts, [int(t) for f in found for t in f["toxic"]]) if texts else None
+    texts, toxic = [t for f in found for t in f["text"]], [int(t) for f in found for t in f["toxic"]]
+    del found
+    return fit(texts, toxic) if texts else None
 
 
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
