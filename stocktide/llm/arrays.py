@@ -13,7 +13,7 @@ U = np.uint64
 #: Odd multipliers of the polynomial and shingle hashes.
 BASE = 0x9E3779B97F4A7C15
 STEPS = np.array([0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3], dtype=U)
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -180,7 +180,7 @@ def pretokens(points: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 class PieceCache:
     """Ids of pre-tokens seen before, as one pool of arrays; it starts afresh once it holds ``most`` pre-tokens."""
 
-    def __init__(self, encode, most: int = 1_500_000):
+    def __init__(self, encode, most: int = 800_000):
         self.encode, self.most = encode, most
         self.clear()
 
