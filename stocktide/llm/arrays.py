@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -9,6 +10,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+try:
+    _libc = ctypes.CDLL("libc.so.6")
+except OSError:  # another C library
+    _libc = None
+
 U = np.uint64
 #: Odd multipliers of the polynomial and shingle hashes.
 BASE = 0x9E3779B97F4A7C15
@@ -48,6 +54,14 @@ def text_chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[in
     data, offsets = text_bytes(column)
     for i, j in chunks(offsets, limit):
         yield i, j, data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
+    give_back()
+
+
+def give_back() -> None:
+    """Hands freed memory back to the system: a worker that waits for its next task then holds no more than its caches."""
+    pa.default_memory_pool().release_unused()
+    if _libc is not None:
+        _libc.malloc_trim(0)
 
 
 @lru_cache(maxsize=4)
@@ -180,7 +194,7 @@ def pretokens(points: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 class PieceCache:
     """Ids of pre-tokens seen before, as one pool of arrays; it starts afresh once it holds ``most`` pre-tokens."""
 
-    def __init__(self, encode, most: int = 800_000):
+    def __init__(self, encode, most: int = 300_000):
         self.encode, self.most = encode, most
         self.clear()
 

@@ -12,7 +12,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stocktide.llm.arrays import U, mixed, text_bytes
+from stocktide.llm.arrays import U, give_back, mixed, text_bytes
 from stocktide.llm.store import discard, kept, release
 
 SCHEMA = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
@@ -166,6 +166,8 @@ def shared_anchors(docs: DataFrame, width: int, buckets: int) -> DataFrame:
                     columns[name].append(value)
             kinds = {"bucket": pa.int32(), "block": pa.int64()}
             yield pa.RecordBatch.from_arrays([pa.array(v, kinds.get(k, pa.binary())) for k, v in columns.items()], list(columns))
+            columns.clear()
+            give_back()
 
     def answer(table: pa.Table) -> pa.Table:
         h = (_joined(table["high"], "<u4").astype(U) << U(16)) | _joined(table["low"], "<u2").astype(U)
@@ -277,6 +279,8 @@ def sorted_runs(found: DataFrame, width: int, buckets: int) -> DataFrame:
                     ("offs", o[h].astype(np.uint8).tobytes()), ("least", pack(least[x:y].astype("<i8").tobytes())), ("refs", pack(refs.T.tobytes())))}}
                     | {c: answer[c] for c in answer.column_names}))
             yield from pa.concat_tables(out).combine_chunks().to_batches()
+            out.clear()
+            give_back()
 
     return found.mapInArrow(run, RUNS)
 
