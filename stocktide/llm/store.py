@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import os
 import tempfile
+import time
 import uuid
 from pathlib import Path
 
@@ -41,9 +42,14 @@ def discard(table: DataFrame) -> None:
 
 
 def release(spark: SparkSession) -> None:
-    """Lets Spark drop the shuffle files of plans that nothing refers to any more."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Lets Spark drop the shuffle files of plans that nothing refers to any more.
+
+    Two rounds: what the first frees here lets go of the plans on Spark's side, which the second finds.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.2)
 
 
 def workers_see_package(spark: SparkSession) -> None:
