@@ -14,6 +14,7 @@ from stocktide.llm.store import kept, release
 
 CELL = 256  # nodes compared with each other when lists begin
 BLOCK = 512  # nodes of a saturated component compared at once
+CHUNK = 1024  # centres of blocks compared at once
 SAMPLE = 256  # nodes whose links the audit counts by brute force
 RECALL = 0.98  # of the audit; below it the lists begin anew with other cells beside what is known
 ROUNDS = 3
@@ -22,7 +23,11 @@ ROUNDS = 3
 def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     """Vectors of one length as unit rows in double precision."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    x = column.flatten().to_numpy().astype(np.float64).reshape(len(column), -1)
+    return matrix_of(column.flatten().to_numpy().reshape(len(column), -1))
+
+
+def matrix_of(x: np.ndarray) -> np.ndarray:
+    x = x.astype(np.float64)
     x = x / np.abs(x).max(axis=1, keepdims=True)  # no overflow of the squares
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
@@ -108,30 +113,95 @@ def _lists(nodes: DataFrame, count: int, k: int, seed: int, known: DataFrame | N
     return lists
 
 
-def _complete(nodes: DataFrame, members: DataFrame, saturated: DataFrame, threshold: float) -> DataFrame:
-    """(id, n): rows linked with each node of a component in which a list was full of links.
+def _blocks(placed: DataFrame) -> DataFrame:
+    """About ``BLOCK`` nodes of one component to a row, with the direction of their mean and the widest angle from it."""
+    kind = "<f4" if placed.schema["v"].dataType.elementType.simpleString() == "float" else "<f8"
+    sizes = placed.groupBy("dim", "component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    dealt = placed.join(sizes, ["dim", "component"]).withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+
+    def gather(table: pa.Table) -> pa.Table:
+        x = matrix(table.column("v"))
+        centre = x.mean(axis=0)
+        length = np.linalg.norm(centre)
+        wide = np.pi
+        if length > 1e-6:
+            centre = centre / length
+            wide = float(np.arccos(np.clip(x @ centre, -1, 1)).max())
+        values = table.column("v").combine_chunks().flatten().to_numpy().astype(kind)
+        ids, many = (table.column(c).to_numpy().astype("<i8").tobytes() for c in ("id", "many"))
+        return pa.table({"dim": pa.array([x.shape[1]], pa.int32()), "component": pa.array([table.column("component")[0].as_py()], pa.int64()),
+                         "ids": pa.array([ids], pa.binary()), "many": pa.array([many], pa.binary()), "values": pa.array([values.tobytes()], pa.binary()),
+                         "centre": pa.array([centre.tobytes()], pa.binary()), "wide": pa.array([wide], pa.float64())})
+
+    packed = dealt.select("dim", "component", "own", "id", "many", "v").groupBy("dim", "component", "own").applyInArrow(
+        gather, "dim int, component bigint, ids binary, many binary, values binary, centre binary, wide double")
+    return kept(packed.withColumn("block", F.monotonically_increasing_id()), "blocks")
+
+
+def _close(blocks: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) of blocks that may hold a link: left out are those whose centres lie further apart than both widths and the
+    angle of a link together, so no link is lost."""
+    chunks = F.lit(max(1, -(-blocks.count() // CHUNK)))
+
+    def gather(table: pa.Table) -> pa.Table:
+        return pa.table({"dim": table.column("dim")[:1], "chunk": table.column("chunk")[:1],
+                         "ids": pa.array([table.column("block").to_numpy().tobytes()], pa.binary()),
+                         "centres": pa.array([b"".join(table.column("centre").to_pylist())], pa.binary()),
+                         "wides": pa.array([table.column("wide").to_numpy().tobytes()], pa.binary())})
+
+    packed = blocks.select("dim", F.pmod(F.xxhash64("block"), chunks).cast("int").alias("chunk"), "block", "centre", "wide").groupBy(
+        "dim", "chunk").applyInArrow(gather, "dim int, chunk int, ids binary, centres binary, wides binary")
+    packed = kept(packed, "centres")
+    left, right = (packed.select("dim", *(F.col(c).alias(f"{c}_{s}") for c in ("chunk", "ids", "centres", "wides"))) for s in "ab")
+    reach = math.acos(max(-1.0, min(1.0, threshold))) + 1e-6  # more than rounding can take from an angle
+
+    def compare(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                (i, x, r), (j, y, w) = ((np.frombuffer(row[f"ids_{s}"], np.int64), np.frombuffer(row[f"centres_{s}"]).reshape(-1, row["dim"]),
+                                         np.frombuffer(row[f"wides_{s}"])) for s in "ab")
+                near = np.arccos(np.clip(x @ y.T, -1, 1)) <= r[:, None] + w[None] + reach
+                near |= (r[:, None] >= np.pi) | (w[None] >= np.pi)
+                if row["chunk_a"] == row["chunk_b"]:
+                    near &= i[:, None] <= j[None]
+                m, n = np.nonzero(near)
+                yield pa.RecordBatch.from_arrays([pa.array(i[m]), pa.array(j[n])], ["a", "b"])
 
-    Such lists grow to the whole component: its nodes are dealt to blocks, every pair of blocks is compared in a task of
-    its own, and only counts leave it.
+    return left.join(right, "dim").where("chunk_a <= chunk_b").mapInArrow(compare, "a bigint, b bigint")
+
+
+def _complete(nodes: DataFrame, members: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """(id, n): rows linked with each of ``members`` (id, component) among all of them, and (x, y): components that a link joins.
+
+    A list that was full of links may lack some to any other such list, also beyond its component. So the nodes are dealt to
+    blocks, and each pair of blocks that may hold a link is compared in a task of its own. Only counts leave it, and one pair
+    of components where a link crosses them.
     """
-    sizes = members.join(saturated, "component").groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    rows = members.join(sizes, "component").join(nodes, "id").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select(
-        "component", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "own", "id", "v", "many")
+    kind = "<f4" if nodes.schema["v"].dataType.elementType.simpleString() == "float" else "<f8"
+    blocks = _blocks(members.join(nodes, "id"))
+    pairs = kept(_close(blocks, threshold), "close")
+    left, right = (blocks.select(F.col("block").alias(s), *(["dim"] if s == "a" else []), *(
+        F.col(c).alias(f"{c}_{s}") for c in ("component", "ids", "many", "values"))) for s in "ab")
 
     def compare(table: pa.Table) -> pa.Table:
-        ids, many, own = (table.column(c).to_numpy() for c in ("id", "many", "own"))
-        x = matrix(table.column("v"))
-        a = table.column("a")[0].as_py()
-        left, right = np.flatnonzero(own == a), np.flatnonzero(own != a)
-        if table.column("b")[0].as_py() == a:
-            near = x @ x.T >= threshold
+        row = table.to_pylist()[0]
+        (i, m, x), (j, n, y) = ((np.frombuffer(row[f"ids_{s}"], "<i8"), np.frombuffer(row[f"many_{s}"], "<i8"), matrix_of(
+            np.frombuffer(row[f"values_{s}"], kind).reshape(-1, row["dim"]))) for s in "ab")
+        near = x @ y.T >= threshold
+        if row["a"] == row["b"]:
             np.fill_diagonal(near, False)
-            return pa.table({"id": ids, "n": near @ many})
-        near = x[left] @ x[right].T >= threshold
-        return pa.table({"id": np.concatenate([ids[left], ids[right]]), "n": np.concatenate([near @ many[right], near.T @ many[left]])})
+            ids, count = i, near @ m
+        else:
+            ids, count = np.concatenate([i, j]), np.concatenate([near @ n, near.T @ m])
+        some = count > 0
+        out = pa.table({"id": ids[some], "n": count[some], "x": pa.nulls(int(some.sum()), pa.int64()), "y": pa.nulls(int(some.sum()), pa.int64())})
+        if row["component_a"] != row["component_b"] and near.any():
+            out = pa.concat_tables([out, pa.table({"id": pa.nulls(1, pa.int64()), "n": pa.nulls(1, pa.int64()), "x": pa.array([row["component_a"]], pa.int64()),
+                                                   "y": pa.array([row["component_b"]], pa.int64())})])
+        return out
 
-    return rows.groupBy("component", "a", "b").applyInArrow(compare, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
+    met = kept(pairs.join(left, "a").join(right, "b").groupBy("a", "b").applyInArrow(compare, "id bigint, n bigint, x bigint, y bigint"), "met")
+    return met.where("id is not null").groupBy("id").agg(F.sum("n").alias("n")), met.where("x is not null").select("x", "y").distinct()
 
 
 def _audit(nodes: DataFrame, found: DataFrame, threshold: float) -> float:
@@ -165,8 +235,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, k: int = 16) ->
 
     Equal vectors become one node that counts for all of them, so a group of copies is never paired. Lists of ``k``
     neighbours begin in cells of random planes and improve through neighbours of neighbours until they settle. Where a list
-    is full of links it may be too short: the lists of its component grow to the whole component, block by block. An audit
-    compares a bounded sample's links with brute force; if it misses too many, lists begin anew from other cells. Every
+    is full of links it may be too short: the lists of its component grow, block by block, to the whole component and to every
+    other such component within reach. An audit compares a bounded sample's links with brute force; if it misses too many, lists begin anew from other cells. Every
     link is checked in double precision.
 
     One row per input row: vec_id, n_links (rows linked with it), component_id (smallest id reachable), kept. Vectors that
@@ -191,7 +261,9 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, k: int = 16) ->
         full = near.where(F.col("r") == k).select(F.col("u").alias("id")).join(linked, "id").select("component").distinct()
         both = links.union(links.select("w", "u"))
         few = both.join(nodes.select(F.col("id").alias("w"), "many"), "w").groupBy(F.col("u").alias("id")).agg(F.sum("many").alias("n"))
-        grown = _complete(nodes, linked, full, threshold)
+        grown, bridges = _complete(nodes, linked.join(full, "component").select("id", "component"), threshold)
+        joined = components(bridges, "x", "y").select(F.col("id").alias("component"), F.col("component").alias("joined"))
+        linked = kept(linked.join(joined, "component", "left").select("id", F.coalesce("joined", "component").alias("component")), "components")
         found = kept(few.union(grown).groupBy("id").agg(F.max("n").alias("n")), "found")
         if _audit(nodes, found, threshold) >= RECALL:
             break

@@ -90,3 +90,13 @@ def test_near_duplicates_by_brute_force(spark):
 @pytest.mark.parametrize("rows", [[], [(1, [1.0, 0.0])], [(1, [1.0, 0.0]), (2, [1.0, 0.0])], [(1, None)]])
 def test_near_duplicates_of_few_rows(spark, rows):
     assert sorted(map(tuple, neighbours.near_duplicates(frame(spark, rows)).collect()), key=repr) == brute(rows)
+
+
+def test_links_between_groups_whose_lists_are_full(spark):
+    rng = np.random.default_rng(5)
+    a, b, far = np.linalg.qr(rng.normal(size=(16, 3)))[0].T
+    centres = [a, 0.925 * a + np.sqrt(1 - 0.925**2) * b, far]  # the first two linked throughout, the third by itself
+    rows = [(100 * c + j, (centre + rng.normal(scale=0.003, size=16)).tolist()) for c, centre in enumerate(centres) for j in range(30)]
+    found = sorted(map(tuple, neighbours.near_duplicates(frame(spark, rows), k=16).collect()), key=repr)
+    assert {r[2] for r in found} == {0, 200} and {r[1] for r in found} == {59, 29}
+    assert found == brute(rows)
