@@ -15,9 +15,11 @@ from stocktide.llm.store import kept, release
 CELL = 256  # nodes compared with each other when lists begin
 BLOCK = 512  # nodes of a saturated component compared at once
 CHUNK = 1024  # centres of blocks compared at once
-SAMPLE = 256  # nodes whose links the audit counts by brute force
+SAMPLE = 256  # nodes whose links the audit counts by brute force at first
+ENOUGH = 100  # linked nodes the audit's sample is to hold
+VALUES = 1 << 20  # components of vectors that go to the tasks at once to be compared with all
 RECALL = 0.98  # of the audit; below it the lists begin anew with other cells beside what is known
-ROUNDS = 3
+ROUNDS = 3  # after which all nodes are compared
 
 
 def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -42,9 +44,19 @@ def _best(edges: DataFrame, k: int) -> DataFrame:
     return edges.groupBy("u", "w").agg(F.max("sim").alias("sim")).withColumn("r", F.row_number().over(order)).where(F.col("r") <= k)
 
 
-def _begin(nodes: DataFrame, count: int, k: int, seed: int, tables: int = 4) -> DataFrame:
-    """First lists: nodes that lie on the same sides of random planes, in cells of bounded size."""
-    bits = max(1, math.ceil(math.log2(max(2, count / (CELL / 2)))))
+def _planes(count: int) -> int:
+    return max(1, math.ceil(math.log2(max(2, count / (CELL / 2)))))
+
+
+def _tables(count: int, threshold: float, least: int = 4) -> int:
+    """Tables of cells in one of which a pair of cosine ``threshold`` meets but for half of what the audit lets pass."""
+    together = (1 - math.acos(max(-1.0, min(1.0, threshold))) / math.pi) ** _planes(count)
+    return least if together >= 1 else max(least, math.ceil(math.log((1 - RECALL) / 2) / math.log1p(-together))) if together > 0 else least
+
+
+def _begin(nodes: DataFrame, count: int, k: int, seed: list[int], tables: int, least: float = -2.0) -> DataFrame:
+    """First lists: nodes that lie on the same sides of random planes, in cells of bounded size; neighbours from ``least`` up."""
+    bits = _planes(count)
 
     def sides(batches):
         planes: dict[int, np.ndarray] = {}
@@ -54,7 +66,7 @@ def _begin(nodes: DataFrame, count: int, k: int, seed: int, tables: int = 4) ->
             for d in np.unique(dims):
                 rows = np.flatnonzero(dims == d)
                 if d not in planes:
-                    planes[d] = np.random.default_rng([seed, d]).normal(size=(d, tables * bits))
+                    planes[d] = np.random.default_rng([*seed, d]).normal(size=(d, tables * bits))
                 above = matrix(batch.column("v").take(pa.array(rows))) @ planes[d] > 0
                 codes[rows] = above.reshape(len(rows), tables, bits) @ (1 << np.arange(bits))
             for t in range(tables):
@@ -66,7 +78,7 @@ def _begin(nodes: DataFrame, count: int, k: int, seed: int, tables: int = 4) ->
     dealt = nodes.select("id", "v", "dim").mapInArrow(sides, f"id bigint, v {kind}, dim int, t int, code bigint")
     sizes = dealt.groupBy("dim", "t", "code").count()
     cells = dealt.join(sizes, ["dim", "t", "code"]).withColumn(
-        "part", F.pmod(F.xxhash64("id", F.lit(seed)), F.ceil(F.col("count") / CELL)))
+        "part", F.pmod(F.xxhash64("id", *map(F.lit, seed)), F.ceil(F.col("count") / CELL)))
 
     def compare(table: pa.Table) -> pa.Table:
         ids, x = table.column("id").to_numpy(), matrix(table.column("v"))
@@ -74,7 +86,9 @@ def _begin(nodes: DataFrame, count: int, k: int, seed: int, tables: int = 4) ->
         np.fill_diagonal(sim, -2)
         n = min(k, len(ids) - 1)
         near = np.argpartition(-sim, n - 1, axis=1)[:, :n] if n else np.zeros((len(ids), 0), np.int64)
-        return _edges(np.repeat(ids, n), ids[near.ravel()], np.take_along_axis(sim, near, axis=1).ravel())
+        u, w, sim = np.repeat(ids, n), ids[near.ravel()], np.take_along_axis(sim, near, axis=1).ravel()
+        high = sim >= least
+        return _edges(u[high], w[high], sim[high])
 
     return cells.select("dim", "t", "code", "part", "id", "v").groupBy("dim", "t", "code", "part").applyInArrow(
         compare, "u bigint, w bigint, sim double")
@@ -99,9 +113,15 @@ def _refine(nodes: DataFrame, lists: DataFrame, k: int) -> DataFrame:
     return met.groupBy("u").applyInArrow(join, "u bigint, w bigint, sim double")
 
 
-def _lists(nodes: DataFrame, count: int, k: int, seed: int, known: DataFrame | None, rounds: int = 6) -> DataFrame:
-    first = _begin(nodes, count, k, seed)
-    lists = kept(_best(first if known is None else first.union(known.select("u", "w", "sim")), k), "lists")
+def _lists(nodes: DataFrame, count: int, k: int, seed: int, known: DataFrame | None, threshold: float, rounds: int = 6) -> DataFrame:
+    """Lists begin in four tables of cells; the others, more the more planes there are, add links only, four tables at a time."""
+    first = _begin(nodes, count, k, [seed], 4)
+    if known is not None:
+        first = first.union(known.select("u", "w", "sim"))
+    for turn, done in enumerate(range(4, tables := _tables(count, threshold), 4)):
+        first = first.union(kept(_begin(nodes, count, k, [seed, turn], min(4, tables - done), threshold), "cells"))
+        release(nodes.sparkSession)
+    lists = kept(_best(first, k), "lists")
     total = lists.agg(F.sum("sim"), F.count("*")).first()
     for _ in range(rounds):
         lists = kept(_best(lists.select("u", "w", "sim").union(_refine(nodes, lists, k)), k), "lists")
@@ -204,30 +224,88 @@ def _complete(nodes: DataFrame, members: DataFrame, threshold: float) -> tuple[D
     return met.where("id is not null").groupBy("id").agg(F.sum("n").alias("n")), met.where("x is not null").select("x", "y").distinct()
 
 
-def _audit(nodes: DataFrame, found: DataFrame, threshold: float) -> float:
-    """Share of the links of a bounded sample of nodes, counted by brute force, that ``found`` (id, n) has."""
-    chosen = nodes.orderBy(F.xxhash64("id", F.lit(7)), "id").limit(SAMPLE).select("id", "v").collect()
-    wanted = [(r["id"], np.array(r["v"], np.float64)) for r in chosen]
-    shared = nodes.sparkSession.sparkContext.broadcast(wanted)
+def _compared(nodes: DataFrame, chosen: DataFrame, threshold: float) -> DataFrame:
+    """(id, n, x, y): links of a bounded number of ``chosen`` nodes to all, by brute force, and components that links join."""
+    asked: dict[int, tuple] = {}
+    table = chosen.select("id", "v", "dim", "component").toArrow()
+    dims = table.column("dim").to_numpy()
+    for d in np.unique(dims).tolist():
+        part = table.take(pa.array(np.flatnonzero(dims == d)))
+        asked[d] = part.column("id").to_numpy(), part.column("component").to_numpy(), matrix(part.column("v"))
+    shared = nodes.sparkSession.sparkContext.broadcast(asked)
 
     def count(batches):
-        own = {}
-        for i, v in shared.value:
-            own.setdefault(len(v), []).append((i, v / np.abs(v).max() / np.linalg.norm(v / np.abs(v).max())))
         for batch in batches:
-            dims, many = np.array(batch.column("dim").to_pylist()), np.array(batch.column("many").to_pylist())
-            ids = np.array(batch.column("id").to_pylist())
-            for d in np.unique(dims):
-                if d in own:
-                    rows = np.flatnonzero(dims == d)
-                    near = matrix(batch.column("v").take(pa.array(rows))) @ np.stack([v for _, v in own[d]]).T >= threshold
-                    asked = np.array([i for i, _ in own[d]])
-                    near &= ids[rows][:, None] != asked[None]
-                    yield pa.RecordBatch.from_arrays([pa.array(asked), pa.array(many[rows] @ near)], ["id", "n"])
+            dims, many, ids, groups = (batch.column(c).to_numpy() for c in ("dim", "many", "id", "component"))
+            for d in np.intersect1d(dims, list(shared.value)).tolist():
+                own, label, y = shared.value[d]
+                total, crossing = np.zeros(len(own), np.int64), set()
+                rows = np.flatnonzero(dims == d)
+                for at in np.split(rows, np.arange(CELL, len(rows), CELL)):
+                    near = matrix(batch.column("v").take(pa.array(at))) @ y.T >= threshold
+                    near &= ids[at][:, None] != own[None]
+                    total += many[at] @ near
+                    i, j = np.nonzero(near & (groups[at][:, None] != label[None]))
+                    crossing.update(zip(groups[at[i]].tolist(), label[j].tolist()))
+                some = np.flatnonzero(total)
+                x, y = (pa.array([c[e] for c in crossing], pa.int64()) for e in (0, 1))
+                yield pa.RecordBatch.from_arrays([pa.array(own[some]), pa.array(total[some]), *[pa.nulls(len(some), pa.int64())] * 2], ["id", "n", "x", "y"])
+                yield pa.RecordBatch.from_arrays([*[pa.nulls(len(x), pa.int64())] * 2, x, y], ["id", "n", "x", "y"])
+
+    return nodes.select("id", "v", "dim", "many", "component").mapInArrow(count, "id bigint, n bigint, x bigint, y bigint")
+
+
+def _slices(nodes: DataFrame) -> int:
+    """How many slices of about ``VALUES`` components the nodes are."""
+    return max(1, -(-nodes.agg(F.sum("dim")).first()[0] // VALUES))
+
 
-    true = nodes.mapInArrow(count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("true"))
-    total, got = true.join(found, "id", "left").agg(F.sum("true"), F.sum(F.least("true", F.coalesce("n", F.lit(0))))).first()
-    return 1.0 if not total else got / total
+def _slice(nodes: DataFrame, number: int, of: int) -> DataFrame:
+    return nodes.where(F.pmod(F.xxhash64("id", F.lit(7)), F.lit(of)) == number)
+
+
+def _audit(nodes: DataFrame, found: DataFrame, threshold: float) -> float:
+    """Share of the linked nodes of a sample whose links, counted by brute force, are all in ``found`` (id, n).
+
+    The sample grows until it holds enough linked nodes, to all nodes if need be.
+    """
+    nodes = nodes.withColumn("component", F.lit(0).cast("bigint"))
+    count, slices = nodes.count(), _slices(nodes)
+    of = max(slices, -(-count // SAMPLE))
+    parts = [(0, of)] + [(i, slices) for i in range(slices)]
+    linked = whole = 0
+    for turn, (number, of) in enumerate(parts):
+        if turn == 1:
+            linked = whole = 0  # the first slice holds these again
+        true = _compared(nodes, _slice(nodes, number, of), threshold).groupBy("id").agg(F.sum("n").alias("true"))
+        more = true.join(found, "id", "left").agg(F.count("*"), F.count_if(F.coalesce("n", F.lit(0)) >= F.col("true"))).first()
+        linked, whole = linked + more[0], whole + more[1]
+        if linked >= ENOUGH:
+            break
+    return whole / linked if linked else 1.0
+
+
+def _joined(members: DataFrame, bridges: DataFrame) -> DataFrame:
+    """``members`` (id, component) with components that ``bridges`` (x, y) join as one."""
+    bridges = kept(bridges, "bridges")
+    if bridges.isEmpty():
+        return members
+    joined = components(bridges, "x", "y").select(F.col("id").alias("component"), F.col("component").alias("joined"))
+    return kept(members.join(joined, "component", "left").select("id", F.coalesce("joined", "component").alias("component")), "components")
+
+
+def _all(nodes: DataFrame, linked: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """``found`` and ``linked`` by comparing all nodes, a slice of them at a time."""
+    named = kept(nodes.join(linked, "id", "left").withColumn("component", F.coalesce("component", "id")), "named")
+    parts, of = [], _slices(named)
+    for number in range(of):
+        part = _compared(named, _slice(named, number, of), threshold)
+        parts.append(kept(part.groupBy("id", "x", "y").agg(F.sum("n").alias("n")), "compared"))
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.union(part)
+    bridges = whole.where("x is not null").select("x", "y").distinct()
+    return whole.where("id is not null").select("id", "n"), _joined(named.select("id", "component"), bridges)
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = 0.9, k: int = 16) -> DataFrame:
@@ -236,7 +314,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, k: int = 16) ->
     Equal vectors become one node that counts for all of them, so a group of copies is never paired. Lists of ``k``
     neighbours begin in cells of random planes and improve through neighbours of neighbours until they settle. Where a list
     is full of links it may be too short: the lists of its component grow, block by block, to the whole component and to every
-    other such component within reach. An audit compares a bounded sample's links with brute force; if it misses too many, lists begin anew from other cells. Every
+    other such component within reach. An audit compares a sample's links with brute force; if too few of its linked nodes have
+    all, lists begin anew from other cells, and after ``ROUNDS`` times all nodes are compared with all. Every
     link is checked in double precision.
 
     One row per input row: vec_id, n_links (rows linked with it), component_id (smallest id reachable), kept. Vectors that
@@ -254,7 +333,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, k: int = 16) ->
     count = nodes.count()
     lists, found, linked = None, None, None
     for turn in range(ROUNDS if count > 1 else 0):
-        lists = _lists(nodes, count, k, turn, lists)
+        lists = _lists(nodes, count, k, turn, lists, threshold)
         near = lists.where(F.col("sim") >= threshold)
         links = kept(near.select(F.least("u", "w").alias("u"), F.greatest("u", "w").alias("w")).distinct(), "links")
         linked = kept(components(links, "u", "w"), "components")
@@ -262,11 +341,13 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, k: int = 16) ->
         both = links.union(links.select("w", "u"))
         few = both.join(nodes.select(F.col("id").alias("w"), "many"), "w").groupBy(F.col("u").alias("id")).agg(F.sum("many").alias("n"))
         grown, bridges = _complete(nodes, linked.join(full, "component").select("id", "component"), threshold)
-        joined = components(bridges, "x", "y").select(F.col("id").alias("component"), F.col("component").alias("joined"))
-        linked = kept(linked.join(joined, "component", "left").select("id", F.coalesce("joined", "component").alias("component")), "components")
+        linked = _joined(linked, bridges)
         found = kept(few.union(grown).groupBy("id").agg(F.max("n").alias("n")), "found")
         if _audit(nodes, found, threshold) >= RECALL:
             break
+    else:
+        if count > 1:
+            found, linked = _all(nodes, linked, threshold)
     at = nodes.select("v", "id", "many", "first")
     if found is None:
         at = at.select("v", "many", F.lit(0).cast("bigint").alias("n"), F.col("first").alias("component"))

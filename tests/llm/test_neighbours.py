@@ -100,3 +100,35 @@ def test_links_between_groups_whose_lists_are_full(spark):
     found = sorted(map(tuple, neighbours.near_duplicates(frame(spark, rows), k=16).collect()), key=repr)
     assert {r[2] for r in found} == {0, 200} and {r[1] for r in found} == {59, 29}
     assert found == brute(rows)
+
+
+def near_pairs(rng, pairs, first=0):
+    out = []
+    for p in range(pairs):
+        centre = rng.normal(size=16)
+        out += [(first + 2 * p + j, (centre + rng.normal(scale=0.02, size=16)).tolist()) for j in range(2)]
+    return out
+
+
+def test_lists_that_stay_short_end_in_comparing_all(spark, monkeypatch):
+    rows = near_pairs(np.random.default_rng(6), 60) + [(500, [1.0, 0.0, 0.1]), (501, [1.0, 0.1, 0.0])]
+    descend = neighbours._lists
+    monkeypatch.setattr(neighbours, "_lists", lambda *a, **b: descend(*a, **b).where("u % 3 = 0 and w % 3 = 0"))
+    monkeypatch.setattr(neighbours, "ROUNDS", 1)
+    assert sorted(map(tuple, neighbours.near_duplicates(frame(spark, rows)).collect()), key=repr) == brute(rows)
+
+
+def test_audit_weighs_nodes_not_links(spark):
+    rng = np.random.default_rng(7)
+    rows = near_pairs(rng, 100)
+    centre = rng.normal(size=16)
+    rows += [(1000 + j, (centre + rng.normal(scale=0.01, size=16)).tolist()) for j in range(200)]
+    nodes = spark.createDataFrame([(i, v, 16, 1) for i, v in rows], "id long, v array<float>, dim int, many long")
+    found = [(i, n) for i, n, _, _ in brute(rows) if i >= 100]  # half of the pairs are lost
+    assert 0.5 < neighbours._audit(nodes, spark.createDataFrame(found, "id long, n long"), 0.9) < 0.9
+
+
+def test_tables_grow_with_planes():
+    for count in (1000, 100_000, 10_000_000):
+        apart = 1 - (1 - np.arccos(0.9) / np.pi) ** neighbours._planes(count)
+        assert apart ** neighbours._tables(count, 0.9) <= 1 - neighbours.RECALL
