@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -90,7 +91,7 @@ def fit(texts: list[str], labels: list[str], bits: int = 16, width: int = 16, ep
     """Stochastic gradient descent over single texts, four fifths of them; the rest sets temperature and threshold.
 
     The temperature minimises the rest's log loss. The threshold is the score that all but a share ``1 - keep`` of the
-    rest's rightly labelled texts reach (at most 1.5 times the chance score): below it a text is rejected.
+    rest's rightly labelled texts reach: below it a text is rejected.
     """
     classes = sorted(set(labels))
     rng = np.random.default_rng(seed)
@@ -122,15 +123,29 @@ def fit(texts: list[str], labels: list[str], bits: int = 16, width: int = 16, ep
     model.temperature = float(grid[int(np.argmin(loss))])
     p = softmax(z / model.temperature)
     right = p.max(axis=1)[p.argmax(axis=1) == y[held]]
-    chance = 1.5 / len(classes)
-    model.threshold = float(min(np.quantile(right, 1 - keep), chance)) if len(right) else 0.0
+    model.threshold = float(np.quantile(right, 1 - keep)) if len(right) else 0.0
     return model
 
 
+def shares(counts: dict[str, int], most: int) -> dict[str, int]:
+    """Of each language as many of ``most`` texts as of any other; what a rare one leaves goes to the others. One at least."""
+    out, left = {}, most
+    for done, (lang, count) in enumerate(sorted(counts.items(), key=lambda c: (c[1], c[0]))):
+        out[lang] = min(count, max(1, left // (len(counts) - done)))
+        left -= out[lang]
+    return out
+
+
 def train(docs: DataFrame, most: int = 4000) -> Model | None:
-    """A model from at most ``most`` texts with a language, of the training folds; None if there are none."""
+    """A model from at most ``most`` texts with a language, of the training folds, dealt evenly to the languages (at least one
+    text of each); None if there are none."""
     rows = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (fold("doc_id", 4) != 2))
-    found = sample(docs, rows.groupBy("doc_id").agg(F.min("lang").alias("lang")), most)
+    rows = rows.where("text is not null").groupBy("doc_id").agg(F.min("lang").alias("lang"))
+    share = shares({r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}, most)
+    each = [rows.where(F.col("lang") == lang).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n) for lang, n in sorted(share.items())]
+    if not each:
+        return None
+    found = sample(docs, reduce(DataFrame.union, each), sum(share.values()))
     return fit(found["text"].tolist(), found["lang"].tolist()) if len(found) else None
 
 

@@ -152,3 +152,25 @@ def test_quality_of_odd_texts(spark, labelled):
     assert {r.score for r in got if r.doc_id in (1, 2, 3)} == {model.empty}
     assert quality.predict(empty(spark), model).count() == 0
     assert quality.train(labelled[0], no_labels(spark, "quality")) is None
+
+
+def test_rare_language_is_learned(spark):
+    words = {"aa": ["bako", "tami", "rolu"], "zz": ["xeqiv", "wyzzo", "qurjy"]}
+    rows = [(i, " ".join(words["aa"][(i * 7 + j) % 3] for j in range(12)), "aa") for i in range(3000)]
+    rows += [(10_000 + i, " ".join(words["zz"][(i + j) % 3] for j in range(12)), "zz") for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = langid.predict(docs, langid.train(docs, most=40)).toPandas()
+    assert (got[got.doc_id >= 10_000].lang_pred == "zz").all() and (got[got.doc_id < 10_000].lang_pred == "aa").all()
+
+
+def test_threshold_is_that_of_the_held_texts():
+    rng = np.random.default_rng(8)
+    common = ["bako", "tami", "rolu", "nesi"]
+    texts = [" ".join(rng.choice([*common, own], 6)) for own in ("xeqiv", "wyzzo", "qurjy") for _ in range(100)]
+    langs = [lang for lang in "abc" for _ in range(100)]
+    assert langid.fit(texts, langs, keep=0.5).threshold > 0.5  # the middle of right held scores, not 1.5 / 3 at most
+
+
+def test_shares_of_languages():
+    assert langid.shares({"a": 1000, "b": 3, "c": 500}, 103) == {"a": 50, "b": 3, "c": 50}
+    assert langid.shares({}, 5) == {}
