@@ -192,38 +192,51 @@ def pretokens(points: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 class PieceCache:
-    """Ids of pre-tokens seen before, as one pool of arrays; it starts afresh once it holds ``most`` pre-tokens."""
+    """Ids of pre-tokens seen before, by the pre-token itself. Two generations of at most ``most`` / 2 pre-tokens each: when
+    the younger is full it becomes the older one, so what comes up often stays."""
 
-    def __init__(self, encode, most: int = 300_000):
+    def __init__(self, encode, most: int = 400_000):
         self.encode, self.most = encode, most
-        self.clear()
-
-    def clear(self) -> None:
-        self.place: dict[int, int] = {}
-        self.starts = np.zeros(1, np.int64)
-        self.pool = np.zeros(0, np.uint32)
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def distinct(self, text: str, points: np.ndarray, starts: np.ndarray) -> tuple[list[str], np.ndarray]:
+        """The different pre-tokens, and which of them each pre-token is. Hashes only group them; every pre-token is compared
+        with the one that stands for its group, and a block in which a hash deceives is grouped by the strings themselves."""
+        ends = np.append(starts[1:], len(points))
+        _, where, inverse = np.unique(run_hashes(points, starts), return_index=True, return_inverse=True)
+        sizes, first = ends - starts, starts[where][inverse]
+        same = np.array_equal(sizes, (ends - starts)[where][inverse])
+        if same and len(starts):
+            shift = np.repeat(first - starts, sizes)
+            shift += np.arange(starts[0], len(points))
+            same = np.array_equal(points[shift], points[starts[0] :])
+        if same:
+            return [text[a:b] for a, b in zip(starts[where].tolist(), ends[where].tolist())], inverse
+        place: dict[str, int] = {}
+        inverse = np.array([place.setdefault(text[a:b], len(place)) for a, b in zip(starts.tolist(), ends.tolist())], np.int64)
+        return list(place), inverse
 
     def ids(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, and where those of each text begin."""
         text, points, bounds = code_points(data, offsets)
         starts = pretokens(points, bounds)
-        keys, where, inverse = np.unique(run_hashes(points, starts), return_index=True, return_inverse=True)
-        keys = keys.tolist()
-        if len(self.place) > self.most:
-            self.clear()
-        missing = [i for i, k in enumerate(keys) if k not in self.place]
+        pieces, inverse = self.distinct(text, points, starts)
+        young, old = self.young, self.old
+        found = [young.get(p) or old.get(p) for p in pieces]
+        missing = [i for i, ids in enumerate(found) if ids is None]
         if missing:
-            ends = np.append(starts[1:], len(points))
-            at = where[missing]
-            found = self.encode([text[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)])
-            sizes = np.fromiter(map(len, found), np.int64, len(found))
-            base = len(self.starts) - 1
-            self.place.update((keys[i], base + j) for j, i in enumerate(missing))
-            self.starts = np.append(self.starts, self.starts[-1] + np.cumsum(sizes))
-            self.pool = np.append(self.pool, np.fromiter((x for ids in found for x in ids), np.uint32, int(sizes.sum())))
-        slot = np.fromiter(map(self.place.__getitem__, keys), np.int64, len(keys))[inverse]
-        sizes = (self.starts[1:] - self.starts[:-1])[slot]
-        ends = np.zeros(len(slot) + 1, np.int64)
-        np.cumsum(sizes, out=ends[1:])
-        at = np.arange(ends[-1]) + np.repeat(self.starts[slot] - ends[:-1], sizes)
-        return self.pool[at], ends[np.searchsorted(starts, bounds)]
+            for i, ids in zip(missing, self.encode([pieces[i] for i in missing])):
+                found[i] = np.array(ids, np.uint32).tobytes()
+        if len(young) > self.most // 2:
+            self.old, young = young, {}
+            self.young = young
+        young.update(zip(pieces, found))
+        pool = np.frombuffer(b"".join(found), np.uint32)
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) >> 2
+        begins = np.cumsum(sizes) - sizes
+        taken = sizes[inverse]
+        ends = np.zeros(len(inverse) + 1, np.int64)
+        np.cumsum(taken, out=ends[1:])
+        at = np.arange(ends[-1]) + np.repeat(begins[inverse] - ends[:-1], taken)
+        return pool[at], ends[np.searchsorted(starts, bounds)]

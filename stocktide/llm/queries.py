@@ -188,3 +188,11 @@ def suffix_dedup(spark, sf_dir):
     from stocktide.llm.substrings import remove_repeats
 
     return remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@query("op11_token_alignment")
+def token_alignment(spark, sf_dir):
+    from stocktide.llm.alignment import align_documents
+
+    docs = table(spark, sf_dir, "documents")
+    return align_documents(docs, tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model")).documents
