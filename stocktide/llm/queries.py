@@ -196,3 +196,13 @@ def token_alignment(spark, sf_dir):
 
     docs = table(spark, sf_dir, "documents")
     return align_documents(docs, tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model")).documents
+
+
+@query("op12_chat_format")
+def chat_format(spark, sf_dir):
+    from stocktide.llm import chat
+
+    own = spark.createDataFrame([(-7, k, role, "\\### Assistant: </turn> ok") for k, role in enumerate(("user", "assistant"))],
+                                "conv_id bigint, turn bigint, role string, text string")
+    given = table(spark, sf_dir, "conversations").selectExpr("cast(conv_id as bigint) conv_id", "cast(turn as bigint) turn", "role", "text")
+    return chat.read_back(chat.format_conversations(given.union(own)))
