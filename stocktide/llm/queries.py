@@ -206,3 +206,43 @@ def chat_format(spark, sf_dir):
                                 "conv_id bigint, turn bigint, role string, text string")
     given = table(spark, sf_dir, "conversations").selectExpr("cast(conv_id as bigint) conv_id", "cast(turn as bigint) turn", "role", "text")
     return chat.read_back(chat.format_conversations(given.union(own)))
+
+
+@query("op13_collocations", """
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang,
+           unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                        '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), w AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), grams AS (
+    SELECT lang, k, unnest([array_to_string(w[i : i + k - 1], ' ') FOR i IN range(1, len(w) - k + 2)]) AS phrase
+    FROM w, (SELECT unnest([1, 2, 3, 4]) AS k)
+), lengths AS (
+    SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang
+), f AS (
+    SELECT lang, k, phrase, count(*) AS f, string_split(phrase, ' ') AS w FROM grams GROUP BY lang, k, phrase HAVING count(*) >= 30
+), held AS (
+    SELECT lang, unnest(flatten([[array_to_string(w[i : i + m - 1], ' ') FOR i IN range(1, k - m + 2)] FOR m IN range(2, k)])) AS phrase, f
+    FROM f WHERE k > 2
+), longer AS (
+    SELECT lang, phrase, max(f) AS f FROM held GROUP BY lang, phrase
+), chosen AS (
+    SELECT f.* FROM f LEFT JOIN longer USING (lang, phrase) WHERE k > 1 AND (longer.f IS NULL OR 100::HUGEINT * longer.f < 80::HUGEINT * f.f)
+), cuts AS (
+    SELECT lang, phrase, f AS a, w, unnest(range(1, k)) AS cut FROM chosen
+), scored AS (
+    SELECT c.lang, c.phrase, a, x.f AS l, y.f AS r,
+           CAST((2000000::HUGEINT * a) // (x.f + y.f) AS BIGINT) AS score,
+           row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY (2000000::HUGEINT * a) // (x.f + y.f), cut) AS place
+    FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1 : cut], ' ')
+                JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[cut + 1 :], ' ')
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM scored WHERE place = 1
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN lengths USING (lang) WHERE rank <= 2000""")
+def phrase_collocations(spark, sf_dir):
+    from stocktide.llm.collocations import collocations
+
+    return collocations(table(spark, sf_dir, "documents"))
