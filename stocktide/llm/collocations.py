@@ -15,9 +15,9 @@ from stocktide.llm.store import discard, kept, release
 
 LONGEST = 4
 #: Texts of about so many bytes make a block; their stripes leave it as one.
-BLOCK_BYTES = 8 << 20
-#: Stripe entries merged in one task, at most on average; a stripe is split into so many parts by the next word.
-SLOT_ENTRIES = 2_000_000
+BLOCK_BYTES = 4 << 20
+#: Bytes of text whose stripes are merged in one task, on average; a stripe is split into so many parts by the next word.
+SLOT_BYTES = 12 << 20
 PARTS = 64
 
 BREAK = np.zeros(256, bool)
@@ -25,7 +25,7 @@ BREAK[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
 NO_WORD = BREAK.copy()
 NO_WORD[[0x20, 0x09]] = True
 
-WORDS = "block bigint, local int, lang string, word string, n bigint, sequence binary"
+VOCABULARY = "block bigint, payload binary, lang string, word string, id bigint, f bigint"
 LEVEL = "block bigint, slot bigint, payload binary"
 MERGED = "block bigint, payload binary, prefix bigint, next bigint, id bigint, f bigint, longest bigint"
 
@@ -51,11 +51,11 @@ def find_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, fresh
 
 
-def distinct_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lang: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """One place of each different (language, word), and which of them each word is. Words are grouped by hash and compared
+def distinct_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lang: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One place of each different (language, word), which of them each word is, and a hash of each word by itself. Words are grouped by hash and compared
     with the one that stands for their group; where a hash deceives, they are grouped by their bytes."""
     if not len(starts):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, U)
     sizes = ends - starts
     # runs without the gaps: word bytes end to end
     heads = np.cumsum(sizes) - sizes
@@ -67,53 +67,105 @@ def distinct_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lang:
         j = min(i + step, len(starts))
         a = int(heads[i])
         hashes[i:j] = run_hashes(solid[a : int(heads[j - 1] + sizes[j - 1])], heads[i:j] - a)
-    hashes = mixed(hashes + lang.astype(U) * U(0x9E3779B97F4A7C15))
-    _, where, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+    _, where, inverse = np.unique(mixed(hashes + lang.astype(U) * U(0x9E3779B97F4A7C15)), return_index=True, return_inverse=True)
     stand = where[inverse]
     same = np.array_equal(sizes, sizes[stand]) and np.array_equal(lang, lang[stand])
     if same:
         same = np.array_equal(solid, solid[np.arange(len(solid)) + np.repeat(heads[stand] - heads, sizes)])
     if same:
-        return where, inverse
+        return where, inverse, hashes[where]
     place: dict = {}
     text = solid.tobytes()
     keys = zip(lang.tolist(), (text[a : a + n] for a, n in zip(heads.tolist(), sizes.tolist())))
     inverse = np.array([place.setdefault(k, len(place)) for k in keys], np.int64)
     where = np.zeros(len(place), np.int64)
     where[inverse[::-1]] = np.arange(len(inverse))[::-1]
-    return where, inverse
-
-
-def _read_words(batches) -> Iterator[pa.RecordBatch]:
-    from pyspark import TaskContext
-
-    names = [f.split()[0] for f in WORDS.split(", ")]
-    block = TaskContext.get().partitionId() << 32
-    for batch in batches:
-        langs = pc.dictionary_encode(batch.column("lang"))
-        for i, j, data, offsets in text_chunks(batch.column("text"), BLOCK_BYTES):
-            data = LOWER[data]
-            starts, ends, fresh = find_words(data, offsets)
-            of_text = np.searchsorted(offsets, starts, "right") - 1
-            lang = langs.indices.slice(i, j - i).to_numpy(zero_copy_only=False)[of_text].astype(np.int64)
-            where, inverse = distinct_words(data, starts, ends, lang)
-            counts = np.bincount(inverse, minlength=len(where))
-            order = np.argsort(-counts, kind="stable")  # frequent words get small numbers, which pack well
-            rank = np.empty(len(order), np.int64)
-            rank[order] = np.arange(len(order))
-            where, counts = where[order], counts[order]
-            sequence = np.insert(rank[inverse] + 1, np.flatnonzero(fresh), 0).astype("<u4") if len(inverse) else np.zeros(0, "<u4")
-            text = data.tobytes()
-            words = [text[a:b].decode() for a, b in zip(starts[where].tolist(), ends[where].tolist())]
-            n = len(words)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(n, block)), pa.array(np.arange(n), pa.int32()), langs.dictionary.take(pa.array(lang[where])).cast(pa.string()),
-                 pa.array(words, pa.string()), pa.array(counts, pa.int64()), pa.nulls(n, pa.binary())], names)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([block]), pa.array([-1], pa.int32()), pa.nulls(1, pa.string()), pa.nulls(1, pa.string()), pa.array([len(inverse)], pa.int64()),
-                 pa.array([sequence.tobytes()], pa.binary())], names)
-            block += 1
+    return where, inverse, hashes[where]
+
+
+def _read_words(slots: int):
+    """Blocks of texts as word numbers (slot -1), and of each block the stripe of the empty prefix: how often each word of each
+    language occurs in it, dealt to ``slots`` by the word."""
+
+    def read(batches):
+        from pyspark import TaskContext
+
+        block = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            langs = pc.dictionary_encode(batch.column("lang"))
+            for i, j, data, offsets in text_chunks(batch.column("text"), BLOCK_BYTES):
+                data = LOWER[data]
+                starts, ends, fresh = find_words(data, offsets)
+                of_text = np.searchsorted(offsets, starts, "right") - 1
+                lang = langs.indices.slice(i, j - i).to_numpy(zero_copy_only=False)[of_text].astype(np.int64)
+                where, inverse, hashes = distinct_words(data, starts, ends, lang)
+                counts = np.bincount(inverse, minlength=len(where))
+                order = np.argsort(-counts, kind="stable")  # frequent words get small numbers, which pack well
+                rank = np.empty(len(order), np.int64)
+                rank[order] = np.arange(len(order))
+                sequence = np.insert(rank[inverse] + 1, np.flatnonzero(fresh), 0).astype("<u4") if len(inverse) else np.zeros(0, "<u4")
+                slot = (hashes % U(slots)).astype(np.int64)
+                by_slot = np.argsort(slot, kind="stable")
+                text, at = data.tobytes(), where[by_slot]
+                words = pa.table({
+                    "lang": langs.dictionary.take(pa.array(lang[at])).cast(pa.string()),
+                    "word": pa.array([text[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())], pa.binary()).cast(pa.string()),
+                    "n": pa.array(counts[by_slot], pa.int64()), "local": pa.array(rank[by_slot], pa.int64())})
+                bounds = np.searchsorted(slot[by_slot], np.arange(slots + 1)).tolist()
+                used = [k for k in range(slots) if bounds[k] < bounds[k + 1]]
+                payloads = [to_bytes(words.slice(bounds[k], bounds[k + 1] - bounds[k])) for k in used]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([block] * (len(used) + 1), pa.int64()), pa.array([*used, -1], pa.int64()), pa.array([*payloads, sequence.tobytes()], pa.binary())],
+                    ["block", "slot", "payload"])
+                block += 1
+            give_back()
+
+    return read
+
+
+def to_bytes(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as out:
+        out.write_table(table.combine_chunks())
+    return sink.getvalue().to_pybytes()
+
+
+def _merge_words(least: int):
+    """Sum of the blocks' word counts: frequent words with ids, the number of words per language, and for each block which of
+    its words are frequent."""
+    names = [f.split()[0] for f in VOCABULARY.split(", ")]
+
+    def merge(key, table):
+        slot, read = key[0].as_py(), []
+        for block, payload in zip(table.column("block").to_pylist(), table.column("payload")):
+            part = pa.ipc.open_stream(payload.as_buffer()).read_all()
+            read.append(part.append_column("block", pa.array(np.full(len(part), block))))
+        words = pa.concat_tables(read)
+        summed = words.group_by(["lang", "word"]).aggregate([("n", "sum")])
+        lengths = summed.group_by("lang").aggregate([("n_sum", "sum")])
+        frequent = summed.filter(pc.greater_equal(summed["n_sum"], least)).sort_by([("lang", "ascending"), ("word", "ascending")])
+        ids = pa.array((slot << 36) + np.arange(1, len(frequent) + 1))
+        frequent = frequent.append_column("id", ids)
+        hits = words.select(["lang", "word", "block", "local"]).join(frequent.select(["lang", "word", "id"]), ["lang", "word"], join_type="inner")
+        block, local, of = (hits[c].to_numpy() for c in ("block", "local", "id"))
+        order = np.lexsort((local, block))
+        block, local, of = block[order], local[order], of[order]
+        heads = np.flatnonzero(np.append(True, block[1:] != block[:-1])) if len(block) else np.zeros(0, np.int64)
+        ends = np.append(heads[1:], len(block))
+        payloads = [np.concatenate([local[a:b], of[a:b]]).astype("<i8").tobytes() for a, b in zip(heads.tolist(), ends.tolist())]
+        a, f, n = len(heads), len(frequent), len(lengths)
+        flat = lambda column: column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+        out = pa.table([
+            pa.concat_arrays([pa.array(block[heads], pa.int64()), pa.nulls(f + n, pa.int64())]),
+            pa.concat_arrays([pa.array(payloads, pa.binary()), pa.nulls(f + n, pa.binary())]),
+            pa.concat_arrays([pa.nulls(a, pa.string()), flat(frequent["lang"]), flat(lengths["lang"])]),
+            pa.concat_arrays([pa.nulls(a, pa.string()), flat(frequent["word"]), pa.nulls(n, pa.string())]),
+            pa.concat_arrays([pa.nulls(a, pa.int64()), ids.cast(pa.int64()), pa.nulls(n, pa.int64())]),
+            pa.concat_arrays([pa.nulls(a, pa.int64()), flat(frequent["n_sum"]), flat(lengths["n_sum_sum"])])], names=names)
         give_back()
+        return out
+
+    return merge
 
 
 # --- stripes of a block --------------------------------------------------------------------------------------
@@ -280,7 +332,12 @@ def _merge(least: int):
              pa.concat_arrays([pa.array(payloads, pa.binary()), pa.nulls(g + h, pa.binary())]),
              column(p[hit], heads), column(x[hit], None), column(ids[hit], None), column(sums[hit], totals), column(None, longest)], names=names)
 
-    return merge
+    def merged_and_trimmed(key, table):
+        out = merge(key, table)
+        give_back()
+        return out
+
+    return merged_and_trimmed
 
 
 # --- the operator --------------------------------------------------------------------------------------------
@@ -297,37 +354,45 @@ def count_phrases(docs: DataFrame, least: int = 30) -> tuple[DataFrame, DataFram
     Counts are exact: words are compared as bytes, then stand under ids.
     """
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    read = kept(rows.mapInArrow(_read_words, WORDS), "words")
-    words = read.where("local >= 0")
-    lengths = kept(words.groupBy("lang").agg(F.sum("n").alias("n")), "lengths")
-    vocabulary = kept(words.groupBy("lang", "word").agg(F.sum("n").alias("f")).where(F.col("f") >= least).withColumn(
-        "id", F.monotonically_increasing_id() + 1), "vocabulary")
-    total = read.where("local < 0").agg(F.sum("n")).first()[0] or 0
-    slots = 1 + total // SLOT_ENTRIES
-
-    def first(sequences: pa.Table, ids: pa.Table) -> pa.Table:
-        if not len(sequences):
-            return pa.table([pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], pa.binary())], names=["block", "slot", "payload"])
-        block = Block.of_words(np.frombuffer(sequences.column("sequence")[0].as_buffer(), "<u4"), ids.column("local").to_numpy(), ids.column("id").to_numpy())
-        return _level_rows(sequences.column("block")[0].as_py(), block, slots, False)
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    slots = 1 + size // SLOT_BYTES
+    level = kept(rows.mapInArrow(_read_words(slots), LEVEL), "words")
+    merged = kept(level.where("slot >= 0").groupBy("slot").applyInArrow(_merge_words(least), VOCABULARY), "vocabulary")
+    lengths = merged.where("block is null and word is null").groupBy("lang").agg(F.sum("f").alias("n"))
+    vocabulary = merged.where("word is not null").select("lang", "word", "id", "f")
+
+    def first(sequences: pa.Table, answers: pa.Table) -> pa.Table:
+        parts = [np.frombuffer(x.as_buffer(), "<i8").reshape(2, -1) for x in answers.column("payload")]
+        local, ids = np.concatenate(parts, axis=1) if parts else np.zeros((2, 0), np.int64)
+        block = Block.of_words(np.frombuffer(sequences.column("payload")[0].as_buffer(), "<u4"), local, ids)
+        rows = _level_rows(sequences.column("block")[0].as_py(), block, slots, False)
+        give_back()
+        return rows
 
     def following(last: bool):
         def grow(states: pa.Table, answers: pa.Table) -> pa.Table:
             block = Block.unpacked(states.column("payload")[0].as_buffer())
             parts = [np.frombuffer(x.as_buffer(), "<i8").reshape(3, -1) for x in answers.column("payload")]
             prefix, following, ids = np.concatenate(parts, axis=1) if parts else np.zeros((3, 0), np.int64)
-            return _level_rows(states.column("block")[0].as_py(), block.grown(prefix, following, ids), slots, last)
+            rows = _level_rows(states.column("block")[0].as_py(), block.grown(prefix, following, ids), slots, last)
+            give_back()
+            return rows
 
         return grow
 
-    ids = words.join(vocabulary, ["lang", "word"]).select(F.col("block").alias("of_block"), "local", "id")
-    level = kept(read.where("local < 0").select("block", "sequence").groupBy("block").cogroup(ids.groupBy("of_block")).applyInArrow(first, LEVEL), "level")
-    discard(read)
+    def answered(level: DataFrame, merged: DataFrame, grow) -> DataFrame:
+        """The next level's stripes: every block with what became of its own entries."""
+        states, answers = level.where("slot < 0").select("block", "payload"), merged.where("block is not null").select("block", "payload")
+        after = kept(states.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(grow, LEVEL), "level")
+        discard(level)
+        release(docs.sparkSession)
+        return after
+
+    level = answered(level, merged, first)
     counts = [vocabulary.select("id", "lang", F.col("word").alias("phrase"), F.lit(1).alias("size"), "f")]
     longer = []
     for size in range(2, LONGEST + 1):
-        stripes = level.where("slot >= 0").groupBy("slot").applyInArrow(_merge(least), MERGED)
-        merged = kept(stripes, "merged")
+        merged = kept(level.where("slot >= 0").groupBy("slot").applyInArrow(_merge(least), MERGED), "merged")
         last_words = vocabulary.select(F.col("id").alias("next"), "word")
         grams = merged.where("id is not null").select("id", "prefix", "next", "f").join(
             counts[-1].select(F.col("id").alias("prefix"), "lang", "phrase"), "prefix").join(last_words, "next")
@@ -337,11 +402,7 @@ def count_phrases(docs: DataFrame, least: int = 30) -> tuple[DataFrame, DataFram
         longer.append(grams.select("lang", F.substring_index("phrase", " ", 1 - size).alias("phrase"), F.col("f").alias("longer")))
         counts.append(grams)
         if size < LONGEST:
-            states, answers = level.where("slot < 0").select("block", "payload"), merged.where("block is not null").select("block", "payload")
-            after = kept(states.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(following(size + 1 == LONGEST), LEVEL), "level")
-            discard(level)
-            level = after
-        release(docs.sparkSession)
+            level = answered(level, merged, following(size + 1 == LONGEST))
     discard(level)
     phrases = counts[0]
     for more in counts[1:]:

@@ -53,7 +53,7 @@ def frame(spark, rows):
 @pytest.mark.parametrize("least, block", [(2, 300), (5, 1 << 20), (30, 5000)])
 def test_collocations_equal_brute_force(spark, monkeypatch, least, block):
     monkeypatch.setattr(col, "BLOCK_BYTES", block)
-    monkeypatch.setattr(col, "SLOT_ENTRIES", 150)
+    monkeypatch.setattr(col, "SLOT_BYTES", 700)
     rows = texts(least)
     wanted, _ = brute(rows, least, 25)
     got = sorted(map(tuple, col.collocations(frame(spark, rows).repartition(3), least, 25).collect()))
