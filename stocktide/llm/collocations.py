@@ -115,7 +115,7 @@ def _read_words(slots: int):
                 used = [k for k in range(slots) if bounds[k] < bounds[k + 1]]
                 payloads = [to_bytes(words.slice(bounds[k], bounds[k + 1] - bounds[k])) for k in used]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([block] * (len(used) + 1), pa.int64()), pa.array([*used, -1], pa.int64()), pa.array([*payloads, sequence.tobytes()], pa.binary())],
+                    [pa.array([block] * (len(used) + 1), pa.int64()), pa.array([*used, -1], pa.int64()), pa.array([*payloads, squeezed(sequence)], pa.binary())],
                     ["block", "slot", "payload"])
                 block += 1
             give_back()
@@ -123,9 +123,28 @@ def _read_words(slots: int):
     return read
 
 
+def squeezed(*columns: np.ndarray) -> bytes:
+    """Columns of numbers as bytes: first bytes of all numbers first, then their second bytes, and so on, compressed."""
+    sizes = np.array([len(c) for c in columns], "<i8")
+    raw = b"".join(np.ascontiguousarray(np.ascontiguousarray(c).view(np.uint8).reshape(len(c), c.itemsize).T).tobytes() for c in columns)
+    return sizes.tobytes() + len(raw).to_bytes(8, "little") + pa.Codec("zstd", compression_level=1).compress(raw, asbytes=True)
+
+
+def unsqueezed(payload, *kinds: str) -> list[np.ndarray]:
+    view = memoryview(payload)
+    head = np.frombuffer(view, "<i8", len(kinds) + 1).tolist()
+    raw = pa.Codec("zstd").decompress(view[8 * len(head) :], head[-1], asbytes=True)
+    out, at = [], 0
+    for n, kind in zip(head, map(np.dtype, kinds)):
+        columns = np.frombuffer(raw, np.uint8, n * kind.itemsize, at).reshape(kind.itemsize, n)
+        out.append(np.ascontiguousarray(columns.T).view(kind).reshape(n))
+        at += n * kind.itemsize
+    return out
+
+
 def to_bytes(table: pa.Table) -> bytes:
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema) as out:
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
         out.write_table(table.combine_chunks())
     return sink.getvalue().to_pybytes()
 
@@ -152,7 +171,7 @@ def _merge_words(least: int):
         block, local, of = block[order], local[order], of[order]
         heads = np.flatnonzero(np.append(True, block[1:] != block[:-1])) if len(block) else np.zeros(0, np.int64)
         ends = np.append(heads[1:], len(block))
-        payloads = [np.concatenate([local[a:b], of[a:b]]).astype("<i8").tobytes() for a, b in zip(heads.tolist(), ends.tolist())]
+        payloads = [squeezed(local[a:b].astype("<i8"), of[a:b].astype("<i8")) for a, b in zip(heads.tolist(), ends.tolist())]
         a, f, n = len(heads), len(frequent), len(lengths)
         flat = lambda column: column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
         out = pa.table([
@@ -198,7 +217,7 @@ class Block:
         stay = covered.copy()
         stay[1:] |= covered[:-1]  # one break after each stretch
         words = np.where(covered, self.words, 0)[stay]
-        return Block(words, self.word_ids, self.grams[stay], self.gram_ids, self.length)
+        return Block(words, self.word_ids, words if self.length == 1 else self.grams[stay], self.gram_ids, self.length)
 
     def extensions(self) -> tuple[np.ndarray, np.ndarray]:
         """Places of grams, and the number of the word that may extend each: 0 if none does, or only to a phrase whose last
@@ -231,35 +250,26 @@ class Block:
         return Block(self.words, self.word_ids, grams, ids, self.length + 1).trimmed()
 
     def packed(self) -> bytes:
-        sizes = np.array([self.length, len(self.words), len(self.word_ids), len(self.gram_ids)], "<i8")
-        parts = [sizes, self.words.astype("<u4"), self.word_ids.astype("<i8"), self.grams.astype("<u4"), self.gram_ids.astype("<i8")]
-        return b"".join(p.tobytes() for p in parts)
+        own = self.grams is not self.words  # at length 1 they are the same
+        columns = [np.array([self.length, own], "<i8"), self.words.astype("<u4"), self.word_ids.astype("<i8")]
+        return squeezed(*columns, *([self.grams.astype("<u4"), self.gram_ids.astype("<i8")] if own else [np.zeros(0, "<u4"), np.zeros(0, "<i8")]))
 
     @classmethod
     def unpacked(cls, payload) -> Block:
-        length, n, n_words, n_grams = np.frombuffer(payload, "<i8", 4).tolist()
-        at = 32
-        words = np.frombuffer(payload, "<u4", n, at)
-        word_ids = np.frombuffer(payload, "<i8", n_words, at := at + 4 * n)
-        grams = np.frombuffer(payload, "<u4", n, at := at + 8 * n_words)
-        return cls(words, word_ids, grams, np.frombuffer(payload, "<i8", n_grams, at + 4 * n), length)
+        (length, own), words, word_ids, grams, gram_ids = unsqueezed(payload, "<i8", "<u4", "<i8", "<u4", "<i8")
+        return cls(words, word_ids, grams if own else words, gram_ids if own else word_ids, int(length))
 
 
 def pack_stripes(prefix: np.ndarray, following: np.ndarray, counts: np.ndarray) -> bytes:
     """Stripes sorted by prefix: each prefix once, the length of its stripe, next words and counts of all."""
     heads = np.flatnonzero(np.append(True, prefix[1:] != prefix[:-1]))
     lengths = np.diff(np.append(heads, len(prefix)))
-    sizes = np.array([len(heads), len(prefix)], "<i8")
-    parts = [sizes, prefix[heads].astype("<i8"), lengths.astype("<u4"), following.astype("<i8"), counts.astype("<u4")]
-    return b"".join(p.tobytes() for p in parts)
+    return squeezed(prefix[heads].astype("<i8"), lengths.astype("<u4"), following.astype("<i8"), counts.astype("<u4"))
 
 
 def unpack_stripes(payload) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    n, entries = np.frombuffer(payload, "<i8", 2).tolist()
-    prefix = np.frombuffer(payload, "<i8", n, 16)
-    lengths = np.frombuffer(payload, "<u4", n, 16 + 8 * n)
-    following = np.frombuffer(payload, "<i8", entries, 16 + 12 * n)
-    return np.repeat(prefix, lengths), following, np.frombuffer(payload, "<u4", entries, 16 + 12 * n + 8 * entries)
+    prefix, lengths, following, counts = unsqueezed(payload, "<i8", "<u4", "<i8", "<u4")
+    return np.repeat(prefix, lengths), following, counts
 
 
 def slots_of(prefix: np.ndarray, following: np.ndarray, slots: int) -> np.ndarray:
@@ -319,7 +329,7 @@ def _merge(least: int):
             mine = mine[ids[mine] > 0]
             if len(mine):
                 answered.append(block)
-                payloads.append(np.concatenate([p[mine], x[mine], ids[mine]]).astype("<i8").tobytes())
+                payloads.append(squeezed(*(c[mine].astype("<i8") for c in (p, x, ids))))
         hit = ids > 0
         a, g, h = len(answered), int(hit.sum()), len(heads)
 
@@ -362,9 +372,9 @@ def count_phrases(docs: DataFrame, least: int = 30) -> tuple[DataFrame, DataFram
     vocabulary = merged.where("word is not null").select("lang", "word", "id", "f")
 
     def first(sequences: pa.Table, answers: pa.Table) -> pa.Table:
-        parts = [np.frombuffer(x.as_buffer(), "<i8").reshape(2, -1) for x in answers.column("payload")]
+        parts = [np.array(unsqueezed(x.as_buffer(), "<i8", "<i8")) for x in answers.column("payload")]
         local, ids = np.concatenate(parts, axis=1) if parts else np.zeros((2, 0), np.int64)
-        block = Block.of_words(np.frombuffer(sequences.column("payload")[0].as_buffer(), "<u4"), local, ids)
+        block = Block.of_words(unsqueezed(sequences.column("payload")[0].as_buffer(), "<u4")[0], local, ids)
         rows = _level_rows(sequences.column("block")[0].as_py(), block, slots, False)
         give_back()
         return rows
@@ -372,7 +382,7 @@ def count_phrases(docs: DataFrame, least: int = 30) -> tuple[DataFrame, DataFram
     def following(last: bool):
         def grow(states: pa.Table, answers: pa.Table) -> pa.Table:
             block = Block.unpacked(states.column("payload")[0].as_buffer())
-            parts = [np.frombuffer(x.as_buffer(), "<i8").reshape(3, -1) for x in answers.column("payload")]
+            parts = [np.array(unsqueezed(x.as_buffer(), "<i8", "<i8", "<i8")) for x in answers.column("payload")]
             prefix, following, ids = np.concatenate(parts, axis=1) if parts else np.zeros((3, 0), np.int64)
             rows = _level_rows(states.column("block")[0].as_py(), block.grown(prefix, following, ids), slots, last)
             give_back()

@@ -86,6 +86,11 @@ def test_totals_of_merged_stripes_are_the_counts_of_prefixes():
     assert np.array_equal(prefix, p) and np.array_equal(following, x) and np.array_equal(counts, sums)
 
 
+def test_squeezed_columns_come_back():
+    columns = [np.arange(1000, dtype="<i8") << 36, np.zeros(0, "<u4"), np.arange(7, dtype="<u4")]
+    assert all(np.array_equal(a, b) for a, b in zip(columns, col.unsqueezed(col.squeezed(*columns), "<i8", "<u4", "<u4")))
+
+
 def test_a_stripe_is_dealt_to_many_tasks():
     prefix, following = np.full(100_000, 7), np.arange(1, 100_001)
     assert np.bincount(col.slots_of(prefix, following, 200), minlength=200).max() < 6000
