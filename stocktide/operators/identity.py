@@ -83,13 +83,22 @@ def resolve(
         candidates, group,
         [F.col("business_key").isNull().asc(), F.col("trust_score").asc(), F.col("_key").asc()],
     )
-    minted = F.concat_ws("_", F.upper("entity_type"), "source_system", "source_key")
     return winner.withColumns({
         "is_new_key": F.col("business_key").isNull(),
-        "business_key": F.coalesce("business_key", minted),
+        "business_key": F.coalesce("business_key", minted_key()),
     }).drop("_key")
 
 
+def minted_key() -> Column:
+    """Business key of a source key that nothing maps: a function of the key, so two writers mint the same one."""
+    return F.concat_ws("_", F.upper("entity_type"), "source_system", "source_key")
+
+
+def mint(keys: DataFrame) -> DataFrame:
+    """Crosswalk rows with a new business key for (source_system, source_key, entity_type)."""
+    return keys.select(*xw.KEY, minted_key().alias("business_key"), F.lit(1.0).alias("confidence"))
+
+
 def new_mappings(resolved: DataFrame) -> DataFrame:
     """Crosswalk rows for the minted keys."""
     return resolved.filter("is_new_key").select(*xw.KEY, "business_key", F.lit(1.0).alias("confidence"))

@@ -35,6 +35,11 @@ def clean(df: DataFrame, as_of: str | None = None) -> DataFrame:
     return df.withColumns({c: F.greatest(F.coalesce(F.col(c), zero), zero) for c in QUANTITIES})
 
 
+def newest(incoming: DataFrame, as_of: str | None = None) -> DataFrame:
+    """The rows that a batch puts in force: cleaned, the latest load per (item, location, date)."""
+    return first_per_key(clean(incoming, as_of), SNAPSHOT, [F.col("load_ts").desc_nulls_last()])
+
+
 def upsert(existing: DataFrame, incoming: DataFrame, as_of: str | None = None) -> DataFrame:
     """Clean the incoming rows and keep the latest load per (item, location, date)."""
     return merge_latest(existing, clean(incoming, as_of), SNAPSHOT, [F.col("load_ts").desc_nulls_last()])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -16,6 +17,12 @@ def late_rows(bronze: DataFrame, as_of: str, cutoff_hours: int = 24, time: str =
     return bronze.filter((F.col(time) >= plus_hours(ts(as_of), -cutoff_hours)) & (F.col(time) <= ts(as_of)))
 
 
+def within(arrivals: Sequence[tuple[int, str, str]], as_of: str, cutoff_hours: int = 24) -> list[tuple[int, str, str]]:
+    """Of (commit, batch, instant) those whose instant lies within the cutoff before ``as_of``."""
+    end = dt.datetime.fromisoformat(as_of)
+    return [a for a in arrivals if end - dt.timedelta(hours=cutoff_hours) <= dt.datetime.fromisoformat(a[2]) <= end]
+
+
 def touched_keys(bronze: DataFrame, keys: Sequence[str], as_of: str, cutoff_hours: int = 24,
                  time: str = "_ingestion_ts") -> DataFrame:
     """Distinct keys with a late row."""

@@ -50,6 +50,11 @@ def latest_version(df: DataFrame) -> DataFrame:
     return first_per_key(df, ["shipment_id"], [F.col("load_ts").desc_nulls_last()])
 
 
+def newest(incoming: DataFrame, as_of: str | None = None) -> DataFrame:
+    """The rows that a batch puts in force: cleaned, the latest row per shipment_id."""
+    return latest_version(clean(incoming, as_of))
+
+
 def upsert(existing: DataFrame, incoming: DataFrame, as_of: str | None = None) -> DataFrame:
     """Clean the incoming rows and keep the latest row per shipment_id; a rerun changes nothing."""
     return merge_latest(existing, clean(incoming, as_of), ["shipment_id"], [F.col("load_ts").desc_nulls_last()])

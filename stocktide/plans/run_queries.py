@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from stocktide.operators import inventory as inv
 from stocktide.plans.ctes import AS_OF
-from stocktide.plans.registry import query
-from stocktide.plans.runner import SILVER, Job
+from stocktide.plans import queries as q
+from stocktide.plans.registry import CHECKS, query
+from stocktide.plans.runner import CROSSWALK, GOLD, LINK, SILVER, Job
 from stocktide.session import scratch_dir
 from stocktide.sources.store import Store
 
@@ -16,19 +17,25 @@ EARLIER = "2001-11-01 00:00:00"
 TIMES = ("planned_departure", "actual_departure", "planned_arrival", "actual_arrival")
 
 
-def _two_batches(t, domain: str, recent: DataFrame, old: DataFrame, suffix: str) -> DataFrame:
+def _two_batches(t, domain: str, recent: DataFrame, old: DataFrame, suffix: str, late: bool = False, crosswalk: DataFrame | None = None,
+                 source_system: str | None = None) -> DataFrame:
     """The recent rows arrive first; the old ones follow in a batch whose instant lies before theirs, and are not lost."""
     store = Store(t.spark, scratch_dir(t.spark, "lake"), buckets=8)
+    if crosswalk is not None:
+        store.replace(crosswalk, CROSSWALK, [])
     for rows, as_of in ((recent, AS_OF), (old, EARLIER)):
         path = scratch_dir(t.spark, domain) + suffix
         (rows.write.json(path) if suffix == ".json" else rows.write.option("header", True).csv(path))
-        job = Job(store, as_of)
-        job.ingest(domain, path)
-        job.conform(domain)
+        job = Job(store, as_of, mint=crosswalk is not None)
+        job.ingest(domain, path, source_system=source_system)
+        if late and as_of == EARLIER:
+            job.apply_late(domain)
+        else:
+            job.conform(domain)
     return store.read(SILVER[domain]).drop("created_at")
 
 
-@query("run_silver_shipment", using="fx_shipment", check=f"""
+_SHIPMENTS = f"""
 SELECT * EXCLUDE (rn) FROM (
   SELECT *, row_number() OVER (PARTITION BY shipment_id ORDER BY load_ts DESC NULLS LAST,
       actual_arrival_ts ASC NULLS LAST, actual_departure_ts ASC NULLS LAST, carrier_id ASC NULLS LAST,
@@ -43,14 +50,27 @@ SELECT * EXCLUDE (rn) FROM (
                planned_arrival_ts, actual_arrival_ts, status,
                CASE WHEN load_ts >= TIMESTAMP '1997-01-01' THEN TIMESTAMP '{AS_OF}' ELSE TIMESTAMP '{EARLIER}' END AS load_ts,
                'logistics_system' AS source_system
-        FROM fx_shipment WHERE status <> 'UNKNOWN')) WHERE rn = 1""")
-def _(t):
+        FROM fx_shipment WHERE status <> 'UNKNOWN')) WHERE rn = 1"""
+
+
+def _shipments(t, late: bool) -> DataFrame:
     feed = t.shipment_feed()
     raw = feed.select(
         "shipment_id", "route_id", "carrier_id", "origin", "destination", "status", "load_ts",
         *[F.date_format(F.col(f"{c}_ts"), "yyyy-MM-dd HH:mm:ss").alias(c) for c in TIMES])
     recent = F.col("load_ts") >= F.lit("1997-01-01").cast("timestamp_ntz")
-    return _two_batches(t, "shipment", raw.filter(recent).drop("load_ts"), raw.filter(~recent).drop("load_ts"), ".json")
+    return _two_batches(t, "shipment", raw.filter(recent).drop("load_ts"), raw.filter(~recent).drop("load_ts"), ".json", late)
+
+
+@query("run_silver_shipment", using="fx_shipment", check=_SHIPMENTS)
+def _(t):
+    return _shipments(t, late=False)
+
+
+@query("run_late_shipment", using="fx_shipment", check=_SHIPMENTS)
+def _(t):
+    """The second batch through the late run, which picks it by its instant."""
+    return _shipments(t, late=True)
 
 
 @query("run_silver_inventory", using="fx_inventory", check=f"""
@@ -66,3 +86,58 @@ def _(t):
     raw = feed.select(*inv.SNAPSHOT, *inv.QUANTITIES, "load_ts")
     recent = F.col("load_ts") >= F.lit("1997-01-01").cast("timestamp_ntz")
     return _two_batches(t, "inventory", raw.filter(recent).drop("load_ts"), raw.filter(~recent).drop("load_ts"), ".csv")
+
+
+@query("run_silver_supplier", using="fx_supplier_feed fx_crosswalk", check=f"""
+WITH fed AS (
+  SELECT f.natural_key, coalesce(x.business_key, 'SUPPLIER_erp_system_' || f.natural_key) AS business_key, upper(name) AS name, status,
+         upper(region) AS region, attributes_json,
+         CASE WHEN load_ts >= TIMESTAMP '1997-01-01' THEN TIMESTAMP '{AS_OF}' ELSE TIMESTAMP '{EARLIER}' END AS load_ts
+  FROM fx_supplier_feed f LEFT JOIN fx_crosswalk x
+    ON x.source_key = f.natural_key AND x.source_system = 'erp_system' AND x.entity_type = 'supplier' AND x.is_active
+), one AS (
+  SELECT * FROM fed QUALIFY row_number() OVER (PARTITION BY business_key, load_ts ORDER BY attributes_json NULLS LAST,
+      name NULLS LAST, natural_key, region NULLS LAST, status NULLS LAST) = 1
+), marked AS (
+  SELECT *, lag(load_ts) OVER w IS NULL OR lag(name) OVER w IS DISTINCT FROM name OR lag(status) OVER w IS DISTINCT FROM status
+            OR lag(region) OVER w IS DISTINCT FROM region OR lag(attributes_json) OVER w IS DISTINCT FROM attributes_json AS opens
+  FROM one WINDOW w AS (PARTITION BY business_key ORDER BY load_ts)
+)
+SELECT natural_key, business_key, name, status, region, attributes_json, load_ts AS effective_start_ts,
+       lead(load_ts) OVER v AS effective_end_ts, lead(load_ts) OVER v IS NULL AS is_current, 'erp_system' AS source_system, load_ts
+FROM marked WHERE opens WINDOW v AS (PARTITION BY business_key ORDER BY load_ts)""")
+def _(t):
+    """Keys from the crosswalk, minted ones where it has none; the second batch lies before the first and rebuilds histories."""
+    raw = t.supplier_feed().select(
+        F.col("natural_key").alias("supplier_id"), F.col("name").alias("supplier_name"), "status", "region",
+        F.col("attributes_json").alias("attributes"), "load_ts")
+    recent = F.col("load_ts") >= F.lit("1997-01-01").cast("timestamp_ntz")
+    return _two_batches(t, "supplier", raw.filter(recent).drop("load_ts"), raw.filter(~recent).drop("load_ts"), ".json",
+                        crosswalk=t.crosswalk(), source_system="erp_system")
+
+
+@query("run_gold", check=" UNION ALL ".join(f"""
+SELECT '{name}' AS target, 1 AS version, count(*) AS n, CAST(round({total}, 3) AS DOUBLE) AS total FROM ({CHECKS[source]})"""
+    for name, source, total in (
+        ("unified_supply_chain", "unified_link", "count(DISTINCT shipment_id)"),
+        ("supplier_performance", "supplier_performance", "sum(total_shipments * 100 + delivered_shipments)"),
+        ("inventory_metrics", "inventory_metrics", "sum(total_inventory)"),
+        ("shipment_performance", "shipment_performance", "sum(total_shipments * 100 + delayed_shipments)"))))
+def _(t):
+    """All gold tables behind the gate, put in force by one commit, and read from the store as it left them."""
+    store = Store(t.spark, scratch_dir(t.spark, "lake"))
+    store.publish(
+        *(store.stage(df, table, []) for table, df in (
+            (SILVER["shipment"], q.silver_shipments(t)), (SILVER["inventory"], q.silver_inventory(t)), (SILVER["supplier"], q.supplier_dim(t)),
+            (CROSSWALK, t.crosswalk()), (LINK, t.supply_link()))))
+    Job(store, AS_OF).publish("all", None)
+    totals = {
+        "unified_supply_chain": F.count_distinct("shipment_id"), "inventory_metrics": F.sum("total_inventory"),
+        "supplier_performance": F.sum(F.col("total_shipments") * 100 + F.col("delivered_shipments")),
+        "shipment_performance": F.sum(F.col("total_shipments") * 100 + F.col("delayed_shipments"))}
+    found = None
+    for name in GOLD:
+        row = store.read(f"gold.{name}").agg(F.count("*").alias("n"), F.round(totals[name], 3).cast("double").alias("total")).select(
+            F.lit(name).alias("target"), F.lit(store.version(f"gold.{name}")).alias("version"), "n", "total")
+        found = row if found is None else found.union(row)
+    return found

@@ -19,7 +19,8 @@ from stocktide.operators import contracts, crosswalk as xw, freshness, gate, gol
 from stocktide.operators import late, quality, scd2, shipments as shp, unified as uni
 from stocktide.operators.common import first_per_key
 from stocktide.sources.readers import CORRUPT, DOMAINS, load, typed
-from stocktide.sources.store import BATCH, Store
+from stocktide.sources.commits import Conflict
+from stocktide.sources.store import BATCH, LATEST, REPLACE, Staged, Store
 
 STAGES = ("bronze", "silver", "gold", "all")
 SILVER = {"supplier": "silver.supplier_scd2", "shipment": "silver.shipment", "inventory": "silver.inventory_position"}
@@ -32,19 +33,30 @@ GOLD_INPUTS = {
 }
 GOLD = ("unified_supply_chain", "supplier_performance", "inventory_metrics", "shipment_performance")
 #: Keys that silver tables are bucketed by.
+CROSSWALK = "silver.crosswalk"
+CROSSWALK_KEYS = [*xw.KEY, "business_key"]
 KEYS = {"supplier": ["business_key"], "shipment": ["shipment_id"], "inventory": inv.SNAPSHOT}
 
 
+#: How often a step is made anew when other writers come in between.
+ATTEMPTS = 8
+
+
 class Refused(RuntimeError):
     """A written table failed its checks and was not put in force."""
 
 
 @dataclass
 class Job:
-    """A run over one store at one instant."""
+    """A run over one store at one instant.
+
+    ``mint``: suppliers that the crosswalk doesn't know get a business key of their own, and the crosswalk its mapping; else
+    their natural key stands in.
+    """
 
     store: Store
     as_of: str
+    mint: bool = False
 
     @property
     def spark(self) -> SparkSession:
@@ -71,58 +83,86 @@ class Job:
         # statuses are compared in lower case, as typed() stores them
         raw = raw.withColumn("status", F.trim(F.lower("status"))) if "status" in raw.columns else raw
         landed = f"{spec.table}_landed"
-        self.store.put_batch(contracts.validate(raw, contract), landed, batch)
+        self.store.put_batch(contracts.validate(raw, contract), landed, batch, alone=True)
         flagged = self.store.spark.read.parquet(f"{self.store.path(landed)}/{BATCH}={batch}")
         valid = flagged.filter(F.size("_errors") == 0).drop("_errors", CORRUPT)
-        quarantined = flagged.filter(F.size("_errors") > 0).withColumn("_errors", F.to_json("_errors"))
+        # as delivered, whatever the format: text
+        quarantined = flagged.filter(F.size("_errors") > 0).select(
+            *[F.col(c) if c == "_ingestion_ts" else F.to_json(c).alias(c) if c == "_errors" else F.col(c).cast("string").alias(c)
+              for c in flagged.columns])
         seen = Observation()
         self.store.put_batch(quarantined, f"{spec.table}_quarantine", batch)
         self.store.put_batch(contracts.log_row(flagged.drop("_errors"), contract, system, self.as_of),
                              "ops.schema_validation_log", f"{domain}-{batch}")
-        self.store.put_batch(typed(valid, domain).observe(seen, F.count(F.lit(1)).alias("rows")), spec.table, batch)
+        self.store.put_batch(typed(valid, domain).observe(seen, F.count(F.lit(1)).alias("rows")), spec.table, batch, arrived=self.as_of)
         return seen.get["rows"]
 
     # --- silver ---
 
-    def _bronze(self, domain: str) -> DataFrame:
+    def _arrived(self, view: Store, domain: str, batches: list[str]) -> DataFrame:
         spec = DOMAINS[domain]
-        return contracts.precheck(self.store.read_appended(spec.table), spec.required, spec.table)
+        return contracts.precheck(view.read_appended(spec.table, batches), spec.required, spec.table).drop(BATCH)
 
     def crosswalk(self) -> DataFrame:
-        return self.store.read("silver.crosswalk")
+        return self.store.read(CROSSWALK)
 
-    def supplier_changes(self, bronze: DataFrame) -> DataFrame:
+    def _keyed(self, feed: DataFrame, crosswalk: DataFrame) -> DataFrame:
+        """The supplier feed with the business keys that the crosswalk has, null where it has none."""
+        keyed = feed.withColumns({"source_key": F.col("natural_key"), "entity_type": F.lit("supplier")})
+        return xw.resolve_keys(keyed, crosswalk)
+
+    def supplier_changes(self, bronze: DataFrame, crosswalk: DataFrame | None = None) -> DataFrame:
         """The supplier feed with business keys from the crosswalk, natural keys where unmapped.
 
         Where several systems give one business key a state at one instant, the system first in the trust order survives.
         """
         feed = scd2.conform(bronze)
-        keyed = feed.withColumns({"source_key": F.col("natural_key"), "entity_type": F.lit("supplier")})
-        resolved = xw.resolve_keys(keyed, self.crosswalk())
+        resolved = self._keyed(feed, self.crosswalk() if crosswalk is None else crosswalk)
         changes = resolved.withColumns({
             "business_key": F.coalesce("business_key", "natural_key"), "effective_start_ts": F.col("load_ts"),
         }).select(*feed.columns, "effective_start_ts")
         trust = identity.trust_rank(F.col("source_system"), identity.RULES["supplier"])
         return first_per_key(changes, ["business_key", "effective_start_ts"], [trust.asc(), F.col("load_ts").desc_nulls_last()])
 
-    def _changes(self, domain: str, bronze: DataFrame) -> DataFrame:
-        if domain == "supplier":
-            return self.supplier_changes(bronze)
-        if domain == "shipment":
-            return shp.conform(bronze)
-        if domain == "inventory":
-            return inv.conform(bronze)
-        raise ValueError(f"Unknown domain: {domain}")
-
-    def _merged(self, domain: str, held: DataFrame, changes: DataFrame) -> DataFrame:
+    def _stage_minted(self, view: Store, bronze: DataFrame) -> Staged | None:
+        """Crosswalk rows for suppliers it doesn't know, as a run of their own; None when it knows all. A crosswalk that changes
+        before they are in force is a conflict: the other writer may have mapped one of them."""
+        unknown = self._keyed(scd2.conform(bronze), view.read(CROSSWALK)).filter("business_key IS NULL")
+        minted = xw.add_mappings(view.empty(CROSSWALK), identity.mint(unknown.select(*xw.KEY).distinct()), self.as_of)
+        if minted.isEmpty():
+            return None
+        staged = view.stage_run(minted, CROSSWALK, CROSSWALK_KEYS, LATEST, ["updated_ts"])
+        before, change = view.version(CROSSWALK), staged.change
+
+        def guarded(state):
+            if (state["version"] if state else 0) != before:
+                raise Conflict(f"{CROSSWALK}: version {before} is no longer in force")
+            return change(state)
+
+        staged.change = guarded
+        return staged
+
+    def _stage_silver(self, domain: str, view: Store, bronze: DataFrame, through: tuple[int, int] | None) -> tuple[list[Staged], int]:
+        """What a batch changes, written as runs: only its own rows, or for suppliers the histories of its keys. And the rows."""
+        table, keys, minted = SILVER[domain], KEYS[domain], None
         if domain == "supplier":
-            return scd2.correct(held, changes)
-        return (shp if domain == "shipment" else inv).upsert(held, changes, self.as_of)
-
-    def _touched(self, table: str, keys: list[str], changes: DataFrame) -> list[int]:
-        """Buckets with a key that changes; there are never more of them than buckets."""
-        bucket = self.store.bucket_of(keys, self.store.bucket_count(table))
-        return sorted(r[0] for r in changes.select(bucket.alias("b")).distinct().collect())
+            minted = self._stage_minted(view, bronze) if self.mint else None
+            crosswalk = view.read(CROSSWALK)
+            if minted:
+                crosswalk = crosswalk.unionByName(view.read_staged(minted), allowMissingColumns=True)
+            changes = self.supplier_changes(bronze, crosswalk)
+            held = view.read(table, buckets=view.touched(table, keys, changes)).drop("created_at")
+            rows = scd2.correct(held.join(changes.select(*keys).distinct(), keys, "left_semi"), changes)
+        elif domain in SILVER:
+            model = shp if domain == "shipment" else inv
+            rows = model.newest(model.conform(bronze), self.as_of)
+        else:
+            raise ValueError(f"Unknown domain: {domain}")
+        seen = Observation()
+        rows = rows.withColumn("created_at", ts(self.as_of)).observe(seen, F.count(F.lit(1)).alias("rows"))
+        staged = view.stage_run(rows, table, keys, REPLACE if domain == "supplier" else LATEST, ["load_ts"], through)
+        self._audit(domain, view.read_staged(staged))
+        return [staged, *([minted] if minted else [])], seen.get["rows"]
 
     def _audit(self, domain: str, written: DataFrame) -> None:
         measure = {"supplier": quality.supplier_checks, "shipment": quality.shipment_checks,
@@ -132,17 +172,14 @@ class Job:
         if bad:
             raise Refused(f"{SILVER[domain]}: {bad}")
 
-    def _put(self, df: DataFrame, table: str, audit=None) -> tuple[int, int]:
-        """Write, check and put in force; returns version and rows."""
+    def _write(self, df: DataFrame, table: str, audit=None) -> tuple[Staged, int, float]:
+        """Write and check a whole table without putting it in force; what was staged, its rows and seconds."""
         started, seen = time.monotonic(), Observation()
         staged = self.store.stage(
             df.withColumn("created_at", ts(self.as_of)).observe(seen, F.count(F.lit(1)).alias("rows")), table)
         if audit:
             audit(self.store.read(table, staged))
-        self.store.publish(table, staged)
-        rows = seen.get["rows"]
-        self._measure(table, rows, time.monotonic() - started)
-        return int(staged), rows
+        return staged, seen.get["rows"], time.monotonic() - started
 
     def _measure(self, table: str, rows: int, seconds: float) -> None:
         """Append latency and throughput of a written table; the row count was observed during the write."""
@@ -152,47 +189,56 @@ class Job:
             "run_id string, stage string, domain string, rows_out bigint, seconds double, rows_per_second double")
         self.store.append(row, "ops.pipeline_metrics")
 
-    def _put_buckets(self, domain: str, df: DataFrame, touched: list[int], inputs: list[str]) -> int:
-        table, started, seen = SILVER[domain], time.monotonic(), Observation()
-        staged = self.store.stage_buckets(
-            df.withColumn("created_at", ts(self.as_of)).observe(seen, F.count(F.lit(1)).alias("rows")), table, KEYS[domain], touched)
-        self._audit(domain, self.store.read(table, staged, touched))
-        self.store.publish(table, staged, inputs)
-        self._measure(table, seen.get["rows"], time.monotonic() - started)
-        return int(staged)
+    def _work_in(self, domain: str, chosen) -> bool:
+        """Stage the batches that ``chosen`` picks from the arrivals and put them in force; anew when another writer's commit
+        doesn't go with it. False when there are none."""
+        table, source = SILVER.get(domain), DOMAINS[domain].table
+        for attempt in range(ATTEMPTS):
+            started, view = time.monotonic(), self.store.at()
+            arrivals = view.arrivals(source, after=view.through(table))
+            picked = chosen(arrivals)
+            if not picked:
+                return False
+            # only when nothing is left out does the table know more than before
+            through = (view.through(table), arrivals[-1][0]) if len(picked) == len(arrivals) else None
+            staged, rows = self._stage_silver(domain, view, self._arrived(view, domain, [b for _, b, _ in picked]), through)
+            try:
+                self.store.publish(*staged)
+            except Conflict:
+                if attempt + 1 == ATTEMPTS:
+                    raise
+                continue
+            self._measure(table, rows, time.monotonic() - started)
+            self.tidy(table)
+            return True
+        raise AssertionError
+
+    def tidy(self, table: str) -> int:
+        """Merge a table's runs where that is due; another writer's merge or batch in between leaves it for the next time."""
+        try:
+            return self.store.compact(table)
+        except Conflict:
+            return 0
 
     def conform(self, domain: str) -> int:
         """Bring one silver table up to date with the batches it was not made from yet; returns the version in force.
 
-        What was consumed is recorded with the version as batch ids, not as a time, so a batch of an earlier instant is
-        merged like any other. Only the buckets that hold a changed key are read, written and checked.
+        What was consumed is recorded as the commit up to which arrivals are worked in, not as a time, so a batch of an earlier
+        instant is merged like any other. Only the new batches are read and only their rows (for suppliers: the histories of
+        their keys) are written and checked.
         """
-        table, consumed = SILVER[domain], self.store.inputs(SILVER[domain])
-        bronze = self._bronze(domain)
-        if BATCH not in bronze.columns:
+        if self.store.version(DOMAINS[domain].table) == 0:
             raise ValueError(f"{DOMAINS[domain].table} holds no batch")
-        arrived = bronze.filter(~F.col(BATCH).isin(consumed)) if consumed else bronze
-        batches = sorted(r[0] for r in arrived.select(BATCH).distinct().collect())
-        if not batches:
-            return self.store.version(table)
-        changes = self._changes(domain, arrived)
-        touched = self._touched(table, KEYS[domain], changes)
-        held = self.store.read(table, buckets=touched).drop("created_at")
-        return self._put_buckets(domain, self._merged(domain, held, changes), touched, [*consumed, *batches])
+        self._work_in(domain, lambda arrivals: arrivals)
+        return self.store.version(SILVER[domain])
 
     def apply_late(self, domain: str, cutoff_hours: int = 24) -> bool:
-        """Bring the keys with rows that arrived within the cutoff up to date from all of bronze; False when there are none."""
-        bronze = self._bronze(domain)
-        if late.late_rows(bronze, self.as_of, cutoff_hours).isEmpty():
-            return False
-        table = SILVER[domain]
-        changes = self._changes(domain, bronze)
-        keys = self._changes(domain, late.late_rows(bronze, self.as_of, cutoff_hours)).select(*KEYS[domain]).distinct()
-        touched = self._touched(table, KEYS[domain], keys)
-        held = self.store.read(table, buckets=touched).drop("created_at")
-        merged = self._merged(domain, held, changes.join(keys, KEYS[domain], "left_semi"))
-        self._put_buckets(domain, merged, touched, self.store.inputs(table))
-        return True
+        """Work in the waiting batches that arrived within the cutoff, at once; False when there are none.
+
+        Batches are chosen by their instant before anything is read. Those worked in already are in force, whatever their
+        instant; those outside the cutoff keep waiting for ``conform``.
+        """
+        return self._work_in(domain, lambda arrivals: late.within(arrivals, self.as_of, cutoff_hours))
 
     # --- gold ---
 
@@ -200,18 +246,18 @@ class Job:
         return {"supplier": self.store.read(SILVER["supplier"]), "shipment": self.store.read(SILVER["shipment"]),
                 "inventory_position": self.store.read(SILVER["inventory"])}
 
-    def open_gate(self) -> None:
+    def open_gate(self, log_to: Store | None = None) -> None:
         """Evaluate the gate for every silver table, log the results and raise when one is blocked."""
-        tables = self.silver_tables()
+        tables, store = self.silver_tables(), log_to or self.store
         blocked = []
         for name in tables:
             results = gate.run_checks(self.spark, "silver", name, tables, self.as_of).persist()
             verdict = gate.evaluate(results, "silver", name, self.as_of)
-            self.store.append(gate.dq_status_rows(results, self.as_of), "ops.dq_status")
+            store.append(gate.dq_status_rows(results, self.as_of), "ops.dq_status")
             score = quality.quality_score(tables[name], name)
-            self.store.append(gate.table_status(results, score, f"silver.{name}", self.as_of), "ops.data_quality_status")
-            self.store.append(verdict, "ops.publish_gate_log")
-            self.store.append(gate.alert_rows(results, self.as_of), "ops.alerts")
+            store.append(gate.table_status(results, score, f"silver.{name}", self.as_of), "ops.data_quality_status")
+            store.append(verdict, "ops.publish_gate_log")
+            store.append(gate.alert_rows(results, self.as_of), "ops.alerts")
             blocked += [r.message for r in verdict.filter("NOT can_publish").select("message").collect()]
             results.unpersist()
         if blocked:
@@ -237,14 +283,21 @@ class Job:
         raise ValueError(f"Unknown table: {table}")
 
     def publish(self, table: str = "all", recent_days: int | None = 30) -> None:
-        """Publish one gold table, or all, behind the gate; the unified table must pass its own checks."""
+        """Publish one gold table, or all, behind the gate; the unified table must pass its own checks.
+
+        All are made from silver as one commit left it, written and checked, and put in force together by one commit: a failure
+        at any table leaves those in force that were.
+        """
         names = GOLD if table == "all" else (table,)
         if any(n not in GOLD for n in names):
             raise ValueError(f"Unknown table: {table}")
-        self.open_gate()
-        for name in names:
-            audit = self._audit_unified if name == "unified_supply_chain" else None
-            _, rows = self._put(self._gold_frame(name, recent_days), f"gold.{name}", audit)
+        view = Job(self.store.at(), self.as_of)
+        view.open_gate(log_to=self.store)
+        written = {name: self._write(view._gold_frame(name, recent_days), f"gold.{name}",
+                                     self._audit_unified if name == "unified_supply_chain" else None) for name in names}
+        self.store.publish(*(staged for staged, _, _ in written.values()))
+        for name, (_, rows, seconds) in written.items():
+            self._measure(f"gold.{name}", rows, seconds)
             self.store.append(self.spark.createDataFrame(
                 [(f"gold-{self.as_of}", f"gold.{name}", source, rows) for source in GOLD_INPUTS[name]],
                 "run_id string, target string, source_table string, rows_written bigint").withColumn("recorded_ts", ts(self.as_of)),
@@ -276,7 +329,7 @@ def run(spark: SparkSession, root: str, stage: str, as_of: str, domain: str = "a
     job = Job(Store(spark, root), as_of)
     domains = list(DOMAINS) if domain == "all" else [domain]
     if stage in ("bronze", "all"):
-        for name, table in (("crosswalk", "silver.crosswalk"), ("link", LINK)):
+        for name, table in (("crosswalk", CROSSWALK), ("link", LINK)):
             if sources and name in sources:
                 job.store.replace(spark.read.parquet(sources[name]), table, [])
         for name in domains:

@@ -64,63 +64,6 @@ def test_generated_feeds(spark):
     assert generate.initial_freshness(spark, AS_OF).filter("status = 'ok'").count() == 3
 
 
-def test_store_versions(spark, tmp_path):
-    store = Store(spark, str(tmp_path))
-    table = "silver.inventory_position"
-    assert store.read(table).isEmpty() and store.read(table).columns == schemas.TABLES[table].names
-    rows = spark.createDataFrame([stock("a"), stock("b")], INVENTORY)
-    assert store.replace(rows, table) == 1
-    assert store.replace(store.read(table).filter("item_id = 'a'"), table) == 2
-    assert [r.item_id for r in store.read(table).collect()] == ["a"]
-    assert store.read(table, 1).count() == 2
-    number = store.stage(rows, table)
-    assert store.version(table) == 2 and store.read(table, number).count() == 2
-
-
-def test_two_writers_do_not_meet(spark, tmp_path):
-    store, table = Store(spark, str(tmp_path)), "silver.inventory_position"
-    a = store.stage(spark.createDataFrame([stock("a")], INVENTORY), table)
-    b = store.stage(spark.createDataFrame([stock("b"), stock("c")], INVENTORY), table)
-    store.publish(table, a)
-    assert store.read(table).count() == 1 and store.read(table, b).count() == 2
-    store.publish(table, b)
-    assert store.read(table).count() == 2
-
-
-def test_damage_is_not_taken_for_an_absent_table(spark, tmp_path):
-    import shutil
-
-    store, table = Store(spark, str(tmp_path)), "silver.inventory_position"
-    store.replace(spark.createDataFrame([stock("a")], INVENTORY), table)
-    for f in (tmp_path / "silver" / "inventory_position" / "pointer").glob("*.parquet"):
-        f.unlink()
-    with pytest.raises(Exception, match="(?i)names no version|infer"):
-        store.read(table)
-    store.replace(spark.createDataFrame([stock("a")], INVENTORY), "silver.other")
-    shutil.rmtree(tmp_path / "silver" / "other" / "data")
-    with pytest.raises(Exception, match="(?i)exist"):
-        store.read("silver.other")
-
-
-def test_buckets_that_do_not_change_are_not_written(spark, tmp_path, rows):
-    store, table = Store(spark, str(tmp_path), buckets=8), "silver.inventory_position"
-    everything = spark.createDataFrame([stock(f"i{k}") for k in range(40)], INVENTORY)
-    store.publish(table, store.stage_buckets(everything, table, ["item_id"], range(8)))
-    before = store._pointer(table)["parts"]
-    assert rows(store.read(table)) == rows(everything) and len(before) > 4
-    mine = everything.filter("item_id = 'i7'").select(store.bucket_of(["item_id"]).alias("b")).first().b
-    held = store.read(table, buckets=[mine])
-    n = held.count()
-    assert 1 < n < 40
-    store.publish(table, store.stage_buckets(held.filter("item_id <> 'i7'"), table, ["item_id"], [mine]), ["batch"])
-    after = store._pointer(table)["parts"]
-    assert {b for b in before if before[b] != after.get(b)} == {mine}
-    assert store.read(table).count() == 39 and store.read(table, 1).count() == 40 and store.inputs(table) == ["batch"]
-    store.publish(table, store.stage_buckets(store.read(table, buckets=[mine]).limit(0), table, ["item_id"], [mine]))
-    assert mine not in store._pointer(table)["parts"]
-    assert store.vacuum(table, keep=1) == 2 and store.read(table).count() == 40 - n
-
-
 def test_clustered_layout_through_the_store(spark, tmp_path):
     import pyarrow.parquet as pq
 
@@ -151,7 +94,7 @@ def test_backfill_and_repeated_ingest(spark, tmp_path):
     early.conform("shipment")
     assert {r.shipment_id: r.status for r in store.read("silver.shipment").collect()} == {"a": "delivered", "b": "delivered", "c": "planned"}
     assert store.read_appended("ops.schema_validation_log").count() == 2
-    assert len(store.inputs("silver.shipment")) == 2
+    assert store.arrivals("bronze.shipment_raw", store.through("silver.shipment")) == []
 
 
 def test_trusted_system_survives_at_one_instant(spark, tmp_path):
@@ -332,3 +275,98 @@ def test_windows_left_open_are_written_by_a_later_run(spark, tmp_path):
     first = run_with(0.1, 0.2, 3.5)
     assert first == {0: 2}  # the window of 3.5 is open when the input ends
     assert run_with(9.0) == {0: 2, 3: 1}
+
+
+def _suppliers(spark, path, *names):
+    spark.createDataFrame([(k, n, "active", "EUROPE") for k, n in names], "supplier_id string, supplier_name string, status string, region string").write.json(path)
+
+
+def test_minted_keys_go_in_force_with_the_history(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "lake"), buckets=2)
+    known = spark.createDataFrame([("erp_system", "s1", "supplier", "BK1", 1.0, True)], "source_system string, source_key string, "
+                                  "entity_type string, business_key string, confidence double, is_active boolean").withColumns({
+        "created_ts": F.lit("2024-01-01").cast("timestamp_ntz"), "updated_ts": F.lit("2024-01-01").cast("timestamp_ntz")})
+    store.replace(known, "silver.crosswalk", [])
+    job = Job(store, AS_OF, mint=True)
+    _suppliers(spark, str(tmp_path / "a.json"), ("s1", "One"), ("s2", "Two"))
+    job.ingest("supplier", str(tmp_path / "a.json"), source_system="erp_system")
+    commits = len(store.log.numbers())
+    job.conform("supplier")
+    both = [n for n in store.log.numbers()[commits:] if {"silver.crosswalk", "silver.supplier_scd2"} <= set(store.log.at(n)["tables"])]
+    assert store.log.at(both[0])["number"] == commits + 1  # one commit holds both
+    assert sorted(r.business_key for r in store.read("silver.supplier_scd2").collect()) == ["BK1", "SUPPLIER_erp_system_s2"]
+    assert store.read("silver.crosswalk").count() == 2
+    # the same suppliers again: nothing is minted, nothing changes
+    again = Job(store, "2024-03-02 12:00:00", mint=True)
+    again.ingest("supplier", str(tmp_path / "a.json"), source_system="erp_system")
+    again.conform("supplier")
+    assert store.read("silver.crosswalk").count() == 2 and store.read("silver.supplier_scd2").count() == 2
+
+
+def test_a_key_mapped_meanwhile_is_not_minted(spark, tmp_path, monkeypatch):
+    store = Store(spark, str(tmp_path / "lake"), buckets=2)
+    job = Job(store, AS_OF, mint=True)
+    _suppliers(spark, str(tmp_path / "a.json"), ("s1", "One"))
+    job.ingest("supplier", str(tmp_path / "a.json"), source_system="erp_system")
+    publish = store.publish
+
+    def interrupted(*staged, **rest):
+        monkeypatch.setattr(store, "publish", publish)
+        store.replace(spark.createDataFrame([("erp_system", "s1", "supplier", "MAPPED", 1.0, True, dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 1))],
+                                            "source_system string, source_key string, entity_type string, business_key string, confidence double, "
+                                            "is_active boolean, created_ts timestamp_ntz, updated_ts timestamp_ntz"), "silver.crosswalk", [])
+        return publish(*staged, **rest)
+
+    monkeypatch.setattr(store, "publish", interrupted)
+    job.conform("supplier")
+    assert [r.business_key for r in store.read("silver.supplier_scd2").collect()] == ["MAPPED"]
+    assert store.read("silver.crosswalk").count() == 1
+
+
+def test_runs_of_two_jobs_both_count(spark, tmp_path, monkeypatch):
+    store = Store(spark, str(tmp_path / "lake"), buckets=4)
+    one, two = str(tmp_path / "one.json"), str(tmp_path / "two.json")
+    _ship(spark, one, ["a", "b"], "planned")
+    _ship(spark, two, ["b", "c"], "delivered")
+    first, second = Job(store, "2024-03-03 00:00:00"), Job(Store(spark, store.root, buckets=4), "2024-03-05 00:00:00")
+    first.ingest("shipment", one)
+    publish = store.publish
+
+    def interrupted(*staged, **rest):
+        monkeypatch.setattr(store, "publish", publish)
+        second.ingest("shipment", two)
+        second.conform("shipment")  # works in both batches while the first job is about to publish the first
+        return publish(*staged, **rest)
+
+    monkeypatch.setattr(store, "publish", interrupted)
+    first.conform("shipment")
+    assert {r.shipment_id: r.status for r in store.read("silver.shipment").collect()} == {"a": "planned", "b": "delivered", "c": "delivered"}
+    assert store.arrivals("bronze.shipment_raw", store.through("silver.shipment")) == []
+
+
+def test_gold_tables_go_in_force_together_or_not_at_all(spark, tmp_path, monkeypatch):
+    sources = _write_sources(spark, tmp_path / "in")
+    root = str(tmp_path / "lake")
+    run(spark, root, "all", AS_OF, sources=sources)
+    store = Store(spark, root)
+    gold = [t for t in store.log.latest()["tables"] if t.startswith("gold.")]
+    before = {t: store.version(t) for t in gold}
+    assert len(gold) == 4 and set(before.values()) == {1}
+    commit = next(n for n in store.log.numbers() if any(t in store.log.at(n)["tables"] for t in gold))
+    assert all(t in store.log.at(commit)["tables"] for t in gold)
+    made = []
+    real = Job._gold_frame
+
+    def failing(self, name, recent_days):
+        made.append(name)
+        if len(made) == 3:
+            raise RuntimeError("lost")
+        return real(self, name, recent_days)
+
+    monkeypatch.setattr(Job, "_gold_frame", failing)
+    with pytest.raises(RuntimeError, match="lost"):
+        Job(store, "2024-03-01 12:00:00").publish()
+    assert len(made) == 3 and {t: store.version(t) for t in gold} == before
+    monkeypatch.setattr(Job, "_gold_frame", real)
+    Job(store, "2024-03-01 12:00:00").publish()
+    assert {store.version(t) for t in gold} == {2}
