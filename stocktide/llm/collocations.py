@@ -11,13 +11,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stocktide.llm.arrays import LOWER, U, give_back, mixed, run_hashes, text_chunks
-from stocktide.llm.store import discard, kept, release
+from stocktide.llm.store import discard, kept, kept_apart, release
 
 LONGEST = 4
 #: Texts of about so many bytes make a block; their stripes leave it as one.
 BLOCK_BYTES = 4 << 20
 #: Bytes of text whose stripes are merged in one task, on average; a stripe is split into so many parts by the next word.
-SLOT_BYTES = 12 << 20
+SLOT_BYTES = 32 << 20
 PARTS = 64
 
 BREAK = np.zeros(256, bool)
@@ -366,10 +366,27 @@ def count_phrases(docs: DataFrame, least: int = 30) -> tuple[DataFrame, DataFram
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     slots = 1 + size // SLOT_BYTES
-    level = kept(rows.mapInArrow(_read_words(slots), LEVEL), "words")
-    merged = kept(level.where("slot >= 0").groupBy("slot").applyInArrow(_merge_words(least), VOCABULARY), "vocabulary")
-    lengths = merged.where("block is null and word is null").groupBy("lang").agg(F.sum("f").alias("n"))
-    vocabulary = merged.where("word is not null").select("lang", "word", "id", "f")
+
+    def merged_of(stripes: DataFrame, merge, schema: str, name: str) -> DataFrame:
+        """Merged stripes, and those of the blocks deleted."""
+        merged = kept(stripes.groupBy("slot").applyInArrow(merge, schema), name)
+        discard(stripes)
+        release(docs.sparkSession)
+        return merged
+
+    def answered(states: DataFrame, merged: DataFrame, grow) -> tuple[DataFrame, DataFrame]:
+        """The next level: every block with what became of its own entries. What was needed for it is deleted."""
+        answers = merged.where("block is not null").select("block", "payload")
+        after = kept_apart(states.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(grow, LEVEL), "level", "slot >= 0")
+        discard(states)
+        discard(merged)
+        release(docs.sparkSession)
+        return after
+
+    stripes, states = kept_apart(rows.mapInArrow(_read_words(slots), LEVEL), "words", "slot >= 0")
+    merged = merged_of(stripes, _merge_words(least), VOCABULARY, "merged")
+    lengths = kept(merged.where("block is null and word is null").groupBy("lang").agg(F.sum("f").alias("n")), "lengths")
+    vocabulary = kept(merged.where("word is not null").select("lang", "word", "id", "f"), "vocabulary")
 
     def first(sequences: pa.Table, answers: pa.Table) -> pa.Table:
         parts = [np.array(unsqueezed(x.as_buffer(), "<i8", "<i8")) for x in answers.column("payload")]
@@ -390,30 +407,23 @@ def count_phrases(docs: DataFrame, least: int = 30) -> tuple[DataFrame, DataFram
 
         return grow
 
-    def answered(level: DataFrame, merged: DataFrame, grow) -> DataFrame:
-        """The next level's stripes: every block with what became of its own entries."""
-        states, answers = level.where("slot < 0").select("block", "payload"), merged.where("block is not null").select("block", "payload")
-        after = kept(states.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(grow, LEVEL), "level")
-        discard(level)
-        release(docs.sparkSession)
-        return after
-
-    level = answered(level, merged, first)
+    stripes, states = answered(states, merged, first)
     counts = [vocabulary.select("id", "lang", F.col("word").alias("phrase"), F.lit(1).alias("size"), "f")]
     longer = []
     for size in range(2, LONGEST + 1):
-        merged = kept(level.where("slot >= 0").groupBy("slot").applyInArrow(_merge(least), MERGED), "merged")
+        merged = merged_of(stripes, _merge(least), MERGED, "merged")
         last_words = vocabulary.select(F.col("id").alias("next"), "word")
         grams = merged.where("id is not null").select("id", "prefix", "next", "f").join(
             counts[-1].select(F.col("id").alias("prefix"), "lang", "phrase"), "prefix").join(last_words, "next")
         grams = kept(grams.select("id", "lang", F.concat_ws(" ", "phrase", "word").alias("phrase"), F.lit(size).alias("size"), "f"), "grams")
-        extended = merged.where("id is null and block is null").groupBy("prefix").agg(F.max("longest").alias("longer"))
+        extended = kept(merged.where("id is null and block is null").groupBy("prefix").agg(F.max("longest").alias("longer")), "extended")
         longer.append(counts[-1].join(extended, counts[-1]["id"] == extended["prefix"]).select("lang", "phrase", "longer"))
         longer.append(grams.select("lang", F.substring_index("phrase", " ", 1 - size).alias("phrase"), F.col("f").alias("longer")))
         counts.append(grams)
         if size < LONGEST:
-            level = answered(level, merged, following(size + 1 == LONGEST))
-    discard(level)
+            stripes, states = answered(states, merged, following(size + 1 == LONGEST))
+    discard(states)
+    discard(merged)
     phrases = counts[0]
     for more in counts[1:]:
         phrases = phrases.union(more)

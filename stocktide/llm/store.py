@@ -34,6 +34,24 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     return table
 
 
+def kept_apart(df: DataFrame, name: str, test: str) -> tuple[DataFrame, DataFrame]:
+    """Like ``kept``, as two tables that are discarded by themselves: rows that pass the test, and the others."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
+    df.selectExpr("*", f"({test}) __apart").write.option("compression", "zstd").partitionBy("__apart").parquet(path)
+    tables = []
+    for value in ("true", "false"):
+        at = f"{path}/__apart={value}"
+        where = spark._jvm.org.apache.hadoop.fs.Path(at)
+        if where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+            table = spark.read.schema(df.schema).parquet(at)
+        else:  # none passed, or all did
+            table = spark.createDataFrame([], df.schema)
+        table._kept_at = at
+        tables.append(table)
+    return tables[0], tables[1]
+
+
 def discard(table: DataFrame) -> None:
     """Deletes a table of ``kept`` that no later step reads."""
     spark = table.sparkSession
