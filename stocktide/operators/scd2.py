@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stocktide.functions.timeexpr import ts
+from stocktide.operators.asof import as_of_join
 from stocktide.operators.common import first_per_key, require_columns, with_missing
 
 TRACKED = ["name", "status", "region", "attributes_json"]
@@ -192,16 +193,11 @@ def as_of(dim: DataFrame, when: str | Column) -> DataFrame:
     )
 
 
-def at_event_time(events: DataFrame, dim: DataFrame, key: str, time: str) -> DataFrame:
-    """Attach to each event the supplier version valid at its time (equi join with a residual range test)."""
+def at_event_time(events: DataFrame, dim: DataFrame, key: str, time: str, slice_unit: str = "month") -> DataFrame:
+    """Attach to each event the supplier version valid at its time; no event meets all versions of its supplier."""
     versions = dim.select(
-        F.col("business_key").alias("_bk"), F.col("effective_start_ts").alias("version_start_ts"),
-        F.col("effective_end_ts").alias("_end"), F.col("status").alias("supplier_status"),
-        F.col("region").alias("supplier_region"),
-    )
-    valid = (
-        (F.col(key) == F.col("_bk"))
-        & (F.col(time) >= F.col("version_start_ts"))
-        & (F.col("_end").isNull() | (F.col(time) < F.col("_end")))
+        "business_key", F.col("effective_start_ts").alias("version_start_ts"), F.col("effective_end_ts").alias("_end"),
+        F.col("status").alias("supplier_status"), F.col("region").alias("supplier_region"),
     )
-    return events.join(versions, valid, "left").drop("_bk", "_end")
+    return as_of_join(events, versions, key, time, "business_key", "version_start_ts",
+                      ["version_start_ts", "supplier_status", "supplier_region"], "_end", slice_unit)
