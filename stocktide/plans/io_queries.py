@@ -167,3 +167,18 @@ def _(t):
         prepare=lambda batch: inv.clean(t.inventory_feed(batch), AS_OF))
     sink.run(lines, f"{out}/checkpoint")
     return sink.read()
+
+
+@query("stream_late_rows", check="""
+WITH e AS (SELECT event_id, ts, event_id % 4 AS batch FROM events), m AS (SELECT batch, max(ts) AS latest FROM e GROUP BY batch)
+SELECT event_id, ts, batch AS batch_id,
+       coalesce(ts < (SELECT max(latest) FROM m WHERE m.batch < e.batch) - INTERVAL 7 DAY, false) AS late FROM e""")
+def _(t):
+    """Four micro-batches of events; rows a week behind what came before are set apart, none is lost."""
+    events, source, out = t.raw("events").select("event_id", "ts"), scratch_dir(t.spark, "events"), scratch_dir(t.spark, "late-split")
+    split = streams.LateSplit(t.spark, out, "ts", "7 days")
+    for batch in range(4):
+        events.where(F.col("event_id") % 4 == batch).coalesce(1).write.mode("append").parquet(source)
+        split.run(streams.file_stream(t.spark, source, events.schema), f"{out}/checkpoint")
+    columns = ["event_id", "ts", F.col("batch_id").cast("bigint").alias("batch_id")]
+    return split.on_time().select(*columns, F.lit(False).alias("late")).union(split.late().select(*columns, F.lit(True).alias("late")))

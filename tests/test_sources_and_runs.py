@@ -370,3 +370,75 @@ def test_gold_tables_go_in_force_together_or_not_at_all(spark, tmp_path, monkeyp
     monkeypatch.setattr(Job, "_gold_frame", real)
     Job(store, "2024-03-01 12:00:00").publish()
     assert {store.version(t) for t in gold} == {2}
+
+
+def _feed_files(spark, source, schema, *batches):
+    for batch in batches:
+        spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(source)
+
+
+def test_late_rows_are_set_apart_and_replayed_once(spark, tmp_path, rows):
+    schema, day, h = "id string, ts timestamp_ntz", dt.datetime(2024, 1, 1), lambda n: dt.datetime(2024, 1, 1) + dt.timedelta(hours=n)
+    source, path, checkpoint = (str(tmp_path / n) for n in ("in", "split", "checkpoint"))
+    split = streams.LateSplit(spark, path, "ts", "2 hours")
+
+    def run_with(*batches):
+        _feed_files(spark, source, schema, *batches)
+        split.run(streams.file_stream(spark, source, spark.createDataFrame([], schema).schema, max_files=1), checkpoint)
+
+    run_with([("a", h(0)), ("b", h(9))], [("c", h(8)), ("d", h(1)), ("e", None)], [("f", h(7)), ("g", day), ("h", h(20))])
+    # what arrives in the batch that moves the mark isn't behind it; the mark of a batch is that of the batches before
+    assert rows(split.on_time(), "id") == [("a",), ("b",), ("c",), ("e",), ("f",), ("h",)]
+    assert rows(split.late(), "id") == [("d",), ("g",)]
+    taken = []
+    assert split.replay(lambda df: taken.append(rows(df, "id"))) == 2
+    assert split.replay(lambda df: taken.append(rows(df, "id"))) == 2
+    assert taken == [[("d",), ("g",)]]
+    run_with([("i", h(10)), ("j", h(19))])
+    with pytest.raises(RuntimeError):
+        split.replay(lambda df: (_ for _ in ()).throw(RuntimeError("lost")))
+    split.replay(lambda df: taken.append(rows(df, "id")))
+    assert taken[1:] == [[("i",)]]
+    assert split.on_time().count() + split.late().count() == 10  # every row that was read
+    # a batch that comes again finds its watermark and takes its own place
+    split.write_batch(spark.createDataFrame([("f", h(7)), ("g", day), ("h", h(20))], schema), 2)
+    assert split.on_time().count() + split.late().count() == 10 and rows(split.late(), "id") == [("d",), ("g",), ("i",)]
+
+
+def test_late_rows_reach_the_silver_table(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "lake"), buckets=2)
+    split = streams.LateSplit(spark, str(tmp_path / "split"), "load_ts", "1 day")
+    batches = [[shipment("m0", load="2024-01-05")], [shipment("m0", status="delivered", load="2024-01-06"), shipment("late", load="2024-01-01")]]
+    for k, batch in enumerate(batches):
+        split.write_batch(spark.createDataFrame(batch, SHIPMENT), k)
+
+    def into_silver(df):
+        store.publish(store.stage_run(shp.newest(df), "silver.shipment", ["shipment_id"], "latest", ["load_ts"]))
+
+    into_silver(split.on_time().drop("batch_id"))
+    assert [r.shipment_id for r in store.read("silver.shipment").collect()] == ["m0"]
+    split.replay(into_silver)
+    assert {r.shipment_id: r.status for r in store.read("silver.shipment").collect()}.keys() == {"m0", "late"}
+
+
+def test_stream_upsert_merges_its_batches(spark, tmp_path, rows):
+    sink = streams.UpsertSink(spark, str(tmp_path / "out"), ["shipment_id"], [F.col("load_ts").desc()], compact_every=5)
+    feed = [[shipment(f"m{(b * 3 + i) % 11}", status=["planned", "in_transit", "delivered"][(b + i) % 3], load=f"2024-01-{1 + (b * 7) % 20:02d}")
+             for i in range(4)] for b in range(23)]
+    for b, batch in enumerate(feed):
+        sink.write_batch(spark.createDataFrame(batch, SHIPMENT), b)
+        assert len([x for x in sink._batches() if x > sink._base()["through"]]) < 5
+    assert sink._base()["through"] == 19 and len(sink._batches()) < 10
+    assert len([n for n in sink.log.files.names(f"{sink.path}/base") if n.startswith("v=")]) <= 2
+    best, columns = {}, spark.createDataFrame([], SHIPMENT).columns
+    for b, batch in enumerate(feed):
+        for row in batch:
+            r = dict(zip(columns, row))
+            held = best.get(r["shipment_id"])
+            if held is None or (r["load_ts"], b) > held[0]:
+                best[r["shipment_id"]] = ((r["load_ts"], b), r["status"])
+    assert {r.shipment_id: r.status for r in sink.read().collect()} == {k: v[1] for k, v in best.items()}
+    before = rows(sink.read())
+    sink.write_batch(spark.createDataFrame([shipment("m0", status="cancelled", load="2030-01-01")], SHIPMENT), 7)  # replayed: it is in the base
+    assert rows(sink.read()) == before
+    assert sink.compact() == 22 and sink.compact() == 22 and rows(sink.read()) == before
