@@ -78,6 +78,13 @@ def status(latest: DataFrame, as_of: str, slas: Mapping[str, Sla] = SLAS) -> Dat
     )
 
 
+def within_warning(domain: str, last_updated: Column, as_of: str, slas: Mapping[str, Sla] = SLAS) -> Column:
+    """Whether a domain whose latest load is ``last_updated`` is ok; without data it isn't."""
+    age = whole_minutes_between(last_updated.cast("timestamp_ntz"), ts(as_of))
+    label = labels.freshness_label(age, F.lit(slas[domain].warning_minutes), F.lit(slas[domain].breach_minutes))
+    return F.coalesce(last_updated.isNotNull() & (label == "ok"), F.lit(False))
+
+
 def refresh(tables: Mapping[str, DataFrame], as_of: str, slas: Mapping[str, Sla] = SLAS) -> DataFrame:
     """Status rows for the given domain tables; append them to the status history."""
     return status(latest_loads(tables), as_of, slas)

@@ -72,103 +72,119 @@ def orphans(df: DataFrame, column: str, referenced: DataFrame, key: str) -> Data
     return used.join(known, "value", "left_anti")
 
 
-def _not_null_counts(df: DataFrame, column: str, violated: Column) -> DataFrame:
-    c = F.col(column)
-    return df.agg(
-        F.count(c).alias("total_rows"), F.count_if(violated).alias("failing_rows")
-    )
-
-
-def _measure(df: DataFrame, check: Check, tables: Mapping[str, DataFrame], as_of: str | None) -> tuple[DataFrame, Column]:
-    """(one row total_rows, failing_rows; message column) of one check."""
-    c = F.col(check.column)
-    total, bad = F.col("total_rows").cast("string"), F.col("failing_rows").cast("string")
-    fine = F.col("failing_rows") == 0
-    name = check.column
-    if check.kind == "completeness":
-        row = df.agg(F.count("*").alias("total_rows"), F.count_if(c.isNull()).alias("failing_rows"))
-        message = F.when(fine, F.concat(F.lit("All "), total, F.lit(f" rows have non-null values for {name}"))).otherwise(
-            F.concat(bad, F.lit(" out of "), total, F.lit(f" rows have null values for {name}")))
-    elif check.kind == "uniqueness":
-        rows = df.filter("is_current") if check.current_only else df
-        groups = rows.groupBy(c.alias("v")).agg(F.count("*").alias("n"))
-        row = groups.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total_rows"), F.count("v").alias("u")).select(
-            "total_rows", (F.col("total_rows") - F.col("u")).alias("failing_rows"))
-        message = F.when(fine, F.concat(F.lit("All "), total, F.lit(f" values for {name} are unique"))).otherwise(
-            F.concat(bad, F.lit(f" duplicate values found for {name}")))
-    elif check.kind == "referential":
-        table, key = check.references
-        used = df.filter(c.isNotNull()).groupBy(c.alias("v")).agg(F.count("*").alias("n"))
-        known = tables[table].select(F.col(key).alias("v")).distinct().withColumn("hit", F.lit(True))
-        row = used.join(known, "v", "left").agg(
-            F.coalesce(F.sum("n"), F.lit(0)).alias("total_rows"),
-            F.coalesce(F.sum(F.when(F.col("hit").isNull(), F.col("n"))), F.lit(0)).alias("failing_rows"))
-        message = F.when(fine, F.concat(
-            F.lit(f"Referential integrity check passed for {name} ("), total, F.lit(" non-null values)"))).otherwise(
-            F.concat(bad, F.lit(" out of "), total, F.lit(f" values for {name} have no match in {table}.{key}")))
-    elif check.kind == "non_negative":
-        row = _not_null_counts(df, name, c < 0)
-        message = F.when(fine, F.concat(F.lit("All "), total, F.lit(f" values for {name} are non-negative"))).otherwise(
-            F.concat(bad, F.lit(" out of "), total, F.lit(f" values for {name} are negative")))
-    elif check.kind == "ordering":
-        row = _not_null_counts(df, name, c > F.col(check.not_after))
-        message = F.when(fine, F.concat(F.lit("All "), total, F.lit(f" values for {name} are in order"))).otherwise(
-            F.concat(bad, F.lit(" out of "), total, F.lit(f" values for {name} are after {check.not_after}")))
-    elif check.kind == "freshness":
-        domain = DOMAIN_OF[check.table]
-        state = freshness.refresh({domain: df}, as_of)
-        row = state.select(F.lit(1).cast("bigint").alias("total_rows"),
-                           F.when(F.col("status") == "ok", 0).otherwise(1).cast("bigint").alias("failing_rows"))
-        message = F.when(fine, F.lit(f"{domain} data is within its service level")).otherwise(
-            F.lit(f"{domain} data is older than its service level"))
-    elif check.kind == "predicate":
-        row = df.agg(F.count("*").alias("total_rows"), F.count_if(check.violated).alias("failing_rows"))
-        message = F.concat(bad, F.lit(" out of "), total, F.lit(f" rows break {check.check_id}"))
-    else:
+def _wrong(check: Check) -> str:
+    """What is said of the rows that fail a check."""
+    if check.kind == "referential":
+        return "without a counterpart in {}.{}".format(*check.references)
+    texts = {"completeness": "without a value", "uniqueness": "repeated", "non_negative": "below zero", "ordering": f"later than {check.not_after}",
+             "predicate": f"against {check.check_id}", "freshness": "overdue"}
+    if check.kind not in texts:
         raise ValueError(f"Unknown check type: {check.kind}")
-    return row, message
+    return texts[check.kind]
 
 
-def _result(row: DataFrame, check: Check, passed: Column, message: Column) -> DataFrame:
-    return row.select(
-        F.lit(check.check_id).alias("check_id"), F.lit(check.name).alias("check_name"),
-        F.lit(check.severity).alias("severity"), F.lit(check.dataset).alias("dataset"),
-        F.lit(check.table).alias("table_name"), F.lit(check.column).alias("column_name"),
-        passed.alias("passed"), "total_rows", "failing_rows", message.alias("message"),
-    )
+def _outcome(check: Check, total: Column, failing: Column) -> Column:
+    """The result row of a check as a struct."""
+    message = F.concat(F.lit(f"{check.column}: "), failing.cast("string"), F.lit(" of "), total.cast("string"), F.lit(f" {_wrong(check)}"))
+    return F.struct(
+        F.lit(check.check_id).alias("check_id"), F.lit(check.name).alias("check_name"), F.lit(check.severity).alias("severity"),
+        F.lit(check.dataset).alias("dataset"), F.lit(check.table).alias("table_name"), F.lit(check.column).alias("column_name"),
+        (failing == 0).alias("passed"), total.cast("bigint").alias("total_rows"), failing.cast("bigint").alias("failing_rows"),
+        message.alias("message"))
 
 
-def run_check(
-    spark: SparkSession, check: Check, table: str, tables: Mapping[str, DataFrame], as_of: str | None = None
-) -> DataFrame:
-    """One result row. A check that cannot be set up (missing column or table) is a failed check."""
-    bound = Check(**{**check.__dict__, "table": table})
-    try:
-        df = tables[table]
-        needed = [c for c in (bound.column, bound.not_after) if c]
-        absent = [c for c in needed if c not in df.columns]
-        if absent:
-            raise KeyError(f"column {absent[0]} not found")
-        row, message = _measure(df, bound, tables, as_of)
-        return _result(row, bound, F.col("failing_rows") == 0, message)
-    except (KeyError, ValueError) as error:
-        failed = spark.range(1).select(
-            F.lit(None).cast("bigint").alias("total_rows"), F.lit(None).cast("bigint").alias("failing_rows"))
-        return _result(failed, bound, F.lit(False), F.lit(f"Check execution failed: {error}"))
+def _counters(check: Check, as_of: str | None) -> tuple[Column, Column] | None:
+    """Aggregates (total, failing) of a check that a scan can answer without grouping; None for the others."""
+    c = F.col(check.column)
+    if check.kind == "completeness":
+        return F.count("*"), F.count_if(c.isNull())
+    if check.kind == "non_negative":
+        return F.count(c), F.count_if(c < 0)
+    if check.kind == "ordering":
+        return F.count(c), F.count_if(c > F.col(check.not_after))
+    if check.kind == "predicate":
+        return F.count("*"), F.count_if(check.violated)
+    if check.kind == "freshness":
+        return F.lit(1), F.when(freshness.within_warning(DOMAIN_OF[check.table], F.max(c), as_of), 0).otherwise(1)
+    _wrong(check)
+    return None
+
+
+def _grouped(df: DataFrame, column: str, checks: Sequence[Check], tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Result rows of the uniqueness and reference checks of one column, from one grouping of it."""
+    v = F.col(column)
+    current = F.count_if("is_current") if any(c.current_only for c in checks) else F.count("*")
+    groups = df.groupBy(v.alias("v")).agg(F.count("*").alias("n"), current.alias("current"))
+    outcomes = []
+    for i, check in enumerate(checks):
+        n = F.col("current") if check.current_only else F.col("n")
+        if check.kind == "uniqueness":
+            total = F.coalesce(F.sum(n), F.lit(0))
+            outcomes.append(_outcome(check, total, total - F.count_if(F.col("v").isNotNull() & (n > 0))))
+        else:
+            table, key = check.references
+            known = tables[table].select(F.col(key).alias("v")).where("v is not null").distinct().withColumn(f"hit{i}", F.lit(True))
+            groups = groups.join(known, "v", "left")
+            used = F.col("v").isNotNull()
+            outcomes.append(_outcome(check, F.coalesce(F.sum(F.when(used, n)), F.lit(0)),
+                                     F.coalesce(F.sum(F.when(used & F.col(f"hit{i}").isNull(), n)), F.lit(0))))
+    return groups.agg(F.array(*outcomes).alias("r")).select(F.inline("r"))
 
 
 def run_checks(
     spark: SparkSession, dataset: str, table: str, tables: Mapping[str, DataFrame], as_of: str | None = None,
     checks: Sequence[Check] | None = None,
 ) -> DataFrame:
-    """Result rows of every check that applies to the table."""
-    todo = checks if checks is not None else checks_for(dataset, table)
-    parts = [run_check(spark, c, table, tables, as_of) for c in todo]
-    if not parts:
+    """Result rows of every check that applies to the table.
+
+    All checks that look at rows by themselves are counters of one aggregate, and those that compare the values of a column
+    share one grouping of it: the table is read once for the former and once per column for the latter, however many checks
+    there are. A check that cannot be set up (missing column or table) is a failed check.
+    """
+    todo = [Check(**{**c.__dict__, "table": table}) for c in (checks if checks is not None else checks_for(dataset, table))]
+    if not todo:
         raise ValueError(f"no checks apply to {dataset}.{table}")
+    df, failed, single, by_column = tables.get(table), [], [], {}
+    for check in todo:
+        needed = [c for c in (check.column, check.not_after) if c]
+        absent = [f"table {table}"] if df is None else [f"column {c}" for c in needed if c not in df.columns]
+        if df is not None and check.references and not absent:
+            other, key = check.references
+            absent = [f"table {other}"] if other not in tables else [] if key in tables[other].columns else [f"column {key}"]
+        try:
+            if absent:
+                raise KeyError(f"{absent[0]} not found")
+            counters = _counters(check, as_of)
+        except (KeyError, ValueError) as error:
+            failed.append((check, f"could not be run: {error}"))
+            continue
+        if counters:
+            single.append((check, counters))
+        else:
+            by_column.setdefault(check.column, []).append(check)
+    parts = []
+    if single:
+        counted = df.agg(*[c.alias(f"{k}{i}") for i, (_, pair) in enumerate(single) for k, c in zip("tf", pair)])
+        rows = F.array(*[_outcome(check, F.col(f"t{i}"), F.col(f"f{i}")) for i, (check, _) in enumerate(single)])
+        parts.append(counted.select(F.inline(rows)))
+    parts += [_grouped(df, column, group, tables) for column, group in by_column.items()]
+    if failed:
+        rows = F.array(*[F.struct(
+            F.lit(c.check_id).alias("check_id"), F.lit(c.name).alias("check_name"), F.lit(c.severity).alias("severity"), F.lit(c.dataset).alias("dataset"),
+            F.lit(c.table).alias("table_name"), F.lit(c.column).alias("column_name"), F.lit(False).alias("passed"),
+            F.lit(None).cast("bigint").alias("total_rows"), F.lit(None).cast("bigint").alias("failing_rows"), F.lit(m).alias("message"))
+            for c, m in failed])
+        parts.append(spark.range(1).select(F.inline(rows)))
     return reduce(DataFrame.unionByName, parts)
 
 
+def run_check(
+    spark: SparkSession, check: Check, table: str, tables: Mapping[str, DataFrame], as_of: str | None = None
+) -> DataFrame:
+    """The result row of one check."""
+    return run_checks(spark, check.dataset, table, tables, as_of, [check])
+
+
 def evaluate(results: DataFrame, dataset: str, table: str, as_of: str) -> DataFrame:
     """The gate-log row: BLOCKED on any critical failure, else OPEN."""
     def failures(severity: str) -> Column:
@@ -191,10 +207,9 @@ def evaluate(results: DataFrame, dataset: str, table: str, as_of: str) -> DataFr
         (critical == 0).alias("can_publish"),
         "total_checks", "passed_checks", "failed_checks", "critical_failures", "warning_failures", "info_failures",
         at.alias("evaluation_time"),
-        F.when(critical > 0, F.concat(F.lit("Gate BLOCKED: "), critical.cast("string"), F.lit(" critical failures")))
-        .when(warning + info > 0, F.concat(F.lit("Gate OPEN with warnings: "), warning.cast("string"),
-                                           F.lit(" warnings, "), info.cast("string"), F.lit(" info")))
-        .otherwise(F.lit("Gate OPEN: All checks passed")).alias("message"),
+        F.when(critical > 0, F.concat(F.lit("closed: critical checks failed: "), critical.cast("string")))
+        .when(warning + info > 0, F.concat(F.lit("open, to be looked at: warnings "), warning.cast("string"), F.lit(", infos "), info.cast("string")))
+        .otherwise(F.lit("open")).alias("message"),
         at.alias("created_ts"),
     )
 

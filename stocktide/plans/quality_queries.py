@@ -261,69 +261,43 @@ def gate_tables(t) -> dict[str, DataFrame]:
 
 
 _CHECK_HEAD = "SELECT check_id, check_name, severity, 'silver' AS dataset, table_name, column_name, bad = 0 AS passed, " \
-              "total AS total_rows, bad AS failing_rows, message FROM ("
+              "total AS total_rows, bad AS failing_rows, column_name || ': ' || bad || ' of ' || total || ' ' || wrong AS message FROM ("
 _FRESH = """
 SELECT 'FRESH001' AS check_id, 'Data freshness' AS check_name, 'warning' AS severity, '{table}' AS table_name,
-       'load_ts' AS column_name, 1 AS total, bad, CASE WHEN bad = 0 THEN '{domain} data is within its service level'
-       ELSE '{domain} data is older than its service level' END AS message
+       'load_ts' AS column_name, 1 AS total, bad, 'overdue' AS wrong
 FROM (SELECT CASE WHEN date_diff('second', max(load_ts), TIMESTAMP '""" + AS_OF + """') // 60 <= {warning} THEN 0 ELSE 1 END
         AS bad FROM {source})"""
-_GATE_SHIPMENT = _CHECK_HEAD + """
-SELECT 'COMPL002' AS check_id, 'Non-null key completeness' AS check_name, 'critical' AS severity,
-       'shipment' AS table_name, 'shipment_id' AS column_name, count(*) AS total,
-       count(*) FILTER (WHERE shipment_id IS NULL) AS bad,
-       CASE WHEN count(*) = count(shipment_id) THEN 'All ' || count(*) || ' rows have non-null values for shipment_id'
-       ELSE (count(*) - count(shipment_id)) || ' out of ' || count(*) || ' rows have null values for shipment_id' END AS message
-FROM fx_shipment
-UNION ALL
+
+
+def _complete(check_id: str, table: str, column: str, source: str) -> str:
+    return f"""
+SELECT '{check_id}' AS check_id, 'Non-null key completeness' AS check_name, 'critical' AS severity, '{table}' AS table_name,
+       '{column}' AS column_name, count(*) AS total, count(*) FILTER (WHERE {column} IS NULL) AS bad, 'without a value' AS wrong
+FROM {source}
+UNION ALL"""
+
+
+_GATE_SHIPMENT = _CHECK_HEAD + _complete("COMPL002", "shipment", "shipment_id", "fx_shipment") + """
 SELECT 'UNIQ002', 'Shipment ID uniqueness', 'critical', 'shipment', 'shipment_id', count(*),
-       count(*) - count(DISTINCT shipment_id),
-       CASE WHEN count(*) = count(DISTINCT shipment_id) THEN 'All ' || count(*) || ' values for shipment_id are unique'
-       ELSE (count(*) - count(DISTINCT shipment_id)) || ' duplicate values found for shipment_id' END FROM fx_shipment
+       count(*) - count(DISTINCT shipment_id), 'repeated' FROM fx_shipment
 UNION ALL
 SELECT 'REF001', 'Supplier reference integrity', 'critical', 'shipment', 'carrier_id', count(*), bad,
-       CASE WHEN bad = 0 THEN 'Referential integrity check passed for carrier_id (' || count(*) || ' non-null values)'
-       ELSE bad || ' out of ' || count(*) || ' values for carrier_id have no match in supplier.business_key' END
+       'without a counterpart in supplier.business_key'
 FROM fx_shipment, (SELECT count(*) AS bad FROM fx_shipment
                    WHERE carrier_id NOT IN (SELECT business_key FROM dim_supplier)) WHERE carrier_id IS NOT NULL GROUP BY bad
 UNION ALL
 SELECT 'RANGE002', 'Valid timestamp ordering', 'warning', 'shipment', 'planned_departure_ts', count(*),
-       count(*) FILTER (WHERE planned_departure_ts > actual_departure_ts),
-       CASE WHEN count(*) FILTER (WHERE planned_departure_ts > actual_departure_ts) = 0
-            THEN 'All ' || count(*) || ' values for planned_departure_ts are in order'
-       ELSE count(*) FILTER (WHERE planned_departure_ts > actual_departure_ts) || ' out of ' || count(*)
-            || ' values for planned_departure_ts are after actual_departure_ts' END
+       count(*) FILTER (WHERE planned_departure_ts > actual_departure_ts), 'later than actual_departure_ts'
 FROM fx_shipment WHERE planned_departure_ts IS NOT NULL
 UNION ALL""" + _FRESH.format(table="shipment", domain="logistics", warning=45, source="fx_shipment") + ")"
-_GATE_INVENTORY = _CHECK_HEAD + """
-SELECT 'COMPL003' AS check_id, 'Non-null key completeness' AS check_name, 'critical' AS severity,
-       'inventory_position' AS table_name, 'item_id' AS column_name, count(*) AS total,
-       count(*) FILTER (WHERE item_id IS NULL) AS bad,
-       CASE WHEN count(*) = count(item_id) THEN 'All ' || count(*) || ' rows have non-null values for item_id'
-       ELSE (count(*) - count(item_id)) || ' out of ' || count(*) || ' rows have null values for item_id' END AS message
-FROM fx_inventory
-UNION ALL
+_GATE_INVENTORY = _CHECK_HEAD + _complete("COMPL003", "inventory_position", "item_id", "fx_inventory") + """
 SELECT 'RANGE001', 'Positive quantity values', 'warning', 'inventory_position', 'quantity_on_hand', count(*),
-       count(*) FILTER (WHERE quantity_on_hand < 0),
-       CASE WHEN count(*) FILTER (WHERE quantity_on_hand < 0) = 0
-            THEN 'All ' || count(*) || ' values for quantity_on_hand are non-negative'
-       ELSE count(*) FILTER (WHERE quantity_on_hand < 0) || ' out of ' || count(*)
-            || ' values for quantity_on_hand are negative' END
+       count(*) FILTER (WHERE quantity_on_hand < 0), 'below zero'
 FROM fx_inventory WHERE quantity_on_hand IS NOT NULL
 UNION ALL""" + _FRESH.format(table="inventory_position", domain="inventory", warning=3, source="fx_inventory") + ")"
-_GATE_SUPPLIER = _CHECK_HEAD + """
-SELECT 'COMPL001' AS check_id, 'Non-null key completeness' AS check_name, 'critical' AS severity,
-       'supplier' AS table_name, 'business_key' AS column_name, count(*) AS total,
-       count(*) FILTER (WHERE business_key IS NULL) AS bad,
-       CASE WHEN count(*) = count(business_key) THEN 'All ' || count(*) || ' rows have non-null values for business_key'
-       ELSE (count(*) - count(business_key)) || ' out of ' || count(*) || ' rows have null values for business_key' END
-         AS message
-FROM dim_supplier
-UNION ALL
+_GATE_SUPPLIER = _CHECK_HEAD + _complete("COMPL001", "supplier", "business_key", "dim_supplier") + """
 SELECT 'UNIQ001', 'Business key uniqueness', 'critical', 'supplier', 'business_key', count(*),
-       count(*) - count(DISTINCT business_key),
-       CASE WHEN count(*) = count(DISTINCT business_key) THEN 'All ' || count(*) || ' values for business_key are unique'
-       ELSE (count(*) - count(DISTINCT business_key)) || ' duplicate values found for business_key' END
+       count(*) - count(DISTINCT business_key), 'repeated'
 FROM dim_supplier WHERE is_current
 UNION ALL""" + _FRESH.format(table="supplier", domain="supplier", warning=1200, source="dim_supplier") + ")"
 
@@ -351,9 +325,9 @@ SELECT 'silver_{table}_{stamp}' AS evaluation_id, 'silver' AS dataset, '{table}'
        CAST(n AS INT) AS total_checks, CAST(n - f AS INT) AS passed_checks, CAST(f AS INT) AS failed_checks,
        CAST(c AS INT) AS critical_failures, CAST(w AS INT) AS warning_failures, CAST(0 AS INT) AS info_failures,
        TIMESTAMP '{AS_OF}' AS evaluation_time,
-       CASE WHEN c > 0 THEN 'Gate BLOCKED: ' || c || ' critical failures'
-            WHEN w > 0 THEN 'Gate OPEN with warnings: ' || w || ' warnings, 0 info'
-            ELSE 'Gate OPEN: All checks passed' END AS message, TIMESTAMP '{AS_OF}' AS created_ts
+       CASE WHEN c > 0 THEN 'closed: critical checks failed: ' || c
+            WHEN w > 0 THEN 'open, to be looked at: warnings ' || w || ', infos 0'
+            ELSE 'open' END AS message, TIMESTAMP '{AS_OF}' AS created_ts
 FROM (SELECT count(*) AS n, count(*) FILTER (WHERE NOT passed) AS f,
              count(*) FILTER (WHERE NOT passed AND severity = 'critical') AS c,
              count(*) FILTER (WHERE NOT passed AND severity = 'warning') AS w FROM ({checks}))"""
@@ -488,12 +462,11 @@ def _(t):
 
 _CONTRACT_ERRORS = """
 SELECT shipment_id, planned_arrival, field_path, error_type, 'error' AS severity,
-       CASE error_type WHEN 'missing_required_field' THEN 'Required field ''' || field_path || ''' is missing or null'
-            WHEN 'max_length_violation' THEN 'String length ' || length(actual_value) || ' exceeds maximum 50'
-            WHEN 'type_mismatch' THEN 'Expected type ''' || CASE field_path WHEN 'weight' THEN 'double' ELSE 'timestamp' END || ''''
-            WHEN 'invalid_value' THEN 'Value ''' || actual_value
-              || ''' is not in allowed values [''planned'', ''in_transit'', ''delivered'', ''cancelled'']'
-            ELSE 'Value ' || actual_value || ' is less than minimum 0.0' END AS message,
+       CASE error_type WHEN 'missing_required_field' THEN 'no value for ' || field_path
+            WHEN 'max_length_violation' THEN length(actual_value) || ' characters where 50 are the most'
+            WHEN 'type_mismatch' THEN 'no ' || CASE field_path WHEN 'weight' THEN 'double' ELSE 'timestamp' END
+            WHEN 'invalid_value' THEN actual_value || ' is none of planned, in_transit, delivered, cancelled'
+            ELSE actual_value || ' is below 0.0' END AS message,
        CASE WHEN error_type = 'type_mismatch' THEN CASE field_path WHEN 'weight' THEN 'double' ELSE 'timestamp' END END AS expected_type,
        actual_value FROM (
 SELECT *, 'carrier_id' AS field_path, 'missing_required_field' AS error_type, NULL AS actual_value FROM fx_shipment_text

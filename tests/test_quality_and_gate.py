@@ -68,20 +68,33 @@ def verdict(spark, table, named):
 
 def test_gate_open_blocked_and_warnings(spark):
     ok = verdict(spark, "shipment", tables(spark, [shipment("a", load="2024-01-01 00:09:00")]))
-    assert (ok.status, ok.message, ok.evaluation_id) == ("open", "Gate OPEN: All checks passed", "silver_shipment_20240101_001000")
+    assert (ok.status, ok.message, ok.evaluation_id) == ("open", "open", "silver_shipment_20240101_001000")
     orphan = verdict(spark, "shipment", tables(spark, [shipment("a", carrier="NOPE", load="2024-01-01 00:09:00")]))
     assert (orphan.status, orphan.can_publish, orphan.critical_failures) == ("blocked", False, 1)
     stale = verdict(spark, "shipment", tables(spark, [shipment("a", load="2023-01-01")]))
-    assert (stale.can_publish, stale.message) == (True, "Gate OPEN with warnings: 1 warnings, 0 info")
+    assert (stale.can_publish, stale.message) == (True, "open, to be looked at: warnings 1, infos 0")
 
 
 def test_gate_counts_nulls_in_uniqueness(spark):
     twice = tables(spark, [shipment(None), shipment("a")])
     by_id = {r.check_id: r for r in gate.run_checks(spark, "silver", "shipment", twice, NOW).collect()}
-    assert by_id["COMPL002"].message == "1 out of 2 rows have null values for shipment_id"
+    assert by_id["COMPL002"].message == "shipment_id: 1 of 2 without a value"
     assert not by_id["UNIQ002"].passed
 
 
+def test_a_table_is_read_once_for_its_row_checks(spark, tmp_path):
+    path = str(tmp_path / "shipments")
+    tables(spark, [shipment("a"), shipment("b", status="delivered")])["shipment"].write.parquet(path)
+    named = tables(spark, [shipment("a")]) | {"shipment": spark.read.parquet(path)}
+    more = [gate.Check(f"P{i}", "p", "info", "*", "*", "status", "predicate", violated=F.col("status") == "planned") for i in range(6)]
+    checks = gate.checks_for("silver", "shipment", gate.with_checks(*more))
+    results = gate.run_checks(spark, "silver", "shipment", named, NOW, checks)
+    plan = results._jdf.queryExecution().executedPlan().toString()
+    # one scan for ten row checks, one for each of shipment_id and carrier_id
+    assert len(checks) == 11 and plan.count("FileScan parquet") == 3
+    assert {r.check_id: r.failing_rows for r in results.collect() if r.check_id.startswith("P")} == {f"P{i}": 1 for i in range(6)}
+
+
 def test_check_that_cannot_run_is_failed(spark):
     named = tables(spark, [shipment("a")])
     named["shipment"] = named["shipment"].drop("carrier_id")
@@ -89,7 +102,7 @@ def test_check_that_cannot_run_is_failed(spark):
     assert not by_id["REF001"].passed and "carrier_id not found" in by_id["REF001"].message
     odd = gate.Check("ODD1", "odd", "critical", "silver", "shipment", "status", "unheard_of")
     assert gate.run_checks(spark, "silver", "shipment", named, NOW, [odd]).first().message == (
-        "Check execution failed: Unknown check type: unheard_of")
+        "could not be run: Unknown check type: unheard_of")
 
 
 def test_custom_checks_and_selection(spark):
@@ -143,8 +156,8 @@ def test_contract_errors_in_order(spark):
     assert [(e.field_path, e.error_type) for e in row._errors] == [
         ("route_id", "missing_required_field"), ("shipment_id", "max_length_violation"),
         ("planned_departure", "type_mismatch"), ("status", "invalid_value"), ("weight", "min_value_violation")]
-    assert row._errors[1].message == "String length 51 exceeds maximum 50"
-    assert row._errors[4].message == "Value -2 is less than minimum 0.0"
+    assert row._errors[1].message == "51 characters where 50 are the most"
+    assert row._errors[4].message == "-2 is below 0.0"
 
 
 def test_contract_split_keeps_every_row(spark):

@@ -206,7 +206,7 @@ def test_blocked_gate_leaves_gold_untouched(spark, tmp_path):
     for domain in ("shipment", "inventory"):
         job.ingest(domain, sources[domain])
         job.conform(domain)
-    with pytest.raises(Refused, match="Gate BLOCKED"):
+    with pytest.raises(Refused, match="closed: critical checks failed"):
         job.publish()
     assert store.version("gold.unified_supply_chain") == 0
     assert store.read_appended("ops.alerts").count() == 1
