@@ -9,18 +9,38 @@ from pyspark.sql import functions as F
 
 from stocktide.llm.store import kept
 
-HITS = "query_id bigint, score bigint, vec_id bigint"
-#: Of a component after quantising; beyond it a score might not fit 64 bits, and the vector takes no part.
-LARGEST = 1 << 27
+HITS = "query_id bigint, score bigint, place binary, vec_id bigint"
+#: Whole numbers of smaller size are indexed by slices; the few vectors with larger ones are multiplied as Python integers.
+SLICED = 1 << 62
+MOST = (1 << 63) - 1
 
 
-def quantised(vectors: DataFrame, scale: int) -> DataFrame:
-    """Rows that take part: id, whole-number components and their count."""
-    whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * F.lit(float(scale))))
-    fine = F.forall("embedding", lambda x: F.coalesce(F.abs(x.cast("double") * float(scale)) < float(LARGEST), F.lit(False)))
+def taking_part(vectors: DataFrame) -> DataFrame:
+    """Rows that take part: id, components as double and their count."""
+    fine = F.forall("embedding", lambda x: F.coalesce(~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < float("inf")), F.lit(False)))
     return (vectors.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & (F.size("embedding") > 0))
             .where(F.coalesce(fine, F.lit(False)))
-            .select(F.col("vec_id").cast("bigint").alias("vec_id"), whole.alias("v"), F.size("embedding").alias("dim")))
+            .select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"), F.size("embedding").alias("dim")))
+
+
+def quantised(values: np.ndarray, scale: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of floor(``scale`` * x), and which of them stay below ``SLICED``; the others are given as zeros."""
+    with np.errstate(over="ignore"):
+        scaled = np.floor(values * float(scale))
+    small = (np.abs(scaled) < float(SLICED)).all(axis=1)
+    return np.where(small[:, None], scaled, 0).astype(np.int64), small
+
+
+def exactly(row: np.ndarray, scale: int) -> list[int]:
+    """floor(``scale`` * x) of components of any size; those that are too large to have a fraction are multiplied as integers."""
+    return [int(x) * scale if abs(x) >= 2.0**53 else int(np.floor(x * float(scale))) for x in row.tolist()]
+
+
+def place_of(score: int) -> bytes:
+    """Bytes that sort like the number."""
+    size = (abs(score).bit_length() + 7) // 8
+    digits = size.to_bytes(4, "big") + abs(score).to_bytes(size, "big")
+    return b"\x01" + digits if score >= 0 else b"\x00" + bytes(255 - b for b in digits)
 
 
 class Slices:
@@ -111,7 +131,7 @@ class Slices:
         score = np.full(len(rows), constant, object)
         for b, s in enumerate(slices):
             score += ((s[rows >> 6] >> (rows & 63).astype(np.uint64)) & np.uint64(1)).astype(object) * (1 << b)
-        return rows, score.astype(np.int64)
+        return rows, score
 
     @staticmethod
     def _rows(bitmap: np.ndarray) -> np.ndarray:
@@ -129,7 +149,7 @@ def _packed(vectors: DataFrame, key: str, rows: int, count: int) -> DataFrame:
         values = values.flatten().to_numpy().reshape(len(ids), -1)[order]
         return pa.table({"dim": pa.array([values.shape[1]], pa.int32()), key: pa.array([table.column(key)[0].as_py()], pa.int32()),
                          "ids": pa.array([ids[order].astype("<i8").tobytes()], pa.binary()),
-                         "values": pa.array([values.astype("<i4").tobytes()], pa.binary())})
+                         "values": pa.array([values.astype("<f8").tobytes()], pa.binary())})
 
     dealt = vectors.withColumn(key, F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks)).cast("int"))
     return dealt.groupBy("dim", key).applyInArrow(gather, f"dim int, {key} int, ids binary, values binary")
@@ -143,12 +163,14 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, scale: int = 1024
     sets of ``query_rows``. Each set meets each block once, in a task of its own, and only ``k`` rows per query leave it.
     Nothing is broadcast and no task holds more than one block and one set.
 
-    Vectors that are null, empty, or hold null, non-finite or huge (``LARGEST``) components take no part, nor do null ids.
-    Vectors of different length aren't compared. Repeated rows each take a rank; of several vectors with a query's id the
+    Vectors that are null, empty, or hold null or non-finite components take no part, nor do null ids; every other vector
+    does. Products are exact at any size: components of 2^62 and more after scaling are multiplied as integers, beside the
+    index. A product beyond 64 bits is ranked exactly and shown as the largest (or smallest) long. Vectors of different length aren't compared. Repeated rows each take a rank; of several vectors with a query's id the
     smallest asks. Other columns aren't read; an empty table gives an empty result.
     """
-    rows = kept(quantised(vectors, scale), "quantised")
-    asked = kept(quantised(queries, scale).groupBy("vec_id", "dim").agg(F.min("v").alias("v")), "asked")
+    rows = kept(taking_part(vectors), "vectors")
+    asked = kept(taking_part(queries).groupBy("vec_id", "dim").agg(
+        F.min_by("v", F.transform("v", lambda x: F.floor(x * float(scale)))).alias("v")), "asked")
     n, q = rows.count(), asked.count()
     blocks, sets = max(1, -(-n // block_rows)), max(1, -(-q // query_rows))
     index = _packed(rows, "block", block_rows, n).withColumn("set", F.explode(F.sequence(F.lit(0), F.lit(sets - 1))))
@@ -157,24 +179,37 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, scale: int = 1024
     met = index.join(asking, ["dim", "block", "set"])
 
     def search(batches):
-        known: tuple = (None, None, None)
+        known: tuple = (None,)
         for batch in batches:
             for dim, block, ids, values, query_ids, query_values in zip(*(batch.column(c).to_pylist() for c in (
                     "dim", "block", "ids", "values", "query_ids", "query_values"))):
                 if known[0] != (dim, block):
-                    own = np.frombuffer(ids, "<i8")
-                    known = ((dim, block), own, Slices(np.frombuffer(values, "<i4").reshape(-1, dim).astype(np.int64)))
-                _, own, slices = known
-                out = ([], [], [])
-                asked = np.frombuffer(query_values, "<i4").reshape(-1, dim).astype(np.int64)
-                for query_id, query in zip(np.frombuffer(query_ids, "<i8").tolist(), asked):
-                    same = np.arange(np.searchsorted(own, query_id), np.searchsorted(own, query_id, "right"))
-                    found, scores = slices.best(query, k, same)
-                    out[0].extend([query_id] * len(found))
-                    out[1].extend(scores.tolist())
-                    out[2].extend(own[found].tolist())
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], ["query_id", "score", "vec_id"])
+                    own, raw = np.frombuffer(ids, "<i8"), np.frombuffer(values, "<f8").reshape(-1, dim)
+                    whole, small = quantised(raw, scale)
+                    large = [(int(own[r]), exactly(raw[r], scale)) for r in np.flatnonzero(~small)]
+                    known = ((dim, block), own[small], Slices(whole[small]) if small.any() else None, whole[small], large)
+                _, own, slices, whole, large = known
+                out: tuple[list, ...] = ([], [], [], [])
+                raw = np.frombuffer(query_values, "<f8").reshape(-1, dim)
+                asked, small = quantised(raw, scale)
+                for query_id, query, fits, given in zip(np.frombuffer(query_ids, "<i8").tolist(), asked, small.tolist(), raw):
+                    best: list[tuple[int, int]] = []
+                    if slices and fits:
+                        same = np.arange(np.searchsorted(own, query_id), np.searchsorted(own, query_id, "right"))
+                        found, scores = slices.best(query, k, same)
+                        best = list(zip(scores.tolist(), own[found].tolist()))
+                    exact = exactly(given, scale) if large or not fits else []
+                    others = large if fits else [*large, *zip(own.tolist(), whole.tolist())]
+                    best += [(sum(a * b for a, b in zip(exact, row)), i) for i, row in others if i != query_id]
+                    if others:
+                        best = sorted(best, key=lambda x: (-x[0], x[1]))[:k]
+                    out[0].extend([query_id] * len(best))
+                    out[1].extend([max(-MOST - 1, min(MOST, score)) for score, _ in best])
+                    out[2].extend([place_of(score) for score, _ in best])
+                    out[3].extend([i for _, i in best])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, pa.binary() if n == 2 else pa.int64()) for n, c in enumerate(out)], ["query_id", "score", "place", "vec_id"])
 
     hits = met.mapInArrow(search, HITS)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query_id").orderBy(F.desc("place"), "vec_id")
     return hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

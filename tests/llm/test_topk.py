@@ -2,6 +2,7 @@
 
 import math
 import random
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -11,9 +12,9 @@ from stocktide.llm import topk
 
 def brute(rows, asked, k, scale=1024):
     def whole(v):
-        if not v or any(x is None or not math.isfinite(x) or abs(x * scale) >= topk.LARGEST for x in v):
+        if not v or any(x is None or not math.isfinite(x) for x in v):
             return None
-        return [math.floor(scale * float(np.float32(x))) for x in v]
+        return [math.floor(Fraction(float(np.float32(x))) * scale) for x in v]
 
     live = [(i, whole(v)) for i, v in rows if i is not None and whole(v)]
     out, wanted = [], {}
@@ -23,7 +24,7 @@ def brute(rows, asked, k, scale=1024):
             wanted[i, len(q)] = min(wanted.get((i, len(q)), q), q)
     for (i, n), q in wanted.items():
         scores = sorted((-sum(a * b for a, b in zip(q, v)), j) for j, v in live if j != i and len(v) == n)
-        out += [(i, r + 1, j, -s) for r, (s, j) in enumerate(scores[:k])]
+        out += [(i, r + 1, j, max(-(2**63), min(2**63 - 1, -s))) for r, (s, j) in enumerate(scores[:k])]
     return sorted(out)
 
 
@@ -60,6 +61,22 @@ def test_top_k_by_brute_force(spark):
     assert found == brute(rows, asked, 10)
 
 
+def test_large_components_take_part(spark):
+    rng = random.Random(8)
+    rows = [(100, [1.0, 0.0]), (1, [200_000.0, 0.0]), (2, [0.5, 0.0]), (3, [1e30, -1e30]), (4, [1e30, -9e29]), (5, [-3e38, 3e38]), (6, [4e15, 1.0]),
+            (200, [1e30, 1e30]), (300, [-7e18, 2.5])]
+    rows += [(1000 + i, [rng.choice([1e5, 1e10, 3e16, 1e35]) * rng.uniform(-1, 1), rng.uniform(-1, 1)]) for i in range(60)]
+    asked = [r for r in rows if r[0] % 100 == 0]
+    found = sorted(map(tuple, topk.top_k(frame(spark, rows), frame(spark, asked), block_rows=20, query_rows=2).collect()))
+    assert found == brute(rows, asked, 10)
+    assert [r[2] for r in sorted(map(tuple, topk.top_k(frame(spark, rows[:3]), frame(spark, rows[:1])).collect()))] == [1, 2]
+
+
+def test_places_sort_like_numbers():
+    numbers = sorted({0, 1, -1, 255, 256, -255, -256, 2**63, -(2**63), 2**200, -(2**200), *(random.Random(2).randrange(-(2**90), 2**90) for _ in range(200))})
+    assert sorted(numbers, key=topk.place_of) == numbers
+
+
 @pytest.mark.parametrize("rows", [[], [(1, [1.0, 2.0])], [(1, [1.0, 2.0]), (2, [0.0, 0.0])]])
 def test_top_k_of_few_rows(spark, rows):
     got = topk.top_k(frame(spark, rows), frame(spark, rows))
