@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from stocktide import schemas
@@ -9,6 +11,7 @@ from stocktide.operators import inventory as inv, scd2
 from stocktide.plans.ctes import AS_OF
 from stocktide.plans.registry import query
 from stocktide.session import scratch_dir
+from stocktide.sources.clustered import ClusteredTable
 from stocktide.sources.readers import load, open_envelope, read_envelope, typed
 from stocktide.sources.store import Store
 from stocktide.streaming import streams
@@ -182,3 +185,50 @@ def _(t):
         split.run(streams.file_stream(t.spark, source, events.schema), f"{out}/checkpoint")
     columns = ["event_id", "ts", F.col("batch_id").cast("bigint").alias("batch_id")]
     return split.on_time().select(*columns, F.lit(False).alias("late")).union(split.late().select(*columns, F.lit(True).alias("late")))
+
+
+_LAYOUT = ["snapshot_date", "quantity_on_hand"]
+
+
+def _clustered(t, files: int = 16) -> ClusteredTable:
+    table = ClusteredTable(Store(t.spark, scratch_dir(t.spark, "clustered")), "silver.snapshots", _LAYOUT)
+    table.append(t.inventory_feed().drop("load_ts"), files)
+    return table
+
+
+@query("z_order_filter", using="fx_inventory", check="""
+SELECT item_id, location_id, snapshot_date, quantity_on_hand, safety_stock, in_transit_qty, source_system, true AS skipped FROM fx_inventory
+WHERE snapshot_date BETWEEN DATE '1995-01-01' AND DATE '1995-06-30' AND quantity_on_hand BETWEEN 5 AND 12""")
+def _(t):
+    """A filter on two columns of a table along the curve; ``skipped``: at most half of its files were opened."""
+    table = _clustered(t)
+    ranges = {"snapshot_date": (dt.date(1995, 1, 1), dt.date(1995, 6, 30)), "quantity_on_hand": (5.0, 12.0)}
+    return table.read(ranges).withColumn("skipped", F.lit(2 * len(table.matching(ranges)) <= len(table.files())))
+
+
+@query("pack_small_files", using="fx_inventory", check="""
+SELECT location_id, count(*) AS n, sum(quantity_on_hand) AS quantity, true AS fewer FROM fx_inventory GROUP BY location_id""")
+def _(t):
+    """Appends of small files, rewritten together: fewer files, the same rows."""
+    table = ClusteredTable(Store(t.spark, scratch_dir(t.spark, "packed")), "silver.snapshots", _LAYOUT)
+    feed = t.inventory_feed().drop("load_ts")
+    for k in range(4):
+        table.append(feed.where(F.pmod(F.xxhash64("item_id"), F.lit(4)) == k), 4)
+    before = len(table.files())
+    table.pack(partitions=2)
+    return table.read().groupBy("location_id").agg(F.count("*").alias("n"), F.sum("quantity_on_hand").alias("quantity")).withColumn(
+        "fewer", F.lit(len(table.files()) < before))
+
+
+@query("retention_job", using="fx_inventory", check="""
+SELECT CAST(date_part('year', snapshot_date) AS INT) AS year, count(*) AS n, true AS untouched FROM fx_inventory
+WHERE snapshot_date >= DATE '1998-03-17' GROUP BY ALL""")
+def _(t):
+    """Rows before an instant go: files of older rows unread, later files untouched, only mixed ones rewritten."""
+    table = _clustered(t, 24)
+    before = {f["path"]: f["ranges"]["snapshot_date"] for f in table.files()}
+    done = table.expire(dt.date(1998, 3, 17), "snapshot_date")
+    after = {f["path"] for f in table.files()}
+    late = {p for p, (least, _, nulls) in before.items() if least is not None and least >= "1998-03-17"}
+    return table.read().groupBy(F.year("snapshot_date").alias("year")).agg(F.count("*").alias("n")).withColumn(
+        "untouched", F.lit(late <= after and done["dropped"] > 0))

@@ -371,6 +371,8 @@ class Store:
     def _folders(state: dict) -> set[str]:
         if state["kind"] == "whole":
             return {state["folder"]}
+        if state["kind"] == "files":
+            return {f["path"] for f in state["files"]}
         return {r["path"] for runs in state.get("buckets", {}).values() for r in runs}
 
     def vacuum(self, keep: int = 10) -> int:
