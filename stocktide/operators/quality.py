@@ -61,10 +61,49 @@ def negative_counts(df: DataFrame) -> DataFrame:
     return constraint_counts(df, "")
 
 
+#: Predicates whose outcomes one number holds.
+_PER_NUMBER = 60
+DIGEST = ["_da", "_db"]
+
+
+def _predicates(df: DataFrame, table: str) -> dict[str, Column]:
+    """What is counted of every row: nulls by column (``n_``), broken rules (``v_``)."""
+    return {f"n_{c}": F.col(c).isNull() for c in df.columns} | {f"v_{n}": p for n, p in _constraints(df, table).items()}
+
+
+def row_groups(df: DataFrame, table: str | None = None) -> DataFrame:
+    """Equal rows as one: 128-bit digest, outcomes of the predicates of ``table`` and how many rows there are (``_n``).
+
+    Rows travel as these few numbers, not as keys of all their columns. The digest is two 64-bit hashes of other order over
+    all values and of which are null; by chance two different rows of 10^12 share one with probability below 10^-14.
+    """
+    predicates = _predicates(df, table) if table is not None else {}
+    # 0.0 and -0.0 are equal, also as keys of a group
+    values = [F.col(f.name) + F.lit(0.0) if f.dataType.simpleString() in ("double", "float") else F.col(f.name) for f in df.schema.fields]
+    nulls = F.concat(F.lit(""), *[F.when(F.col(c).isNull(), F.lit("1")).otherwise(F.lit("0")) for c in df.columns])
+    marks = []
+    names = list(predicates)
+    for k in range(0, len(names), _PER_NUMBER):
+        bits = [F.when(F.coalesce(predicates[n], F.lit(False)), F.lit(1 << i).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
+                for i, n in enumerate(names[k : k + _PER_NUMBER])]
+        marks.append(reduce(lambda a, b: a.bitwiseOR(b), bits).alias(f"_f{k // _PER_NUMBER}"))
+    rows = df.select(F.xxhash64(nulls, *values).alias(DIGEST[0]), F.xxhash64(F.lit("b"), *reversed(values), nulls).alias(DIGEST[1]), *marks)
+    return rows.groupBy(*rows.columns).agg(F.count("*").alias("_n"))
+
+
+def row_counters(df: DataFrame, table: str) -> dict[str, Column]:
+    """Aggregates over ``row_groups`` of a table: ``total``, and rows by predicate."""
+    n = F.col("_n")
+    out = {"total": F.coalesce(F.sum(n), F.lit(0))}
+    for i, name in enumerate(_predicates(df, table)):
+        hit = F.col(f"_f{i // _PER_NUMBER}").bitwiseAND(F.lit(1 << i % _PER_NUMBER).cast("bigint")) != 0
+        out[name] = F.coalesce(F.sum(F.when(hit, n)), F.lit(0))
+    return out
+
+
 def duplicate_rows(df: DataFrame) -> DataFrame:
     """One row: total, distinct and duplicate whole rows and the duplicate rate."""
-    groups = df.groupBy(*df.columns).agg(F.count("*").alias("_n"))
-    return groups.agg(
+    return row_groups(df).agg(
         F.coalesce(F.sum("_n"), F.lit(0)).alias("total_records"), F.count("*").alias("distinct_records")
     ).select(
         "total_records", "distinct_records",
@@ -77,25 +116,19 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
 def quality_score(df: DataFrame, table: str) -> DataFrame:
     """One row: record count, penalties, score and verdict.
 
-    Equal rows are grouped first; nulls and violations are then counted on the
-    distinct rows with their multiplicity, so the table is scanned and shuffled once.
+    Equal rows are grouped first, by digest; nulls and violations are counted on the distinct rows with their multiplicity, so
+    the table is scanned once and shuffled as digests.
     The mean null (violation) share is taken over the columns (rules) that fail.
     """
-    groups = df.groupBy(*df.columns).agg(F.count("*").alias("_n"))
-    n = F.col("_n")
-    rules = _constraints(df, table)
+    counters = row_counters(df, table)
+    return score_of(row_groups(df, table).agg(*[c.alias(n) for n, c in counters.items()], F.count("*").alias("uniq")), table)
 
-    def weighted(predicate: Column) -> Column:
-        return F.coalesce(F.sum(F.when(predicate, n)), F.lit(0))
 
-    counted = groups.agg(
-        F.coalesce(F.sum(n), F.lit(0)).alias("total"),
-        F.count("*").alias("uniq"),
-        *[weighted(F.col(c).isNull()).alias(f"n_{c}") for c in df.columns],
-        *[weighted(p).alias(f"v_{name}") for name, p in rules.items()],
-    )
+def score_of(counted: DataFrame, table: str) -> DataFrame:
+    """The score from one row of counters: ``total``, ``uniq``, nulls by column (``n_``) and broken rules (``v_``)."""
 
-    def penalty(counters: list[Column], cap: float) -> Column:
+    def penalty(prefix: str, cap: float) -> Column:
+        counters = [F.col(c) for c in counted.columns if c.startswith(prefix)]
         if not counters:
             return F.lit(0.0)
         failing = reduce(lambda a, b: a + b, [(c > 0).cast("int") for c in counters])
@@ -106,10 +139,10 @@ def quality_score(df: DataFrame, table: str) -> DataFrame:
         F.lit(table).alias("table_name"),
         F.col("total").alias("total_records"),
         (F.col("total") - F.col("uniq")).alias("duplicate_count"),
-        penalty([F.col(f"n_{c}") for c in df.columns], NULL_CAP).alias("null_penalty"),
+        penalty("n_", NULL_CAP).alias("null_penalty"),
         F.least(F.coalesce(F.try_divide(F.col("total") - F.col("uniq"), F.col("total")), F.lit(0.0)),
                 F.lit(DUPLICATE_CAP)).alias("duplicate_penalty"),
-        penalty([F.col(f"v_{name}") for name in rules], CONSTRAINT_CAP).alias("constraint_penalty"),
+        penalty("v_", CONSTRAINT_CAP).alias("constraint_penalty"),
     )
     score = F.greatest(
         F.lit(1.0) - F.col("null_penalty") - F.col("duplicate_penalty") - F.col("constraint_penalty"), F.lit(0.0)

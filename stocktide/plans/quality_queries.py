@@ -12,7 +12,10 @@ from stocktide.operators import contracts, freshness, gate, governance as gov, i
 from stocktide.operators import shipments as shp
 from stocktide.plans.ctes import AS_OF
 from stocktide.plans.queries import rounded, silver_inventory, silver_shipments, supplier_dim, unified_whole
+from stocktide.plans.quality_state import QualityState
 from stocktide.plans.registry import query
+from stocktide.session import scratch_dir
+from stocktide.sources.store import Store
 
 SHIPMENT_COLUMNS = ("shipment_id route_id carrier_id origin destination planned_departure_ts actual_departure_ts "
                     "planned_arrival_ts actual_arrival_ts status load_ts source_system").split()
@@ -98,6 +101,15 @@ def _(t):
                    "constraint_penalty", "quality_score")
 
 
+@query("dq_score_incremental", using="fx_shipment", check=_score_sql("fx_shipment", SHIPMENT_COLUMNS, _SHIPMENT_RULES))
+def _(t):
+    """The score of shipments that came in three batches, from what each of them brought."""
+    state = QualityState(Store(t.spark, scratch_dir(t.spark, "quality"), buckets=8), "fx_shipment")
+    for number in (1, 2, 3):
+        state.add(t.shipment_feed().where(F.pmod(F.xxhash64("shipment_id", "status"), F.lit(3)) == number - 1), number)
+    return rounded(state.score(), "null_penalty", "duplicate_penalty", "constraint_penalty", "quality_score")
+
+
 @query("dq_score_inventory", using="fx_inventory",
        check=_score_sql("fx_inventory", INVENTORY_COLUMNS, _INVENTORY_RULES))
 def _(t):
