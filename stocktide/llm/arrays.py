@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -222,16 +223,23 @@ class PieceCache:
         text, points, bounds = code_points(data, offsets)
         starts = pretokens(points, bounds)
         pieces, inverse = self.distinct(text, points, starts)
-        young, old = self.young, self.old
-        found = [young.get(p) or old.get(p) for p in pieces]
-        missing = [i for i, ids in enumerate(found) if ids is None]
-        if missing:
-            for i, ids in zip(missing, self.encode([pieces[i] for i in missing])):
-                found[i] = np.array(ids, np.uint32).tobytes()
-        if len(young) > self.most // 2:
-            self.old, young = young, {}
-            self.young = young
-        young.update(zip(pieces, found))
+        found = list(map(self.young.get, pieces))
+        absent = [i for i, ids in enumerate(found) if ids is None]
+        if absent:
+            names = [pieces[i] for i in absent]
+            ids_of = list(map(self.old.get, names))
+            missing = [i for i, ids in enumerate(ids_of) if ids is None]
+            encoded = self.encode([names[i] for i in missing])
+            ends = np.cumsum(np.fromiter(map(len, encoded), np.int64, len(encoded))) * 4
+            pool = np.fromiter(chain.from_iterable(encoded), np.uint32, int(ends[-1]) // 4 if len(ends) else 0).tobytes()
+            begin = 0
+            for i, end in zip(missing, ends.tolist()):
+                ids_of[i], begin = pool[begin:end], end
+            for i, ids in zip(absent, ids_of):
+                found[i] = ids
+            if len(self.young) > self.most // 2:
+                self.old, self.young = self.young, {}
+            self.young.update(zip(names, ids_of))
         pool = np.frombuffer(b"".join(found), np.uint32)
         sizes = np.fromiter(map(len, found), np.int64, len(found)) >> 2
         begins = np.cumsum(sizes) - sizes

@@ -120,7 +120,7 @@ def read_ranks(path: str) -> dict[bytes, int]:
 def codec(path: str) -> tuple[Bpe, PieceCache]:
     """One per Python worker, kept over its tasks."""
     bpe = Bpe(read_ranks(path))
-    return bpe, PieceCache(bpe.encode_pieces)
+    return bpe, PieceCache(bpe.encode_pieces, 1_000_000)  # a merge in Python costs more than the memory of its result
 
 
 def encode_documents(docs: DataFrame, ranks_path: str) -> DataFrame:
