@@ -89,13 +89,25 @@ def run_hashes(values: np.ndarray, starts: np.ndarray, live: np.ndarray | None =
     return mixed(np.add.reduceat(v, starts - starts[0]))
 
 
+def place_hashes(values: np.ndarray, starts: np.ndarray, live: np.ndarray) -> np.ndarray:
+    """Like ``run_hashes``, as the sum of a number per (value, place) drawn by a mixing function: no word pair is constructed
+    for it, and by chance two different runs of n share a hash with probability below n^2 / 2^65."""
+    if not len(starts):
+        return np.zeros(0, U)
+    lengths = np.diff(np.append(starts, len(values)))
+    at = np.arange(starts[0], len(values), dtype=np.int64) - np.repeat(starts, lengths)
+    v = mixed((at.astype(U) * U(BASE)) ^ ((values[starts[0] :].astype(U) + U(1)) * STEPS[1]))
+    v[~live[starts[0] :]] = 0
+    return mixed(np.add.reduceat(v, starts - starts[0]))
+
+
 SEPARATOR = np.zeros(256, bool)
 SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def words(data: np.ndarray, offsets: np.ndarray, hashes=run_hashes) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words ``[^\\x20\\x09-\\x0D]+`` after A-Z are lower-cased, and where the words of each text begin."""
     live = ~SEPARATOR[data]
     first = live.copy()
@@ -103,7 +115,7 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     begins = offsets[:-1][offsets[:-1] < offsets[1:]]
     first[begins] = live[begins]
     starts = np.flatnonzero(first)
-    return run_hashes(LOWER[data], starts, live), np.searchsorted(starts, offsets)
+    return hashes(LOWER[data], starts, live), np.searchsorted(starts, offsets)
 
 
 def shingles(words: np.ndarray, bounds: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stocktide.llm.arrays import U, mixed, shingles, text_chunks, words
+from stocktide.llm.arrays import U, mixed, place_hashes, shingles, text_chunks, words
 from stocktide.llm.components import components
 from stocktide.llm.store import kept, release
 
@@ -49,7 +49,7 @@ class Classes:
 
 def sets_of(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct n-gram hashes of every text in ascending order, and where those of each text begin."""
-    h, bounds = shingles(*words(data, offsets), n)
+    h, bounds = shingles(*words(data, offsets, place_hashes), n)
     each = [np.unique(h[a:b]) for a, b in zip(bounds.tolist(), bounds[1:].tolist())]
     ends = np.zeros(len(each) + 1, np.int64)
     np.cumsum([len(e) for e in each], out=ends[1:])

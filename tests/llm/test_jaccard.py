@@ -119,3 +119,13 @@ def test_similar_documents_below_the_threshold(spark, monkeypatch):
     wanted = brute(rows)
     assert 5 < len({c for _, _, c in wanted}) < 65
     assert sorted(map(tuple, jaccard.similarity_groups(docs).collect()), key=repr) == wanted
+
+
+def test_constructed_words_are_told_apart(spark):
+    word = "a"
+    for _ in range(11):
+        word += word.translate({97: "b", 98: "a"})
+    other = word.translate({97: "b", 98: "a"})
+    rows = [(1, word), (2, other), (3, f"{word} x y z {other} x y z"), (4, word)]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.similarity_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: (1, 1), 2: (1, 2), 3: (5, 3), 4: (1, 1)}
