@@ -565,6 +565,62 @@ def _(t):
         "schema_name", "source_system", "is_valid", "total_records", "invalid_records", "error_count", "validation_time")
 
 
+@query("contract_log_full", using="fx_shipment_text", check=f"""
+SELECT 'shipment_raw_wms_system_{AS_OF.replace('-', '').replace(':', '').replace(' ', '_')}' AS validation_id, 'shipment_raw' AS schema_name,
+       'wms_system' AS source_system, false AS is_valid, count(*) AS total_records, count(*) FILTER (WHERE NOT ({_BAD_ROW})) AS valid_records,
+       count(*) FILTER (WHERE {_BAD_ROW}) AS invalid_records, (SELECT count(*) FROM ({_CONTRACT_ERRORS})) AS error_count, CAST(0 AS BIGINT) AS warning_count,
+       TIMESTAMP '{AS_OF}' AS validation_time, TIMESTAMP '{AS_OF}' AS created_ts,
+       (SELECT string_agg(field_path || ' ' || error_type || ' ' || n, '; ' ORDER BY field_path, error_type) FROM (
+          SELECT field_path, error_type, count(*) AS n FROM ({_CONTRACT_ERRORS}) GROUP BY field_path, error_type)) AS kinds
+FROM fx_shipment_text""")
+def _(t):
+    """Every column of the validation log; the errors of ``errors_json`` as text in a fixed order."""
+    log = contracts.log_row(t.shipment_text(), SHIPMENT_CONTRACT, "wms_system", AS_OF)
+    kinds = F.sort_array(F.from_json("errors_json", "array<struct<field_path string, error_type string, error_count bigint>>"))
+    shown = F.transform(kinds, lambda k: F.concat_ws(" ", k["field_path"], k["error_type"], k["error_count"].cast("string")))
+    return log.withColumn("kinds", F.concat_ws("; ", shown)).drop("errors_json")
+
+
+@query("contract_custom", using="fx_inventory", check="""
+SELECT field_path, error_type, error_count FROM (
+  SELECT 'location_id' AS field_path, 'invalid_value' AS error_type, count(*) FILTER (WHERE location_id NOT IN ('WH001', 'WH002')) AS error_count
+  FROM fx_inventory
+  UNION ALL SELECT 'in_transit_qty', 'max_value_violation', count(*) FILTER (WHERE in_transit_qty > 4) FROM fx_inventory
+  UNION ALL SELECT 'safety_stock', 'missing_required_field', count(*) FILTER (WHERE safety_stock IS NULL) FROM fx_inventory)
+WHERE error_count > 0""")
+def _(t):
+    """A contract of one's own."""
+    own = contracts.Contract("own", "wms_system", ("item_id", "safety_stock"), {"location_id": "string", "in_transit_qty": "double"},
+                             {"location_id": {"allowed_values": ["WH001", "WH002"]}, "in_transit_qty": {"max_value": 4.0}})
+    return contracts.error_counts(t.inventory_feed(), own)
+
+
+@query("gate_custom_checks", using="fx_inventory", check=_CHECK_HEAD.replace("'silver' AS dataset", "dataset") + """
+SELECT 'OWN001' AS check_id, 'In transit below four' AS check_name, 'info' AS severity, '*' AS dataset, 'inventory_position' AS table_name,
+       'in_transit_qty' AS column_name, count(*) AS total, count(*) FILTER (WHERE in_transit_qty >= 4) AS bad, 'against OWN001' AS wrong FROM fx_inventory
+UNION ALL
+SELECT 'OWN002', 'Locations known', 'critical', 'silver', 'inventory_position', 'location_id', count(*),
+       count(*) FILTER (WHERE location_id IS NULL), 'without a value' FROM fx_inventory)""")
+def _(t):
+    """Checks of one's own on top of the table's, by themselves."""
+    own = [gate.Check("OWN001", "In transit below four", "info", "*", "*", "in_transit_qty", "predicate", violated=F.col("in_transit_qty") >= 4),
+           gate.Check("OWN002", "Locations known", "critical", "silver", "inventory_position", "location_id", "completeness")]
+    chosen = [c for c in gate.checks_for("silver", "inventory_position", gate.with_checks(*own)) if c.check_id.startswith("OWN")]
+    return gate.run_checks(t.spark, "silver", "inventory_position", {"inventory_position": t.inventory_feed()}, AS_OF, chosen)
+
+
+@query("freshness_custom", using=_FRESH_TABLES, check=f"""
+SELECT domain, last_updated, 100 AS target_sla_minutes, 10 AS warning_threshold_minutes, 100000000 AS breach_threshold_minutes,
+       CASE WHEN age <= 10 THEN 'ok' WHEN age <= 100000000 THEN 'warning' ELSE 'breach' END AS status, CAST(age AS INT) AS age_minutes
+FROM (SELECT *, date_diff('second', last_updated, TIMESTAMP '{AS_OF}') // 60 AS age FROM (
+  SELECT 'inventory' AS domain, max(load_ts) AS last_updated FROM fx_inventory))""")
+def _(t):
+    """Service levels of one's own; a domain without one isn't judged."""
+    slas = {"inventory": freshness.Sla(100, 10, 100_000_000)}
+    tables = {"supplier": supplier_dim(t), "inventory": t.inventory_feed()}
+    return freshness.refresh(tables, AS_OF, slas).drop("created_ts", "updated_ts")
+
+
 # --- late data ----------------------------------------------------------------------------------------------
 
 LATE_AS_OF = "2001-08-01 00:00:00"
