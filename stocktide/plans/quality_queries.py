@@ -503,7 +503,7 @@ def _(t):
 
 @query("contract_errors_supplier", using="fx_supplier_feed", check="""
 SELECT natural_key, load_ts, 'region' AS field_path, 'missing_required_field' AS error_type, 'error' AS severity,
-       'Required field ''region'' is missing or null' AS message, CAST(NULL AS VARCHAR) AS expected_type,
+       'no value for region' AS message, CAST(NULL AS VARCHAR) AS expected_type,
        CAST(NULL AS VARCHAR) AS actual_value FROM fx_supplier_feed WHERE region IS NULL""")
 def _(t):
     raw = t.supplier_feed().withColumns({"supplier_id": F.col("natural_key"), "supplier_name": F.col("name")})
@@ -512,7 +512,7 @@ def _(t):
 
 @query("contract_errors_inventory", using="fx_inventory", check="""
 SELECT item_id, location_id, snapshot_date, field_path, error_type, 'error' AS severity,
-       CASE error_type WHEN 'type_mismatch' THEN 'Expected type ''double''' ELSE 'Value ' || actual_value || ' is less than minimum 0.0' END
+       CASE error_type WHEN 'type_mismatch' THEN 'no double' ELSE actual_value || ' is below 0.0' END
          AS message,
        CASE error_type WHEN 'type_mismatch' THEN 'double' END AS expected_type, actual_value FROM (
 SELECT *, 'quantity_on_hand' AS field_path, 'min_value_violation' AS error_type, CAST(quantity_on_hand AS VARCHAR) AS actual_value
