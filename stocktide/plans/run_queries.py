@@ -17,17 +17,24 @@ EARLIER = "2001-11-01 00:00:00"
 TIMES = ("planned_departure", "actual_departure", "planned_arrival", "actual_arrival")
 
 
-def _two_batches(t, domain: str, recent: DataFrame, old: DataFrame, suffix: str, late: bool = False, crosswalk: DataFrame | None = None,
+def _two_batches(t, domain: str, rows: DataFrame, suffix: str, late: bool = False, crosswalk: DataFrame | None = None,
                  source_system: str | None = None) -> DataFrame:
-    """The recent rows arrive first; the old ones follow in a batch whose instant lies before theirs, and are not lost."""
+    """The rows marked ``recent`` arrive first; the others follow in a batch whose instant lies before theirs, and are not lost.
+
+    Both deliveries are written by one job, as compressed text: it is the largest thing a run writes.
+    """
     store = Store(t.spark, scratch_dir(t.spark, "lake"), buckets=8)
     if crosswalk is not None:
         store.replace(crosswalk, CROSSWALK, [])
-    for rows, as_of in ((recent, AS_OF), (old, EARLIER)):
-        path = scratch_dir(t.spark, domain) + suffix
-        (rows.write.json(path) if suffix == ".json" else rows.write.option("header", True).csv(path))
+    path = scratch_dir(t.spark, domain)
+    rows = rows.withColumn("delivery", F.when(F.col("recent"), "recent").otherwise("old")).drop("recent")
+    writer = rows.write.partitionBy("delivery").option("compression", "gzip")
+    (writer.json(path) if suffix == ".json" else writer.option("header", True).csv(path))
+    for delivery, as_of in (("recent", AS_OF), ("old", EARLIER)):
+        if not store.log.files.names(f"{path}/delivery={delivery}"):
+            continue  # no row of that time
         job = Job(store, as_of, mint=crosswalk is not None)
-        job.ingest(domain, path, source_system=source_system)
+        job.ingest(domain, f"{path}/delivery={delivery}", suffix[1:], source_system=source_system)
         if late and as_of == EARLIER:
             job.apply_late(domain)
         else:
@@ -59,7 +66,7 @@ def _shipments(t, late: bool) -> DataFrame:
         "shipment_id", "route_id", "carrier_id", "origin", "destination", "status", "load_ts",
         *[F.date_format(F.col(f"{c}_ts"), "yyyy-MM-dd HH:mm:ss").alias(c) for c in TIMES])
     recent = F.col("load_ts") >= F.lit("1997-01-01").cast("timestamp_ntz")
-    return _two_batches(t, "shipment", raw.filter(recent).drop("load_ts"), raw.filter(~recent).drop("load_ts"), ".json", late)
+    return _two_batches(t, "shipment", raw.withColumn("recent", recent).drop("load_ts"), ".json", late)
 
 
 @query("run_silver_shipment", using="fx_shipment", check=_SHIPMENTS)
@@ -85,7 +92,7 @@ def _(t):
     feed = t.inventory_feed()
     raw = feed.select(*inv.SNAPSHOT, *inv.QUANTITIES, "load_ts")
     recent = F.col("load_ts") >= F.lit("1997-01-01").cast("timestamp_ntz")
-    return _two_batches(t, "inventory", raw.filter(recent).drop("load_ts"), raw.filter(~recent).drop("load_ts"), ".csv")
+    return _two_batches(t, "inventory", raw.withColumn("recent", recent).drop("load_ts"), ".csv")
 
 
 @query("run_silver_supplier", using="fx_supplier_feed fx_crosswalk", check=f"""
@@ -112,7 +119,7 @@ def _(t):
         F.col("natural_key").alias("supplier_id"), F.col("name").alias("supplier_name"), "status", "region",
         F.col("attributes_json").alias("attributes"), "load_ts")
     recent = F.col("load_ts") >= F.lit("1997-01-01").cast("timestamp_ntz")
-    return _two_batches(t, "supplier", raw.filter(recent).drop("load_ts"), raw.filter(~recent).drop("load_ts"), ".json",
+    return _two_batches(t, "supplier", raw.withColumn("recent", recent).drop("load_ts"), ".json",
                         crosswalk=t.crosswalk(), source_system="erp_system")
 
 

@@ -127,8 +127,9 @@ class Store:
 
     def put_batch(self, df: DataFrame, table: str, batch: str, arrived: str | None = None, alone: bool = False) -> None:
         """Write one load; the same load again takes the place of its rows. ``arrived``: the instant of a load that later steps
-        are to find among the arrivals. ``alone``: a load of columns of its own, which is only read by itself."""
-        self._balanced(df, []).write.mode("overwrite").parquet(f"{self.path(table)}/{BATCH}={batch}")
+        are to find among the arrivals. ``alone``: a load of columns of its own, which is only read by itself. A load is written
+        by the tasks that read it, in as many files; it isn't shuffled for that."""
+        df.write.mode("overwrite").option("compression", "zstd").parquet(f"{self.path(table)}/{BATCH}={batch}")
         if alone:
             return
         with_batch = StructType([*df.schema.fields, StructField(BATCH, StringType())])
@@ -231,7 +232,7 @@ class Store:
         folder = f"v={uuid.uuid4().hex}"
         path = f"{self.path(table)}/data/{folder}"
         placed = df.withColumn(BUCKET, self.bucket_of(keys, seen))
-        self._balanced(placed, [BUCKET]).write.partitionBy(BUCKET).parquet(path)
+        self._balanced(placed, [BUCKET]).write.option("compression", "zstd").partitionBy(BUCKET).parquet(path)
         written = self._rows_of(path, df.schema)
         schema = json.dumps(df.schema.jsonValue())
 
