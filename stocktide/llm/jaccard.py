@@ -210,21 +210,43 @@ def _linked(docs: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFram
     return sums.where(f"100 * shared >= {percent} * (nx + ny - shared)").select("x", "y").distinct()
 
 
-BLOCK = 256  # documents of a dense cluster of candidates compared at once
+FEW = 8  # documents of a bucket whose pairs are made one by one
+BLOCK = 256  # documents of a cluster of candidates compared at once
+
+
+def _clusters(rows: DataFrame) -> DataFrame:
+    """(doc_id, cluster) of the documents of large buckets: rows (sign, first, hub, many), ``hub`` one of the bucket's documents.
+
+    Buckets that share documents are compared as one cluster, each pair once. Where they only form a chain, so that a cluster
+    has more pairs than all of its buckets, each of these is a cluster of its own.
+    """
+    rows = kept(rows, "large")
+    heads = rows.select("first", "hub").distinct()
+    parts = kept(components(heads, "first", "hub"), "parts")
+    placed = rows.join(parts, F.col("first") == F.col("id")).drop("id")
+    made = rows.select("sign", "hub", "many").distinct().join(parts, F.col("hub") == F.col("id")).groupBy("component").agg(
+        F.sum(F.expr("cast(many as double) * many")).alias("made"))
+    sizes = parts.groupBy("component").agg(F.count("*").alias("size")).join(made, "component")
+    chains = sizes.where((F.col("size") > BLOCK) & (F.col("made") < F.expr("cast(size as double) * size"))).select(
+        "component", F.lit(True).alias("chain"))
+    return placed.join(chains, "component", "left").select(
+        F.col("first").alias("doc_id"), F.when(F.col("chain"), F.col("sign")).otherwise(F.col("component")).alias("cluster"),
+        F.coalesce("chain", F.lit(False)).alias("chain")).distinct()
 
 
 def _linked_in_blocks(docs: DataFrame, clusters: DataFrame, n: int, percent: int) -> DataFrame:
-    """Links (x, y) that join everything which linked pairs inside ``clusters`` (doc_id, cluster) join.
+    """Links (x, y) that join everything which linked pairs inside ``clusters`` (doc_id, cluster, chain) join.
 
-    A cluster's documents are dealt to blocks, and each pair of blocks is compared in a task of its own: overlaps of all its documents fragment by fragment, as products of incidence matrices,
+    A cluster's documents are dealt to blocks, and each pair of blocks is compared in a group of its own: overlaps of all its documents fragment by fragment, as products of incidence matrices,
     summed. Of the links found only those leave the task that connect something new there, one per document at most, so a
     large group of similar documents never becomes a list of its pairs.
     """
-    sizes = clusters.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    placed = clusters.join(sizes, "cluster").withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    name = ["cluster", "chain"]
+    sizes = clusters.groupBy(*name).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    placed = clusters.join(sizes, name).withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
     segments = kept(_segments(docs, clusters.select("doc_id"), n), "segments").dropDuplicates(["doc_id", "a", "part"])
     rows = segments.join(placed, "doc_id").withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select(
-        "cluster", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "doc_id", "a", "n", "part", "grams")
+        *name, F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "doc_id", "a", "n", "part", "grams")
 
     def compare(table: pa.Table) -> pa.Table:
         ids, a, part, own, many = (table.column(c).to_numpy() for c in ("doc_id", "a", "part", "own", "n"))
@@ -269,7 +291,7 @@ def _linked_in_blocks(docs: DataFrame, clusters: DataFrame, n: int, percent: int
         found = np.array(found, np.int64).reshape(-1, 2)
         return pa.table({"x": found[:, 0], "y": found[:, 1]})
 
-    return rows.groupBy("cluster", "p", "q").applyInArrow(compare, "x bigint, y bigint").distinct()
+    return rows.groupBy(*name, "p", "q").applyInArrow(compare, "x bigint, y bigint").distinct()
 
 
 def similarity_groups(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
@@ -279,8 +301,9 @@ def similarity_groups(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFra
     shingle), as 64-bit hashes. Equal sets are joined by a 128-bit digest and count once. The hash order is cut into
     fragments by size class (see ``Classes``), so that linked sets agree in some fragment: those are the candidates.
     Candidate pairs are counted fragment by fragment and summed. First every document of a bucket meets the bucket's
-    smallest id only; where a bucket still spans several components, its pairs across components follow, if they share as
-    many fragments as a linked pair must. Pairs within a component can't change the result and are never made.
+    smallest id only. Where a bucket of at most ``FEW`` documents still spans several components, its pairs across components
+    follow, if they share as many fragments as a linked pair must; larger such buckets never become a list of pairs: their
+    documents are compared in blocks.
 
     One row per row of ``docs``: doc_id, n_shingles, component_id (smallest doc_id reachable). Without words (null or empty
     text): 0 shingles, linked with nothing. A null id has no links and no component. Rows of one id are one document: it
@@ -316,13 +339,21 @@ def similarity_groups(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFra
     rows = kept(rows, "open")
     open_ = rows.groupBy("sign").agg(F.min("component").alias("c"), F.max("component").alias("d")).where("c < d").select("sign")
     rows = kept(rows.join(open_, "sign"), "open")
-    # a linked pair shares ``needed`` signatures; leaving out the commonest ones of each document, fewer than that, loses none
+    # a linked pair shares ``needed`` signatures, so a document of fewer has no partner; leaving out the commonest ones of each
+    # document, fewer than that, loses none
     common = rows.join(rows.groupBy("sign").agg(F.count("*").alias("many")), "sign")
     spare = F.expr("cast(needed - 1 as int) * 3 div 4")
-    commonest = Window.partitionBy("first", F.expr("shiftright(shape, 33)")).orderBy(F.desc("many"), "sign")
+    own = Window.partitionBy("first", F.expr("shiftright(shape, 33)"))
     common = common.withColumn("needed", _needed("shape", "(shape >> 1) & 4294967295", percent)).withColumn(
-        "place", F.row_number().over(commonest)).where(F.col("place") > spare)
-    left, right = (common.select("sign", *(F.col(c).alias(c + s) for c in ("first", "n", "component", "shape"))) for s in "xy")
+        "place", F.row_number().over(own.orderBy(F.desc("many"), "sign"))).withColumn("held", F.count("*").over(own)).where(
+        (F.col("place") > spare) & (F.col("held") >= F.col("needed"))).select("sign", "first", "n", "component", "shape")
+    common = kept(common, "common")
+    buckets = common.groupBy("sign").agg(F.count("*").alias("many"), F.min("first").alias("hub"), F.min("component").alias("c"),
+                                         F.max("component").alias("d")).where("c < d").select("sign", "many", "hub")
+    buckets = kept(buckets, "sizes")
+    # small buckets: pair by pair, fewer than FEW for each row of a bucket
+    small = common.join(buckets.where(F.col("many") <= FEW).select("sign"), "sign")
+    left, right = (small.select("sign", *(F.col(c).alias(c + s) for c in ("first", "n", "component", "shape"))) for s in "xy")
     pairs = left.join(right, "sign").where("componentx < componenty").where(
         f"100 * least(nx, ny) >= {percent} * greatest(nx, ny) and (shapex & shapey & 1) = 0").select(
         F.greatest("firstx", "firsty").alias("x"), F.least("firstx", "firsty").alias("y"),
@@ -330,20 +361,16 @@ def similarity_groups(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFra
     pairs = pairs.groupBy("x", "y").agg(F.count("*").alias("shared"), F.min("needed").alias("needed"))
     pairs = pairs.where(F.col("shared") >= F.col("needed") - spare).select("x", "y")
     pairs = kept(pairs.join(stars, ["x", "y"], "left_anti"), "pairs")
+    # a pair that shares a large bucket, too, may share too few small ones to be among them: its bucket is compared in blocks
+    clusters = kept(_clusters(common.join(buckets.where(F.col("many") > FEW), "sign").select("sign", "first", "hub", "many")), "clusters")
+    more = links.limit(0)
     if not pairs.isEmpty():
-        # candidates that hang together: where most of their pairs are candidates they are compared in blocks, else pair by pair
-        clusters = kept(components(pairs, "x", "y").withColumnsRenamed({"id": "doc_id", "component": "cluster"}), "clusters")
-        placed = pairs.join(clusters.withColumnRenamed("doc_id", "x"), "x")
-        dense = placed.groupBy("cluster").agg(F.count("*").alias("pairs")).join(
-            clusters.groupBy("cluster").agg(F.count("*").alias("size")), "cluster").where("size > 32 and 16 * pairs > size * size")
-        dense = kept(dense.select("cluster"), "dense")
-        few = kept(placed.join(dense, "cluster", "left_anti").select("x", "y"), "pairs")
-        more = _linked(docs, few, n, percent)
-        if not dense.isEmpty():
-            more = more.union(_linked_in_blocks(docs, clusters.join(dense, "cluster", "left_semi"), n, percent))
-        more = kept(more, "links")
-        if not more.isEmpty():
-            groups = kept(components(links.union(more), "x", "y"), "groups")
+        more = _linked(docs, pairs, n, percent)
+    if not clusters.isEmpty():
+        more = more.union(_linked_in_blocks(docs, clusters, n, percent))
+    more = kept(more, "links")
+    if not more.isEmpty():
+        groups = kept(components(links.union(more), "x", "y"), "groups")
     release(docs.sparkSession)
     return digest.select("doc_id", F.col("n").alias("n_shingles")).join(groups.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
