@@ -204,8 +204,15 @@ def pretokens(points: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.flatnonzero(fresh[:n])
 
 
+def end_to_end(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all pre-tokens in one array, and where those of each end."""
+    ends = np.cumsum(np.fromiter(map(len, lists), np.int64, len(lists)))
+    return np.fromiter(chain.from_iterable(lists), np.uint32, int(ends[-1]) if len(ends) else 0), ends
+
+
 class PieceCache:
-    """Ids of pre-tokens seen before, by the pre-token itself. Two generations of at most ``most`` / 2 pre-tokens each: when
+    """Ids of pre-tokens seen before, by the pre-token itself; ``encode`` gives those of new ones, as lists or
+    as ``end_to_end`` joins them. Two generations of at most ``most`` / 2 pre-tokens each: when
     the younger is full it becomes the older one, so what comes up often stays."""
 
     def __init__(self, encode, most: int = 400_000):
@@ -217,7 +224,12 @@ class PieceCache:
         """The different pre-tokens, and which of them each pre-token is. Hashes only group them; every pre-token is compared
         with the one that stands for its group, and a block in which a hash deceives is grouped by the strings themselves."""
         ends = np.append(starts[1:], len(points))
-        _, where, inverse = np.unique(run_hashes(points, starts), return_index=True, return_inverse=True)
+        hashes = run_hashes(points, starts)
+        order = np.argsort(hashes)  # any of a group may stand for it, so the sort needn't be stable
+        fresh = np.ones(len(order), bool)
+        np.not_equal(hashes[order[1:]], hashes[order[:-1]], out=fresh[1:])
+        where, inverse = order[fresh], np.empty(len(order), np.int64)
+        inverse[order] = np.cumsum(fresh) - 1
         sizes, first = ends - starts, starts[where][inverse]
         same = np.array_equal(sizes, (ends - starts)[where][inverse])
         if same and len(starts):
@@ -242,8 +254,8 @@ class PieceCache:
             ids_of = list(map(self.old.get, names))
             missing = [i for i, ids in enumerate(ids_of) if ids is None]
             encoded = self.encode([names[i] for i in missing])
-            ends = np.cumsum(np.fromiter(map(len, encoded), np.int64, len(encoded))) * 4
-            pool = np.fromiter(chain.from_iterable(encoded), np.uint32, int(ends[-1]) // 4 if len(ends) else 0).tobytes()
+            pool, ends = encoded if isinstance(encoded, tuple) else end_to_end(encoded)
+            pool, ends = pool.tobytes(), ends * 4
             begin = 0
             for i, end in zip(missing, ends.tolist()):
                 ids_of[i], begin = pool[begin:end], end

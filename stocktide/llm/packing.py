@@ -5,16 +5,18 @@ from __future__ import annotations
 import os
 import zlib
 from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stocktide.llm.arrays import PieceCache, text_chunks
+from stocktide.llm.arrays import PieceCache, end_to_end, text_chunks
 from stocktide.llm.store import kept
 
 ENCODED = "part int, lane int, at bigint, doc_id bigint, n bigint, ids binary"
+CHUNK_BYTES = 3 << 20  # a larger block has fewer different pre-tokens for its size
 NARROW, WIDE = "<u2", "<u4"  # of stored ids, by the size of the vocabulary
 SCHEMA = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, "
           "offset bigint, source string")
@@ -33,10 +35,35 @@ def cache_of(path: str) -> tuple:
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
 
-    def encode(pieces: list[str]) -> list[list[int]]:
-        return [e.ids for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+    return tokenizer, PieceCache(piece_encoder(tokenizer))
 
-    return tokenizer, PieceCache(encode)
+
+def byte_lengths(tokenizer) -> np.ndarray:
+    """Bytes of every id in a byte-level vocabulary, where each sign of a token stands for one byte."""
+    out = np.zeros(max(tokenizer.get_vocab().values(), default=-1) + 1, np.int64)
+    for token, i in tokenizer.get_vocab().items():
+        out[i] = len(token)
+    return out
+
+
+def piece_encoder(tokenizer):
+    """Encodes pre-tokens as the words of one sequence, which costs no object a piece. Their bytes say where each ends; where
+    the bytes of the ids don't meet those ends, each piece is encoded by itself."""
+    lengths = byte_lengths(tokenizer)
+
+    def encode(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if not pieces:
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        (found,) = tokenizer.encode_batch_fast([pieces], is_pretokenized=True, add_special_tokens=False)
+        ids = np.array(found.ids, np.uint32)
+        reached = np.cumsum(lengths[ids])
+        wanted = np.cumsum(np.fromiter((len(p.encode()) for p in pieces), np.int64, len(pieces)))
+        ends = np.searchsorted(reached, wanted) + 1
+        if len(ids) and ends[-1] == len(ids) and np.array_equal(reached[ends - 1], wanted):
+            return ids, ends
+        return end_to_end([e.ids for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)])
+
+    return encode
 
 
 class Rounds:
@@ -71,6 +98,7 @@ class Rounds:
             left = [n - a for n, a in zip(left, amounts)]
         self.total = at
         self.known: dict[int, list[int]] = {}
+        self.sums: dict[int, list[int]] = {}
 
     def given(self, x: int) -> list[int]:
         """Tokens each queue has given after ``x`` in all."""
@@ -87,6 +115,16 @@ class Rounds:
             self.known[x] = out
         return out
 
+    def ahead(self, x: int) -> list[int]:
+        """Of the first ``x`` tokens, how many the queues before each one have given."""
+        out = self.sums.get(x)
+        if out is None:
+            out = [0, *accumulate(self.given(x))]
+            if len(self.sums) > 20_000:
+                self.sums.clear()
+            self.sums[x] = out
+        return out
+
     def window_of(self, lane: int, position: int, width: int) -> int:
         """The window that holds a queue's token."""
         low, high = 0, -(-self.total // width)
@@ -118,7 +156,7 @@ def encode_parts(docs: DataFrame, tokenizer_path: str, end_id: int, lanes: dict[
         other = max(lanes.values(), default=-1) + 1
         for batch in batches:
             sources, ids_of = batch.column("source").to_pylist(), batch.column("doc_id")
-            for i, j, data, offsets in text_chunks(batch.column("text")):
+            for i, j, data, offsets in text_chunks(batch.column("text"), CHUNK_BYTES):
                 ids, bounds = cache.ids(data, offsets)
                 ids = np.insert(ids, bounds[1:], end_id).astype(kind)
                 bounds = bounds + np.arange(len(bounds))
@@ -177,7 +215,7 @@ def pack(docs: DataFrame, tokenizer_path: str, width: int = 2048, end_id: int =
                     before, after = rounds.given(window * width), rounds.given((window + 1) * width)
                     length = min(n - start, after[lane] - first - start)
                     if length > 0:
-                        offset = sum(after[:lane]) - sum(before[:lane]) + first + start - before[lane]
+                        offset = rounds.ahead((window + 1) * width)[lane] - rounds.ahead(window * width)[lane] + first + start - before[lane]
                         for name, value in zip(out, (doc_id, start, length, zlib.crc32(view[start : start + length]), n, window, offset, queue[lane])):
                             out[name].append(value)
                         start += length
