@@ -21,6 +21,8 @@ U = np.uint64
 BASE = 0x9E3779B97F4A7C15
 STEPS = np.array([0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3], dtype=U)
 CHUNK_BYTES = 2 << 20
+#: Where each byte or word takes many bytes of arrays and nothing is gained from seeing more texts at once.
+SMALL_CHUNK_BYTES = 1 << 19
 
 
 def mixed(h: np.ndarray) -> np.ndarray:

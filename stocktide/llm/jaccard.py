@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stocktide.llm.arrays import U, mixed, place_hashes, shingles, text_chunks, words
+from stocktide.llm.arrays import SMALL_CHUNK_BYTES, U, mixed, place_hashes, shingles, text_chunks, words
 from stocktide.llm.components import components
 from stocktide.llm.store import kept, release
 
@@ -108,7 +108,7 @@ def _classes(percent: int) -> Classes:
 def _digest(docs: DataFrame, n: int) -> DataFrame:
     def run(batches):
         for batch in batches:
-            for i, j, data, offsets in text_chunks(batch.column("text")):
+            for i, j, data, offsets in text_chunks(batch.column("text"), SMALL_CHUNK_BYTES):
                 h, bounds = sets_of(data, offsets, n)
                 a, b = digests(h, bounds)
                 yield pa.RecordBatch.from_arrays(
@@ -122,7 +122,7 @@ def _signed(docs: DataFrame, n: int, percent: int) -> DataFrame:
         classes = _classes(percent)
         for batch in batches:
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-            for i, j, data, offsets in text_chunks(batch.column("text")):
+            for i, j, data, offsets in text_chunks(batch.column("text"), SMALL_CHUNK_BYTES):
                 h, bounds = sets_of(data, offsets, n)
                 own = ids[i:j]
                 # of equal sets in this block the smallest id signs for all
@@ -168,7 +168,7 @@ def _segments(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
         for batch in batches:
             bit = batch.column("bit").to_numpy()
             batch = batch.filter(pa.array((shared.value[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).astype(bool)))
-            for i, j, data, offsets in text_chunks(batch.column("text")):
+            for i, j, data, offsets in text_chunks(batch.column("text"), SMALL_CHUNK_BYTES):
                 h, bounds = sets_of(data, offsets, n)
                 a, _ = digests(h, bounds)
                 sizes = np.diff(bounds)

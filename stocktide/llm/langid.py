@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stocktide.llm.arrays import U, text_chunks
+from stocktide.llm.arrays import SMALL_CHUNK_BYTES, U, text_chunks
 from stocktide.llm.labelled import fold, sample
 
 SCHEMA = "doc_id bigint, held_out boolean, lang_pred string, score double, rejected boolean"
@@ -163,7 +163,7 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
         for batch in batches:
             letters = np.array(batch.column("letters").to_pylist(), bool)
             langs, scores = np.full(len(letters), UNDETERMINED, object), np.zeros(len(letters))
-            for i, j, data, offsets in text_chunks(batch.column("text")) if model else ():
+            for i, j, data, offsets in text_chunks(batch.column("text"), SMALL_CHUNK_BYTES) if model else ():
                 p = model.probabilities(data, offsets)
                 langs[i:j] = np.array(model.classes, object)[p.argmax(axis=1)]
                 scores[i:j] = p.max(axis=1)
@@ -187,7 +187,7 @@ def accepted(docs: DataFrame, model: Model | None) -> DataFrame:
         model = shared.value
         for batch in batches:
             scores = np.zeros(batch.num_rows)
-            for i, j, data, offsets in text_chunks(batch.column("text")) if model else ():
+            for i, j, data, offsets in text_chunks(batch.column("text"), SMALL_CHUNK_BYTES) if model else ():
                 scores[i:j] = model.probabilities(data, offsets).max(axis=1)
             yield batch.filter(pa.array(scores >= (model.threshold if model else 1.0)))
 

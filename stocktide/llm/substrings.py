@@ -17,7 +17,7 @@ from stocktide.llm.store import discard, kept, release
 
 SCHEMA = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
 ANCHOR = 16  # bytes of an anchor
-PIECE = 1 << 21  # bytes looked at together; a longer document is cut with an overlap
+PIECE = 1 << 19  # bytes looked at together; a longer document is cut with an overlap
 POSITION = 24  # bits of a position in a piece
 NULL_ID = (1 << 63) - 1  # a document without an id comes after all others
 

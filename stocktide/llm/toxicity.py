@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stocktide.llm.arrays import U, run_hashes, text_chunks
+from stocktide.llm.arrays import SMALL_CHUNK_BYTES, U, run_hashes, text_chunks
 from stocktide.llm.labelled import fold, sample
 from stocktide.llm.langid import FOLDED
 
@@ -175,7 +175,7 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
         model = shared.value
         for batch in batches:
             scores = np.zeros(batch.num_rows)
-            for i, j, data, offsets in text_chunks(batch.column("text")) if model else ():
+            for i, j, data, offsets in text_chunks(batch.column("text"), SMALL_CHUNK_BYTES) if model else ():
                 scores[i:j] = model.scores(data, offsets)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array(scores), pa.array((scores >= 0.5).astype(np.int32))],
@@ -193,7 +193,7 @@ def without_toxic(docs: DataFrame, model: Model | None) -> DataFrame:
         model = shared.value
         for batch in batches:
             scores = np.zeros(batch.num_rows)
-            for i, j, data, offsets in text_chunks(batch.column("text")) if model else ():
+            for i, j, data, offsets in text_chunks(batch.column("text"), SMALL_CHUNK_BYTES) if model else ():
                 scores[i:j] = model.scores(data, offsets)
             yield batch.filter(pa.array(scores < 0.5))
 
