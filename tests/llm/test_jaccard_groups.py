@@ -31,7 +31,7 @@ def test_pairs_of_a_large_group_are_not_listed(spark, monkeypatch, block):
     wanted = brute(rows)
     assert sorted(map(tuple, jaccard.similarity_groups(docs).collect()), key=repr) == wanted
     assert seen["large"] > 0
-    assert seen["pairs"] <= len(rows) * jaccard.FEW // 2  # thousands before
+    assert seen["pairs"] <= len(rows) * jaccard.FEW // 2
 
 
 def test_buckets_that_form_a_chain_stay_apart(spark, monkeypatch):
