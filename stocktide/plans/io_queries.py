@@ -188,6 +188,8 @@ def _(t):
 
 
 _LAYOUT = ["snapshot_date", "quantity_on_hand"]
+#: Rows of a small file, at most: appends of a larger feed leave more of them.
+SMALL_FILE_ROWS = 1 << 18
 
 
 def _clustered(t, files: int = 16) -> ClusteredTable:
@@ -213,7 +215,7 @@ def _(t):
     table = ClusteredTable(Store(t.spark, scratch_dir(t.spark, "packed")), "silver.snapshots", _LAYOUT)
     feed = t.inventory_feed().drop("load_ts")
     for k in range(4):
-        table.append(feed.where(F.pmod(F.xxhash64("item_id"), F.lit(4)) == k), 4)
+        table.append(feed.where(F.pmod(F.xxhash64("item_id"), F.lit(4)) == k), 4, SMALL_FILE_ROWS)
     before = len(table.files())
     table.pack(partitions=2)
     return table.read().groupBy("location_id").agg(F.count("*").alias("n"), F.sum("quantity_on_hand").alias("quantity")).withColumn(

@@ -9,7 +9,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -18,6 +18,8 @@ from stocktide.sources.store import Staged, Store
 
 #: Rows that the borders of the curve's cells are estimated from; they decide on the layout only, never on results.
 BORDER_ROWS = 10_000
+#: Rows that one task sorts into a file, about: a larger table takes more tasks and files, not larger ones.
+FILE_ROWS = 1 << 20
 
 
 def _not_above(column: str):
@@ -43,11 +45,22 @@ def curve(df: DataFrame, columns: Sequence[str], bits: int = 6) -> Column:
     return place
 
 
-def z_ordered(df: DataFrame, columns: Sequence[str], partitions: int | None = None, bits: int = 6) -> DataFrame:
-    """Range-partitioned and sorted along the curve: a file holds a narrow range of every column, not of the first only."""
-    placed = df.withColumn("_z", curve(df, columns, bits))
-    ranged = placed.repartitionByRange(partitions, "_z") if partitions else placed.repartitionByRange("_z")
-    return ranged.sortWithinPartitions("_z", *columns).drop("_z")
+def z_ordered(df: DataFrame, columns: Sequence[str], partitions: int | None = None, bits: int = 6,
+              file_rows: int | None = None) -> DataFrame:
+    """Range-partitioned and sorted along the curve: a file holds a narrow range of every column, not of the first only.
+
+    ``partitions`` (None: as adaptive execution sizes them) are made, or as many more as it takes for ``file_rows`` rows
+    each (None: ``FILE_ROWS``); rows are counted as borders are sampled. Rows of one place are told apart by ten bits of
+    a hash of all columns, so a common place is spread, too.
+    """
+    seen = Observation()
+    placed = df.withColumns({"_z": curve(df.observe(seen, F.count(F.lit(1)).alias("rows")), columns, bits),
+                             "_h": F.xxhash64(*df.columns).bitwiseAND(F.lit(1023))})
+    needed = -(-seen.get["rows"] // (file_rows or FILE_ROWS))
+    if partitions or needed > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        partitions = max(partitions or 1, needed)
+    ranged = placed.repartitionByRange(partitions, "_z", "_h") if partitions else placed.repartitionByRange("_z", "_h")
+    return ranged.drop("_h").sortWithinPartitions("_z", *columns).drop("_z")
 
 
 def _plain(value: Any) -> Any:
@@ -85,9 +98,9 @@ class ClusteredTable:
         return [{"path": f"{folder}/{r['_file']}", "rows": r["_rows"], "size": r["_size"],
                  "ranges": {c: [_plain(r[f"min_{c}"]), _plain(r[f"max_{c}"]), r[f"nulls_{c}"]] for c in self.columns}} for r in rows.collect()]
 
-    def _write(self, df: DataFrame, partitions: int | None) -> list[dict]:
+    def _write(self, df: DataFrame, partitions: int | None, file_rows: int | None = None) -> list[dict]:
         folder = f"v={uuid.uuid4().hex}"
-        z_ordered(df, self.columns, partitions).write.parquet(f"{self.store.path(self.table)}/data/{folder}")
+        z_ordered(df, self.columns, partitions, file_rows=file_rows).write.parquet(f"{self.store.path(self.table)}/data/{folder}")
         return self._index(folder, df.schema)
 
     def _commit(self, schema: StructType, added: list[dict], removed: Sequence[str] = ()) -> None:
@@ -101,8 +114,9 @@ class ClusteredTable:
 
         self.store.publish(Staged(self.table, change, ""))
 
-    def append(self, df: DataFrame, partitions: int | None = None) -> None:
-        self._commit(df.schema, self._write(df, partitions))
+    def append(self, df: DataFrame, partitions: int | None = None, file_rows: int | None = None) -> None:
+        """Adds files: ``partitions``, or more where these would hold over ``file_rows`` (None: ``FILE_ROWS``) rows each."""
+        self._commit(df.schema, self._write(df, partitions, file_rows))
 
     def _open(self, files: list[dict]) -> DataFrame:
         state = self._state()
@@ -138,9 +152,10 @@ class ClusteredTable:
         return rows
 
     def pack(self, small_bytes: int = 64 << 20, partitions: int | None = None) -> int:
-        """Rewrite the files below ``small_bytes`` together, along the curve; large ones stay. Returns how many were rewritten.
-        Without ``partitions`` adaptive execution sizes the new files."""
-        small = [f for f in self.files() if f["size"] < small_bytes]
+        """Rewrite the files below ``small_bytes`` together, along the curve; large ones stay, and those that hold half of what
+        a task sorts (``FILE_ROWS``). Returns how many were rewritten. There are ``partitions`` new files, more where these
+        would hold over ``FILE_ROWS`` rows each; without ``partitions`` adaptive execution sizes them."""
+        small = [f for f in self.files() if f["size"] < small_bytes and 2 * f["rows"] < FILE_ROWS]
         if len(small) < 2:
             return 0
         rows = self._open(small)

@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from stocktide.sources import clustered
 from stocktide.sources.clustered import ClusteredTable, z_ordered
 from stocktide.sources.commits import Conflict
 from stocktide.sources.store import Store
@@ -57,6 +58,18 @@ def test_small_files_are_packed(spark, tmp_path, rows):
     assert t.store.vacuum(keep=1) > 0 and rows(t.read()) == rows(grid(spark))
 
 
+def test_tasks_of_appends_and_packing_grow_with_the_rows(spark, tmp_path, rows, monkeypatch):
+    monkeypatch.setattr(clustered, "FILE_ROWS", 512)
+    t = table(spark, tmp_path, ["x", "day"])
+    for k in range(2):  # the second half lies in one place
+        t.append(grid(spark).withColumn("x", F.when(F.lit(k == 0), F.col("x"))).withColumn("day", F.lit(DAY)).where(F.col("id") % 2 == k), 2, 128)
+    before = t.files()
+    assert len(before) >= 30 and max(f["rows"] for f in before) < 256
+    want = rows(t.read())
+    assert t.pack(partitions=2) == len(before)  # two files of 2048 rows each before
+    assert 8 <= len(t.files()) < len(before) and max(f["rows"] for f in t.files()) < 1024 and rows(t.read()) == want
+
+
 def test_packing_gives_way_to_another_rewrite(spark, tmp_path, monkeypatch):
     t = table(spark, tmp_path, ["x", "day"])
     for k in range(2):
