@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from stocktide.functions.timeexpr import plus_hours, ts
 from stocktide.operators.common import first_per_key
 
+FILTER_BITS = 26  # of the filter that spares rows of untouched keys the way to the joins: 8 MB
+
 
 def late_rows(bronze: DataFrame, as_of: str, cutoff_hours: int = 24, time: str = "_ingestion_ts") -> DataFrame:
     """Rows that arrived within the cutoff before ``as_of``."""
@@ -29,16 +31,31 @@ def touched_keys(bronze: DataFrame, keys: Sequence[str], as_of: str, cutoff_hour
     return late_rows(bronze, as_of, cutoff_hours, time).select(*keys).distinct()
 
 
+def _maybe(df: DataFrame, touched: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df`` with ``_maybe``: false where a row's key is surely not among ``touched``. No row travels for it: the hashes of
+    the touched keys, a bit each, go to the tasks as a filter of fixed size."""
+    bit = F.pmod(F.xxhash64(*keys), F.lit(1 << FILTER_BITS))
+    bits = touched.select(bit.alias("_bit")).groupBy(F.expr("_bit div 32768").alias("_word")).agg(
+        F.expr("bitmap_construct_agg(_bit % 32768)").alias("_bits"))
+    byte = "substring(_bits, cast(_bit % 32768 div 8 as int) + 1, 1)"
+    there = F.expr(f"{byte} <> X'00' and shiftright(cast(conv(hex({byte}), 16, 10) as int), cast(_bit % 8 as int)) & 1 = 1")
+    placed = df.withColumn("_bit", bit).withColumn("_word", F.expr("_bit div 32768")).join(F.broadcast(bits), "_word", "left")
+    return placed.withColumn("_maybe", F.coalesce(there, F.lit(False))).drop("_word", "_bit", "_bits")
+
+
 def merge_late(silver: DataFrame, feed: DataFrame, keys: Sequence[str], order: Sequence[Column], as_of: str,
                cutoff_hours: int = 24, time: str = "load_ts") -> DataFrame:
     """Bring the keys touched by late rows up to date from the whole feed; other keys pass through.
 
     ``feed`` is the conformed input. A correction replaces the row it corrects
-    and repeats nothing.
+    and repeats nothing. Rows that a filter of the touched keys' hashes rules out
+    are not shuffled; exact joins follow for the others.
     """
     touched = touched_keys(feed, keys, as_of, cutoff_hours, time)
     on = list(keys)
-    kept = silver.join(touched, on, "left_anti")
-    competing = silver.join(touched, on, "left_semi").unionByName(
-        feed.join(touched, on, "left_semi"), allowMissingColumns=True)
+    held = _maybe(silver, touched, keys)
+    near = held.filter("_maybe").drop("_maybe")
+    kept = held.filter("not _maybe").drop("_maybe").unionByName(near.join(touched, on, "left_anti"))
+    competing = near.join(touched, on, "left_semi").unionByName(
+        _maybe(feed, touched, keys).filter("_maybe").drop("_maybe").join(touched, on, "left_semi"), allowMissingColumns=True)
     return kept.unionByName(first_per_key(competing, keys, order), allowMissingColumns=True)
