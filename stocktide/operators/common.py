@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,12 +40,12 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
 def merge_latest(
     existing: DataFrame, incoming: DataFrame, keys: Sequence[str], order: Sequence[Column]
 ) -> DataFrame:
-    """Latest row per key over both frames, rewriting only the keys that arrive.
+    """Latest row per key over both frames, of which ``existing`` holds one row per key.
 
-    Untouched rows pass an anti join and are never sorted or grouped; Spark
-    broadcasts the incoming keys when they are small.
+    Both are read once and travel once, to the choice of the latest row. Existing
+    rows without a key compete with none and all stay.
     """
-    touched = incoming.select(*keys).distinct()
-    kept = existing.join(touched, list(keys), "left_anti")
-    competing = existing.join(touched, list(keys), "left_semi").unionByName(incoming, allowMissingColumns=True)
-    return kept.unionByName(first_per_key(competing, keys, order), allowMissingColumns=True)
+    loose = reduce(or_, (F.col(k).isNull() for k in keys))
+    held = existing.withColumn("_loose", F.when(loose, F.monotonically_increasing_id()))
+    both = held.unionByName(incoming, allowMissingColumns=True)
+    return first_per_key(both, [*keys, "_loose"], order).drop("_loose")
