@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from stocktide.llm.arrays import SMALL_CHUNK_BYTES, U, mixed, place_hashes, shingles, text_chunks, words
 from stocktide.llm.components import components
-from stocktide.llm.store import kept, release
+from stocktide.llm.store import discard, kept, release
+from stocktide.operators.late import _maybe
 
 PARTS = 4  # fragments in which overlaps of candidate pairs are counted
 FILTER_BITS = 23  # of the filter that spares documents without a candidate the way to the join
@@ -207,7 +208,9 @@ def _linked(docs: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFram
     partial = met.mapInArrow(overlap, "x bigint, y bigint, ax bigint, ay bigint, nx bigint, ny bigint, part int, shared bigint")
     partial = partial.groupBy("x", "y", "ax", "ay", "nx", "ny", "part").agg(F.max("shared").alias("shared"))  # a repeated row counts once
     sums = partial.groupBy("x", "y", "ax", "ay").agg(F.sum("shared").alias("shared"), F.max("nx").alias("nx"), F.max("ny").alias("ny"))
-    return sums.where(f"100 * shared >= {percent} * (nx + ny - shared)").select("x", "y").distinct()
+    links = kept(sums.where(f"100 * shared >= {percent} * (nx + ny - shared)").select("x", "y").distinct(), "linked")
+    discard(wanted), discard(segments)
+    return links
 
 
 FEW = 8  # documents of a bucket whose pairs are made one by one
@@ -244,8 +247,8 @@ def _linked_in_blocks(docs: DataFrame, clusters: DataFrame, n: int, percent: int
     name = ["cluster", "chain"]
     sizes = clusters.groupBy(*name).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     placed = clusters.join(sizes, name).withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
-    segments = kept(_segments(docs, clusters.select("doc_id"), n), "segments").dropDuplicates(["doc_id", "a", "part"])
-    rows = segments.join(placed, "doc_id").withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select(
+    segments = kept(_segments(docs, clusters.select("doc_id"), n), "segments")
+    rows = segments.dropDuplicates(["doc_id", "a", "part"]).join(placed, "doc_id").withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select(
         *name, F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "doc_id", "a", "n", "part", "grams")
 
     def compare(table: pa.Table) -> pa.Table:
@@ -291,7 +294,9 @@ def _linked_in_blocks(docs: DataFrame, clusters: DataFrame, n: int, percent: int
         found = np.array(found, np.int64).reshape(-1, 2)
         return pa.table({"x": found[:, 0], "y": found[:, 1]})
 
-    return rows.groupBy(*name, "p", "q").applyInArrow(compare, "x bigint, y bigint").distinct()
+    links = kept(rows.groupBy(*name, "p", "q").applyInArrow(compare, "x bigint, y bigint").distinct(), "linked")
+    discard(segments)
+    return links
 
 
 def similarity_groups(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
@@ -305,6 +310,8 @@ def similarity_groups(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFra
     follow, if they share as many fragments as a linked pair must; larger such buckets never become a list of pairs: their
     documents are compared in blocks.
 
+    What a step wrote is deleted once no later step reads it.
+
     One row per row of ``docs``: doc_id, n_shingles, component_id (smallest doc_id reachable). Without words (null or empty
     text): 0 shingles, linked with nothing. A null id has no links and no component. Rows of one id are one document: it
     links if any of its texts does. Other columns aren't read; an empty table gives an empty result.
@@ -336,9 +343,15 @@ def similarity_groups(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFra
     labelled = equal.select("doc_id", "first", "n").join(groups.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn(
         "component", F.coalesce("component", "doc_id"))
     rows = buckets.select("sign", "doc_id", "shape").join(labelled, "doc_id").select("sign", "first", "n", "component", "shape").distinct()
-    rows = kept(rows, "open")
-    open_ = rows.groupBy("sign").agg(F.min("component").alias("c"), F.max("component").alias("d")).where("c < d").select("sign")
-    rows = kept(rows.join(open_, "sign"), "open")
+    every = kept(rows, "every")
+    discard(buckets)
+    del rows, buckets
+    release(docs.sparkSession)
+    open_ = every.groupBy("sign").agg(F.min("component").alias("c"), F.max("component").alias("d")).where("c < d").select("sign")
+    rows = kept(every.join(open_, "sign"), "open")
+    discard(every)
+    del every, open_
+    release(docs.sparkSession)
     # a linked pair shares ``needed`` signatures, so a document of fewer has no partner; leaving out the commonest ones of each
     # document, fewer than that, loses none
     common = rows.join(rows.groupBy("sign").agg(F.count("*").alias("many")), "sign")
@@ -348,6 +361,7 @@ def similarity_groups(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFra
         "place", F.row_number().over(own.orderBy(F.desc("many"), "sign"))).withColumn("held", F.count("*").over(own)).where(
         (F.col("place") > spare) & (F.col("held") >= F.col("needed"))).select("sign", "first", "n", "component", "shape")
     common = kept(common, "common")
+    discard(rows)
     buckets = common.groupBy("sign").agg(F.count("*").alias("many"), F.min("first").alias("hub"), F.min("component").alias("c"),
                                          F.max("component").alias("d")).where("c < d").select("sign", "many", "hub")
     buckets = kept(buckets, "sizes")
@@ -379,11 +393,20 @@ def similarity_groups(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFra
 def one_of_each_group(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one document of each group of ``similarity_groups``, that of the smallest id; columns stay as they are.
 
-    Rows of one id are one document, of which one row stays. Documents without an id or without words all stay.
+    Rows of one id are one document, of which one row stays. Documents without an id or without words all stay. Rows that
+    a filter of the marked ids' hashes rules out are not shuffled, however many ids are marked; exact joins follow for the
+    others.
     """
-    groups = kept(similarity_groups(docs, n, percent).where("doc_id is not null"), "groups")
-    others = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    repeated = groups.groupBy("doc_id").count().where("count > 1").select("doc_id")
-    once = docs.join(others.union(repeated).distinct(), "doc_id", "left_anti")
-    several = docs.join(repeated, "doc_id", "left_semi").join(others, "doc_id", "left_anti").dropDuplicates(["doc_id"])
-    return once.unionByName(several).select(*docs.columns)
+    groups = similarity_groups(docs, n, percent).where("doc_id is not null")
+    marked = groups.groupBy(F.col("doc_id").alias("__id")).agg(
+        (F.count("*") > 1).alias("_several"), F.max(F.expr("doc_id <> component_id")).alias("_other")).where("_several or _other")
+    marked = kept(marked, "marked")
+    release(docs.sparkSession)
+    rows = docs.withColumn("__id", F.col("doc_id").cast("bigint"))
+    held = _maybe(rows, marked, ["__id"]).withColumn("_maybe", F.expr("_maybe and __id is not null"))
+    out = held.where("not _maybe").unionByName(held.where("_maybe").join(marked, "__id", "left_anti"))
+    repeated = marked.where("_several and not _other").select("__id")
+    if not repeated.isEmpty():
+        several = _maybe(rows, repeated, ["__id"]).where("_maybe").join(repeated, "__id", "left_semi").dropDuplicates(["__id"])
+        out = out.unionByName(several, allowMissingColumns=True)
+    return out.select(*docs.columns)
