@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-import gc
 import os
 import tempfile
-import time
 import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stocktide.session import release  # noqa: F401 - used with kept() and discard()
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``; a local master without one (tests) gets a folder of its own."""
@@ -59,17 +59,6 @@ def discard(table: DataFrame) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def release(spark: SparkSession) -> None:
-    """Lets Spark drop the shuffle files of plans that nothing refers to any more.
-
-    Two rounds: what the first frees here lets go of the plans on Spark's side, which the second finds.
-    """
-    for _ in range(2):
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.2)
-
-
 def workers_see_package(spark: SparkSession) -> None:
     """Puts this package's folder on the path of the Python workers; on a cluster it must be installed or shipped there."""
     root = str(Path(__file__).resolve().parents[2])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 from operator import or_
@@ -10,6 +11,23 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Rows that a step of a run shuffles at a time.
+PART_ROWS = 4_000_000
+
+
+def parts_of(rows: int, most: int) -> int:
+    """How many parts so many rows are worked on in, one after another. Every part reads the whole input once."""
+    return max(1, min(most, math.ceil(rows / PART_ROWS)))
+
+
+def in_parts(df: DataFrame, keys: Sequence[str], parts: int) -> list[DataFrame]:
+    """All rows, dealt to frames by the hash of their keys, nulls included: rows of one key are in one frame."""
+    if parts == 1:
+        return [df]
+    part = F.pmod(F.xxhash64(*keys), F.lit(parts))
+    return [df.filter(part == i) for i in range(parts)]
+
+
 def require_columns(df: DataFrame, names: Sequence[str], what: str) -> DataFrame:
     missing = [n for n in names if n not in df.columns]
     if missing:

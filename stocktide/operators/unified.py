@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -170,6 +172,37 @@ def build(
     return finish(attach_shipments(base, shp.recent_active(shipments, as_of, recent_days)), as_of)
 
 
+def by_days(base: DataFrame, shipments: DataFrame, parts: int) -> list[tuple[DataFrame, DataFrame]]:
+    """Positions dealt to ranges of days, each with all shipments within reach of its days: attached range by range, the rows
+    are those attached at once.
+
+    Ranges are cut from counts per day, a position weighing as much as four shipments: it stands in three weeks and leads to
+    the widest rows. Positions without a day are in the first range.
+    """
+    if parts == 1:
+        return [(base, shipments)]
+    counts = base.groupBy(F.unix_date("inventory_date").alias("day")).agg((4 * F.count("*")).alias("n")).unionByName(
+        shipments.groupBy(F.unix_date(F.to_date("planned_departure_ts")).alias("day")).agg(F.count("*").alias("n")))
+    found = counts.agg(F.percentile("day", [i / parts for i in range(1, parts)], F.col("n"))).first()[0] or []
+    cuts = sorted({math.floor(c) for c in found})
+
+    def day(number: int) -> Column:
+        return F.date_from_unix_date(F.lit(number))
+
+    ranges = []
+    for after, last in zip([None, *cuts], [*cuts, None]):
+        mine, near = base, shipments
+        if after is not None:
+            mine = mine.filter(F.col("inventory_date") > day(after))
+            near = near.filter(F.col("planned_departure_ts") >= ts(day(after + 1 - WINDOW_DAYS)))
+        if last is not None:
+            within = F.col("inventory_date") <= day(last)
+            mine = mine.filter(within | F.col("inventory_date").isNull() if after is None else within)
+            near = near.filter(F.col("planned_departure_ts") < ts(day(last + 1 + WINDOW_DAYS)))
+        ranges.append((mine, near))
+    return ranges
+
+
 def region_recent(unified: DataFrame, region: str, as_of: str, days: int = 7) -> DataFrame:
     """Rows of one supplier region with inventory dated in the last ``days`` days."""
     return (

@@ -16,8 +16,8 @@ from stocktide.sources.derived import Tables
 DEMAND_FROM, DEMAND_TO = "2001-01-01", "2001-11-04"
 
 
-def silver_shipments(t: Tables) -> DataFrame:
-    return shp.latest_version(shp.clean(t.shipment_feed(), AS_OF))
+def silver_shipments(t: Tables, feed: DataFrame | None = None) -> DataFrame:
+    return shp.latest_version(shp.clean(t.shipment_feed() if feed is None else feed, AS_OF))
 
 
 def clean_inventory(t: Tables) -> DataFrame:
@@ -25,8 +25,8 @@ def clean_inventory(t: Tables) -> DataFrame:
     return inv.clean(t.inventory_feed(), AS_OF)
 
 
-def silver_inventory(t: Tables) -> DataFrame:
-    return first_per_key(inv.clean(t.inventory_feed(), AS_OF), inv.SNAPSHOT, [F.col("load_ts").desc_nulls_last()])
+def silver_inventory(t: Tables, feed: DataFrame | None = None) -> DataFrame:
+    return first_per_key(inv.clean(t.inventory_feed() if feed is None else feed, AS_OF), inv.SNAPSHOT, [F.col("load_ts").desc_nulls_last()])
 
 
 def supplier_dim(t: Tables) -> DataFrame:

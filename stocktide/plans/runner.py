@@ -9,7 +9,7 @@ from __future__ import annotations
 import hashlib
 import time
 from collections.abc import Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from stocktide.functions.timeexpr import ts
 from stocktide.operators import contracts, crosswalk as xw, freshness, gate, gold, identity, inventory as inv
 from stocktide.operators import late, quality, scd2, shipments as shp, unified as uni
-from stocktide.operators.common import first_per_key
+from stocktide.operators.common import first_per_key, in_parts, parts_of
+from stocktide.session import release
 from stocktide.sources.readers import CORRUPT, DOMAINS, load, typed
 from stocktide.sources.commits import Conflict
 from stocktide.sources.store import BATCH, LATEST, REPLACE, Staged, Store
@@ -38,6 +39,8 @@ CROSSWALK_KEYS = [*xw.KEY, "business_key"]
 KEYS = {"supplier": ["business_key"], "shipment": ["shipment_id"], "inventory": inv.SNAPSHOT}
 
 
+#: Most parts that gold tables are made in, and most folders of a gold table that grow with the number of carriers.
+MOST_PARTS, FOLDERS = 8, 5_000
 #: How often a step is made anew when other writers come in between.
 ATTEMPTS = 8
 
@@ -57,6 +60,9 @@ class Job:
     store: Store
     as_of: str
     mint: bool = False
+    # of a job that makes gold tables: into how many parts the work is divided, and the positions that several tables are made from
+    _parts: int = field(default=1, init=False, repr=False)
+    _base: Staged | None = field(default=None, init=False, repr=False)
 
     @property
     def spark(self) -> SparkSession:
@@ -170,10 +176,11 @@ class Job:
         if bad:
             raise Refused(f"{SILVER[domain]}: {bad}")
 
-    def _write(self, df: DataFrame, table: str, audit=None) -> tuple[Staged, int, float]:
+    def _write(self, df: DataFrame | list[DataFrame], table: str, audit=None, partition_by: list[str] | None = None) -> tuple[Staged, int, float]:
         """Write and check a whole table without putting it in force; what was staged, its rows and seconds."""
         started = time.monotonic()
-        staged = self.store.stage(df.withColumn("created_at", ts(self.as_of)), table)
+        frames = [df] if isinstance(df, DataFrame) else df
+        staged = self.store.stage([f.withColumn("created_at", ts(self.as_of)) for f in frames], table, partition_by)
         written = self.store.read_staged(staged)
         if audit:
             audit(written)
@@ -250,36 +257,60 @@ class Job:
         tables, store = self.silver_tables(), log_to or self.store
         blocked = []
         for name in tables:
-            results = gate.run_checks(self.spark, "silver", name, tables, self.as_of).persist()
-            verdict = gate.evaluate(results, "silver", name, self.as_of)
-            store.append(gate.dq_status_rows(results, self.as_of), "ops.dq_status")
-            score = quality.quality_score(tables[name], name)
-            store.append(gate.table_status(results, score, f"silver.{name}", self.as_of), "ops.data_quality_status")
-            store.append(verdict, "ops.publish_gate_log")
-            store.append(gate.alert_rows(results, self.as_of), "ops.alerts")
-            blocked += [r.message for r in verdict.filter("NOT can_publish").select("message").collect()]
-            results.unpersist()
+            blocked += self._checked(name, tables, store)
+            self._let_go()
         if blocked:
             raise Refused("; ".join(blocked))
 
+    def _checked(self, name: str, tables: Mapping[str, DataFrame], store: Store) -> list[str]:
+        """Log the gate's results for one table; what blocks it."""
+        results = gate.run_checks(self.spark, "silver", name, tables, self.as_of).persist()
+        verdict = gate.evaluate(results, "silver", name, self.as_of)
+        store.append(gate.dq_status_rows(results, self.as_of), "ops.dq_status")
+        score = quality.quality_score(tables[name], name)
+        store.append(gate.table_status(results, score, f"silver.{name}", self.as_of), "ops.data_quality_status")
+        store.append(verdict, "ops.publish_gate_log")
+        store.append(gate.alert_rows(results, self.as_of), "ops.alerts")
+        blocked = [r.message for r in verdict.filter("NOT can_publish").select("message").collect()]
+        results.unpersist()
+        return blocked
+
+    def _let_go(self) -> None:
+        """Where tables are large, the shuffle files of a finished step go before the next adds its own."""
+        if self._parts > 1:
+            release(self.spark)
+
+    def _stage_positions(self) -> Staged:
+        """The positions that gold tables are made from, written once for all of them."""
+        tables, parts = self.silver_tables(), self._parts
+        stock, links = (in_parts(df, inv.POSITION, parts) for df in (tables["inventory_position"], self.store.read(LINK)))
+        return self.store.stage([uni.positions(s, tables["supplier"], self.crosswalk(), link) for s, link in zip(stock, links)], "work.positions", [])
+
     def _positions(self) -> DataFrame:
-        tables = self.silver_tables()
-        return uni.positions(tables["inventory_position"], tables["supplier"], self.crosswalk(), self.store.read(LINK))
+        return self.store.read_staged(self._base)
 
-    def _gold_frame(self, table: str, recent_days: int | None) -> DataFrame:
+    def _gold_frame(self, table: str, recent_days: int | None) -> list[DataFrame]:
+        """The rows of a gold table in frames that are made one after another: by days, or by a key that rows are summed by."""
+        if table not in GOLD:
+            raise ValueError(f"Unknown table: {table}")
+        shipments, parts = self.store.read(SILVER["shipment"]), self._parts
+        if table == "shipment_performance":
+            return [gold.shipment_performance(part, self.as_of).sortWithinPartitions("carrier_id", "route_id")
+                    for part in in_parts(shipments, ["carrier_id"], parts)]
+        base, recent = self._positions(), shp.recent_active(shipments, self.as_of, recent_days)
         if table == "unified_supply_chain":
-            tables = self.silver_tables()
-            return uni.build(tables["inventory_position"], tables["supplier"], self.crosswalk(), tables["shipment"],
-                             self.store.read(LINK), self.as_of, recent_days)
+            return [uni.finish(uni.attach_shipments(mine, near), self.as_of) for mine, near in uni.by_days(base, recent, parts)]
         if table == "supplier_performance":
             # from positions and shipments: the sums need no row per pair
-            recent = shp.recent_active(self.store.read(SILVER["shipment"]), self.as_of, recent_days)
-            return gold.supplier_performance_direct(self._positions(), recent, self.as_of)
-        if table == "inventory_metrics":
-            return gold.inventory_metrics(self._positions(), self.as_of)
-        if table == "shipment_performance":
-            return gold.shipment_performance(self.store.read(SILVER["shipment"]), self.as_of)
-        raise ValueError(f"Unknown table: {table}")
+            both = zip(in_parts(base, ["supplier_id"], parts), in_parts(recent, ["carrier_id"], parts))
+            return [gold.supplier_performance_direct(mine, moves, self.as_of) for mine, moves in both]
+        return [gold.inventory_metrics(part, self.as_of) for part in in_parts(base, ["product_id"], parts)]
+
+    def _folders(self, table: str) -> list[str] | None:
+        """Partition columns of a gold table; none, but files sorted by carrier, where there would be a folder for each of very many
+        carriers (the gate has seen that all are suppliers). None: those of its schema."""
+        many = table == "shipment_performance" and self.store.read(SILVER["supplier"]).filter("is_current").count() > FOLDERS
+        return [] if many else None
 
     def publish(self, table: str = "all", recent_days: int | None = 30) -> None:
         """Publish one gold table, or all, behind the gate; the unified table must pass its own checks.
@@ -291,9 +322,19 @@ class Job:
         if any(n not in GOLD for n in names):
             raise ValueError(f"Unknown table: {table}")
         view = Job(self.store.at(), self.as_of)
+        view._parts = parts_of(view.store.rows(SILVER["shipment"]) + view.store.rows(SILVER["inventory"]), MOST_PARTS)
         view.open_gate(log_to=self.store)
-        written = {name: self._write(view._gold_frame(name, recent_days), f"gold.{name}",
-                                     self._audit_unified if name == "unified_supply_chain" else None) for name in names}
+        if any(_POSITIONS[0] in GOLD_INPUTS[name] for name in names):
+            view._base = view._stage_positions()
+        written = {}
+        try:
+            for name in names:
+                written[name] = self._write(view._gold_frame(name, recent_days), f"gold.{name}",
+                                            self._audit_unified if name == "unified_supply_chain" else None, view._folders(name))
+                view._let_go()
+        finally:
+            if view._base:
+                view.store.drop_staged(view._base)
         self.store.publish(*(staged for staged, _, _ in written.values()))
         for name, (_, rows, seconds) in written.items():
             self._measure(f"gold.{name}", rows, seconds)

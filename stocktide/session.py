@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import SparkSession
@@ -56,3 +58,14 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new, not yet existing directory under the scratch root."""
     return f"{scratch_root(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def release(spark: SparkSession) -> None:
+    """Lets Spark drop the shuffle files of plans that nothing refers to any more.
+
+    Two rounds: what the first frees here lets go of the plans on Spark's side, which the second finds.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.2)

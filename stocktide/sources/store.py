@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from stocktide import schemas
+from stocktide.session import release
 from stocktide.sources.commits import CommitLog, Conflict
 
 BATCH, BUCKET = "_batch", "_bucket"
@@ -87,6 +88,13 @@ class Store:
         state = self._state(table)
         return state["version"] if state else 0
 
+    def rows(self, table: str) -> int:
+        """Rows in force; of keyed tables those of all runs, some of which a read leaves out."""
+        state = self._state(table)
+        if state and state["kind"] == "runs":
+            return sum(r["rows"] for runs in state["buckets"].values() for r in runs)
+        return self.read(table).count()
+
     def path(self, table: str) -> str:
         return f"{self.root}/{table.replace('.', '/')}"
 
@@ -170,13 +178,20 @@ class Store:
 
     # --- replaced tables ---
 
-    def stage(self, df: DataFrame, table: str, partition_by: Sequence[str] | None = None, keep_layout: bool = False,
+    def stage(self, df: DataFrame | Sequence[DataFrame], table: str, partition_by: Sequence[str] | None = None, keep_layout: bool = False,
               expected: int | None = None) -> Staged:
-        """Write a new version without switching to it, so it can be checked first. ``keep_layout`` leaves the rows in the
-        order and files that the frame gives them. ``expected``: the version it was made from; another one is a conflict."""
+        """Write a new version without switching to it, so it can be checked first. Several frames are written one after another;
+        what one has shuffled is let go before the next. Without folders, rows are written by the tasks that have made them.
+        ``keep_layout`` leaves the rows in the order and files that the frame gives them. ``expected``: the version it was made
+        from; another one is a conflict."""
         parts = self._partitions(table, partition_by)
         folder = f"v={uuid.uuid4().hex}"
-        (df if keep_layout else self._balanced(df, parts)).write.partitionBy(*parts).parquet(f"{self.path(table)}/data/{folder}")
+        frames = [df] if isinstance(df, DataFrame) else df
+        for frame in frames:
+            placed = frame if keep_layout or not parts else self._balanced(frame, parts)
+            placed.write.mode("append").option("compression", "zstd").partitionBy(*parts).parquet(f"{self.path(table)}/data/{folder}")
+            if len(frames) > 1:
+                release(self.spark)
 
         def change(state):
             if expected is not None and (state["version"] if state else 0) != expected:
@@ -259,6 +274,10 @@ class Store:
         rows = self.spark.read.schema(typed).parquet(path).groupBy(BUCKET).count().collect()
         return {r[0]: r[1] for r in rows if r[0] is not None}
 
+    def drop_staged(self, staged: Staged) -> None:
+        """Delete what was staged and isn't to be put in force."""
+        self.log.files.delete(f"{self.path(staged.table)}/data/{staged.folder}")
+
     def read_staged(self, staged: Staged) -> DataFrame:
         return self.spark.read.parquet(f"{self.path(staged.table)}/data/{staged.folder}").drop(BUCKET)
 
